@@ -14,10 +14,11 @@ TOPIC_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "lz4"}
 
 
 def write_features(df: DataFrame, path: str, time: str, mode: str = "overwrite") -> None:
-    """Parquet partitioned by day, so date ranges prune. Rows are spread by day and
-    by hash: a day with very many rows is written by many tasks."""
+    """Parquet partitioned by day, so date ranges prune. The rebalance hint gathers
+    small days and splits a day with very many rows over many tasks."""
     (
         df.withColumn("event_date", F.to_date(time))
+        .hint("rebalance", "event_date")
         .write.mode(mode)
         .partitionBy("event_date")
         .parquet(path)
