@@ -18,15 +18,20 @@ BAD_LONGITUDE = "Invalid longitude"
 # ---------------------------------------------------------------------------
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+NUMBER_OR_INFINITE = NUMBER + r"|(?i)^\s*[+-]?inf(inity)?\s*$"
 DATE_TIME = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
 
 
+def matching(text: Column, pattern: str) -> Column:
+    """The text where it has the pattern, '' otherwise; refers to the text once."""
+    return F.regexp_extract(text, pattern, 0)
+
+
 def number(text: Column) -> Column:
     """Text as double; null unless it reads as a number."""
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return matching(text, NUMBER).try_cast("double")
 
 
 def missing_fields(fields: list[str] = config.REQUIRED_FIELDS) -> Column:
@@ -44,19 +49,18 @@ def amount(text: Column, maximum: float = config.AMOUNT_MAX) -> Column:
 
     Money is cast from text straight to decimal, so 125.555 becomes 125.56.
     """
-    cents = F.abs(F.trim(text).try_cast("decimal(18,2)"))
+    readable = F.trim(matching(text, NUMBER_OR_INFINITE))
+    size = F.abs(readable.try_cast("double"))
     limit = F.lit(maximum).cast("decimal(18,2)")
-    huge = text.rlike(INFINITE) | (F.abs(number(text)) > F.lit(maximum))
-    return F.when(huge, limit).when(number(text).isNotNull(), F.least(cents, limit))
+    return F.when(size > maximum, limit).otherwise(F.abs(readable.try_cast("decimal(18,2)")))
 
 
 def epoch_seconds(text: Column) -> Column:
     """Epoch number (truncated), ISO text with or without zone, or date and time."""
-    numeric = number(text).try_cast("bigint")
-    parsed = F.unix_seconds(
-        F.when(text.rlike(DATE_TIME), text).try_cast("timestamp")
+    return F.coalesce(
+        number(text).try_cast("bigint"),
+        F.unix_seconds(matching(text, DATE_TIME).try_cast("timestamp")),
     )
-    return F.when(text.rlike(NUMBER), numeric).otherwise(parsed)
 
 
 def reject_reason(

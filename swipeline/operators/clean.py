@@ -32,25 +32,36 @@ def clean(messages: DataFrame) -> DataFrame:
     Columns outside the contract pass through.
     """
     corrupt = F.col(CORRUPT) if CORRUPT in messages.columns else None
-    lat, lon = cleaning.number(F.col("location_lat")), cleaning.number(F.col("location_lon"))
-    value = cleaning.amount(F.col("amount"))
-    seconds = cleaning.epoch_seconds(F.col("timestamp"))
-    # the reason is computed from the raw text, before the typed columns replace it
-    flagged = messages.withColumn(
+    # Parsed once, next to the text: the reason needs both. Going through inline()
+    # keeps the optimizer from copying the parsing into the reject filter.
+    parsed = messages.select(
+        *messages.columns,
+        F.inline(
+            F.array(
+                F.struct(
+                    cleaning.number(F.col("location_lat")).alias("_lat"),
+                    cleaning.number(F.col("location_lon")).alias("_lon"),
+                    cleaning.amount(F.col("amount")).alias("_value"),
+                    cleaning.epoch_seconds(F.col("timestamp")).alias("_seconds"),
+                )
+            )
+        ),
+    )
+    flagged = parsed.withColumn(
         "reject_reason",
         cleaning.reject_reason(
-            F.col("amount"), value, seconds,
-            F.col("location_lat"), lat, F.col("location_lon"), lon, corrupt,
+            F.col("amount"), F.col("_value"), F.col("_seconds"),
+            F.col("location_lat"), F.col("_lat"), F.col("location_lon"), F.col("_lon"), corrupt,
         ),
     )
     typed = flagged.withColumns(
         {
-            "amount": value,
-            "timestamp": seconds,
-            "location_lat": lat,
-            "location_lon": lon,
+            "amount": F.col("_value"),
+            "timestamp": F.col("_seconds"),
+            "location_lat": F.col("_lat"),
+            "location_lon": F.col("_lon"),
         }
-    )
+    ).drop("_lat", "_lon", "_value", "_seconds")
     return fill_optional(typed)
 
 

@@ -52,13 +52,14 @@ def decode(frame: DataFrame) -> DataFrame:
     """`key`, `value` frames (topic or file) to text fields.
 
     Text that is no JSON object fills `_corrupt_record`; works on streams too.
+    inline() keeps later filters from parsing the text once per field.
     """
     parsed = F.from_json(
         F.col("value").cast("string"),
         MESSAGE,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return frame.select(parsed.alias("message")).select("message.*")
+    return frame.select(F.inline(F.array(parsed)))
 
 
 def history_members(transactions: DataFrame) -> DataFrame:
