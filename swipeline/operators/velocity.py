@@ -270,12 +270,14 @@ def hot_epochs(df: DataFrame, cuts: DataFrame, gap_us: int) -> DataFrame:
 
 
 def previous_time() -> Step:
-    """`prev_ts`: epoch seconds of the previous transaction, null for the first.
-    `time_since_last_tx` in seconds, 0 for the first."""
+    """`prev_ts`: epoch seconds of the previous transaction, null for the first one
+    and after 30 days of silence. `time_since_last_tx` in seconds, 0 for null."""
+    gap_us = config.STATS_GAP_S * config.US
 
     def finish(df: DataFrame, columns: list[str]) -> DataFrame:
         seconds = F.floor(F.col("ts_us") / config.US)
-        prev = F.floor(F.col("_prev") / config.US)
+        known = F.when(F.col("ts_us") - F.col("_prev") <= gap_us, F.col("_prev"))
+        prev = F.floor(known / config.US)
         return df.withColumns(
             {"prev_ts": prev, "time_since_last_tx": _zero(seconds - prev)}
         ).select(*columns, "prev_ts", "time_since_last_tx")

@@ -128,10 +128,13 @@ ema as (
 
 
 def since(table: str) -> str:
-    return f"""since as (
-  select transaction_id, lag(ts_us) over k // 1000000 prev_ts,
-    coalesce(ts_us // 1000000 - lag(ts_us) over k // 1000000, 0) time_since_last_tx
-  from {table} window k as (partition by card_id order by ts_us, transaction_id))"""
+    return f"""lags as (
+  select transaction_id, ts_us, lag(ts_us) over (partition by card_id order by ts_us, transaction_id) p
+  from {table}),
+since as (
+  select transaction_id, p0 // 1000000 prev_ts,
+    coalesce(ts_us // 1000000 - p0 // 1000000, 0) time_since_last_tx
+  from (select *, case when ts_us - p <= 2592000000000 then p end p0 from lags))"""
 
 
 ROLLING = f"""{r('avg0', 2)} avg_tx_amount_30d,
@@ -554,3 +557,22 @@ put("audit_log", SCORED, """select transaction_id, card_id, amount, fraud_probab
     case when ratio > 3 then 'high_ratio:0.20' end,
     case when merchant_risk_score > 0.7 then 'risky_merchant:0.15' end,
     case when is_new_card = 1 then 'new_card:0.10' end) top_rules from scored""")
+
+# --- streams: the same rows as the batch definitions ------------------------------------------
+
+SQL["src_csv_stream"] = SQL["src_csv"]
+SQL["stream_clean"] = SQL["validate_ranges"]
+SQL["stream_features"] = SQL["realtime_features"]
+SQL["archive"] = SQL["sink_parquet"]
+put("stream_dedup", TX, "select transaction_id, card_id from tx")
+put("stream_late", f"""{TX}, edge as (select min(ts_us) + (max(ts_us) - min(ts_us)) // 2 e from tx)""",
+    """select count(*) filter (ts_us >= e) n_emitted, count(*) filter (ts_us < e) n_dropped from tx, edge""")
+EXPIRY = f"{TX}, {lookback('tx')}, {idle('tx')}, {since('tx')}, {ema('tx')}"
+put("stream_expiry", EXPIRY, f"""select prefix || transaction_id transaction_id, tx_count_24h,
+  unique_merchants_since_idle, time_since_last_tx, {r('avg0', 4)} ema_before
+  from seen join idle using (transaction_id) join since using (transaction_id)
+  join ema using (transaction_id), (values (''), ('again-')) copies(prefix)""")
+put("stream_publish", FEATURES, """select card_id, transaction_id, ts_us, tx_count_10m, tx_count_24h,
+  unique_merchants_24h from features
+  qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
+put("stream_score", SCORED, "select transaction_id, fraud_probability, risk_level, decision from scored")

@@ -96,15 +96,16 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction predicted, then predicted a second time an hour later as
     BLOCK: the second prediction must not enter the log."""
     created = F.timestamp_micros("ts_us")
-    rows = scored(spark, sf_dir)
-    first = predictions.to_predictions(rows, ["tx_count_10m", "is_new_card"], created)
-    again = first.withColumns(
+    first = predictions.to_predictions(
+        scored(spark, sf_dir), ["tx_count_10m", "is_new_card"], created
+    )
+    copies = first.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
         {
-            "created_at": F.col("created_at") + F.expr("interval 1 hour"),
-            "decision": F.lit("BLOCK"),
+            "created_at": F.col("created_at") + F.make_dt_interval(hours=F.col("copy")),
+            "decision": F.when(F.col("copy") == 1, "BLOCK").otherwise(F.col("decision")),
         }
     )
-    return predictions.insert_once(None, first.unionByName(again))
+    return predictions.insert_once(None, copies.drop("copy"))
 
 
 # --- sources and sinks -----------------------------------------------------------------

@@ -1 +1,110 @@
-"""Structured Streaming jobs."""
+"""Structured Streaming jobs around the batch operators.
+
+Every job runs with `availableNow` on what has arrived and resumes from its
+checkpoint: offsets and state commit together.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from swipeline.operators import clean, predictions, store
+from swipeline.plans import realtime
+from swipeline.sources import messages, writers
+from swipeline.streaming.card_state import card_features
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keyed state on local disk with changelog checkpoints in the shared folder."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
+
+
+def start(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    return (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def write_batch(frame: DataFrame, path: str, batch: int) -> None:
+    """One folder per batch, overwritten on retry: each row lands exactly once."""
+    frame.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def clean_stream(encoded: DataFrame, good: str, rejected: str, checkpoint: str) -> StreamingQuery:
+    """Decode and validate; accepted rows and dead letters go to two folders."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        cleaned = clean.clean(messages.decode(batch)).persist()
+        try:
+            accepted, dead = clean.split_rejects(cleaned)
+            write_batch(accepted, good, number)
+            write_batch(dead, rejected, number)
+        finally:
+            cleaned.unpersist()
+
+    return start(encoded, each, checkpoint)
+
+
+def feature_stream(
+    transactions: DataFrame, path: str, checkpoint: str, late: str = "1 hour"
+) -> StreamingQuery:
+    """Lookback features of every transaction to a folder."""
+    use_rocksdb(transactions.sparkSession)
+    return start(
+        card_features(transactions, late),
+        lambda batch, number: write_batch(batch, path, number),
+        checkpoint,
+    )
+
+
+def dedup_stream(transactions: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Each transaction id once, as long as its copies come within the watermark."""
+    timed = transactions.withColumn("ts", F.timestamp_micros("ts_us")).withWatermark("ts", late)
+    return timed.dropDuplicatesWithinWatermark(["transaction_id"]).drop("ts")
+
+
+def publish_stream(features: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Latest feature row per card into a versioned table."""
+    spark = features.sparkSession
+    table = writers.VersionedTable(spark, table_path)
+
+    def each(batch: DataFrame, number: int) -> None:
+        latest = store.materialize(batch, "card_id", "ts_us", "transaction_id")
+        table.upsert(latest, number, "card_id", "ts_us", "transaction_id")
+
+    return start(features, each, checkpoint)
+
+
+def score_stream(
+    transactions: DataFrame,
+    merchants: DataFrame,
+    log_path: str,
+    checkpoint: str,
+    late: str = "1 hour",
+) -> StreamingQuery:
+    """Features, rule score and decision of every transaction into the prediction log."""
+    spark = transactions.sparkSession
+    use_rocksdb(spark)
+    log = writers.PredictionLog(spark, log_path)
+
+    def each(batch: DataFrame, number: int) -> None:
+        scored = realtime.score(realtime.vector(batch, merchants))
+        rows = predictions.to_predictions(
+            scored, ["tx_count_10m", "is_new_card"], F.timestamp_micros("ts_us")
+        )
+        log.append(rows, number)
+
+    return start(card_features(transactions, late), each, checkpoint)
