@@ -35,11 +35,24 @@ class Split(NamedTuple):
     cuts: DataFrame | None     # hot key and the cut points of its time axis
 
 
+Phase = Callable[[DataFrame], DataFrame]
+
+
 class Step(NamedTuple):
-    """The same result twice: by plain windows, and by a scan over pieces."""
+    """The same columns twice: by plain windows, and by a scan over pieces.
 
-    plain: Callable[[DataFrame], DataFrame]
+    The plain windows come in phases. All steps run one phase before any runs the
+    next, so windows of one sort order sit next to each other and share the sort:
+    first over the card, then over card and value, then over the card again, then
+    whatever needs an order of its own.
+    """
+
+    columns: Sequence[str]
     hot: Callable[[DataFrame, DataFrame], DataFrame]
+    card: Phase | None = None
+    value: Phase | None = None
+    totals: Phase | None = None
+    own: Phase | None = None
 
 
 def hot_limit(df: DataFrame) -> int:
@@ -96,8 +109,11 @@ def per_key(
     """Run the steps over every key; ordinary keys need one exchange in all."""
     split = split_hot(df, key, at, limit)
     out = split.cold.repartition(key)
-    for step in steps:
-        out = step.plain(out)
+    for phase in ("card", "value", "totals", "own"):
+        for step in steps:
+            run = getattr(step, phase)
+            out = run(out) if run else out
+    out = out.select(*df.columns, *[c for step in steps for c in step.columns])
     if split.hot is None:
         return out
     hot = cut_lineage(split.hot)

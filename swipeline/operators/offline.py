@@ -25,7 +25,7 @@ def _ordered(*by: str):
 def running_count(name: str = "tx_count_24h") -> Step:
     """Number of the transaction within its card."""
 
-    def plain(df: DataFrame) -> DataFrame:
+    def card(df: DataFrame) -> DataFrame:
         return df.withColumn(name, F.row_number().over(_ordered(CARD)).cast("bigint"))
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def running_count(name: str = "tx_count_24h") -> Step:
         )
         return out.select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, card=card)
 
 
 def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
@@ -45,7 +45,7 @@ def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
         / F.count("amount").over(window)
     )
 
-    def plain(df: DataFrame) -> DataFrame:
+    def totals(df: DataFrame) -> DataFrame:
         return df.withColumn(name, mean(_ordered(CARD).rowsBetween(-(rows - 1), 0)))
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -63,18 +63,20 @@ def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
         ).where(F.col("_own") == F.col("_block"))
         return out.select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, totals=totals)
 
 
 def running_distinct(column: str = "merchant_id", name: str = "unique_merchants_7d") -> Step:
     """Distinct values of the card so far: a running sum of first visits."""
 
-    def plain(df: DataFrame) -> DataFrame:
-        first = (F.row_number().over(_ordered(CARD, column)) == 1).cast("bigint")
-        out = df.withColumn("_first", first).withColumn(
-            name, F.sum("_first").over(_ordered(CARD).rowsBetween(UP, 0))
+    def value(df: DataFrame) -> DataFrame:
+        before = F.lag("ts_us").over(_ordered(CARD, column))
+        return df.withColumn("_earlier", before).withColumn(
+            "_first", F.col("_earlier").isNull().cast("bigint")
         )
-        return out.drop("_first")
+
+    def totals(df: DataFrame) -> DataFrame:
+        return df.withColumn(name, F.sum("_first").over(_ordered(CARD).rowsBetween(UP, 0)))
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         firsts = (
@@ -92,13 +94,13 @@ def running_distinct(column: str = "merchant_id", name: str = "unique_merchants_
         )
         return scanned.where("_row").select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, value=value, totals=totals)
 
 
 def home_location() -> Step:
     """`home_lat`, `home_lon`: the first known value of each, over the whole card."""
 
-    def plain(df: DataFrame) -> DataFrame:
+    def card(df: DataFrame) -> DataFrame:
         ordered = _ordered(CARD).rowsBetween(UP, Window.unboundedFollowing)
         return df.withColumns(
             {
@@ -116,13 +118,13 @@ def home_location() -> Step:
         # one row per hot card: at most MAX_HOT_KEYS
         return df.join(F.broadcast(homes), CARD).select(*df.columns, "home_lat", "home_lon")
 
-    return Step(plain, hot)
+    return Step(["home_lat", "home_lon"], hot, card=card)
 
 
 def previous_location() -> Step:
     """`prev_lat`, `prev_lon` of the card's previous transaction."""
 
-    def plain(df: DataFrame) -> DataFrame:
+    def card(df: DataFrame) -> DataFrame:
         return df.withColumns(
             {
                 "prev_lat": F.lag("lat").over(_ordered(CARD)),
@@ -141,7 +143,7 @@ def previous_location() -> Step:
             F.col("_prev.lon").alias("prev_lon"),
         )
 
-    return Step(plain, hot)
+    return Step(["prev_lat", "prev_lon"], hot, card=card)
 
 
 def distance_from_home() -> Column:

@@ -46,7 +46,7 @@ def as_of_join(
     both = left.unionByName(right, allowMissingColumns=True)
     order = ["_at", "_side", "_tie"]
 
-    def plain(df: DataFrame) -> DataFrame:
+    def card(df: DataFrame) -> DataFrame:
         upto = Window.partitionBy(key).orderBy(*order).rowsBetween(UP, 0)
         return df.withColumn("_hit", F.last("_feature", ignorenulls=True).over(upto))
 
@@ -56,7 +56,7 @@ def as_of_join(
         )
         return scanned.select(*df.columns, "_hit")
 
-    found = per_key(both, [Step(plain, hot)], key=key, at="_at", limit=limit)
+    found = per_key(both, [Step(["_hit"], hot, card=card)], key=key, at="_at", limit=limit)
     fresh = F.col("_at") - F.col("_hit._ft") <= ttl_seconds * config.US
     hit = F.when(fresh, F.col("_hit"))
     return (

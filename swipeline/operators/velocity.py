@@ -47,7 +47,7 @@ def lookback_sums(
     """
     names = [f"{v}_{w}" for w in windows for v in values]
 
-    def plain(df: DataFrame) -> DataFrame:
+    def totals(df: DataFrame) -> DataFrame:
         ins = df.withColumns({f"_v_{v}": c for v, c in values.items()})
         seen = (
             _timed(CARD).rangeBetween(UP, 0)
@@ -62,14 +62,13 @@ def lookback_sums(
             for w, s in windows.items()
             for v in values
         }
-        out = ins.withColumns(old).withColumns(
+        return ins.withColumns(old).withColumns(
             {
                 f"{v}_{w}": _zero(F.col(f"_seen_{v}")) - _zero(F.col(f"_old_{v}_{w}"))
                 for w in windows
                 for v in values
             }
         )
-        return out.select(*df.columns, *names)
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         # a row adds itself at its time and takes itself away just after ts + w
@@ -112,7 +111,7 @@ def lookback_sums(
             )
         return scanned.select(*df.columns, *names)
 
-    return Step(plain, hot)
+    return Step(names, hot, totals=totals)
 
 
 # --- V3: distinct merchants in a rolling window --------------------------------
@@ -127,26 +126,27 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
     """
     w_us = seconds * config.US
 
-    def plain(df: DataFrame) -> DataFrame:
-        visits = _timed(CARD, "merchant_id")
+    def value(df: DataFrame) -> DataFrame:
+        visits = _ordered(CARD, "merchant_id")
         gap_before = F.col("ts_us") - F.lag("ts_us").over(visits)
         gap_after = F.lead("ts_us").over(visits) - F.col("ts_us")
-        ins = df.withColumns({"_before": gap_before, "_after": gap_after}).withColumns(
+        return df.withColumns({"_before": gap_before, "_after": gap_after}).withColumns(
             {
                 "_enters": (F.col("_before").isNull() | (F.col("_before") > w_us)).cast("int"),
                 "_leaves": (F.col("_after").isNull() | (F.col("_after") > w_us)).cast("int"),
             }
         )
+
+    def totals(df: DataFrame) -> DataFrame:
         seen = (
             _timed(CARD).rangeBetween(UP, 0)
             if include_current
             else _ordered(CARD).rowsBetween(UP, -1)
         )
         gone = _timed(CARD).rangeBetween(UP, -(w_us + 1))
-        out = ins.withColumn(
+        return df.withColumn(
             name, _zero(F.sum("_enters").over(seen)) - _zero(F.sum("_leaves").over(gone))
         )
-        return out.select(*df.columns, name)
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         pieces = with_piece(df, cuts, CARD, "ts_us")
@@ -210,7 +210,7 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
         )
         return scanned.where("_row").select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, value=value, totals=totals)
 
 
 # --- V4: distinct merchants since the last idle day ------------------------------
@@ -219,19 +219,33 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
 def merchants_since_idle(name: str = "unique_merchants_since_idle") -> Step:
     gap_us = config.IDLE_GAP_S * config.US
 
-    def plain(df: DataFrame) -> DataFrame:
+    def card(df: DataFrame) -> DataFrame:
         gap = F.col("ts_us") - F.lag("ts_us").over(_ordered(CARD))
-        ins = df.withColumn("_gap", gap).withColumn(
-            "_epoch",
-            F.sum((F.col("_gap") > gap_us).cast("int")).over(_ordered(CARD).rowsBetween(UP, 0)),
+        return df.withColumn("_idle_gap", gap).withColumn(
+            "_period",
+            _zero(
+                F.sum((F.col("_idle_gap") > gap_us).cast("int")).over(
+                    _ordered(CARD).rowsBetween(UP, 0)
+                )
+            ),
         )
-        ins = ins.withColumn("_epoch", _zero(F.col("_epoch"))).withColumn(
-            "_first",
-            (F.row_number().over(_ordered(CARD, "_epoch", "merchant_id")) == 1).cast("int"),
+
+    def value(df: DataFrame) -> DataFrame:
+        # periods only grow along a merchant's visits
+        visited = F.lag("_period").over(_ordered(CARD, "merchant_id"))
+        return df.withColumn("_visited", visited).withColumn(
+            "_first", (~F.col("_visited").eqNullSafe(F.col("_period"))).cast("int")
         )
-        before = _ordered(CARD, "_epoch").rowsBetween(UP, -1)
-        out = ins.withColumn(name, _zero(F.sum("_first").over(before)))
-        return out.select(*df.columns, name)
+
+    def totals(df: DataFrame) -> DataFrame:
+        # first visits so far, less those before the period began
+        upto = _ordered(CARD).rowsBetween(UP, 0)
+        ins = df.withColumn(
+            "_firsts", _zero(F.sum("_first").over(_ordered(CARD).rowsBetween(UP, -1)))
+        )
+        return ins.withColumn(
+            "_base", F.max(F.when(F.col("_idle_gap") > gap_us, F.col("_firsts"))).over(upto)
+        ).withColumn(name, F.col("_firsts") - _zero(F.col("_base")))
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         ins = cut_lineage(hot_epochs(df, cuts, gap_us))
@@ -254,7 +268,7 @@ def merchants_since_idle(name: str = "unique_merchants_since_idle") -> Step:
         )
         return scanned.where("_row").select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, card=card, value=value, totals=totals)
 
 
 def hot_epochs(df: DataFrame, cuts: DataFrame, gap_us: int) -> DataFrame:
@@ -274,22 +288,22 @@ def previous_time() -> Step:
     and after 30 days of silence. `time_since_last_tx` in seconds, 0 for null."""
     gap_us = config.STATS_GAP_S * config.US
 
-    def finish(df: DataFrame, columns: list[str]) -> DataFrame:
+    names = ["prev_ts", "time_since_last_tx"]
+
+    def finish(df: DataFrame) -> DataFrame:
         seconds = F.floor(F.col("ts_us") / config.US)
         known = F.when(F.col("ts_us") - F.col("_prev") <= gap_us, F.col("_prev"))
         prev = F.floor(known / config.US)
-        return df.withColumns(
-            {"prev_ts": prev, "time_since_last_tx": _zero(seconds - prev)}
-        ).select(*columns, "prev_ts", "time_since_last_tx")
+        return df.withColumns({"prev_ts": prev, "time_since_last_tx": _zero(seconds - prev)})
 
-    def plain(df: DataFrame) -> DataFrame:
-        return finish(df.withColumn("_prev", F.lag("ts_us").over(_ordered(CARD))), df.columns)
+    def card(df: DataFrame) -> DataFrame:
+        return finish(df.withColumn("_prev", F.lag("ts_us").over(_ordered(CARD))))
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         ins = running(with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER, lasts={"_prev": F.col("ts_us")})
-        return finish(ins, df.columns)
+        return finish(ins).select(*df.columns, *names)
 
-    return Step(plain, hot)
+    return Step(names, hot, card=card)
 
 
 # --- V6: exponential moving average -----------------------------------------------
@@ -305,8 +319,8 @@ def moving_average(name: str = "ema_before") -> Step:
     gap_us = config.STATS_GAP_S * config.US
 
     def from_zero(df: DataFrame, by: list[str]) -> DataFrame:
-        """`_n` rows before and `_ema0`, the average with seed 0, within `by`."""
-        ins = df.withColumn("_n", F.row_number().over(_ordered(*by)) - 1).withColumns(
+        """`_ema0`, the average with seed 0, of rows numbered by `_n` within `by`."""
+        ins = df.withColumns(
             {
                 "_block": F.floor(F.col("_n") / EMA_BLOCK),
                 "_j": F.col("_n") % EMA_BLOCK,
@@ -324,34 +338,40 @@ def moving_average(name: str = "ema_before") -> Step:
             F.col("_j") == EMA_BLOCK - 1,
             F.pow(F.lit(KEEP), F.lit(EMA_BLOCK)) * (F.col("_sum") + F.col("_x")),
         )
+        # ordered by block first: the sort of the sums serves again
+        before = Window.partitionBy(*by).orderBy("_block", *ORDER).rowsBetween(UP, -1)
         ins = ins.withColumn("_full", full).withColumn(
-            "_seed",
-            F.coalesce(
-                F.last("_full", ignorenulls=True).over(_ordered(*by).rowsBetween(UP, -1)),
-                F.lit(0.0),
-            ),
+            "_seed", F.coalesce(F.last("_full", ignorenulls=True).over(before), F.lit(0.0))
         )
         return ins.withColumn(
             "_ema0", F.pow(F.lit(KEEP), F.col("_j")) * (F.col("_seed") + F.col("_sum"))
         )
 
-    def plain(df: DataFrame) -> DataFrame:
-        gap = F.col("ts_us") - F.lag("ts_us").over(_ordered(CARD))
-        ins = df.withColumn("_gap", gap).withColumn(
-            "_epoch",
-            _zero(
-                F.sum((F.col("_gap") > gap_us).cast("int")).over(_ordered(CARD).rowsBetween(UP, 0))
-            ),
+    def card(df: DataFrame) -> DataFrame:
+        upto = _ordered(CARD).rowsBetween(UP, 0)
+        ins = df.withColumns(
+            {
+                "_ema_gap": F.col("ts_us") - F.lag("ts_us").over(_ordered(CARD)),
+                "_row": F.row_number().over(_ordered(CARD)) - 1,
+            }
+        )
+        start = F.when(F.col("_ema_gap") > gap_us, F.col("_row"))
+        return ins.withColumn("_start", _zero(F.max(start).over(upto))).withColumn(
+            "_n", F.col("_row") - F.col("_start")
         )
-        out = from_zero(ins, [CARD, "_epoch"]).withColumn(
+
+    def own(df: DataFrame) -> DataFrame:
+        return from_zero(df, [CARD, "_start"]).withColumn(
             name,
             F.pow(F.lit(KEEP), F.col("_n")) * F.lit(config.DEFAULT_AVG_AMOUNT) + F.col("_ema0"),
         )
-        return out.select(*df.columns, name)
 
     def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
         by = [CARD, "_epoch", PIECE]
-        ins = from_zero(cut_lineage(hot_epochs(df, cuts, gap_us)), by)
+        numbered = cut_lineage(hot_epochs(df, cuts, gap_us)).withColumn(
+            "_n", F.row_number().over(_ordered(*by)) - 1
+        )
+        ins = from_zero(numbered, by)
         last = F.lit(KEEP) * F.col("_ema0") + F.lit(config.EMA_ALPHA) * F.col("amount").cast("double")
         pieces = ins.groupBy(*by).agg(
             F.pow(F.lit(KEEP), F.count(F.lit(1))).alias("f"),
@@ -369,7 +389,7 @@ def moving_average(name: str = "ema_before") -> Step:
         )
         return out.select(*df.columns, name)
 
-    return Step(plain, hot)
+    return Step([name], hot, card=card, own=own)
 
 
 def rolling_columns(amount: str = "amount", average: str = "ema_before") -> dict[str, Column]:
