@@ -9,8 +9,8 @@ from swipeline.functions import scalars
 from swipeline.operators.hot import PIECE, UP, Step, per_key, running, with_piece
 from swipeline.operators.velocity import (
     CARD,
-    MONEY,
     ORDER,
+    cents,
     lookback_merchants,
     lookback_sums,
 )
@@ -40,10 +40,9 @@ def running_count(name: str = "tx_count_24h") -> Step:
 
 def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
     """Mean amount of the last `rows` transactions, the current one included."""
-    mean = (
-        lambda window: F.sum(F.col("amount").cast(MONEY)).over(window).cast("double")
-        / F.count("amount").over(window)
-    )
+
+    def mean(window) -> Column:
+        return F.sum(cents()).over(window) / 100 / F.count("amount").over(window)
 
     def totals(df: DataFrame) -> DataFrame:
         return df.withColumn(name, mean(_ordered(CARD).rowsBetween(-(rows - 1), 0)))
@@ -170,7 +169,7 @@ def time_true(df: DataFrame, limit: int | None = None) -> DataFrame:
     steps = [
         lookback_sums(
             {"24h": config.DAY_S, "7d": 7 * config.DAY_S},
-            {"n": F.lit(1).cast("bigint"), "amt": F.col("amount").cast(MONEY)},
+            {"n": F.lit(1).cast("bigint"), "amt": cents()},
             include_current=True,
         ),
         lookback_merchants("unique_merchants_7d", 7 * config.DAY_S, include_current=True),
@@ -178,7 +177,7 @@ def time_true(df: DataFrame, limit: int | None = None) -> DataFrame:
     out = per_key(df, steps, limit=limit)
     return out.select(
         *df.columns,
-        (F.col("amt_7d").cast("double") / F.col("n_7d")).alias("avg_amt_7d"),
+        (F.col("amt_7d") / 100 / F.col("n_7d")).alias("avg_amt_7d"),
         F.col("n_24h").alias("tx_count_24h"),
         "unique_merchants_7d",
     )

@@ -163,7 +163,7 @@ def card_snapshot(history: DataFrame) -> DataFrame:
             for w in config.VELOCITY_WINDOWS
         ],
         *[
-            (F.col(f"total_amount_{w}").cast("double") + amount).alias(f"total_amount_{w}")
+            (F.col(f"total_amount_{w}") + amount).alias(f"total_amount_{w}")
             for w in config.VELOCITY_WINDOWS
         ],
         "unique_merchants_24h",

@@ -17,7 +17,6 @@ from swipeline.session import cut_lineage
 
 CARD = "card_id"
 ORDER = ["ts_us", "transaction_id"]
-MONEY = "decimal(28,2)"
 DAY_US = config.DAY_S * config.US
 EMA_BLOCK = 1000  # 0.9 ** 1000 is far below double precision
 KEEP = 1.0 - config.EMA_ALPHA
@@ -408,8 +407,18 @@ def _counts() -> dict[str, Column]:
     return {"tx_count": F.lit(1).cast("bigint")}
 
 
+def cents(amount: str = "amount") -> Column:
+    """Money as whole cents: exact, and summed as machine integers."""
+    return (F.col(amount) * 100).cast("bigint")
+
+
 def _amounts() -> dict[str, Column]:
-    return {"total_amount": F.col("amount").cast(MONEY)}
+    return {"total_amount": cents()}
+
+
+def _in_units(df: DataFrame) -> DataFrame:
+    names = [f"total_amount_{w}" for w in config.VELOCITY_WINDOWS]
+    return df.withColumns({n: F.col(n) / 100 for n in names})
 
 
 def velocity_counts(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -417,7 +426,8 @@ def velocity_counts(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def velocity_amounts(df: DataFrame, limit: int | None = None) -> DataFrame:
-    return per_key(df, [lookback_sums(config.VELOCITY_WINDOWS, _amounts())], limit=limit)
+    step = lookback_sums(config.VELOCITY_WINDOWS, _amounts())
+    return _in_units(per_key(df, [step], limit=limit))
 
 
 def unique_merchants_24h(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -446,4 +456,4 @@ def card_history(df: DataFrame, limit: int | None = None) -> DataFrame:
         previous_time(),
         moving_average(),
     ]
-    return per_key(df, steps, limit=limit)
+    return _in_units(per_key(df, steps, limit=limit))

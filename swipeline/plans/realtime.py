@@ -40,14 +40,9 @@ def vector(history: DataFrame, merchants: DataFrame) -> DataFrame:
     and previous time that scoring reads.
     """
     rows = store.lookup_merchant(history, merchants)
-    amounts = {
-        c: F.col(c).cast("double")
-        for c in ["total_amount_10m", "total_amount_1h", "total_amount_24h"]
-    }
     full = rows.withColumns(
         scalar_columns()
         | velocity.rolling_columns()
-        | amounts
         | {"merchant_category": scalars.category_or_unknown(F.col("merchant_category"))}
     ).withColumn("amount", F.col("amount").cast("double"))
     labels = [c for c in ["is_fraud"] if c in history.columns]

@@ -2,16 +2,17 @@
 
 What a card keeps, all on event time:
 
-* one row of numbers: last time, moving average, and for every window the count
-  and sum of the rows in `[frontier - w, frontier]`, where the frontier is the
-  newest time seen;
+* numbers: last time, moving average, and for every window the count and sum of
+  the rows in `[frontier - w, frontier]`, where the frontier is the newest time;
 * the rows of the last 24 hours in ten-minute slots;
 * per merchant the last visit of the current activity period.
 
-A batch loads only the slots that leave one of the windows while the batch is
-worked through, so memory follows the length of the batch and not the size of the
-card's history; the source's rows-per-trigger option bounds the batch. Rows older
-than the frontier are answered from their own slots.
+For an ordinary card all of it is one state value, read and written once per
+batch. Beyond INLINE_ROWS rows the slots and visits become entries of their own,
+and a batch loads only the slots that leave one of the windows while it is worked
+through: memory follows the length of the batch (bounded by the source's
+rows-per-trigger option), not the size of the card's history. Rows older than the
+frontier are answered from the slots of their own time.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from swipeline import config
+from swipeline.operators.velocity import cents
 
 US = config.US
 SLOT_US = 600 * US
@@ -31,6 +33,8 @@ DAY_US = config.DAY_S * US
 IDLE_US = config.IDLE_GAP_S * US
 FORGET_US = config.STATS_GAP_S * US
 
+INLINE_ROWS = 2000
+
 COUNTS = [f"tx_count_{w}" for w in WINDOWS_US]
 SUMS = [f"cents_{w}" for w in WINDOWS_US]
 OUTPUT = T.StructType(
@@ -51,16 +55,26 @@ OUTPUT = T.StructType(
 )
 INPUT = ["transaction_id", "merchant_id", "merchant_category", "cents", "ts_us", "lat"]
 
+NUMBERS = [
+    "frontier", "last_us", "ema", "counts", "sums", "merchants", "visited",
+    "idle_timer", "forget_timer", "spilled",
+]
 STATS_SCHEMA = (
     "frontier bigint, last_us bigint, ema double, counts array<bigint>, sums array<bigint>,"
-    " merchants bigint, visited bigint, slots array<bigint>, timers array<bigint>"
+    " merchants bigint, visited bigint, idle_timer bigint, forget_timer bigint,"
+    " spilled boolean, slots array<bigint>,"
+    " us array<bigint>, ids array<string>, cents array<bigint>, places array<string>,"
+    " visit_merchant array<string>, visit_us array<bigint>, visit_id array<string>"
 )
-SLOT_SCHEMA = "us array<bigint>, ids array<string>, cents array<bigint>, merchants array<string>"
+SLOT_SCHEMA = "us array<bigint>, ids array<string>, cents array<bigint>, places array<string>"
 
 
 class CardState(StatefulProcessor):
     """State and features of one card, row by row in (time, id) order per batch."""
 
+    def __init__(self, inline_rows: int = INLINE_ROWS):
+        self.inline_rows = inline_rows
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.stats = handle.getValueState("stats", STATS_SCHEMA)
@@ -72,35 +86,57 @@ class CardState(StatefulProcessor):
 
     # -- state access, each entry read and written once per batch --
 
-    def _load(self) -> None:
+    def _load(self) -> bool:
         row = self.stats.get()
-        if row is None:
-            zero = [0] * len(WINDOWS_US)
-            row = (None, None, None, list(zero), list(zero), 0, 0, [], [])
-        (self.frontier, self.last_us, self.ema, counts, sums, self.merchants, self.visited,
-         slots, self.timers) = row
-        self.counts, self.sums = list(counts), list(sums)
-        self.known = set(slots)
         self.loaded: dict[int, list] = {}
         self.seen: dict[str, tuple | None] = {}
         self.changed: set[int] = set()
+        self.known: set[int] = set()
+        if row is None:
+            self.frontier = self.last_us = self.ema = None
+            self.idle_timer = self.forget_timer = None
+            self.spilled = False
+            self._zero()
+            return False
+        for name, value in zip(NUMBERS, row):
+            setattr(self, name, value)
+        self.counts, self.sums = list(self.counts), list(self.sums)
+        slots, us, ids, cents, places, merchants, visit_us, visit_id = row[len(NUMBERS):]
+        self.known = set(slots)
+        for kept in zip(us, ids, cents, places):
+            self.loaded.setdefault(kept[0] // SLOT_US, []).append(kept)
+        self.seen = dict(zip(merchants, zip(visit_us, visit_id)))
+        return True
+
+    def _zero(self) -> None:
+        self.counts = [0] * len(WINDOWS_US)
+        self.sums = [0] * len(WINDOWS_US)
+        self.merchants = self.visited = 0
 
     def _slot(self, number: int) -> list:
         """Rows (us, id, cents, merchant) of a slot, in order."""
         if number not in self.loaded:
-            rows = []
-            if number in self.known:
-                rows = list(zip(*self.slots.getValue((number,))))
-            self.loaded[number] = rows
+            stored = self.spilled and number in self.known
+            self.loaded[number] = (
+                list(zip(*self.slots.getValue((number,)))) if stored else []
+            )
         return self.loaded[number]
 
     def _visit(self, merchant: str) -> tuple | None:
         if merchant not in self.seen:
             key = (merchant,)
-            found = self.visits.getValue(key) if self.visits.containsKey(key) else None
-            self.seen[merchant] = None if found is None else (found[0], found[1])
+            stored = self.spilled and self.visits.containsKey(key)
+            self.seen[merchant] = tuple(self.visits.getValue(key)) if stored else None
         return self.seen[merchant]
 
+    def _forget_history(self) -> None:
+        if self.spilled:
+            self.slots.clear()
+            self.visits.clear()
+            self.spilled = False
+        self.known, self.loaded, self.changed, self.seen = set(), {}, set(), {}
+        self._zero()
+
     def _between(self, low: int, high: int) -> list:
         """Kept rows with low <= time < high, in order."""
         rows = []
@@ -108,15 +144,6 @@ class CardState(StatefulProcessor):
             rows += [r for r in self._slot(number) if low <= r[0] < high]
         return rows
 
-    def _forget_history(self) -> None:
-        self.slots.clear()
-        self.visits.clear()
-        self.known, self.loaded, self.changed = set(), {}, set()
-        self.seen = {}
-        self.counts = [0] * len(WINDOWS_US)
-        self.sums = [0] * len(WINDOWS_US)
-        self.merchants = self.visited = 0
-
     # -- features --
 
     def _keep(self, row: tuple) -> None:
@@ -205,46 +232,73 @@ class CardState(StatefulProcessor):
 
     def _store(self) -> None:
         oldest = (self.frontier - DAY_US) // SLOT_US
-        for number in [s for s in self.known if s < oldest]:
+        for number in [n for n in self.known if n < oldest]:
             self.known.discard(number)
             self.changed.discard(number)
-            if self.slots.containsKey((number,)):
+            self.loaded.pop(number, None)
+            if self.spilled and self.slots.containsKey((number,)):
                 self.slots.removeKey((number,))
-        for number in self.changed:
-            us, ids, cents, merchants = zip(*self.loaded[number])
-            self.slots.updateValue((number,), (list(us), list(ids), list(cents), list(merchants)))
-        for merchant, visit in self.seen.items():
-            if visit is not None:
-                self.visits.updateValue((merchant,), visit)
-        for timer in self.timers:
-            self.handle.deleteTimer(timer)
-        self.timers = [(self.frontier + gap) // 1000 + 1 for gap in (IDLE_US, FORGET_US)]
-        for timer in self.timers:
-            self.handle.registerTimer(timer)
+        if not self.spilled and sum(map(len, self.loaded.values())) > self.inline_rows:
+            self.spilled = True
+            self.changed = set(self.known)
+        if self.spilled:
+            for number in self.changed:
+                self.slots.updateValue((number,), _columns(self.loaded[number], 4))
+            for merchant, visit in self.seen.items():
+                if visit is not None:
+                    self.visits.updateValue((merchant,), visit)
+        # a timer that is already set stays: it looks at the frontier when it fires
+        if self.idle_timer is None:
+            self.idle_timer = self._timer(IDLE_US)
+        if self.forget_timer is None:
+            self.forget_timer = self._timer(FORGET_US)
+        self._save()
+
+    def _save(self) -> None:
+        rows, visits = [], []
+        if not self.spilled:
+            rows = [r for n in sorted(self.loaded) for r in self.loaded[n]]
+            visits = [(m, *v) for m, v in self.seen.items() if v is not None]
         self.stats.update(
-            (self.frontier, self.last_us, self.ema, self.counts, self.sums, self.merchants,
-             self.visited, sorted(self.known), self.timers)
+            (
+                *[getattr(self, name) for name in NUMBERS],
+                sorted(self.known),
+                *_columns(rows, 4),
+                *_columns(visits, 3),
+            )
         )
 
+    def _timer(self, gap_us: int) -> int:
+        at = (self.frontier + gap_us) // 1000 + 1
+        self.handle.registerTimer(at)
+        return at
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """After a day of silence the history goes, after 30 days everything."""
-        self._load()
-        if self.frontier is not None:
-            fired = expiredTimerInfo.getExpiryTimeInMs()
-            remaining = [t for t in self.timers if t > fired]
-            if remaining:
-                self._forget_history()
-                self.stats.update(
-                    (self.frontier, self.last_us, self.ema, self.counts, self.sums, 0, 0, [],
-                     remaining)
-                )
-            else:
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        if self._load():
+            silent = lambda gap: (self.frontier + gap) // 1000 < fired
+            if fired == self.forget_timer and silent(FORGET_US):
                 self.slots.clear()
                 self.visits.clear()
                 self.stats.clear()
+                return iter([])
+            if fired == self.forget_timer:
+                self.forget_timer = self._timer(FORGET_US)
+            if fired == self.idle_timer:
+                if silent(IDLE_US):
+                    self._forget_history()
+                    self.idle_timer = None
+                else:
+                    self.idle_timer = self._timer(IDLE_US)
+            self._save()
         return iter([])
 
 
+def _columns(rows: list[tuple], width: int) -> tuple[list, ...]:
+    return tuple([r[i] for r in rows] for i in range(width))
+
+
 class _Queue:
     """Rows waiting to leave a window, in order."""
 
@@ -261,7 +315,9 @@ class _Queue:
         rows[i] = row
 
 
-def card_features(stream: DataFrame, late: str = "1 hour") -> DataFrame:
+def card_features(
+    stream: DataFrame, late: str = "1 hour", inline_rows: int = INLINE_ROWS
+) -> DataFrame:
     """`velocity.card_history` on a stream of clean transactions.
 
     `stream` has the columns of `clean.to_features_input`. Rows later than the
@@ -272,25 +328,24 @@ def card_features(stream: DataFrame, late: str = "1 hour") -> DataFrame:
         "transaction_id",
         "merchant_id",
         "merchant_category",
-        (F.col("amount") * 100).cast("bigint").alias("cents"),
+        cents().alias("cents"),
         "ts_us",
         F.col("lat").cast("double").alias("lat"),
         F.timestamp_micros("ts_us").alias("ts"),
     ).withWatermark("ts", late)
     raw = timed.groupBy("card_id").transformWithStateInPandas(
-        statefulProcessor=CardState(),
+        statefulProcessor=CardState(inline_rows),
         outputStructType=OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
     )
     seconds = F.floor(F.col("ts_us") / US)
     previous = F.floor(F.col("prev_us") / US)
-    cents = lambda c: (F.col(c) / 100).cast("decimal(18,2)")
     return raw.select(
         "transaction_id", "card_id", "merchant_id", "merchant_category",
-        cents("cents").alias("amount"), "ts_us", "lat",
+        (F.col("cents") / 100).cast("decimal(18,2)").alias("amount"), "ts_us", "lat",
         *COUNTS,
-        *[cents(c).alias(f"total_amount_{w}") for c, w in zip(SUMS, WINDOWS_US)],
+        *[(F.col(c) / 100).alias(f"total_amount_{w}") for c, w in zip(SUMS, WINDOWS_US)],
         "unique_merchants_24h", "unique_merchants_since_idle",
         previous.alias("prev_ts"),
         F.coalesce(seconds - previous, F.lit(0)).alias("time_since_last_tx"),

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from swipeline.operators import clean, predictions, store
 from swipeline.plans import realtime
 from swipeline.sources import messages, writers
-from swipeline.streaming.card_state import card_features
+from swipeline.streaming.card_state import INLINE_ROWS, card_features
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -59,12 +59,16 @@ def clean_stream(encoded: DataFrame, good: str, rejected: str, checkpoint: str)
 
 
 def feature_stream(
-    transactions: DataFrame, path: str, checkpoint: str, late: str = "1 hour"
+    transactions: DataFrame,
+    path: str,
+    checkpoint: str,
+    late: str = "1 hour",
+    inline_rows: int = INLINE_ROWS,
 ) -> StreamingQuery:
     """Lookback features of every transaction to a folder."""
     use_rocksdb(transactions.sparkSession)
     return start(
-        card_features(transactions, late),
+        card_features(transactions, late, inline_rows),
         lambda batch, number: write_batch(batch, path, number),
         checkpoint,
     )

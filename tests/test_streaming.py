@@ -18,14 +18,14 @@ def feed(spark, make):
     """Feeds batches one by one through the feature job, each time from the checkpoint."""
     path = shared_dir(spark)
 
-    def run(batches, late="1 hour"):
+    def run(batches, late="1 hour", inline_rows=2000):
         progress = []
         for rows in batches:
             frame = make(rows, lat=1.0)
             frame.write.mode("append").parquet(f"{path}/in")
             job = jobs.feature_stream(
                 readers.parquet_stream(spark, f"{path}/in", frame.schema),
-                f"{path}/out", f"{path}/checkpoint", late,
+                f"{path}/out", f"{path}/checkpoint", late, inline_rows,
             )
             job.awaitTermination()
             progress += job.recentProgress
@@ -34,7 +34,8 @@ def feed(spark, make):
     return run
 
 
-def test_stream_equals_definition(feed):
+@pytest.mark.parametrize("inline_rows", [2000, 3])
+def test_stream_equals_definition(feed, inline_rows):
     """Ties, bursts, a hot card and silences, cut into four batches in time order."""
     rows = sorted(random_rows(11, n=300), key=lambda r: (r[4], r[0]))
     cuts = [0, 90, 91, 220, 300]
@@ -42,7 +43,7 @@ def test_stream_equals_definition(feed):
     for i in range(1, 4):
         while rows[cuts[i]][4] == rows[cuts[i] - 1][4]:
             cuts[i] += 1
-    out, _ = feed([rows[a:b] for a, b in zip(cuts, cuts[1:])])
+    out, _ = feed([rows[a:b] for a, b in zip(cuts, cuts[1:])], inline_rows=inline_rows)
     assert collected(out) == brute(rows)
 
 
@@ -52,14 +53,16 @@ def test_stream_equals_batch_query(feed, make):
     assert collected(out) == collected(velocity.card_history(make(rows)))
 
 
-def test_late_row_sees_its_own_time(feed):
+@pytest.mark.parametrize("inline_rows", [2000, 0])
+def test_late_row_sees_its_own_time(feed, inline_rows):
     minute = 60 * SECOND
     out, _ = feed(
         [
             [("a", "c", "m1", 10, NOON), ("b", "c", "m2", 20, NOON + 30 * minute)],
             # within the watermark, but before the newest row of the card
             [("late", "c", "m3", 5, NOON + 5 * minute), ("z", "c", "m1", 1, NOON + 31 * minute)],
-        ]
+        ],
+        inline_rows=inline_rows,
     )
     got = by_id(out, *COLUMNS)
     assert got["late"][:7] == (1, 1, 1, 10, 10, 10, 1)
@@ -79,13 +82,21 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(feed):
 
 
 def test_state_expires_on_event_time(feed):
-    keep = [(f"k{i}", "busy", "m", 1, NOON + i * DAY) for i in range(1, 40)]
-    out, progress = feed([[("a", "idle", "m", 200, NOON)], keep[:10], keep[10:],
-                          [("b", "idle", "m", 200, NOON + 45 * DAY)]])
+    """A silent card's state goes once the other cards' time has moved on."""
+    busy = lambda first, last: [
+        (f"k{i}", "busy", "m", 1, NOON + i * DAY) for i in range(first, last)
+    ]
+    out, progress = feed(
+        [
+            [(f"a{i}", f"idle{i}", "m", 200, NOON) for i in range(20)] + busy(0, 1),
+            busy(1, 32), busy(32, 40),
+            [("b", "idle0", "m", 200, NOON + 45 * DAY)],
+        ]
+    )
     got = by_id(out, "tx_count_24h", "ema_before", "time_since_last_tx")
     assert got["b"] == (0, 75.0, 0)
     rows = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
-    assert rows[-1] <= max(rows)
+    assert max(rows) > 20 and rows[-1] <= 10
 
 
 def test_restart_continues_the_state(feed):
@@ -115,6 +126,6 @@ def test_long_card_in_small_batches(feed):
     rng = random.Random(5)
     times = sorted(NOON + rng.randrange(3 * DAY) for _ in range(400))
     rows = [(f"{i:04d}", "c", f"m{rng.randrange(6)}", rng.randrange(1, 99), t) for i, t in enumerate(times)]
-    out, _ = feed([rows[i:i + 100] for i in range(0, 400, 100)])
+    out, _ = feed([rows[i:i + 100] for i in range(0, 400, 100)], inline_rows=50)
     assert collected(out) == brute(rows)
     assert out.agg(F.max("tx_count_24h")).first()[0] > 100
