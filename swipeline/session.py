@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Settings every job relies on: UTC clock, runtime re-planning, skew joins."""
+    ship_package(spark)
     for name, value in {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

@@ -17,16 +17,23 @@ frontier are answered from the slots of their own time.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from swipeline import config
 from swipeline.operators.velocity import cents
 
+# The runner that prepares a stateful processor does not see shipped packages: the
+# processor travels whole and uses nothing of this package but the names below.
+register_pickle_by_value(sys.modules[__name__])
+
 US = config.US
+ALPHA, DEFAULT_AVG = config.EMA_ALPHA, config.DEFAULT_AVG_AMOUNT
 SLOT_US = 600 * US
 WINDOWS_US = {w: s * US for w, s in config.VELOCITY_WINDOWS.items()}
 DAY_US = config.DAY_S * US
@@ -53,7 +60,7 @@ OUTPUT = T.StructType(
         T.StructField("ema_before", T.DoubleType()),
     ]
 )
-INPUT = ["transaction_id", "merchant_id", "merchant_category", "cents", "ts_us", "lat"]
+INPUT = ["ts_us", "transaction_id", "merchant_id", "merchant_category", "cents", "lat"]
 
 NUMBERS = [
     "frontier", "last_us", "ema", "counts", "sums", "merchants", "visited",
@@ -189,12 +196,15 @@ class CardState(StatefulProcessor):
         return counts, sums, len({r[3] for r in rows})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))[INPUT].sort_values(["ts_us", "transaction_id"])
+        batch = sorted(
+            (row for frame in rows for row in zip(*[frame[c].tolist() for c in INPUT])),
+            key=lambda row: row[:2],
+        )
         self._load()
-        newest = int(batch["ts_us"].iloc[-1])
+        newest = batch[-1][0]
         out = []
         queues = None
-        for tx_id, merchant, category, cents, us, lat in batch.itertuples(index=False):
+        for us, tx_id, merchant, category, cents, lat in batch:
             gap = None if self.frontier is None else us - self.frontier
             if gap is not None and gap > FORGET_US:
                 self.ema = self.last_us = None
@@ -213,22 +223,22 @@ class CardState(StatefulProcessor):
                 counts, sums, merchants = list(self.counts), list(self.sums), self.merchants
             else:
                 counts, sums, merchants = self._late(us)
-            ema = config.DEFAULT_AVG_AMOUNT if self.ema is None else self.ema
+            ema = DEFAULT_AVG if self.ema is None else self.ema
             out.append(
                 (tx_id, key[0], merchant, category, cents, us, lat, *counts, *sums,
                  merchants, self.visited, self.last_us, ema)
             )
-            row = (int(us), tx_id, int(cents), merchant)
+            row = (us, tx_id, cents, merchant)
             self._keep(row)
             if queues is not None:
                 for queue in queues:
                     queue.add(row)
-            self.last_us = int(us)
-            self.ema = config.EMA_ALPHA * cents / 100 + (1 - config.EMA_ALPHA) * ema
+            self.last_us = us
+            self.ema = ALPHA * cents / 100 + (1 - ALPHA) * ema
         self._store()
-        result = pd.DataFrame(out, columns=OUTPUT.names)
-        result["prev_us"] = result["prev_us"].astype("Int64")
-        yield result
+        columns = dict(zip(OUTPUT.names, zip(*out)))
+        columns["prev_us"] = pd.Series(columns["prev_us"], dtype=object)
+        yield pd.DataFrame(columns)
 
     def _store(self) -> None:
         oldest = (self.frontier - DAY_US) // SLOT_US
