@@ -57,5 +57,5 @@ HOT_ROWS_CONF = "spark.swipeline.hotKeyRows"
 HOT_ROWS = 5_000_000
 # No more keys than this are treated as hot; any further key holds at most
 # 1/MAX_HOT_KEYS of the rows, which one task can take.
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 MAX_PIECES = 1024
