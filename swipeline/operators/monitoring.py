@@ -23,11 +23,12 @@ def merchant_risk(transactions: DataFrame) -> DataFrame:
     The risk score compares the smoothed rate with the global one: 0.5 is as
     risky as the average merchant, 1 is the limit.
     """
-    globally = transactions.agg(F.avg(F.col("is_fraud").cast("double"))).scalar()
     per_merchant = transactions.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(F.col("is_fraud").cast("bigint")).alias("n_fraud"),
     )
+    # from the same aggregate, so the transactions are read once
+    globally = per_merchant.agg(F.sum("n_fraud") / F.sum("total_transactions")).scalar()
     smoothed = (F.col("n_fraud") + F.lit(SMOOTHING) * F.col("g")) / (
         F.col("total_transactions") + F.lit(SMOOTHING)
     )
@@ -50,26 +51,22 @@ def user_history(transactions: DataFrame, top: int = 3) -> DataFrame:
     visits = transactions.groupBy("card_id", "merchant_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")
     )
-    totals = visits.groupBy("card_id").agg(
-        (F.sum("total").cast("double") / F.sum("n")).alias("avg_amount"),
-        F.sum("n").alias("n_transactions"),
-    )
-    # the rank filter is applied before the shuffle as well, so only `top` rows
-    # per card and task travel
+    # one row per merchant of the card by now; ranked and summed in one exchange
     rank = F.row_number().over(
         Window.partitionBy("card_id").orderBy(F.desc("n"), "merchant_id")
     )
-    favourites = (
+    favourite = F.when(F.col("rank") <= top, F.struct("rank", "merchant_id"))
+    return (
         visits.withColumn("rank", rank)
-        .where(F.col("rank") <= top)
         .groupBy("card_id")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "merchant_id"))).alias("f"))
-        .select(
-            "card_id",
-            F.concat_ws(",", F.col("f.merchant_id")).alias("favourite_merchants"),
+        .agg(
+            (F.sum("total").cast("double") / F.sum("n")).alias("avg_amount"),
+            F.sum("n").alias("n_transactions"),
+            F.sort_array(F.collect_list(favourite)).alias("f"),
         )
+        .withColumn("favourite_merchants", F.concat_ws(",", F.col("f.merchant_id")))
+        .drop("f")
     )
-    return totals.join(favourites, "card_id")
 
 
 def geo_patterns(transactions: DataFrame, cell_degrees: int = 5) -> DataFrame:

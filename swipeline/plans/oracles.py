@@ -318,6 +318,11 @@ put(
   from seen join idle using (transaction_id) join since using (transaction_id)
   join ema using (transaction_id)""",
 )
+put(
+    "velocity_hot_cards",
+    f"{TX}, {lookback('tx')}, {idle('tx')}, {since('tx')}, {ema('tx')}",
+    SQL["velocity_ties"][SQL["velocity_ties"].rindex("select transaction_id, tx_count_10m"):],
+)
 put("realtime_features", FEATURES, f"""select transaction_id, amount, {r('amount_log')} amount_log,
   merchant_category, has_location, tx_count_10m, tx_count_1h, tx_count_24h,
   total_amount_10m, total_amount_1h, total_amount_24h, unique_merchants_24h, time_since_last_tx,
@@ -368,6 +373,7 @@ joined as (
     case when us - vus <= 86400000000 then vv end "value",
     case when us - vus <= 86400000000 then vid end view_id from hits)"""
 put("asof_join", ASOF, "select * from joined")
+SQL["asof_join_hot_keys"] = SQL["asof_join"]
 put("historical_features", OFFLINE, """select a.transaction_id, b.amount::double amt, b.n tx_count_24h
   from off a left join off b on a.card_id = b.card_id and b.ts_us < a.ts_us
   qualify row_number() over (partition by a.transaction_id

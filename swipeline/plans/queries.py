@@ -362,6 +362,23 @@ def velocity_ties(spark, sf_dir):
     )
 
 
+@query
+def velocity_hot_cards(spark, sf_dir):
+    """The same features with every card of more than 60 rows cut into pieces."""
+    out = velocity.card_history(tables.transactions(spark, sf_dir), limit=60)
+    return out.select(
+        "transaction_id", "tx_count_10m", "tx_count_24h", money("total_amount_24h"),
+        "unique_merchants_24h", "unique_merchants_since_idle", "time_since_last_tx",
+        rounded_of(F.col("ema_before"), "ema_before", 4),
+    )
+
+
+@query
+def asof_join_hot_keys(spark, sf_dir):
+    """The as-of join with every user of more than 20 rows cut into pieces."""
+    return _purchases_and_views(spark, sf_dir, limit=20)
+
+
 @query
 def realtime_features(spark, sf_dir):
     out = features(spark, sf_dir)
@@ -453,7 +470,7 @@ def feature_view_check(spark, sf_dir):
     return VIEW.check(offline_table(spark, sf_dir))
 
 
-def _purchases_and_views(spark, sf_dir) -> DataFrame:
+def _purchases_and_views(spark, sf_dir, limit: int | None = None) -> DataFrame:
     """Purchases with the latest view of the same user, at most a day old."""
     events = tables.read(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", scalars.epoch_us(F.col("ts")).alias("us")
@@ -463,7 +480,8 @@ def _purchases_and_views(spark, sf_dir) -> DataFrame:
         "user_id", "us", "value", F.col("event_id").alias("view_id")
     )
     return store.as_of_join(
-        spine, views, "user_id", "us", "us", ["value", "view_id"], config.DAY_S, "view_id"
+        spine, views, "user_id", "us", "us", ["value", "view_id"], config.DAY_S, "view_id",
+        limit=limit,
     )
 
 
