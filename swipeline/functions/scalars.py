@@ -11,9 +11,9 @@ def half_up(value: Column, digits: int) -> Column:
     """Round half up at `digits`, as double.
 
     Going through nine decimal places removes binary noise, so a value that is
-    a tie on paper is rounded as a tie.
+    a tie on paper is rounded as a tie. NaN and infinity give null.
     """
-    exact = value.cast("decimal(28,9)")
+    exact = value.try_cast("decimal(28,9)")
     return exact.cast(f"decimal(28,{digits})").cast("double")
 
 

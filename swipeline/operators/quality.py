@@ -153,6 +153,15 @@ def leakage_check(joined: DataFrame, event_time: str, feature_time: str) -> Data
     )
 
 
+def observe_run(cleaned: DataFrame, name: str) -> DataFrame:
+    """The same frame; its counts come with the write itself, in batch through an
+    `Observation` of that name, on streams in the progress of every batch."""
+    good = F.col("reject_reason").isNull()
+    return cleaned.observe(
+        name, F.count_if(good).alias("n_processed"), F.count_if(~good).alias("n_failed")
+    )
+
+
 def run_metrics(cleaned: DataFrame) -> DataFrame:
     """Processed, failed, success percentage and mean accepted amount."""
     good = F.col("reject_reason").isNull()

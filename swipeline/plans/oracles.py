@@ -247,6 +247,9 @@ put("src_csv", TX, f"""select transaction_id trans_num, user_id cc_num, amount::
     + (user_id % 15000)::int, '%Y-%m-%d') end dob, is_fraud from tx""")
 put("sink_parquet", TX, """select strftime(make_timestamp(ts_us), '%Y-%m-%d') event_date,
   count(*) n_rows, sum(amount)::double total from tx group by 1""")
+put("src_parquet", OFFLINE, """select transaction_id, user_id cc_num, amount::double amt, n tx_count_24h
+  from off where ts_us >= epoch_us(timestamp '2024-01-08 12:00:00')
+  and ts_us < epoch_us(timestamp '2024-01-15 12:00:00')""")
 put("to_message", TX, f"""select transaction_id, card_id, card_id user_id, merchant_id,
   merchant_category, cast(10000 + user_id as varchar) zip,
   case when user_id % 2 = 0 then 'M' else 'F' end gender,

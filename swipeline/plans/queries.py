@@ -132,6 +132,16 @@ def sink_parquet(spark, sf_dir):
     )
 
 
+@query
+def src_parquet(spark, sf_dir):
+    """A week of the stored offline table; the other days' files are not read."""
+    path = shared_dir(spark)
+    writers.write_features(offline_table(spark, sf_dir), path, "event_timestamp")
+    week = [F.lit(t).cast("timestamp") for t in ("2024-01-08 12:00:00", "2024-01-15 12:00:00")]
+    out = readers.features(spark, path, "event_timestamp", *week)
+    return out.select("transaction_id", "cc_num", "amt", "tx_count_24h")
+
+
 @query
 def to_message(spark, sf_dir):
     out = messages.to_message(tables.card_rows(spark, sf_dir))

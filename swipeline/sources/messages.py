@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from swipeline.schemas import CORRUPT, HISTORY, MESSAGE
 
@@ -81,7 +81,7 @@ def history_members(transactions: DataFrame) -> DataFrame:
 
 def parse_history(members: DataFrame) -> DataFrame:
     """Members back as columns; members that are no JSON are left out."""
-    schema = HISTORY.add(CORRUPT, "string")
+    schema = T.StructType([*HISTORY.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
     return (
         members.withColumn("m", parsed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from swipeline.schemas import CARD_CSV
@@ -24,6 +24,18 @@ def csv_stream(
     )
 
 
+def features(
+    spark: SparkSession, path: str, time: str, start: Column, end: Column
+) -> DataFrame:
+    """Rows of a day-partitioned feature table within [start, end); other days are
+    not read. `start` and `end` are timestamps."""
+    day = F.col("event_date")
+    return spark.read.parquet(path).where(
+        (day >= F.to_date(start)) & (day <= F.to_date(end))
+        & (F.col(time) >= start) & (F.col(time) < end)
+    )
+
+
 def parquet_stream(
     spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -30,6 +30,18 @@ def write_topic(encoded: DataFrame, servers: str, topic: str = "transactions") -
     writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+def write_topic_stream(
+    encoded: DataFrame, servers: str, checkpoint: str, topic: str = "transactions"
+) -> StreamingQuery:
+    writer = encoded.writeStream.format("kafka").options(**TOPIC_OPTIONS)
+    return (
+        writer.option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def archive(
     stream: DataFrame, path: str, checkpoint: str, time: str = "ts"
 ) -> StreamingQuery:

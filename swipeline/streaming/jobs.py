@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from swipeline.operators import clean, predictions, store
+from swipeline.operators import clean, predictions, quality, store
 from swipeline.plans import realtime
 from swipeline.sources import messages, writers
 from swipeline.streaming.card_state import INLINE_ROWS, card_features
@@ -44,10 +44,13 @@ def write_batch(frame: DataFrame, path: str, batch: int) -> None:
 
 
 def clean_stream(encoded: DataFrame, good: str, rejected: str, checkpoint: str) -> StreamingQuery:
-    """Decode and validate; accepted rows and dead letters go to two folders."""
+    """Decode and validate; accepted rows and dead letters go to two folders.
+
+    Processed and failed counts are in the progress, under `run`.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        cleaned = clean.clean(messages.decode(batch)).persist()
+        cleaned = batch.persist()
         try:
             accepted, dead = clean.split_rejects(cleaned)
             write_batch(accepted, good, number)
@@ -55,7 +58,8 @@ def clean_stream(encoded: DataFrame, good: str, rejected: str, checkpoint: str)
         finally:
             cleaned.unpersist()
 
-    return start(encoded, each, checkpoint)
+    cleaned = quality.observe_run(clean.clean(messages.decode(encoded)), "run")
+    return start(cleaned, each, checkpoint)
 
 
 def feature_stream(
