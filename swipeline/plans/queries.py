@@ -545,10 +545,11 @@ def upsert_card_features(spark, sf_dir):
     """The same through stored versions of the published table."""
     rows = _running(spark, sf_dir)
     half, end = at(HALF_MONTH), at(MONTH_END)
-    table = writers.VersionedTable(spark, shared_dir(spark))
+    table = writers.VersionedTable(
+        spark, shared_dir(spark), "card_id", "ts_us", "transaction_id"
+    )
     for version, (a, b) in enumerate([(at(MONTH_START), half), (half, end)]):
-        part = store.materialize(rows, "card_id", "ts_us", "transaction_id", a, b)
-        table.upsert(part, version, "card_id", "ts_us", "transaction_id")
+        table.upsert(rows.where((F.col("ts_us") >= a) & (F.col("ts_us") < b)), version)
     return table.read()
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from swipeline.functions import scalars
 from swipeline.plans import realtime
 from swipeline.plans.queries import merchants, query, rounded
-from swipeline.session import shared_dir
+from swipeline.session import cut_lineage, shared_dir
 from swipeline.sources import messages, readers, tables, writers
 from swipeline.streaming import jobs
 from swipeline.streaming.card_state import card_features
@@ -176,7 +176,10 @@ def stream_publish(spark, sf_dir):
         f"{path}/in",
         lambda s: jobs.publish_stream(card_features(s), f"{path}/table", f"{path}/checkpoint"),
     )
-    return writers.VersionedTable(spark, f"{path}/table").read().select(
+    table = writers.VersionedTable(
+        spark, f"{path}/table", "card_id", "ts_us", "transaction_id"
+    )
+    return table.read().select(
         "card_id", "transaction_id", "ts_us", "tx_count_10m", "tx_count_24h",
         "unique_merchants_24h",
     )
@@ -186,7 +189,7 @@ def stream_publish(spark, sf_dir):
 def stream_score(spark, sf_dir):
     """Every transaction scored and logged once."""
     path = shared_dir(spark)
-    risk = merchants(spark, sf_dir)
+    risk = cut_lineage(merchants(spark, sf_dir))  # a stored table: every batch reads it
     replay(
         slices(tables.transactions(spark, sf_dir), "ts_us"),
         f"{path}/in",

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from swipeline.operators.predictions import insert_once
-from swipeline.operators.store import upsert_latest
+from swipeline.operators.store import materialize
+from swipeline.session import cut_lineage
 
 # --- fixed values -----------------------------------------------------------
 TOPIC_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "lz4"}
@@ -57,38 +58,61 @@ def archive(
     )
 
 
-class VersionedTable:
-    """A keyed Parquet table rewritten as numbered versions under one folder.
+def complete(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders `{prefix}={number}` under `path` that hold `_SUCCESS`.
 
-    A version exists once its folder holds `_SUCCESS`, so a run that dies half
-    way leaves the last complete version in place, and a repeated run of the
-    same number replaces its own output.
+    A run that dies half way leaves no such mark, and its folder does not count.
     """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}=*/_SUCCESS"))
+    return sorted(int(s.getPath().getParent().getName()[len(prefix) + 1 :]) for s in done)
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
 
-    def versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        done = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS"))
-        return sorted(int(s.getPath().getParent().getName()[2:]) for s in done)
+class VersionedTable:
+    """Latest row per key in Parquet, as numbered changes over a full version.
+
+    A version usually holds its own updates only, so its cost follows the batch
+    and not the table; every `full_every` versions the table is written whole.
+    Reading takes the newest row per key from the last full version and the
+    changes since. A repeated version replaces its own output.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, time: str, tie: str, full_every: int = 20
+    ):
+        self.spark, self.path, self.full_every = spark, path, full_every
+        self.order = (key, time, tie)
+
+    def parts(self, before: int | None = None) -> list[str]:
+        """Folders to read: the last full version and the changes after it."""
+        known = lambda prefix: [
+            n for n in complete(self.spark, self.path, prefix) if before is None or n < before
+        ]
+        full = known("full")[-1:]
+        changes = [n for n in known("change") if not full or n > full[0]]
+        return [f"{self.path}/full={n}" for n in full] + [
+            f"{self.path}/change={n}" for n in changes
+        ]
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        known = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={known[-1]}") if known else None
-
-    def upsert(
-        self, updates: DataFrame, version: int, key: str, time: str, tie: str
-    ) -> None:
-        """Write version `version`: the newer row of every key."""
-        old = self.read(before=version)
-        table = updates if old is None else old.select(*updates.columns)
-        merged = upsert_latest(table, updates, key, time, tie)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        parts = self.parts(before)
+        return materialize(self.spark.read.parquet(*parts), *self.order) if parts else None
+
+    def upsert(self, updates: DataFrame, version: int) -> None:
+        parts = self.parts(before=version)
+        if parts and len(parts) < self.full_every:
+            latest = materialize(updates, *self.order)
+            latest.write.mode("overwrite").parquet(f"{self.path}/change={version}")
+            return
+        rows = updates
+        if parts:
+            rows = self.spark.read.parquet(*parts).select(*updates.columns).unionByName(updates)
+        merged = materialize(rows, *self.order)
+        merged.write.mode("overwrite").parquet(f"{self.path}/full={version}")
 
 
 class PredictionLog:
@@ -96,15 +120,25 @@ class PredictionLog:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self.table = VersionedTable(spark, path)
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        known = [v for v in self.table.versions() if before is None or v < before]
-        if not known:
-            return None
-        return self.spark.read.parquet(*[f"{self.path}/v={v}" for v in known])
+        known = [
+            n for n in complete(self.spark, self.path, "v") if before is None or n < before
+        ]
+        return self.spark.read.parquet(*[f"{self.path}/v={n}" for n in known]) if known else None
 
     def append(self, new: DataFrame, batch: int) -> None:
-        """A repeated batch replaces its own folder, so a retry adds nothing twice."""
-        fresh = insert_once(self.read(before=batch), new)
+        """A repeated batch replaces its own folder, so a retry adds nothing twice.
+
+        The batch is written out first: it is used twice, and a streaming batch must
+        not run its state twice. Known ids are looked up from the log's side, so a
+        small batch is broadcast to a scan of one column and the log never moves.
+        """
+        fresh = insert_once(None, new)
+        log = self.read(before=batch)
+        if log is not None:
+            fresh = cut_lineage(fresh)
+            ids = fresh.select("transaction_id")
+            known = log.select("transaction_id").join(ids, "transaction_id", "left_semi")
+            fresh = fresh.join(known, "transaction_id", "left_anti")
         fresh.write.mode("overwrite").parquet(f"{self.path}/v={batch}")

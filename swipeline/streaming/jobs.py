@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from swipeline.operators import clean, predictions, quality, store
+from swipeline.operators import clean, predictions, quality
 from swipeline.plans import realtime
 from swipeline.sources import messages, writers
 from swipeline.streaming.card_state import INLINE_ROWS, card_features
@@ -86,14 +86,10 @@ def dedup_stream(transactions: DataFrame, late: str = "1 hour") -> DataFrame:
 
 def publish_stream(features: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
     """Latest feature row per card into a versioned table."""
-    spark = features.sparkSession
-    table = writers.VersionedTable(spark, table_path)
-
-    def each(batch: DataFrame, number: int) -> None:
-        latest = store.materialize(batch, "card_id", "ts_us", "transaction_id")
-        table.upsert(latest, number, "card_id", "ts_us", "transaction_id")
-
-    return start(features, each, checkpoint)
+    table = writers.VersionedTable(
+        features.sparkSession, table_path, "card_id", "ts_us", "transaction_id"
+    )
+    return start(features, table.upsert, checkpoint)
 
 
 def score_stream(

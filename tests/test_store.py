@@ -72,25 +72,33 @@ def test_materialize_is_half_open(rows):
     assert run(20, 30) == {"a": 3.0}
 
 
-def test_incremental_equals_full(spark, rows, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "cards"))
+def versioned(spark, path, full_every=20):
+    return VersionedTable(spark, str(path), "card_id", "ts_us", "transaction_id", full_every)
+
+
+@pytest.mark.parametrize("full_every", [1, 2, 20])
+def test_incremental_equals_full(spark, rows, tmp_path, full_every):
+    table = versioned(spark, tmp_path / "cards", full_every)
     assert table.read() is None
-    for version, (a, b) in enumerate([(0, 20), (20, 25), (25, 100)]):
-        part = store.materialize(rows, "card_id", "ts_us", "transaction_id", F.lit(a), F.lit(b))
-        table.upsert(part, version, "card_id", "ts_us", "transaction_id")
+    slices = [(0, 15), (15, 20), (20, 25), (25, 100)]
+    part = lambda a, b: rows.where((F.col("ts_us") >= a) & (F.col("ts_us") < b))
+    for version, (a, b) in enumerate(slices):
+        table.upsert(part(a, b), version)
     full = store.materialize(rows, "card_id", "ts_us", "transaction_id")
     assert values(table.read()) == values(full)
     # a repeated version replaces its own output
-    part = store.materialize(rows, "card_id", "ts_us", "transaction_id", F.lit(25), F.lit(100))
-    table.upsert(part, 2, "card_id", "ts_us", "transaction_id")
-    assert table.versions() == [0, 1, 2] and values(table.read()) == values(full)
+    before = table.parts()
+    table.upsert(part(25, 100), 3)
+    assert table.parts() == before and values(table.read()) == values(full)
+    assert len(before) == {1: 1, 2: 2, 20: 4}[full_every]
 
 
 def test_a_version_without_success_does_not_count(spark, rows, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "cards"))
-    table.upsert(rows, 0, "card_id", "ts_us", "transaction_id")
-    (tmp_path / "cards" / "v=1").mkdir()
-    assert table.versions() == [0]
+    table = versioned(spark, tmp_path / "cards")
+    table.upsert(rows, 0)
+    (tmp_path / "cards" / "full=1").mkdir()
+    (tmp_path / "cards" / "change=1").mkdir()
+    assert [p.rsplit("/", 1)[1] for p in table.parts()] == ["full=0"]
 
 
 def test_older_update_does_not_win(spark, rows):
