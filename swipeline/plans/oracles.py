@@ -465,7 +465,7 @@ put("prediction_stats", SCORED, f"""select 'total' kind, 'all' "value", count(*)
 # --- data quality ---------------------------------------------------------------------------------------------------
 
 put("dq_report", TX + """, bad as (
-  select card_id, count(*) members, count(*) filter (event_id % 1000 between 1 and 4) issues
+  select card_id, count(*) members, count(*) filter (event_id % 1000 between 1 and 4 or amount <= 0) issues
   from tx group by card_id),
 uniq as (select card_id, count(distinct merchant_id) members from tx group by card_id)""",
     """select 'tx_history' kind, count(*) n_keys, sum(members)::bigint n_members,

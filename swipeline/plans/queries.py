@@ -24,7 +24,7 @@ from swipeline.operators import (
 )
 from swipeline.plans import realtime
 from swipeline.schemas import TRANSACTION_FEATURES as VIEW
-from swipeline.session import shared_dir, tune
+from swipeline.session import cut_lineage, shared_dir, tune
 from swipeline.sources import messages, readers, tables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -697,7 +697,8 @@ def score_summary(spark, sf_dir):
 @query
 def model_score(spark, sf_dir):
     """A logistic model fitted on the whole table, applied through Arrow batches."""
-    inputs = realtime.score_inputs(features(spark, sf_dir))
+    # written once: the fit and the scoring both read it
+    inputs = cut_lineage(realtime.score_inputs(features(spark, sf_dir)))
     model = training.fit_linear(inputs)
     out = scoring.model_score(inputs, model)
     decided = scoring.decide(out, F.col("model_probability"))
