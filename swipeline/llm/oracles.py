@@ -6,7 +6,30 @@ LOWERED = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+WORDS = r"regexp_extract_all(" + LOWERED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL = {
+    "op1_wu_manber": f"""
+        WITH item_words AS (SELECT item_id::varchar AS item, {WORDS} AS w FROM benchmark),
+        sized AS (SELECT item, w, least(10, len(w)) AS n FROM item_words WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS t
+            FROM sized, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+        texts AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        places AS (
+            SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t
+            FROM (SELECT DISTINCT n FROM windows), texts,
+                 LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+        found AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (n, t)),
+        hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+                FROM found, LATERAL (SELECT unnest(range(i, i + n)) AS k) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+                         string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+                  FROM found GROUP BY doc_id)
+        SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op10_heavy_hitter_split": f"""
         WITH texts AS (SELECT doc_id, {LOWERED} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import exact, shards
-from swipeline.llm.tables import table
+from swipeline.llm import decontaminate, exact, shards
+from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,19 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_wu_manber(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    hit = decontaminate.hit_words(F.col("hits"))
+    return found.select(
+        F.col(f"{PACKED}.doc_id"), "n_words", hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 @query
 def op4_virtual_slots(spark, sf_dir):
     """Forty shards of nearly equal bytes; the law is `bytes`."""
