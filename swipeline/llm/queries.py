@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, shards
+from swipeline.llm import decontaminate, exact, langid, quality, shards
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -32,6 +32,22 @@ def op1_wu_manber(spark, sf_dir):
     )
 
 
+def fold(id_column: str, folds: int):
+    """crc32 of the id as text, modulo a number of folds."""
+    return F.crc32(F.col(id_column).cast("string")) % folds
+
+
+@query
+def op2_crf_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    tagger = langid.train(docs.where(fold("doc_id", 3) != 1))
+    tagged = langid.tag(docs.select("doc_id", "text"), tagger)
+    return tagged.select(
+        F.col(f"{PACKED}.doc_id"), (fold(f"{PACKED}.doc_id", 3) == 1).alias("held_out"),
+        F.col("language").alias("lang_pred"), "score", "n_words",
+    )
+
+
 @query
 def op4_virtual_slots(spark, sf_dir):
     """Forty shards of nearly equal bytes; the law is `bytes`."""
@@ -43,6 +59,22 @@ def op4_virtual_slots(spark, sf_dir):
     )
 
 
+def quality_model(spark, sf_dir):
+    """Learned from the labels of three folds of four."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(fold("doc_id", 4) != 2)
+    return quality.train(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+
+
+@query
+def op6_bradley_terry(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select(
+        F.col(f"{PACKED}.doc_id"), (fold(f"{PACKED}.doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op10_heavy_hitter_split(spark, sf_dir):
     groups = exact.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
