@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, quality, shards
+from swipeline.llm import decontaminate, exact, langid, neardup, quality, shards
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -48,6 +48,13 @@ def op2_crf_language(spark, sf_dir):
     )
 
 
+@query
+def op3_prob_min_hash(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    classes = neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 @query
 def op4_virtual_slots(spark, sf_dir):
     """Forty shards of nearly equal bytes; the law is `bytes`."""
