@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, neardup, quality, shards
+from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, shards
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -82,6 +82,16 @@ def op6_bradley_terry(spark, sf_dir):
     )
 
 
+@query
+def op8_induced_sorting(spark, sf_dir):
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["behind"] - s["start"])
+    return found.select(
+        F.col(f"{PACKED}.doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_heavy_hitter_split(spark, sf_dir):
     groups = exact.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
