@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, shards
+from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, sanitise, shards
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -66,6 +66,23 @@ def op4_virtual_slots(spark, sf_dir):
     )
 
 
+@query
+def op5_disclosure(spark, sf_dir):
+    found = sanitise.find(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def texts(kind: str, column: str):
+        return F.transform(column, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["behind"]))
+
+    base = F.concat(*[texts(k, k) for k in sanitise.KINDS])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.size(k).cast("bigint").alias(f"n_{k}") for k in sanitise.KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, texts(sanitise.TERM, "terms")), ",").alias("spans"),
+        F.size("terms").cast("bigint").alias("n_terms"),
+    )
+
+
 def quality_model(spark, sf_dir):
     """Learned from the labels of three folds of four."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(fold("doc_id", 4) != 2)
