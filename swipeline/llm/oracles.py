@@ -30,6 +30,47 @@ SQL = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_log_templates": r"""
+        WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+        lines AS (
+            SELECT doc_id, text, i - 1 AS number, string_split(line, ' ') AS w, line
+            FROM (SELECT doc_id, text, unnest(range(1, len(ls) + 1)) AS i,
+                         regexp_replace(trim(ls[i], ' '), '\s+', ' ', 'g') AS line FROM texts)
+            WHERE line <> ''),
+        leaves AS (
+            SELECT *, len(w) || ' ' || array_to_string(list_transform(
+                w[1:3], lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END), ' ') AS leaf
+            FROM lines),
+        candidates AS (
+            SELECT * FROM leaves
+            WHERE leaf IN (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT text) >= 5)),
+        tokens AS (
+            SELECT leaf, line, n, place,
+                   CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END AS token
+            FROM (SELECT leaf, line, count(*) AS n, unnest(range(1, len(string_split(line, ' ')) + 1)) AS place,
+                         string_split(line, ' ')[place] AS t
+                  FROM candidates GROUP BY leaf, line)),
+        constant AS (
+            SELECT leaf, place, token FROM tokens GROUP BY ALL HAVING sum(n) >= 5 AND token <> '<*>'),
+        fields AS (
+            SELECT leaf, line, string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY place) AS template
+            FROM tokens LEFT JOIN constant c USING (leaf, place, token)
+            GROUP BY leaf, line HAVING avg((c.token IS NOT NULL)::int) >= 0.5),
+        placed AS (SELECT doc_id, text, number, leaf, template FROM candidates JOIN fields USING (leaf, line)),
+        boilerplate AS (
+            SELECT doc_id, text, number FROM placed
+            WHERE (leaf, template) IN (
+                SELECT (leaf, template) FROM placed GROUP BY leaf, template HAVING count(DISTINCT text) >= 5)),
+        dropped AS (
+            SELECT doc_id, count(*) AS n, string_agg(number, ',' ORDER BY number) AS numbers
+            FROM boilerplate GROUP BY doc_id),
+        kept AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY number) AS kept
+            FROM (SELECT doc_id, unnest(range(1, len(ls) + 1)) - 1 AS number, ls[number + 1] AS line FROM texts)
+            WHERE (doc_id, number) NOT IN (SELECT (doc_id, number) FROM boilerplate) GROUP BY doc_id)
+        SELECT doc_id, len(ls)::bigint AS n_lines, coalesce(n, 0) AS n_dropped,
+               coalesce(numbers, '') AS dropped_lines, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN dropped USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op10_heavy_hitter_split": f"""
         WITH texts AS (SELECT doc_id, {LOWERED} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,

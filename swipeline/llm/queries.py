@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, sanitise, shards
+from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, sanitise, shards, templates
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -99,6 +99,16 @@ def op6_bradley_terry(spark, sf_dir):
     )
 
 
+@query
+def op7_log_templates(spark, sf_dir):
+    """Every document without the lines of recurring templates."""
+    cleaned = templates.drop_boilerplate(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cleaned.select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+        F.array_join("dropped", ",").alias("dropped_lines"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op8_induced_sorting(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
