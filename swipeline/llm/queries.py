@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, neardup, quality, repeats, sanitise, shards, templates
+from swipeline.llm import decontaminate, exact, langid, lattice, neardup, quality, repeats, sanitise, shards, templates
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -119,6 +119,19 @@ def op8_induced_sorting(spark, sf_dir):
     )
 
 
+@query
+def op9_lattice(spark, sf_dir):
+    """Ids of every text, and whether they decode to it."""
+    pieces = lattice.Pieces.load()
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    decoded = lattice.decode(lattice.encode(docs, pieces), pieces)
+    text = F.coalesce(f"{PACKED}.text", F.lit(""))
+    return decoded.select(
+        F.col(f"{PACKED}.doc_id"), F.size("ids").cast("bigint").alias("n_ids"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
 @query
 def op10_heavy_hitter_split(spark, sf_dir):
     groups = exact.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
