@@ -1,21 +1,59 @@
-"""The training-data pipeline: stages over `documents`, each written and read again."""
+"""The training-data pipeline: stages over `documents`, each written and read again.
+
+Poor documents go first, then copies, near copies and documents that hold passages of the
+benchmark; what is left is encoded. A stage sees only what the one before it kept.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import exact
-from swipeline.llm.tables import table
+from swipeline.llm import decontaminate, exact, lattice, neardup, queries, quality
+from swipeline.llm.tables import PACKED, table
 from swipeline.session import cut_lineage
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, learned from `labels`, does not reject."""
+    return quality.drop_poor(docs, queries.quality_model(spark, sf_dir))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest doc_id."""
     return exact.drop_copies(docs)
 
 
-STAGES = [("exact dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest doc_id."""
+    return neardup.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of `benchmark`."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids of pieces in place of their texts, and whether they decode to them."""
+    pieces = lattice.Pieces.load()
+    decoded = lattice.decode(lattice.encode(docs, pieces), pieces)
+    text = F.coalesce(f"{PACKED}.text", F.lit(""))
+    others = [F.col(f"{PACKED}.`{c}`") for c in docs.columns if c not in ("text", "ids", "n_ids", "round_trip")]
+    return decoded.select(
+        *others, F.size("ids").cast("bigint").alias("n_ids"), "ids", (F.col("decoded") == text).alias("round_trip")
+    )
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
+]
 
+#: The model's scores and the lattice's paths cannot be written in SQL; the rows are tested
+#: against a brute-force version.
 ORACLE_SQL = None
 
 
