@@ -200,7 +200,8 @@ def join_runs(runs: Column) -> Column:
 
     def add(done: Column, run: Column) -> Column:
         last = F.element_at(done, -1)
-        longer = F.struct(last["first"].alias("first"), F.greatest(last["behind"], run["behind"]).alias("behind"))
+        behind = F.greatest(last["behind"], run["behind"])
+        longer = F.named_struct(F.lit("first"), last["first"], F.lit("behind"), behind)
         joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))
         touching = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["behind"] >= run["first"])
         return F.when(touching, joined).otherwise(F.concat(done, F.array(run)))
