@@ -152,7 +152,8 @@ def entity_lines(base: DataFrame) -> DataFrame:
     lines = with_base_spans(lines, "line")
     spans = F.concat(*KINDS)
     lines = lines.withColumn("spans", spans).where(F.size("spans") > 0)
-    lines = with_places(lines, "line", WORD, lambda m: F.lit(True), "every")
+    lines = lines.withColumn("low", ascii_lower(F.col("line")))  # of the same length
+    lines = with_places(lines, "low", WORD, lambda m: F.lit(True), "every")
 
     def outside(w: Column) -> Column:
         return ~F.exists("spans", lambda s: (s["start"] < w["behind"]) & (w["start"] < s["behind"]))
@@ -160,7 +161,7 @@ def entity_lines(base: DataFrame) -> DataFrame:
     entities = F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))
     words = F.transform(
         F.filter("every", outside),
-        lambda w: F.struct(w["start"].alias("start"), w["behind"].alias("behind"), ascii_lower(w["value"]).alias("term")),
+        lambda w: F.struct(w["start"].alias("start"), w["behind"].alias("behind"), w["value"].alias("term")),
     )
     return lines.select("row", "start", "line", entities.alias("entities"), words.alias("words"))
 
@@ -241,19 +242,14 @@ def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """docs with their texts sanitised: an entity becomes the name of its kind in brackets, a
     generalised term `[term]`, and a removed term nothing. Of overlapping spans the leftmost is
     replaced and those that begin inside it fall with it."""
-    marks = [
-        F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["behind"].alias("behind"), F.lit(f"[{k}]").alias("by")))
-        for k in KINDS
-    ]
-    marks.append(
-        F.transform(
-            "terms",
-            lambda s: F.struct(
-                s["start"].alias("start"), s["behind"].alias("behind"),
-                F.when(s["removed"], F.lit("")).otherwise(F.lit("[term]")).alias("by"),
-            ),
+
+    def marked(column: str, by) -> Column:
+        return F.transform(
+            column, lambda s: F.struct(s["start"].alias("start"), s["behind"].alias("behind"), by(s).alias("by"))
         )
-    )
+
+    marks = [marked(k, lambda s, name=f"[{k}]": F.lit(name)) for k in KINDS]
+    marks.append(marked("terms", lambda s: F.when(s["removed"], F.lit("")).otherwise(F.lit(f"[{TERM}]"))))
     found = find(docs, id_column, text_column).select("id", "text_key", F.sort_array(F.concat(*marks)).alias("marks"))
     found = found.where(F.size("marks") > 0).dropDuplicates(["id", "text_key"])
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
