@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain as joined
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,11 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 def word_features(word: str) -> list[int]:
     """Buckets of a lowered word's affixes and of its n-grams between word ends."""
-    names = {"w" + word}
-    for n in (1, 2, 3):
-        names.add(f"p{word[:n]}")
-        names.add(f"s{word[-n:]}")
+    names = ["w" + word, "p" + word[:1], "p" + word[:2], "p" + word[:3], "s" + word[-1:], "s" + word[-2:], "s" + word[-3:]]
     marked = f"^{word}$"
     for n in (1, 2, 3):
-        names.update("g" + marked[k : k + n] for k in range(len(marked) - n + 1))
-    return [zlib.crc32(x.encode()) % FEATURES for x in sorted(names)]
+        names += [marked[k : k + n] for k in range(len(marked) - n + 1)]
+    return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
 
 def marginals(emission: np.ndarray, lengths: np.ndarray, transition: np.ndarray):
@@ -80,28 +78,33 @@ class Tagger:
         self.languages, self.weight, self.lexicon = languages, weight, lexicon
         self.bonus, self.transition = bonus, transition
         self._place: dict[str, int] = {}
-        self._emissions: list[np.ndarray] = []
+        self._known = np.zeros((0, len(languages)))  # emissions of the words met so far
 
     def __getstate__(self):
-        return self.__dict__ | {"_place": {}, "_emissions": []}
+        return self.__dict__ | {"_place": {}, "_known": np.zeros((0, len(self.languages)))}
 
-    def emission(self, word: str) -> np.ndarray:
-        out = self.weight[word_features(word)].sum(0)
-        if word in self.lexicon:
-            out = out + self.bonus[self.lexicon[word]]
+    def emissions(self, found: list[str]) -> np.ndarray:
+        """Scores of words: sums of their features' weights, and what the lexicon adds."""
+        buckets = [word_features(w) for w in found]
+        starts = np.cumsum([0] + [len(b) for b in buckets])[:-1]
+        flat = np.fromiter(joined.from_iterable(buckets), np.int64)
+        out = np.add.reduceat(self.weight[flat], starts, axis=0).astype(np.float64)
+        for k, word in enumerate(found):
+            if (language := self.lexicon.get(word)) is not None:
+                out[k] += self.bonus[language]
         return out
 
     def rows(self, found: list[str]) -> np.ndarray:
         """Places of the words in the list of emissions; -1 for a word without a letter."""
         if len(self._place) > CACHE:
-            self._place, self._emissions = {}, []
+            self._place, self._known = {}, np.zeros((0, len(self.languages)))
         place = self._place
-        for word in set(found).difference(place):
-            if any(map(str.isalpha, word)):
-                place[word] = len(self._emissions)
-                self._emissions.append(self.emission(word))
-            else:
-                place[word] = -1
+        new = [w for w in dict.fromkeys(found) if w not in place]
+        lettered = [w for w in new if w.isalpha() or any(map(str.isalpha, w))]
+        place.update(dict.fromkeys(new, -1))
+        place.update(zip(lettered, range(len(self._known), len(self._known) + len(lettered))))
+        if lettered:
+            self._known = np.concatenate([self._known, self.emissions(lettered)])
         return np.fromiter(map(place.__getitem__, found), np.int64, len(found))
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,12 +124,12 @@ class Tagger:
         chains_of = -(-total // CHAIN)
         chain_base = np.cumsum(chains_of) - chains_of
         nth = np.arange(len(places)) - np.repeat(np.cumsum(total) - total, total)
-        chain, step = chain_base[owner] + nth // CHAIN, nth % CHAIN
-        scores = np.asarray(self._emissions)[places]
+        line, step = chain_base[owner] + nth // CHAIN, nth % CHAIN
+        scores = self._known[places]
         emission = np.zeros((int(chains_of.sum()), CHAIN, len(self.languages)))
-        emission[chain, step] = scores
-        probability, _ = marginals(emission, np.bincount(chain), self.transition)
-        each = probability[chain, step]
+        emission[line, step] = scores
+        probability, _ = marginals(emission, np.bincount(line), self.transition)
+        each = probability[line, step]
         for k in range(len(self.languages)):
             out[:, k] = np.bincount(owner, each[:, k], len(texts))
         return out, total
@@ -172,7 +175,7 @@ def fit(chains: list[tuple[list[str], str]], seed: int = 0) -> Tagger:
             emission = np.zeros((len(batch), lengths.max(), n))
             gold = np.zeros_like(emission)
             every = sorted({w for f, _ in batch for w in f})
-            value = {w: tagger.emission(w) for w in every}
+            value = dict(zip(every, tagger.emissions(every)))
             for k, (found, labels) in enumerate(batch):
                 emission[k, : len(found)] = [value[w] for w in found]
                 gold[k, np.arange(len(found)), labels] = 1
