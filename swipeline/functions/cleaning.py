@@ -19,9 +19,13 @@ BAD_LONGITUDE = "Invalid longitude"
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 NUMBER_OR_INFINITE = NUMBER + r"|(?i)^\s*[+-]?inf(inity)?\s*$"
+COORDINATE = NUMBER_OR_INFINITE + r"|(?i)^\s*[+-]?nan\s*$"
+#: ISO date and time, with or without separators, zone with or without colon.
 DATE_TIME = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+    r"^\d{4}(-?)\d{2}\1\d{2}([T ]\d{2}(:?)\d{2}(\3\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 )
+BASIC_DATE, BASIC_TIME, BASIC_ZONE = r"^(\d{4})(\d{2})(\d{2})", r"([T ]\d{2})(\d{2})(\d{2})", r"([+-]\d{2})(\d{2})$"
+SHORT_TIME = r"([T ]\d{2})(\d{2})(?=$|Z|[+-])"
 
 
 def matching(text: Column, pattern: str) -> Column:
@@ -34,6 +38,19 @@ def number(text: Column) -> Column:
     return matching(text, NUMBER).try_cast("double")
 
 
+def coordinate(text: Column) -> Column:
+    """Text as degrees; infinite and NaN are readable, if never in range."""
+    return F.trim(matching(text, COORDINATE)).try_cast("double")
+
+
+def iso(text: Column) -> Column:
+    """ISO text with its separators put in; '' if it is none."""
+    out = F.regexp_replace(matching(text, DATE_TIME), BASIC_DATE, "$1-$2-$3")
+    out = F.regexp_replace(F.regexp_replace(out, BASIC_TIME, "$1:$2:$3"), SHORT_TIME, "$1:$2")
+    # without a time, the last parts of a date are no zone
+    return F.when(F.length(out) > 10, F.regexp_replace(out, BASIC_ZONE, "$1:$2")).otherwise(out)
+
+
 def missing_fields(fields: list[str] = config.REQUIRED_FIELDS) -> Column:
     """Names of the null fields in contract order, '' if none."""
     return F.concat_ws(", ", *[F.when(F.col(f).isNull(), F.lit(f)) for f in fields])
@@ -59,7 +76,7 @@ def epoch_seconds(text: Column) -> Column:
     """Epoch number (truncated), ISO text with or without zone, or date and time."""
     return F.coalesce(
         number(text).try_cast("bigint"),
-        F.unix_seconds(matching(text, DATE_TIME).try_cast("timestamp")),
+        F.unix_seconds(iso(text).try_cast("timestamp")),
     )
 
 

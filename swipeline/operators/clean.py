@@ -39,8 +39,8 @@ def clean(messages: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(
-                    cleaning.number(F.col("location_lat")).alias("_lat"),
-                    cleaning.number(F.col("location_lon")).alias("_lon"),
+                    cleaning.coordinate(F.col("location_lat")).alias("_lat"),
+                    cleaning.coordinate(F.col("location_lon")).alias("_lon"),
                     cleaning.amount(F.col("amount")).alias("_value"),
                     cleaning.epoch_seconds(F.col("timestamp")).alias("_seconds"),
                 )
@@ -128,7 +128,7 @@ def clip_at_percentile(
     steps - among coarse steps of the value, and among the values of one step -
     so no sort sees more than a small part of the distinct values.
     """
-    cents = (F.col(column) * 100).cast("bigint")
+    cents = (F.col(column).cast("decimal(18,2)") * 100).cast("bigint")
     counts = df.where(F.col(column).isNotNull()).groupBy(cents.alias("v")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -25,9 +25,13 @@ def as_of_join(
     """Each spine row with the latest feature row at or before its time.
 
     Times are epoch microseconds. A feature older than the lifetime gives nulls.
-    Among feature rows of one time the largest `tie` wins. Both sides go through
-    one exchange as one union; no range join, no pairs.
+    Among feature rows of one time the largest `tie` wins. A null key equals no
+    other: such spine rows get nulls, and such features serve nobody. Both sides go
+    through one exchange as one union; no range join, no pairs.
     """
+    keyless = spine.where(F.col(key).isNull())
+    spine = spine.where(F.col(key).isNotNull())
+    features = features.where(F.col(key).isNotNull())
     payload = F.struct(F.col(feature_time).alias("_ft"), *columns)
     left = spine.select(
         F.col(key),
@@ -59,7 +63,7 @@ def as_of_join(
     found = per_key(both, [Step(["_hit"], hot, card=card)], key=key, at="_at", limit=limit)
     fresh = F.col("_at") - F.col("_hit._ft") <= ttl_seconds * config.US
     hit = F.when(fresh, F.col("_hit"))
-    return (
+    joined = (
         found.where(F.col("_side") == 1)
         .withColumn("_hit", hit)
         .select(
@@ -68,6 +72,9 @@ def as_of_join(
             *[F.col(f"_hit.{c}").alias(c) for c in columns],
         )
     )
+    kinds = dict(joined.dtypes)
+    nulls = {c: F.lit(None).cast(kinds[c]) for c in ("feature_time", *columns)}
+    return joined.unionByName(keyless.withColumns(nulls).select(*joined.columns))
 
 
 def historical_features(
@@ -152,8 +159,9 @@ def lookup_all(rows: DataFrame, cards: DataFrame, merchants: DataFrame) -> DataF
 def card_snapshot(history: DataFrame) -> DataFrame:
     """`card_history` rows as the table of latest card features.
 
-    Counts and sums are the ones the next transaction of the same moment would
-    read: they include the row itself.
+    Everything is what the next transaction of the same moment would read: counts,
+    sums and merchants include the row itself. A merchant is counted if the card's
+    latest visit to it lies in the last day, which needs no order and no window.
     """
     amount = F.col("amount").cast("double")
     rows = history.select(
@@ -166,7 +174,6 @@ def card_snapshot(history: DataFrame) -> DataFrame:
             (F.col(f"total_amount_{w}") + amount).alias(f"total_amount_{w}")
             for w in config.VELOCITY_WINDOWS
         ],
-        "unique_merchants_24h",
         (
             F.lit(1 - config.EMA_ALPHA) * F.col("ema_before")
             + F.lit(config.EMA_ALPHA) * amount
@@ -177,7 +184,16 @@ def card_snapshot(history: DataFrame) -> DataFrame:
         "ts_us",
         "transaction_id",
     )
-    return materialize(rows, "card_id", "ts_us", "transaction_id")
+    latest = materialize(rows, "card_id", "ts_us", "transaction_id")
+    visits = history.groupBy("card_id", "merchant_id").agg(F.max("ts_us").alias("visit_us"))
+    recent = (
+        visits.select("card_id", "visit_us")
+        .join(latest.select("card_id", "ts_us"), "card_id")
+        .where(F.col("visit_us") >= F.col("ts_us") - config.DAY_S * config.US)
+        .groupBy("card_id")
+        .agg(F.count(F.lit(1)).alias("unique_merchants_24h"))
+    )
+    return latest.join(recent, "card_id")
 
 
 def online_features(

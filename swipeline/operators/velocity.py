@@ -408,8 +408,8 @@ def _counts() -> dict[str, Column]:
 
 
 def cents(amount: str = "amount") -> Column:
-    """Money as whole cents: exact, and summed as machine integers."""
-    return (F.col(amount) * 100).cast("bigint")
+    """Money as whole cents: exact, also from doubles, and summed as machine integers."""
+    return (F.col(amount).cast("decimal(18,2)") * 100).cast("bigint")
 
 
 def _amounts() -> dict[str, Column]:

@@ -24,7 +24,8 @@ TX = """tx as (
       + (us % 345600000000) // 288 else us end ts_us,
     case when event_id % 20 = 0 then null else 25 + ((event_id * 37) % 200) / 10.0::double end lat,
     case when event_id % 20 = 0 then null else -120 + ((event_id * 53) % 400) / 10.0::double end lon,
-    cast(event_type = 'error' as int) is_fraud, event_id, user_id
+    cast((event_id * 7919) % 100 < 4 + least(60, floor(value
+      * (case when event_id % 7 = 0 then 25 else 1 end) / 25)) as int) is_fraud, event_id, user_id
   from (select *, epoch_us(ts) us from events))"""
 
 TIES = """ties as (
@@ -47,10 +48,12 @@ raw as (
       when 8 then 'NaN' when 13 then '999999999.99' when 14 then null else money end amount,
     case res when 4 then '1999-12-31 00:00:00' when 5 then 'invalid_timestamp'
       when 9 then replace(txt, ' ', 'T') || 'Z'
-      when 10 then cast(ts_us // 1000000 as varchar) when 15 then '12:00:00' else txt end "timestamp",
+      when 10 then cast(ts_us // 1000000 as varchar)
+      when 19 then strftime(make_timestamp(ts_us), '%Y%m%dT%H%M%S')
+      when 21 then strftime(make_timestamp(ts_us + 19800000000), '%Y-%m-%dT%H:%M:%S') || '+0530' when 15 then '12:00:00' else txt end "timestamp",
     case res when 11 then null when 12 then '' else merchant_category end merchant_category,
-    case when res = 6 then '91.0' else cast(lat as varchar) end location_lat,
-    case when res = 7 then '-181.0' else cast(lon as varchar) end location_lon
+    case when res = 6 then '91.0' when res = 17 then 'inf' else cast(lat as varchar) end location_lat,
+    case when res = 7 then '-181.0' when res = 18 then 'NaN' else cast(lon as varchar) end location_lon
   from raw0, range(case when res = 16 then 2 else 1 end) copies)"""
 )
 
@@ -64,6 +67,10 @@ CLEAN = (
       case when merchant_id is null then 'merchant_id' end,
       case when "timestamp" is null then 'timestamp' end) missing,
     case when regexp_matches("timestamp", '^[0-9]+$') then cast("timestamp" as bigint)
+      when regexp_matches("timestamp", '^[0-9]{8}T[0-9]{6}$')
+      then epoch_us(strptime("timestamp", '%Y%m%dT%H%M%S')) // 1000000
+      when regexp_matches("timestamp", '[+]0530$')
+      then epoch_us(try_cast(replace("timestamp"[1:19], 'T', ' ') as timestamp)) // 1000000 - 19800
       when regexp_matches("timestamp", '^[0-9]{4}-')
       then epoch_us(try_cast(replace(replace("timestamp", 'T', ' '), 'Z', '') as timestamp)) // 1000000
       end secs
@@ -148,8 +155,7 @@ risks as (
   select merchant_id, total_transactions, n_fraud::double / total_transactions fraud_rate,
     ((n_fraud + 10 * g) / (total_transactions + 10)) s, g from risk),
 merchants as (
-  select merchant_id, total_transactions, fraud_rate, s / (s + g) risk_score from risks
-  where cast(substr(merchant_id, 2) as int) < 90)"""
+  select merchant_id, total_transactions, fraud_rate, s / (s + g) risk_score from risks)"""
 
 MERCHANT_COLUMNS = """coalesce(m.risk_score, 0.5) merchant_risk_score,
   coalesce(m.fraud_rate, 0.002) merchant_fraud_rate,
@@ -273,7 +279,8 @@ put("validate_required", CLEAN, "select transaction_id, missing missing_fields f
 put("fill_optional", RAW, """select transaction_id, coalesce(merchant_category, 'UNKNOWN') merchant_category,
   '' city, '' state, '' user_id from raw""")
 put("cast_types", CLEAN, f"""select transaction_id, (amt is null)::int amount_failed,
-  {r('lat_d')} lat, {r('lon_d')} lon from clean""")
+  {r('case when abs(lat_d) < 1e6 then lat_d end')} lat,
+  {r('case when abs(lon_d) < 1e6 then lon_d end')} lon from clean""")
 put("normalize_amount", f"{CLEAN}, {TIES}", """select 'e' || transaction_id id, amt::double amount from clean
   union all select 'o' || transaction_id, least(amount, 10000)::double from ties""")
 put("clip_percentile", TIES, """select transaction_id, amount::double amount,
@@ -377,23 +384,28 @@ joined as (
     case when us - vus <= 86400000000 then vid end view_id from hits)"""
 put("asof_join", ASOF, "select * from joined")
 SQL["asof_join_hot_keys"] = SQL["asof_join"]
+put("asof_join_null_keys", """events as (
+  select * replace (case when event_id % 5 = 0 then null else user_id end as user_id) from events), """
+    + ASOF, "select * from joined")
 put("historical_features", OFFLINE, """select a.transaction_id, b.amount::double amt, b.n tx_count_24h
   from off a left join off b on a.card_id = b.card_id and b.ts_us < a.ts_us
   qualify row_number() over (partition by a.transaction_id
     order by b.ts_us desc, b.transaction_id desc) = 1""")
 MATERIAL = "select card_id, ts_us, transaction_id, merchant_id, amount::double amount, n tx_count_24h"
-put("materialize", OFFLINE, f"""{MATERIAL} from off
-  where ts_us < epoch_us(timestamp '2024-01-16') and ts_us >= epoch_us(timestamp '2024-01-01')
+HALF = "(select min(ts_us) + (max(ts_us) - min(ts_us)) // 2 from tx)"
+put("materialize", OFFLINE, f"""{MATERIAL} from off where ts_us < {HALF}
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
 for name in ("materialize_incremental", "upsert_card_features"):
     put(name, OFFLINE, f"""{MATERIAL} from off
-  where ts_us >= epoch_us(timestamp '2024-01-01') and ts_us < epoch_us(timestamp '2024-01-31')
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
-put("lookup_merchant", f"{TX}, {MERCHANTS}", f"""select transaction_id,
+put("lookup_merchant", f"""{TX}, {MERCHANTS},
+asked as (select transaction_id,
+  case when event_id % 9 = 0 then 'x' || merchant_id else merchant_id end merchant_id from tx)""",
+    f"""select transaction_id,
   {r('coalesce(m.risk_score, 0.5)')} merchant_risk_score,
   {r('coalesce(m.fraud_rate, 0.002)')} merchant_fraud_rate,
   coalesce(m.total_transactions, 100) merchant_total_transactions
-  from tx left join merchants m using (merchant_id)""")
+  from asked left join merchants m using (merchant_id)""")
 CARDS = f"""{FEATURES}, cards as (
   select *, 0.9::double * avg0 + 0.1::double * amount next_avg from features
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1),
@@ -401,7 +413,8 @@ looked as (
   select c_custkey, cast(c_custkey as varchar) card_id,
     coalesce(tx_count_10m + 1, 0) card_tx_count_10m, coalesce(tx_count_1h + 1, 0) card_tx_count_1h,
     coalesce(tx_count_24h + 1, 0) card_tx_count_24h,
-    coalesce(unique_merchants_24h, 0) card_unique_merchants_24h,
+    coalesce((select count(distinct t.merchant_id) from tx t
+      where t.card_id = k.card_id and t.ts_us >= k.ts_us - 86400000000), 0) card_unique_merchants_24h,
     coalesce(ts_us // 1000000, 0) card_last_tx_timestamp,
     (case when ts_us is null then 1 else 0 end)::bigint card_is_new_card,
     coalesce(total_amount_24h + amount, 0) card_total_amount_24h,
@@ -415,7 +428,7 @@ put("lookup_card", CARDS, f"""select {CARD_COLUMNS}, {r('card_avg_tx_amount_30d'
 put("lookup_all", CARDS, f"""select {CARD_COLUMNS},
   {r('coalesce(m.risk_score, 0.5)')} merchant_risk_score,
   coalesce(m.total_transactions, 100) merchant_total_transactions
-  from looked left join merchants m on m.merchant_id = 'm' || (c_custkey % 100)""")
+  from looked left join merchants m on m.merchant_id = 'm' || (c_custkey % 120)""")
 put("online_features", f"{OFFLINE}, {LATEST}", """select c_custkey cc_num,
   case when fresh then l.amount::double end amt, case when fresh then l.merchant_id end merchant,
   case when fresh then l.n end tx_count_24h, 600.0::double current_amt, 'm1' current_merchant
@@ -527,7 +540,7 @@ fav as (select card_id, string_agg(merchant_id, ',' order by k) favourite_mercha
   from tx join fav using (card_id) group by card_id""")
 put("geo_patterns", TX, f"""select (floor(lat / 5) * 5)::bigint lat_cell, (floor(lon / 5) * 5)::bigint lon_cell,
   count(*) n_transactions, {r('avg(is_fraud::double)')} fraud_rate from tx group by 1, 2""")
-PSI = """sides as (select amount::double x, ts_us < epoch_us(timestamp '2024-01-16') e from tx),
+PSI = f"""sides as (select amount::double x, ts_us < {HALF} e from tx),
 edges as (select min(x) lo, max(x) hi from sides where e),
 bins as (select greatest(0, least(9, floor((x - lo) / ((hi - lo) / 10.0::double)))) bin,
   count(*) filter (e) ne, count(*) filter (not e) na from sides, edges group by 1),
@@ -581,7 +594,9 @@ put("stream_expiry", EXPIRY, f"""select prefix || transaction_id transaction_id,
   unique_merchants_since_idle, time_since_last_tx, {r('avg0', 4)} ema_before
   from seen join idle using (transaction_id) join since using (transaction_id)
   join ema using (transaction_id), (values (''), ('again-')) copies(prefix)""")
-put("stream_publish", FEATURES, """select card_id, transaction_id, ts_us, tx_count_10m, tx_count_24h,
-  unique_merchants_24h from features
+put("stream_publish", FEATURES, """select card_id, transaction_id, ts_us, tx_count_10m + 1 tx_count_10m,
+  tx_count_24h + 1 tx_count_24h,
+  (select count(distinct t.merchant_id) from tx t
+    where t.card_id = f.card_id and t.ts_us >= f.ts_us - 86400000000) unique_merchants_24h from features f
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
 put("stream_score", SCORED, "select transaction_id, fraud_probability, risk_level, decision from scored")

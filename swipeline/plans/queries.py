@@ -31,8 +31,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 DAY_US = config.DAY_S * config.US
-HALF_MONTH = "2024-01-16 00:00:00"
-MONTH_START, MONTH_END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 
 
 def query(function: Query) -> Query:
@@ -59,13 +57,18 @@ def at(text: str) -> Column:
     return F.unix_micros(F.lit(text).cast("timestamp"))
 
 
+def half_time(rows: DataFrame, time: str = "ts_us") -> Column:
+    """The middle of the rows' time, in microseconds."""
+    low, high = rows.agg(F.min(time), F.max(time)).first()
+    return F.lit(None).cast("bigint") if low is None else F.lit(low + (high - low) // 2)
+
+
 # --- shared inputs -------------------------------------------------------------------
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merchant table; the merchants from m90 on are unknown to it."""
-    known = F.substring("merchant_id", 2, 10).cast("int") < 90
-    return monitoring.merchant_risk(tables.transactions(spark, sf_dir)).where(known)
+    """Merchant table of all transactions."""
+    return monitoring.merchant_risk(tables.transactions(spark, sf_dir))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,12 +196,12 @@ def fill_optional(spark, sf_dir):
 def cast_types(spark, sf_dir):
     raw = tables.raw_messages(spark, sf_dir)
     amount = cleaning.amount(F.col("amount"))
-    lat = cleaning.number(F.col("location_lat"))
+    lat, lon = (cleaning.coordinate(F.col(c)) for c in ("location_lat", "location_lon"))
     return raw.select(
         "transaction_id",
         amount.isNull().cast("int").alias("amount_failed"),
-        rounded_of(lat, "lat"),
-        rounded_of(cleaning.number(F.col("location_lon")), "lon"),
+        rounded_of(F.when(F.abs(lat) < 1e6, lat), "lat"),
+        rounded_of(F.when(F.abs(lon) < 1e6, lon), "lon"),
     )
 
 
@@ -389,6 +392,12 @@ def asof_join_hot_keys(spark, sf_dir):
     return _purchases_and_views(spark, sf_dir, limit=20)
 
 
+@query
+def asof_join_null_keys(spark, sf_dir):
+    """The as-of join where every fifth event, on either side, has no user."""
+    return _purchases_and_views(spark, sf_dir, keyless=True)
+
+
 @query
 def realtime_features(spark, sf_dir):
     out = features(spark, sf_dir)
@@ -480,11 +489,15 @@ def feature_view_check(spark, sf_dir):
     return VIEW.check(offline_table(spark, sf_dir))
 
 
-def _purchases_and_views(spark, sf_dir, limit: int | None = None) -> DataFrame:
+def _purchases_and_views(
+    spark, sf_dir, limit: int | None = None, keyless: bool = False
+) -> DataFrame:
     """Purchases with the latest view of the same user, at most a day old."""
     events = tables.read(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", scalars.epoch_us(F.col("ts")).alias("us")
     )
+    if keyless:
+        events = events.withColumn("user_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
     spine = events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "us")
     views = events.where(F.col("event_type") == "view").select(
         "user_id", "us", "value", F.col("event_id").alias("view_id")
@@ -524,19 +537,18 @@ def _running(spark, sf_dir) -> DataFrame:
 
 @query
 def materialize(spark, sf_dir):
-    return store.materialize(
-        _running(spark, sf_dir), "card_id", "ts_us", "transaction_id",
-        at(MONTH_START), at(HALF_MONTH),
-    )
+    rows = _running(spark, sf_dir)
+    half = half_time(tables.transactions(spark, sf_dir))
+    return store.materialize(rows, "card_id", "ts_us", "transaction_id", end=half)
 
 
 @query
 def materialize_incremental(spark, sf_dir):
     """First half published, second half merged; equals one full run."""
     rows = _running(spark, sf_dir)
-    half, end = at(HALF_MONTH), at(MONTH_END)
-    first = store.materialize(rows, "card_id", "ts_us", "transaction_id", at(MONTH_START), half)
-    second = store.materialize(rows, "card_id", "ts_us", "transaction_id", half, end)
+    half = half_time(tables.transactions(spark, sf_dir))
+    first = store.materialize(rows, "card_id", "ts_us", "transaction_id", end=half)
+    second = store.materialize(rows, "card_id", "ts_us", "transaction_id", start=half)
     return store.upsert_latest(first, second, "card_id", "ts_us", "transaction_id")
 
 
@@ -544,18 +556,24 @@ def materialize_incremental(spark, sf_dir):
 def upsert_card_features(spark, sf_dir):
     """The same through stored versions of the published table."""
     rows = _running(spark, sf_dir)
-    half, end = at(HALF_MONTH), at(MONTH_END)
+    before = F.col("ts_us") < half_time(tables.transactions(spark, sf_dir))
     table = writers.VersionedTable(
         spark, shared_dir(spark), "card_id", "ts_us", "transaction_id"
     )
-    for version, (a, b) in enumerate([(at(MONTH_START), half), (half, end)]):
-        table.upsert(rows.where((F.col("ts_us") >= a) & (F.col("ts_us") < b)), version)
+    for version, part in enumerate([before, ~before]):
+        table.upsert(rows.where(part), version)
     return table.read()
 
 
 @query
 def lookup_merchant(spark, sf_dir):
-    out = store.lookup_merchant(tables.transactions(spark, sf_dir), merchants(spark, sf_dir))
+    """Every ninth transaction asks for a merchant that the table does not have."""
+    unknown = F.col("transaction_id").cast("bigint") % 9 == 0
+    asked = tables.transactions(spark, sf_dir).withColumn(
+        "merchant_id",
+        F.when(unknown, F.concat(F.lit("x"), "merchant_id")).otherwise(F.col("merchant_id")),
+    )
+    out = store.lookup_merchant(asked, merchants(spark, sf_dir))
     return out.select(
         "transaction_id", rounded("merchant_risk_score"), rounded("merchant_fraud_rate"),
         "merchant_total_transactions",
@@ -572,7 +590,7 @@ def _card_lookup(spark, sf_dir) -> DataFrame:
     """Customers as cards: those with transactions have a row, all others do not."""
     cards = tables.read(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("card_id"),
-        F.concat(F.lit("m"), F.col("c_custkey") % 100).alias("merchant_id"),
+        F.concat(F.lit("m"), F.col("c_custkey") % 120).alias("merchant_id"),
     )
     return store.lookup_all(cards, card_table(spark, sf_dir), merchants(spark, sf_dir))
 
@@ -834,7 +852,7 @@ def geo_patterns(spark, sf_dir):
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     tx = tables.transactions(spark, sf_dir)
-    half = F.col("ts_us") < at(HALF_MONTH)
+    half = F.col("ts_us") < half_time(tx)
     return tx.where(half), tx.where(~half)
 
 

@@ -21,15 +21,20 @@ from swipeline.streaming.card_state import card_features
 
 
 def slices(rows: DataFrame, time: str, n: int = 2) -> Iterator[DataFrame]:
-    """The rows cut into `n` consecutive spans of the time column."""
+    """The rows cut into `n` consecutive spans of the time column; rows without a time
+    come in the first."""
     low, high = rows.agg(F.min(time), F.max(time)).first()
+    if low is None:
+        yield rows
+        return
     edges = [low + (high - low) * i // n for i in range(1, n)]
     for i in range(n):
         part = rows
         if i > 0:
             part = part.where(F.col(time) >= edges[i - 1])
         if i < n - 1:
-            part = part.where(F.col(time) < edges[i])
+            early = F.col(time) < edges[i]
+            part = part.where(early | F.col(time).isNull() if i == 0 else early)
         yield part
 
 
@@ -170,7 +175,6 @@ def stream_expiry(spark, sf_dir):
 def stream_publish(spark, sf_dir):
     """Latest feature row per card, published batch by batch."""
     path = shared_dir(spark)
-    jobs.use_rocksdb(spark)
     replay(
         slices(tables.transactions(spark, sf_dir), "ts_us"),
         f"{path}/in",

@@ -26,7 +26,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             " + (us % 345600000000) div 288 else us end as ts_us",
             "case when event_id % 20 = 0 then null else 25 + ((event_id * 37) % 200) / 10.0D end as lat",
             "case when event_id % 20 = 0 then null else -120 + ((event_id * 53) % 400) / 10.0D end as lon",
-            "cast(event_type = 'error' as int) as is_fraud",
+            # likelier for large amounts, never certain, and no function of the other fields
+            "cast((event_id * 7919) % 100 < 4 + least(60, floor(value"
+            " * (case when event_id % 7 = 0 then 25 else 1 end) / 25)) as int) as is_fraud",
         )
     )
 
@@ -82,14 +84,19 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     5: F.lit("invalid_timestamp"),
                     9: iso_time,
                     10: epoch,
+                    19: F.date_format(F.timestamp_micros("ts_us"), "yyyyMMdd'T'HHmmss"),
+                    21: F.concat(
+                        F.date_format(F.timestamp_micros(F.col("ts_us") + 19_800_000_000), "yyyy-MM-dd'T'HH:mm:ss"),
+                        F.lit("+0530"),
+                    ),
                     15: F.lit("12:00:00"),
                 },
             ).alias("timestamp"),
             when(F.col("merchant_category"), {11: null, 12: F.lit("")}).alias(
                 "merchant_category"
             ),
-            when(F.col("lat").cast("string"), {6: F.lit("91.0")}).alias("location_lat"),
-            when(F.col("lon").cast("string"), {7: F.lit("-181.0")}).alias("location_lon"),
+            when(F.col("lat").cast("string"), {6: F.lit("91.0"), 17: F.lit("inf")}).alias("location_lat"),
+            when(F.col("lon").cast("string"), {7: F.lit("-181.0"), 18: F.lit("NaN")}).alias("location_lon"),
             # a message with residue 16 was sent twice
             F.explode(
                 F.when(F.col("residue") == 16, F.array(F.lit(1), F.lit(2))).otherwise(

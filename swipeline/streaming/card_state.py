@@ -56,6 +56,7 @@ OUTPUT = T.StructType(
         *[T.StructField(c, T.LongType()) for c in [*COUNTS, *SUMS]],
         T.StructField("unique_merchants_24h", T.LongType()),
         T.StructField("unique_merchants_since_idle", T.LongType()),
+        T.StructField("is_new_merchant", T.LongType()),
         T.StructField("prev_us", T.LongType()),
         T.StructField("ema_before", T.DoubleType()),
     ]
@@ -188,12 +189,12 @@ class CardState(StatefulProcessor):
                     self.merchants -= 1
         self.frontier = us
 
-    def _late(self, us: int) -> tuple[list[int], list[int], int]:
-        """Counts, sums and distinct merchants as of a time before the frontier."""
+    def _late(self, us: int) -> tuple[list[int], list[int], set[str]]:
+        """Counts, sums and merchants as of a time before the frontier."""
         rows = self._between(us - DAY_US, us + 1)
         counts = [sum(1 for r in rows if r[0] >= us - w) for w in WINDOWS_US.values()]
         sums = [sum(r[2] for r in rows if r[0] >= us - w) for w in WINDOWS_US.values()]
-        return counts, sums, len({r[3] for r in rows})
+        return counts, sums, {r[3] for r in rows}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = sorted(
@@ -221,12 +222,15 @@ class CardState(StatefulProcessor):
                     self.frontier = start
                 self._advance(us, queues)
                 counts, sums, merchants = list(self.counts), list(self.sums), self.merchants
+                visit = self._visit(merchant)
+                new = visit is None or visit[0] < us - DAY_US
             else:
-                counts, sums, merchants = self._late(us)
+                counts, sums, near = self._late(us)
+                merchants, new = len(near), merchant not in near
             ema = DEFAULT_AVG if self.ema is None else self.ema
             out.append(
                 (tx_id, key[0], merchant, category, cents, us, lat, *counts, *sums,
-                 merchants, self.visited, self.last_us, ema)
+                 merchants, self.visited, int(new), self.last_us, ema)
             )
             row = (us, tx_id, cents, merchant)
             self._keep(row)
@@ -356,7 +360,7 @@ def card_features(
         (F.col("cents") / 100).cast("decimal(18,2)").alias("amount"), "ts_us", "lat",
         *COUNTS,
         *[(F.col(c) / 100).alias(f"total_amount_{w}") for c, w in zip(SUMS, WINDOWS_US)],
-        "unique_merchants_24h", "unique_merchants_since_idle",
+        "unique_merchants_24h", "unique_merchants_since_idle", "is_new_merchant",
         previous.alias("prev_ts"),
         F.coalesce(seconds - previous, F.lit(0)).alias("time_since_last_tx"),
         "ema_before",

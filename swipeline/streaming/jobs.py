@@ -8,25 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from swipeline import config
 from swipeline.operators import clean, predictions, quality
 from swipeline.plans import realtime
+from swipeline.session import tune
 from swipeline.sources import messages, writers
 from swipeline.streaming.card_state import INLINE_ROWS, card_features
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed state on local disk with changelog checkpoints in the shared folder."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
-    )
-
-
 def start(
     stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
@@ -70,7 +61,7 @@ def feature_stream(
     inline_rows: int = INLINE_ROWS,
 ) -> StreamingQuery:
     """Lookback features of every transaction to a folder."""
-    use_rocksdb(transactions.sparkSession)
+    tune(transactions.sparkSession)
     return start(
         card_features(transactions, late, inline_rows),
         lambda batch, number: write_batch(batch, path, number),
@@ -84,12 +75,25 @@ def dedup_stream(transactions: DataFrame, late: str = "1 hour") -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["transaction_id"]).drop("ts")
 
 
+def after_row(features: DataFrame) -> DataFrame:
+    """What the card holds after each row: the row itself counts, as in
+    `store.card_snapshot`. A merchant that the window lacks is one more."""
+    return features.withColumns(
+        {f"tx_count_{w}": F.col(f"tx_count_{w}") + 1 for w in config.VELOCITY_WINDOWS}
+        | {
+            f"total_amount_{w}": F.col(f"total_amount_{w}") + F.col("amount").cast("double")
+            for w in config.VELOCITY_WINDOWS
+        }
+        | {"unique_merchants_24h": F.col("unique_merchants_24h") + F.col("is_new_merchant")}
+    ).drop("is_new_merchant")
+
+
 def publish_stream(features: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Latest feature row per card into a versioned table."""
+    """Latest feature row per card, as of after it, into a versioned table."""
     table = writers.VersionedTable(
         features.sparkSession, table_path, "card_id", "ts_us", "transaction_id"
     )
-    return start(features, table.upsert, checkpoint)
+    return start(after_row(features), table.upsert, checkpoint)
 
 
 def score_stream(
@@ -101,7 +105,7 @@ def score_stream(
 ) -> StreamingQuery:
     """Features, rule score and decision of every transaction into the prediction log."""
     spark = transactions.sparkSession
-    use_rocksdb(spark)
+    tune(spark)
     log = writers.PredictionLog(spark, log_path)
 
     def each(batch: DataFrame, number: int) -> None:
