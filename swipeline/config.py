@@ -55,7 +55,3 @@ VIEW_TTL_S = 365 * 86400
 # A key with more rows than this is spread over many tasks (see operators/hot.py).
 HOT_ROWS_CONF = "spark.swipeline.hotKeyRows"
 HOT_ROWS = 5_000_000
-# No more keys than this are treated as hot; any further key holds at most
-# 1/MAX_HOT_KEYS of the rows, which one task can take.
-MAX_HOT_KEYS = 100_000
-MAX_PIECES = 1024

@@ -29,10 +29,15 @@ PIECE = "_piece"
 CUTS = "_cuts"
 
 
+class Cuts(NamedTuple):
+    table: DataFrame  # hot key and the cut points of its time axis
+    pieces: int  # of the largest key, a power of two
+
+
 class Split(NamedTuple):
     cold: DataFrame            # rows of ordinary keys
     hot: DataFrame | None      # rows of hot keys, None if there are none
-    cuts: DataFrame | None     # hot key and the cut points of its time axis
+    cuts: Cuts | None
 
 
 Phase = Callable[[DataFrame], DataFrame]
@@ -48,7 +53,7 @@ class Step(NamedTuple):
     """
 
     columns: Sequence[str]
-    hot: Callable[[DataFrame, DataFrame], DataFrame]
+    hot: Callable[[DataFrame, Cuts], DataFrame]
     card: Phase | None = None
     value: Phase | None = None
     totals: Phase | None = None
@@ -63,52 +68,42 @@ def hot_limit(df: DataFrame) -> int:
 def split_hot(df: DataFrame, key: str, at: str, limit: int | None = None) -> Split:
     """Separate the rows of hot keys and find the cut points of their time axis.
 
-    The driver sees the hot keys only, at most MAX_HOT_KEYS; what is left over
-    after the largest ones holds at most 1/MAX_HOT_KEYS of the rows per key. A key
-    gets as many pieces as it holds limits of rows, so all cuts together are fewer
-    than 2 * rows / limit numbers: 3 MB for 10**12 rows and the default limit.
+    Every key above the limit is split, into as many pieces as it holds limits of rows.
+    Keys and cuts are tables in the shared folder, at most 2 * rows / limit numbers in all;
+    the driver sees the rows of the largest key alone, which sets the depth of the search.
     """
-    spark = df.sparkSession
     limit = limit or hot_limit(df)
-    sizes = (
+    sizes = cut_lineage(
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > limit)
-        .orderBy(F.desc("n"))
-        .limit(config.MAX_HOT_KEYS)
-        .collect()
     )
-    if not sizes:
+    largest = sizes.agg(F.max("n")).first()[0]
+    if largest is None:
         return Split(df, None, None)
-    key_type = df.schema[key].dataType.simpleString()
-    keys = F.broadcast(
-        spark.createDataFrame([(r[key],) for r in sizes], f"{key} {key_type}")
-    )
+    keys = sizes.select(key)
     pieces = 2
-    while pieces < min(config.MAX_PIECES, -(-sizes[0]["n"] // limit)):
+    while pieces < -(-largest // limit):
         pieces *= 2
     quantiles = [i / pieces for i in range(1, pieces)]
     # the largest key needs all quantiles, a smaller one every second, fourth, ...
     wanted = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / F.lit(limit))))
     every = (F.lit(pieces) / F.greatest(F.lit(2), F.least(F.lit(pieces), wanted))).cast("int")
     thinned = F.filter(CUTS, lambda cut, i: (i + 1) % F.col("every") == 0)
-    # collected, so that every later use of the cuts sees the same ones
-    cuts = (
+    cuts = cut_lineage(
         df.join(keys, key, "left_semi")
         .groupBy(key)
         .agg(
-            F.percentile_approx(at, quantiles, 10_000).alias(CUTS),
+            F.percentile_approx(at, quantiles, max(10_000, 20 * pieces)).alias(CUTS),
             F.count(F.lit(1)).alias("n"),
         )
         .withColumn("every", every)
         .select(key, thinned.alias(CUTS))
-        .collect()
     )
-    table = spark.createDataFrame(
-        [(r[key], r[CUTS]) for r in cuts], f"{key} {key_type}, {CUTS} array<bigint>"
+    return Split(
+        df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), Cuts(cuts, pieces)
     )
-    return Split(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), table)
 
 
 def per_key(
@@ -131,14 +126,14 @@ def per_key(
     return out.unionByName(hot.select(*out.columns))
 
 
-def with_piece(df: DataFrame, cuts: DataFrame, key: str, at: str) -> DataFrame:
+def with_piece(df: DataFrame, cuts: Cuts, key: str, at: str) -> DataFrame:
     """Number of cuts before `at`: a binary search spelled out step by step.
 
     Every step is a projection of its own, so it stays generated code. Probes
     beyond the end of a shorter array are null and count as "not before".
     """
-    out = df.join(F.broadcast(cuts), key).withColumn(PIECE, F.lit(0))
-    span = config.MAX_PIECES // 2
+    out = df.join(cuts.table, key).withColumn(PIECE, F.lit(0))
+    span = cuts.pieces // 2
     while span >= 1:
         probe = F.get(F.col(CUTS), F.col(PIECE) + (span - 1))
         out = out.withColumn(

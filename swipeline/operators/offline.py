@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
 from swipeline.functions import scalars
-from swipeline.operators.hot import PIECE, UP, Step, per_key, running, with_piece
+from swipeline.operators.hot import PIECE, UP, Cuts, Step, per_key, running, with_piece
 from swipeline.operators.velocity import (
     CARD,
     ORDER,
@@ -28,7 +28,7 @@ def running_count(name: str = "tx_count_24h") -> Step:
     def card(df: DataFrame) -> DataFrame:
         return df.withColumn(name, F.row_number().over(_ordered(CARD)).cast("bigint"))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         out = running(
             with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
             sums={name: F.lit(1).cast("bigint")},
@@ -47,7 +47,7 @@ def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
     def totals(df: DataFrame) -> DataFrame:
         return df.withColumn(name, mean(_ordered(CARD).rowsBetween(-(rows - 1), 0)))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         # blocks of consecutive rows; the tail of a block is context for the next one
         ranked = running(
             with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
@@ -77,7 +77,7 @@ def running_distinct(column: str = "merchant_id", name: str = "unique_merchants_
     def totals(df: DataFrame) -> DataFrame:
         return df.withColumn(name, F.sum("_first").over(_ordered(CARD).rowsBetween(UP, 0)))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         firsts = (
             df.groupBy(CARD, column)
             .agg(F.min(F.struct(*ORDER)).alias("a"))
@@ -108,14 +108,13 @@ def home_location() -> Step:
             }
         )
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         position = F.struct(*ORDER)
         homes = df.groupBy(CARD).agg(
             F.min_by("lat", F.when(F.col("lat").isNotNull(), position)).alias("home_lat"),
             F.min_by("lon", F.when(F.col("lon").isNotNull(), position)).alias("home_lon"),
         )
-        # one row per hot card: at most MAX_HOT_KEYS
-        return df.join(F.broadcast(homes), CARD).select(*df.columns, "home_lat", "home_lon")
+        return df.join(homes, CARD).select(*df.columns, "home_lat", "home_lon")
 
     return Step(["home_lat", "home_lon"], hot, card=card)
 
@@ -131,7 +130,7 @@ def previous_location() -> Step:
             }
         )
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         out = running(
             with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
             lasts={"_prev": F.struct("lat", "lon")},

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
-from swipeline.operators.hot import UP, Step, per_key, running, with_piece
+from swipeline.operators.hot import UP, Cuts, Step, per_key, running, with_piece
 from swipeline.schemas import FeatureView
 
 
@@ -54,7 +54,7 @@ def as_of_join(
         upto = Window.partitionBy(key).orderBy(*order).rowsBetween(UP, 0)
         return df.withColumn("_hit", F.last("_feature", ignorenulls=True).over(upto))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         scanned = running(
             with_piece(df, cuts, key, "_at"), key, order, lasts={"_hit": F.col("_feature")}
         )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
 from swipeline.functions.scalars import deviation, half_up, ratio
-from swipeline.operators.hot import PIECE, UP, Step, per_key, running, with_piece
+from swipeline.operators.hot import PIECE, UP, Cuts, Step, per_key, running, with_piece
 from swipeline.session import cut_lineage
 
 CARD = "card_id"
@@ -69,7 +69,7 @@ def lookback_sums(
             }
         )
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         # a row adds itself at its time and takes itself away just after ts + w
         ins = df.withColumns({f"_v_{v}": c for v, c in values.items()})
         kinds = [F.struct(F.lit(1).alias("rank"), F.lit("").alias("w"), F.col("ts_us").alias("us"))]
@@ -147,7 +147,7 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
             name, _zero(F.sum("_enters").over(seen)) - _zero(F.sum("_leaves").over(gone))
         )
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         pieces = with_piece(df, cuts, CARD, "ts_us")
         visits = Window.partitionBy(CARD, PIECE, "merchant_id").orderBy(*ORDER)
         prev = F.lag("ts_us").over(visits)
@@ -246,7 +246,7 @@ def merchants_since_idle(name: str = "unique_merchants_since_idle") -> Step:
             "_base", F.max(F.when(F.col("_idle_gap") > gap_us, F.col("_firsts"))).over(upto)
         ).withColumn(name, F.col("_firsts") - _zero(F.col("_base")))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         ins = cut_lineage(hot_epochs(df, cuts, gap_us))
         firsts = (
             ins.groupBy(CARD, "_epoch", "merchant_id")
@@ -298,7 +298,7 @@ def previous_time() -> Step:
     def card(df: DataFrame) -> DataFrame:
         return finish(df.withColumn("_prev", F.lag("ts_us").over(_ordered(CARD))))
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         ins = running(with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER, lasts={"_prev": F.col("ts_us")})
         return finish(ins).select(*df.columns, *names)
 
@@ -365,7 +365,7 @@ def moving_average(name: str = "ema_before") -> Step:
             F.pow(F.lit(KEEP), F.col("_n")) * F.lit(config.DEFAULT_AVG_AMOUNT) + F.col("_ema0"),
         )
 
-    def hot(df: DataFrame, cuts: DataFrame) -> DataFrame:
+    def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         by = [CARD, "_epoch", PIECE]
         numbered = cut_lineage(hot_epochs(df, cuts, gap_us)).withColumn(
             "_n", F.row_number().over(_ordered(*by)) - 1

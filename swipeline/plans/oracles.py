@@ -286,6 +286,24 @@ put("normalize_amount", f"{CLEAN}, {TIES}", """select 'e' || transaction_id id,
 put("clip_percentile", TIES, """select transaction_id, amount::double amount,
   least(amount, (select quantile_disc(amount, 0.99) from ties))::double amount_clipped from ties""")
 put("parse_timestamp", CLEAN, "select transaction_id, secs epoch_seconds from clean")
+ARRIVED = f"""{CLEAN}, arrived as (
+  select distinct transaction_id, card_id, merchant_id, amt amount, secs * 1000000 ts_us
+  from clean where reason is null and event_id % 41 > 0),
+{lookback('arrived')}, {since('arrived')}, {ema('arrived')}, {MERCHANTS}, scored0 as (
+  select e.transaction_id, e.amount, (least(1, (case when e.amount > 1000 then 0.30 else 0 end)
+    + (case when tx_count_10m > 5 then 0.25 else 0 end)
+    + (case when e.amount::double / avg0 > 3 then 0.20 else 0 end)
+    + (case when risk_score > 0.7 then 0.15 else 0 end)
+    + (case when prev_ts is null then 0.10 else 0 end)))::decimal(5,2)::double p
+  from ema e join seen using (transaction_id) join since using (transaction_id)
+    left join merchants using (merchant_id))"""
+put("pipeline_batch", ARRIVED, """select transaction_id, p fraud_probability,
+    case when p >= 0.7 then 'HIGH' when p >= 0.3 then 'MEDIUM' else 'LOW' end risk_level,
+    case when p >= 0.7 then 'BLOCK' when p >= 0.3 and amount > 5000 then 'REVIEW' else 'APPROVE' end decision,
+    null::varchar reject_reason from scored0
+  union all select case when event_id % 41 > 0 then transaction_id end, null, null, null,
+    case when event_id % 41 > 0 then reason else 'Transaction must be a dictionary' end
+  from clean where event_id % 41 = 0 or reason is not null""")
 put("validate_ranges", CLEAN, """select transaction_id, amt::double amount, secs "timestamp",
   reason reject_reason from clean""")
 put("reject_report", CLEAN, """select coalesce(reason, 'accepted') outcome, count(*) n_rows
@@ -352,6 +370,7 @@ put("offline_time_true", TX, f"""select a.transaction_id,
   count(distinct b.merchant_id) unique_merchants_7d
   from tx a join tx b on a.card_id = b.card_id and b.ts_us between a.ts_us - 604800000000 and a.ts_us
   group by a.transaction_id""")
+SQL["time_true_hot_cards"] = SQL["offline_time_true"]
 put("distance_from_home", OFFLINE, f"select transaction_id, {r('km_home')} km from off")
 put("distance_from_last", OFFLINE, f"select transaction_id, {r('km_last')} km from off")
 put("offline_features", OFFLINE, f"""select user_id cc_num, ts_us event_us, amount::double amt,
@@ -366,6 +385,7 @@ put("offline_features", OFFLINE, f"""select user_id cc_num, ts_us event_us, amou
   {r('(lat + 0.1)::float::double', 2)} merch_lat, {r('(lon + 0.1)::float::double', 2)} merch_long,
   {r('km_home::float::double', 2)} distance_from_home,
   {r('km_last::float::double', 2)} distance_from_last_tx from off""")
+SQL["offline_hot_cards"] = SQL["offline_features"]
 put("sample_n", OFFLINE, """select transaction_id, card_id, n tx_count_24h from off
   order by md5('42:' || transaction_id), transaction_id limit 5000""")
 
@@ -599,4 +619,5 @@ put("stream_publish", FEATURES, """select card_id, transaction_id, ts_us, tx_cou
   (select count(distinct t.merchant_id) from tx t
     where t.card_id = f.card_id and t.ts_us >= f.ts_us - 86400000000) unique_merchants_24h from features f
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
+SQL["stream_pipeline"] = SQL["pipeline_batch"]
 put("stream_score", SCORED, "select transaction_id, fraud_probability, risk_level, decision from scored")

@@ -164,13 +164,33 @@ def encode_messages(spark, sf_dir):
     return encoded.select("key", back.alias("m")).select("key", "m.*")
 
 
-@query
-def decode_messages(spark, sf_dir):
-    """Every 41st message is no JSON object."""
+def received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as they arrive: every 41st is no JSON object."""
     sent = messages.encode(tables.raw_messages(spark, sf_dir).drop("delivery"))
     broken = F.get_json_object("value", "$.transaction_id").cast("bigint") % 41 == 0
-    received = sent.withColumn("value", F.when(broken, "not json").otherwise(F.col("value")))
-    out = clean.clean(messages.decode(received))
+    return sent.withColumn("value", F.when(broken, "not json").otherwise(F.col("value")))
+
+
+def outcomes(scored: DataFrame, dead: DataFrame) -> DataFrame:
+    """Decided transactions and dead letters in one table."""
+    decided = scored.select(
+        "transaction_id", "fraud_probability", "risk_level", "decision",
+        F.lit(None).cast("string").alias("reject_reason"),
+    )
+    return decided.unionByName(
+        dead.select("transaction_id", "reject_reason"), allowMissingColumns=True
+    )
+
+
+@query
+def pipeline_batch(spark, sf_dir):
+    """Raw messages to decisions in one plan; nothing is lost on the way."""
+    return outcomes(*realtime.from_messages(received(spark, sf_dir), merchants(spark, sf_dir)))
+
+
+@query
+def decode_messages(spark, sf_dir):
+    out = clean.clean(messages.decode(received(spark, sf_dir)))
     return out.select(
         "transaction_id", "card_id", money("amount"), "timestamp", "merchant_category",
         "reject_reason",
@@ -444,6 +464,15 @@ def offline_time_true(spark, sf_dir):
     )
 
 
+@query
+def time_true_hot_cards(spark, sf_dir):
+    """The same with every card of more than 60 rows cut into pieces."""
+    out = offline.time_true(tables.transactions(spark, sf_dir), limit=60)
+    return out.select(
+        "transaction_id", rounded("avg_amt_7d"), "tx_count_24h", "unique_merchants_7d"
+    )
+
+
 @query
 def distance_from_home(spark, sf_dir):
     out = _one_step(spark, sf_dir, offline.home_location())
@@ -474,6 +503,12 @@ def offline_features(spark, sf_dir):
     return _offline_output(offline_table(spark, sf_dir))
 
 
+@query
+def offline_hot_cards(spark, sf_dir):
+    """The same with every card of more than 60 rows cut into pieces."""
+    return _offline_output(offline.offline_features(tables.card_rows(spark, sf_dir), limit=60))
+
+
 @query
 def sample_n(spark, sf_dir):
     """5,000 rows drawn after the features are computed."""

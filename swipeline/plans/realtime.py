@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from swipeline import config
 from swipeline.functions import scalars
-from swipeline.operators import scoring, store, velocity
+from swipeline.operators import clean, scoring, store, velocity
+from swipeline.sources import messages
 
 # --- fixed values: the 22 features of the vector ------------------------------------
 VECTOR = [
@@ -90,6 +91,19 @@ def score(features: DataFrame) -> DataFrame:
     return scoring.decide(score_inputs(features), scoring.rule_score_a())
 
 
+def from_messages(
+    encoded: DataFrame, merchants: DataFrame, limit: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Raw messages to decisions: decoded, cleaned, freed of copies, and scored.
+
+    Returns the scored transactions and the dead letters. A message is in one of
+    them, or a copy of a transaction that is.
+    """
+    cleaned, dead = clean.split_rejects(clean.clean(messages.decode(encoded)))
+    transactions = clean.to_features_input(clean.dedup_transactions(cleaned))
+    return score(realtime_features(transactions, merchants, limit)), dead
+
+
 def service_inputs(
     transactions: DataFrame, published: DataFrame
 ) -> DataFrame:

@@ -11,9 +11,10 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from swipeline.functions import scalars
+from swipeline.functions import cleaning, scalars
+from swipeline.operators import clean
 from swipeline.plans import realtime
-from swipeline.plans.queries import merchants, query, rounded
+from swipeline.plans.queries import merchants, outcomes, query, received, rounded
 from swipeline.session import cut_lineage, shared_dir
 from swipeline.sources import messages, readers, tables, writers
 from swipeline.streaming import jobs
@@ -204,6 +205,32 @@ def stream_score(spark, sf_dir):
     )
 
 
+@query
+def stream_pipeline(spark, sf_dir):
+    """Raw messages to logged decisions by three jobs that hand over through folders: clean,
+    drop copies, score. Messages without a readable time arrive first."""
+    path = shared_dir(spark)
+    risk = cut_lineage(merchants(spark, sf_dir))
+    seconds = cleaning.epoch_seconds(F.get_json_object("value", "$.timestamp"))
+    encoded = received(spark, sf_dir).withColumn("n", seconds)
+    cleaned = clean.accepted(messages.decode(encoded)).schema
+    for part in slices(encoded, "n"):
+        part.write.mode("append").parquet(f"{path}/in")
+        jobs.clean_stream(
+            readers.parquet_stream(spark, f"{path}/in", part.schema),
+            f"{path}/good", f"{path}/dead", f"{path}/clean",
+        ).awaitTermination()
+        good = readers.parquet_stream(spark, f"{path}/good", cleaned)
+        single = jobs.dedup_stream(clean.to_features_input(good))
+        jobs.start(
+            single, lambda batch, number: jobs.write_batch(batch, f"{path}/single", number), f"{path}/dedup"
+        ).awaitTermination()
+        arrived = readers.parquet_stream(spark, f"{path}/single", single.schema)
+        jobs.score_stream(arrived, risk, f"{path}/log", f"{path}/score").awaitTermination()
+    log = writers.PredictionLog(spark, f"{path}/log").read()
+    return outcomes(log, spark.read.parquet(f"{path}/dead"))
+
+
 @query
 def archive(spark, sf_dir):
     """Raw stream archived by day."""

@@ -169,7 +169,7 @@ def test_smaller_hot_cards_get_fewer_pieces(make):
     rows = [(f"a{i}", "big", "m", 1, NOON + i) for i in range(800)]
     rows += [(f"b{i}", "small", "m", 1, NOON + i) for i in range(150)]
     split = hot.split_hot(make(rows), "card_id", "ts_us", limit=100)
-    cuts = {r.card_id: len(r[hot.CUTS]) for r in split.cuts.collect()}
+    cuts = {r.card_id: len(r[hot.CUTS]) for r in split.cuts.table.collect()}
     assert cuts == {"big": 7, "small": 1}
     pieces = hot.with_piece(split.hot, split.cuts, "card_id", "ts_us")
     sizes = {(r.card_id, r[hot.PIECE]): r["count"] for r in pieces.groupBy("card_id", hot.PIECE).count().collect()}
