@@ -9,8 +9,10 @@ share of equal registers estimates the texts' probability Jaccard similarity.
 Equal word sequences are grouped first and only one of them is compared. Bands of registers
 put similar texts in common buckets; candidates within them pass an estimate with a wide
 margin and then a comparison of their shingle sets. Buckets are never paired out: their
-members meet a pivot of the bucket, links are joined to components, and only members of
-different components of one bucket meet again, in the end all of them.
+members meet a pivot of the bucket, and links are joined to components. What still shares a
+bucket over different components - texts with a common passage, mostly - meets by its rarest
+shingles: two texts of similarity s share one of their (1 - s) * n + 1 rarest, whatever passage
+they have in common. That last step is exact.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ REGISTERS = BANDS * BAND_SIZE
 #: Candidates with fewer equal registers are dropped unseen: 6.5 standard deviations below
 #: what similarity 0.8 gives.
 LEAST_EQUAL = 116
-#: Rounds in which buckets compare with a pivot before their rest is compared in full.
+#: Rounds in which buckets compare with a pivot before their rest meets by rare shingles.
 PIVOT_ROUNDS = 3
 
 STEP, PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -173,7 +175,13 @@ class Comparison:
         if found.isEmpty():
             return None
         self.done = found if self.done is None else self.done.unionByName(found)
-        nodes = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).distinct()
+        nodes = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node")))
+        sets = self.sets(nodes.distinct())
+        both = found.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+        return cut_lineage(both.where(jaccard(F.col("a"), F.col("b")) >= SIMILARITY).select("u", "v"))
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes, from their texts."""
         wanted = nodes.join(self.sketches.select("node", "id", "digest"), "node")
         texts = self.docs.join(wanted, self.docs["__id"].eqNullSafe(wanted["id"])).select(
             F.struct("node", F.col("digest").alias("own")).alias(PACKED), "__text"
@@ -181,9 +189,32 @@ class Comparison:
         sets = map_rows(texts, set_rows, "digest binary, shingles array<bigint>")
         # Of rows that share an id, the one with the sketch's words is meant.
         sets = sets.where(F.col(f"{PACKED}.own") == F.col("digest")).select(f"{PACKED}.node", "shingles")
-        sets = cut_lineage(sets.dropDuplicates(["node"]))
-        both = found.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
-        return cut_lineage(both.where(jaccard(F.col("a"), F.col("b")) >= SIMILARITY).select("u", "v"))
+        return cut_lineage(sets.dropDuplicates(["node"]))
+
+    def rare_pairs(self, members: DataFrame) -> DataFrame:
+        """Members of different components that share one of their rarest shingles, and whose
+        sizes and places in that order allow the similarity: before the first common shingle
+        none is common, so not more than what lies behind it is."""
+        nodes = members.select("node", "part").distinct()
+        sets = self.sets(nodes.select("node"))
+        rows = sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+        counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+        ordered = rows.join(counts, "shingle").groupBy("node", "size").agg(
+            F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ordered")
+        )
+        length = (F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1).cast("int")
+        rarest = ordered.select("node", "size", F.posexplode(F.slice("ordered", F.lit(1), length)).alias("place", "s"))
+        rarest = cut_lineage(
+            rarest.where("s.n > 1").select("node", "size", "place", "s.shingle").join(nodes, "node")
+        )
+        u, v = (
+            rarest.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "place", "part")])
+            for side in "uv"
+        )
+        behind = F.least(F.col("u_size") - F.col("u_place"), F.col("v_size") - F.col("v_place"))
+        fits = behind >= (F.col("u_size") + F.col("v_size")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+        met = u.join(v, "shingle").where("u_node < v_node and u_part <> v_part").where(fits)
+        return met.select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
 
 
 def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
@@ -225,9 +256,7 @@ def find_links(comparison: Comparison, members: DataFrame) -> DataFrame:
                 other = members.select(F.col("node").alias("v"), F.col("part").alias("v_part")).distinct()
                 pairs = pairs.join(other, "v").where("part <> v_part")
         else:  # what is left: members of one bucket that the pivots did not join
-            a = members.select("bucket", F.col("node").alias("u"), F.col("part").alias("u_part"))
-            b = members.select("bucket", F.col("node").alias("v"), F.col("part").alias("v_part"))
-            pairs = a.join(b, "bucket").where("u < v and u_part <> v_part")
+            pairs = comparison.rare_pairs(members)
         new = comparison.links(pairs.select("u", "v"))
         if new is not None:
             edges = new if edges is None else edges.unionByName(new)
