@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from swipeline import config
 from swipeline.operators.scoring import RULES_A, contribution
 
 # --- fixed values -------------------------------------------------------------
@@ -13,9 +14,13 @@ PSI_ALERT = 0.25
 PR_AUC_DROP_ALERT = 0.05
 RECALL_TARGET = 0.95
 AUDIT_TOP = 5
+FPR_ALERT = 0.05
+PRECISION_ALERT = 0.85
 SMOOTHING = 10  # transactions worth of the global rate
 # --------------------------------------------------------------------------------
 
+HOUR_US, DAY_US = 3600 * config.US, config.DAY_S * config.US
+
 
 def merchant_risk(transactions: DataFrame) -> DataFrame:
     """Fraud rate, risk score and volume per merchant.
@@ -46,6 +51,39 @@ def merchant_risk(transactions: DataFrame) -> DataFrame:
     )
 
 
+def merchant_risk_history(transactions: DataFrame) -> DataFrame:
+    """`merchant_risk` as it was known at the end of every day a merchant sold on.
+
+    `known_us` is that moment: an as-of join on it shows a row the days before its own. Rows
+    are first counted per merchant and day, so the running sums see days, not rows.
+    """
+    day = F.floor(F.col("ts_us") / DAY_US)
+    per_day = transactions.groupBy("merchant_id", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_fraud").cast("bigint")).alias("n_fraud")
+    )
+    so_far = Window.partitionBy("merchant_id").orderBy("day")
+    running = per_day.select(
+        "merchant_id", "day",
+        F.sum("n").over(so_far).alias("total_transactions"), F.sum("n_fraud").over(so_far).alias("n_fraud"),
+    )
+    # one row per day
+    days = per_day.groupBy("day").agg(F.sum("n").alias("n"), F.sum("n_fraud").alias("f"))
+    all_days = Window.orderBy("day")
+    rates = days.select("day", (F.sum("f").over(all_days) / F.sum("n").over(all_days)).alias("g"))
+    smoothed = (F.col("n_fraud") + F.lit(SMOOTHING) * F.col("g")) / (
+        F.col("total_transactions") + F.lit(SMOOTHING)
+    )
+    return running.join(rates, "day").withColumn("s", smoothed).select(
+        "merchant_id",
+        ((F.col("day") + 1) * DAY_US).alias("known_us"),
+        "total_transactions",
+        (F.col("n_fraud") / F.col("total_transactions")).alias("fraud_rate"),
+        F.when(F.col("s") + F.col("g") > 0, F.col("s") / (F.col("s") + F.col("g")))
+        .otherwise(F.lit(0.5))
+        .alias("risk_score"),
+    )
+
+
 def user_history(transactions: DataFrame, top: int = 3) -> DataFrame:
     """Mean amount and favourite merchants per card."""
     visits = transactions.groupBy("card_id", "merchant_id").agg(
@@ -110,6 +148,70 @@ def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = PSI_BIN
     )
 
 
+def psi_features(
+    expected: DataFrame, actual: DataFrame, columns: list[str], bins: int = PSI_BINS
+) -> DataFrame:
+    """(feature, psi) of many columns: both sides are read once for the edges and once for
+    the counts. A feature without expected values, or in one bin, has psi 0."""
+    def values(side: DataFrame, mark: int) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns]
+        return side.select(F.inline(F.array(*pairs))).where("x is not null").withColumn("e", F.lit(mark))
+
+    both = values(expected, 1).unionByName(values(actual, 0))
+    edges = values(expected, 1).groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    number = F.when(width > 0, F.floor((F.col("x") - F.col("lo")) / width)).otherwise(F.lit(0))
+    counts = (
+        both.join(F.broadcast(edges), "feature")  # one row per column
+        .groupBy("feature", F.greatest(F.lit(0), F.least(F.lit(bins - 1), number)).alias("bin"))
+        .agg(F.sum("e").alias("n_e"), F.sum(1 - F.col("e")).alias("n_a"))
+    )
+    whole = Window.partitionBy("feature")
+    share = lambda c: F.greatest(F.col(c) / F.sum(c).over(whole), F.lit(PSI_FLOOR))
+    shares = counts.select("feature", share("n_e").alias("pe"), share("n_a").alias("pa"))
+    return shares.groupBy("feature").agg(
+        F.sum((F.col("pa") - F.col("pe")) * F.log(F.col("pa") / F.col("pe"))).alias("psi")
+    )
+
+
+def windowed_metrics(
+    scored: DataFrame, threshold: float, time: str = "ts_us", label: str = "is_fraud"
+) -> DataFrame:
+    """(metric, window_us, value, alert): the false positive rate of every hour and the
+    precision at 95 % recall of every day, each with its alert. Rows are counted per
+    hour, day and score before anything is ordered."""
+    hit, fraud = F.col("fraud_probability") > threshold, F.col(label) == 1
+    start = lambda us: F.col(time) - F.pmod(F.col(time), F.lit(us))
+    counts = scored.groupBy(
+        start(HOUR_US).alias("hour"), start(DAY_US).alias("day"),
+        F.round("fraud_probability", 4).alias("score"),
+    ).agg(
+        F.count_if(hit & ~fraud).alias("fp"), F.count_if(~fraud).alias("negatives"),
+        F.count_if(fraud).alias("pos"), F.count(F.lit(1)).alias("n"),
+    )
+    rate = F.coalesce(F.try_divide(F.sum("fp"), F.sum("negatives")), F.lit(0.0))
+    hourly = counts.groupBy(F.col("hour").alias("window_us")).agg(rate.alias("value"))
+    per_day = counts.groupBy("day", "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    down = Window.partitionBy("day").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    curve = per_day.select(
+        "day",
+        (F.sum("pos").over(down) / F.sum("n").over(down)).alias("precision"),
+        F.try_divide(F.sum("pos").over(down), F.sum("pos").over(Window.partitionBy("day"))).alias("recall"),
+    )
+    daily = curve.groupBy(F.col("day").alias("window_us")).agg(
+        F.max(F.when(F.col("recall") >= RECALL_TARGET, F.col("precision"))).alias("value")
+    )
+    return hourly.select(
+        F.lit("false_positive_rate").alias("metric"), "window_us", "value",
+        (F.col("value") > FPR_ALERT).cast("int").alias("alert"),
+    ).unionByName(
+        daily.select(
+            F.lit("precision_at_95_recall").alias("metric"), "window_us", "value",
+            (F.col("value") < PRECISION_ALERT).cast("int").alias("alert"),
+        )
+    )
+
+
 def confusion(scored: DataFrame, threshold: float, label: str = "is_fraud") -> DataFrame:
     """Counts, precision, recall and false positive rate at a threshold."""
     hit, fraud = F.col("fraud_probability") > threshold, F.col(label) == 1
@@ -189,14 +291,14 @@ def business_metrics(scored: DataFrame, threshold: float, label: str = "is_fraud
 
 def alerts(drift: DataFrame, quality: DataFrame, baseline_pr_auc: float) -> DataFrame:
     """Drift and detection alerts from one-row PSI and PR-AUC frames."""
-    psi_value = drift.select("psi").scalar()
-    auc = quality.select("pr_auc").scalar()
-    one = drift.sparkSession.range(1)
-    return one.select(
-        psi_value.alias("psi"),
-        auc.alias("pr_auc"),
-        (psi_value > PSI_ALERT).cast("int").alias("drift_alert"),
-        (auc < baseline_pr_auc * (1 - PR_AUC_DROP_ALERT)).cast("int").alias("pr_auc_alert"),
+    both = drift.select("psi", F.lit(None).cast("double").alias("pr_auc")).unionByName(
+        quality.select(F.lit(None).cast("double").alias("psi"), "pr_auc")
+    )
+    return both.agg(F.max("psi").alias("psi"), F.max("pr_auc").alias("pr_auc")).withColumns(
+        {
+            "drift_alert": (F.col("psi") > PSI_ALERT).cast("int"),
+            "pr_auc_alert": (F.col("pr_auc") < baseline_pr_auc * (1 - PR_AUC_DROP_ALERT)).cast("int"),
+        }
     )
 
 

@@ -45,6 +45,23 @@ def insert_once(log: DataFrame | None, new: DataFrame) -> DataFrame:
     return first.join(log.select("transaction_id"), "transaction_id", "left_anti")
 
 
+def with_labels(log: DataFrame, labels: DataFrame) -> DataFrame:
+    """The log with labels that came in later, by transaction id (transaction_id,
+    actual_label). Of several, fraud counts; a row without one
+    keeps what it has."""
+    late = labels.where(F.col("actual_label").isNotNull()).groupBy("transaction_id").agg(
+        F.max("actual_label").alias("_label")
+    )
+    joined = log.join(late, "transaction_id", "left")
+    filled = F.coalesce(F.col("_label"), F.col("actual_label")).cast("int")
+    return joined.withColumn("actual_label", filled).select(*log.columns)
+
+
+def labelled(log: DataFrame) -> DataFrame:
+    """Rows of the log that the detection metrics can use, with the label as `is_fraud`."""
+    return log.where(F.col("actual_label").isNotNull()).withColumn("is_fraud", F.col("actual_label"))
+
+
 def get_prediction(log: DataFrame, transaction_id: str, features_schema: str) -> DataFrame:
     """One prediction with its features parsed; the filter reaches the Parquet scan."""
     found = log.where(F.col("transaction_id") == transaction_id)

@@ -157,25 +157,28 @@ def model_score(
 
     The model goes to each Python worker once; batches arrive through Arrow.
     Columns the frame lacks count as 0, and a batch the model refuses falls back
-    to the rule score.
+    to the rule score; `{name}_source` says which it is, `model` or `rules`.
     """
     columns = columns or list(getattr(model, "feature_name_", MODEL_COLUMNS))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("p double, source string")
+    def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         loaded = shared.value
         for batch in batches:
             matrix = pd.concat(batch[:-1], axis=1).to_numpy(dtype=float)
             try:
-                yield pd.Series(loaded.predict_proba(matrix)[:, 1])
+                yield pd.DataFrame({"p": loaded.predict_proba(matrix)[:, 1], "source": "model"})
             except (ValueError, TypeError, ArithmeticError):
-                yield batch[-1]
+                yield pd.DataFrame({"p": batch[-1], "source": "rules"})
 
     inputs = [
         (F.col(c).cast("double") if c in rows.columns else F.lit(0.0)) for c in columns
     ]
-    return rows.withColumn(name, predict(*inputs, rule_score_a()))
+    scored = rows.withColumn("_scored", predict(*inputs, rule_score_a()))
+    return scored.withColumns(
+        {name: F.col("_scored.p"), f"{name}_source": F.col("_scored.source")}
+    ).drop("_scored")
 
 
 def score_summary(scored: DataFrame) -> DataFrame:

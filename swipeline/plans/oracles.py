@@ -9,6 +9,12 @@ from __future__ import annotations
 SQL: dict[str, str] = {}
 
 
+PSI_COLUMNS = [
+    "amount", "amount_log", "tx_count_10m", "tx_count_1h", "tx_count_24h", "total_amount_24h",
+    "unique_merchants_24h", "time_since_last_tx", "hour_of_day", "merchant_fraud_rate",
+]
+
+
 def r(expression: str, digits: int = 6) -> str:
     """Half-up rounding through nine decimals, as the Spark side does it."""
     return (
@@ -24,8 +30,8 @@ TX = """tx as (
       + (us % 345600000000) // 288 else us end ts_us,
     case when event_id % 20 = 0 then null else 25 + ((event_id * 37) % 200) / 10.0::double end lat,
     case when event_id % 20 = 0 then null else -120 + ((event_id * 53) % 400) / 10.0::double end lon,
-    cast((event_id * 7919) % 100 < 4 + least(60, floor(value
-      * (case when event_id % 7 = 0 then 25 else 1 end) / 25)) as int) is_fraud, event_id, user_id
+    cast((event_id * 7919) % 100 < 2 + least(85, floor(value
+      * (case when event_id % 7 = 0 then 25 else 1 end) / 12)) as int) is_fraud, event_id, user_id
   from (select *, epoch_us(ts) us from events))"""
 
 TIES = """ties as (
@@ -473,6 +479,23 @@ put("model_features", SCORED, f"""select transaction_id, {r('amount', 4)} amount
   is_new_card::bigint is_new_card, {r('merchant_risk_score', 4)} merchant_risk_score,
   {r('merchant_fraud_rate', 4)} merchant_fraud_rate, since_model time_since_last_tx,
   {r('per_tx', 4)} amount_per_tx_1h from scored""")
+MODELLED = f"""{SCORED}, modelled as (
+  select *, 1 / (1 + exp(-(0.002::double * amount + 0.3::double * tx_count_10m
+    + 0.5::double * is_new_card - 2))) mp from scored)"""
+put("model_score", MODELLED, f"""select transaction_id, {r('mp')} model_probability,
+  'model' model_probability_source,
+  case when round(mp, 6) >= 0.7 then 'HIGH' when round(mp, 6) >= 0.3 then 'MEDIUM' else 'LOW' end risk_level,
+  case when round(mp, 6) >= 0.7 then 'BLOCK' when round(mp, 6) >= 0.3 and amount > 5000 then 'REVIEW'
+    else 'APPROVE' end decision from modelled""")
+put("model_fallback", SCORED, """select transaction_id, fraud_probability model_probability,
+  'rules' model_probability_source from scored""")
+put("label_predictions", SCORED, """select transaction_id, decision,
+  case when transaction_id::bigint % 3 <> 0 then is_fraud end actual_label from scored""")
+put("recent_by_card", SCORED, """select transaction_id, card_id, amount, risk_level from scored
+  where card_id = '1' order by ts_us desc, transaction_id desc limit 10""")
+put("training_leakage", TX, """select count(*) n_rows,
+  count(*) filter (ts_us >= (first_day + 1) * 86400000000) n_hits, 0::bigint n_leaks
+  from tx join (select merchant_id, min(ts_us // 86400000000) first_day from tx group by 1) using (merchant_id)""")
 put("rule_score_a", SCORED, "select transaction_id, fraud_probability from scored")
 put("rule_score_b", SERVICE, "select transaction_id, fraud_probability from service_scored")
 put("rule_score_c", TX, """select transaction_id,
@@ -575,6 +598,36 @@ put("confusion_metrics", f"""{SCORED}, c as (
     f"""select tp true_positives, fp false_positives, fn false_negatives, tn true_negatives,
   {r('tp::double / (tp + fp)')} "precision", {r('tp::double / (tp + fn)')} recall,
   {r('fp::double / (fp + tn)')} false_positive_rate from c""")
+SQL["log_metrics"] = SQL["confusion_metrics"].replace(
+    "tn from scored)", "tn from scored where transaction_id::bigint % 3 <> 0)"
+)
+put("psi_features", f"""{FEATURES}, sides as (
+  select *, ts_us < {HALF} e from features),
+long as (unpivot (select e, {', '.join(f'{c}::double {c}' for c in PSI_COLUMNS)} from sides)
+  on {', '.join(PSI_COLUMNS)} into name feature value x),
+edges as (select feature, min(x) lo, max(x) hi from long where e group by 1),
+bins as (select feature, case when hi > lo
+    then greatest(0, least(9, floor((x - lo) / ((hi - lo) / 10.0::double)))) else 0 end bin,
+  count(*) filter (e) ne, count(*) filter (not e) na from long join edges using (feature) group by 1, 2),
+shares as (select feature, greatest(ne / sum(ne) over (partition by feature), 1e-6) pe,
+  greatest(na / sum(na) over (partition by feature), 1e-6) pa from bins)""",
+    f"select feature, {r('sum((pa - pe) * ln(pa / pe))')} psi from shares group by feature")
+put("windowed_metrics", f"""{SCORED}, hours as (
+  select ts_us // 3600000000 * 3600000000 window_us,
+    count(*) filter (is_fraud = 0 and fraud_probability > 0.15) fp, count(*) filter (is_fraud = 0) neg
+  from scored group by 1),
+days as (select ts_us // 86400000000 * 86400000000 d, fraud_probability s, sum(is_fraud) pos, count(*) n
+  from scored group by 1, 2),
+curves as (select d, (sum(pos) over w)::double / sum(n) over w p,
+    case when sum(pos) over (partition by d) > 0
+      then (sum(pos) over w)::double / sum(pos) over (partition by d) end rc
+  from days window w as (partition by d order by s desc)),
+daily as (select d window_us, max(p) filter (rc >= 0.95) v from curves group by 1),
+both_kinds as (
+  select 'false_positive_rate' metric, window_us, case when neg > 0 then fp::double / neg else 0 end v from hours
+  union all select 'precision_at_95_recall', window_us, v from daily)""",
+    f"""select metric, window_us, {r('v')} "value",
+  (case when metric = 'false_positive_rate' then v > 0.05 else v < 0.85 end)::int alert from both_kinds""")
 PR = """per as (select fraud_probability s, sum(is_fraud) pos, count(*) n from scored group by 1),
 curve as (select s, pos, (sum(pos) over w)::double / sum(n) over w pr,
   (sum(pos) over w)::double / sum(pos) over () rc, pos::double / sum(pos) over () st

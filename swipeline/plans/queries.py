@@ -63,6 +63,10 @@ def half_time(rows: DataFrame, time: str = "ts_us") -> Column:
     return F.lit(None).cast("bigint") if low is None else F.lit(low + (high - low) // 2)
 
 
+FIXED_MODEL = training.LinearScorer(
+    [0.002, 0.3, 0.5, 9.0], -2.0, ["amount", "tx_count_10m", "is_new_card", "no_such_column"]
+)
+
 # --- shared inputs -------------------------------------------------------------------
 
 
@@ -749,13 +753,58 @@ def score_summary(spark, sf_dir):
 
 @query
 def model_score(spark, sf_dir):
-    """A logistic model fitted on the whole table, applied through Arrow batches."""
-    # written once: the fit and the scoring both read it
-    inputs = cut_lineage(realtime.score_inputs(features(spark, sf_dir)))
-    model = training.fit_linear(inputs)
-    out = scoring.model_score(inputs, model)
-    decided = scoring.decide(out, F.col("model_probability"))
-    return decided.select("transaction_id", rounded("model_probability"), "risk_level", "decision")
+    """A logistic model of fixed weights, one of them for a column that is not there."""
+    inputs = realtime.score_inputs(features(spark, sf_dir))
+    out = scoring.model_score(inputs, FIXED_MODEL)
+    decided = scoring.decide(out, F.round("model_probability", 6))
+    return decided.select(
+        "transaction_id", rounded("model_probability"), "model_probability_source", "risk_level", "decision"
+    )
+
+
+class Refusing:
+    """A model that takes no batch."""
+
+    def predict_proba(self, matrix):
+        raise ValueError("the matrix has another shape")
+
+
+@query
+def model_fallback(spark, sf_dir):
+    """Every batch is refused: the rules score, and the source says so."""
+    out = scoring.model_score(realtime.score_inputs(features(spark, sf_dir)), Refusing())
+    return out.select("transaction_id", "model_probability", "model_probability_source")
+
+
+@query
+def label_predictions(spark, sf_dir):
+    """The log after labels came in for two of three transactions."""
+    return predictions.with_labels(prediction_log(spark, sf_dir), late_labels(spark, sf_dir)).select(
+        "transaction_id", "decision", "actual_label"
+    )
+
+
+def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = tables.transactions(spark, sf_dir).where(F.col("transaction_id").cast("bigint") % 3 != 0)
+    return tx.select("transaction_id", F.col("is_fraud").alias("actual_label"))
+
+
+@query
+def log_metrics(spark, sf_dir):
+    """Detection metrics from the labelled rows of the log."""
+    log = predictions.with_labels(prediction_log(spark, sf_dir), late_labels(spark, sf_dir))
+    out = monitoring.confusion(predictions.labelled(log), ALERT_THRESHOLD)
+    return out.select(
+        "true_positives", "false_positives", "false_negatives", "true_negatives",
+        rounded("precision"), rounded("recall"), rounded("false_positive_rate"),
+    )
+
+
+@query
+def recent_by_card(spark, sf_dir):
+    """The newest ten predictions of one card, that of the first user."""
+    out = predictions.recent_predictions(prediction_log(spark, sf_dir), 10, "1")
+    return out.select("transaction_id", "card_id", "amount", "risk_level")
 
 
 @query
@@ -897,6 +946,27 @@ def psi(spark, sf_dir):
     return monitoring.psi(expected, actual, "amount").select(rounded("psi"))
 
 
+PSI_COLUMNS = [
+    "amount", "amount_log", "tx_count_10m", "tx_count_1h", "tx_count_24h", "total_amount_24h",
+    "unique_merchants_24h", "time_since_last_tx", "hour_of_day", "merchant_fraud_rate",
+]
+
+
+@query
+def psi_features(spark, sf_dir):
+    """Drift of ten features between the halves, in one pass."""
+    rows = features(spark, sf_dir)
+    half = F.col("ts_us") < half_time(tables.transactions(spark, sf_dir))
+    out = monitoring.psi_features(rows.where(half), rows.where(~half), PSI_COLUMNS)
+    return out.select("feature", rounded("psi"))
+
+
+@query
+def windowed_metrics(spark, sf_dir):
+    out = monitoring.windowed_metrics(scored(spark, sf_dir), ALERT_THRESHOLD)
+    return out.select("metric", "window_us", rounded("value"), "alert")
+
+
 @query
 def confusion_metrics(spark, sf_dir):
     out = monitoring.confusion(scored(spark, sf_dir), ALERT_THRESHOLD)
@@ -943,10 +1013,25 @@ def audit_log(spark, sf_dir):
     return monitoring.audit_log(scored(spark, sf_dir))
 
 
+def point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = tables.transactions(spark, sf_dir)
+    return realtime.point_in_time(velocity.card_history(tx), monitoring.merchant_risk_history(tx))
+
+
+@query
+def training_leakage(spark, sf_dir):
+    """Rows of the training frame, those with a known merchant, and those that know it from
+    their own day or later."""
+    rows = point_in_time(spark, sf_dir)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("feature_time").alias("n_hits"),
+        F.count_if(F.col("feature_time") > F.col("ts_us")).alias("n_leaks"),
+    )
+
+
 @query
 def train_model(spark, sf_dir):
     """Boosted trees on point-in-time inputs; average precision on the later rows."""
-    inputs = realtime.score_inputs(features(spark, sf_dir))
-    _, test, importance = training.train(inputs)
+    _, test, importance = training.train(realtime.score_inputs(point_in_time(spark, sf_dir)))
     top = importance.orderBy(F.desc("importance")).limit(1).select("feature").scalar()
     return monitoring.pr_auc(test).withColumn("top_feature", top)

@@ -40,16 +40,33 @@ def vector(history: DataFrame, merchants: DataFrame) -> DataFrame:
     Also keeps the ids, `unique_merchants_since_idle` and the unrounded average
     and previous time that scoring reads.
     """
-    rows = store.lookup_merchant(history, merchants)
+    return with_merchant(store.lookup_merchant(history, merchants))
+
+
+def point_in_time(history: DataFrame, risk: DataFrame, limit: int | None = None) -> DataFrame:
+    """The same features for training: merchants as they were known before each row.
+
+    risk: `monitoring.merchant_risk_history`. No label of the row, its day or a later
+    day reaches an input. Keeps `feature_time`, the moment the merchant was known as of.
+    """
+    names = list(config.MERCHANT_DEFAULTS)
+    found = store.as_of_join(
+        history, risk, "merchant_id", "ts_us", "known_us", names, config.VIEW_TTL_S, "known_us", limit
+    )
+    filled = {f"merchant_{c}": F.coalesce(F.col(c), F.lit(d)) for c, d in config.MERCHANT_DEFAULTS.items()}
+    return with_merchant(found.withColumns(filled), "feature_time")
+
+
+def with_merchant(rows: DataFrame, *keep: str) -> DataFrame:
     full = rows.withColumns(
         scalar_columns()
         | velocity.rolling_columns()
         | {"merchant_category": scalars.category_or_unknown(F.col("merchant_category"))}
     ).withColumn("amount", F.col("amount").cast("double"))
-    labels = [c for c in ["is_fraud"] if c in history.columns]
+    labels = [c for c in ["is_fraud"] if c in rows.columns]
     return full.select(
         "transaction_id", "card_id", "merchant_id", "ts_us", *VECTOR,
-        "unique_merchants_since_idle", "ema_before", "prev_ts", *labels,
+        "unique_merchants_since_idle", "ema_before", "prev_ts", *labels, *keep,
     )
 
 

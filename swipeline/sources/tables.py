@@ -27,8 +27,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case when event_id % 20 = 0 then null else 25 + ((event_id * 37) % 200) / 10.0D end as lat",
             "case when event_id % 20 = 0 then null else -120 + ((event_id * 53) % 400) / 10.0D end as lon",
             # likelier for large amounts, never certain, and no function of the other fields
-            "cast((event_id * 7919) % 100 < 4 + least(60, floor(value"
-            " * (case when event_id % 7 = 0 then 25 else 1 end) / 25)) as int) as is_fraud",
+            "cast((event_id * 7919) % 100 < 2 + least(85, floor(value"
+            " * (case when event_id % 7 = 0 then 25 else 1 end) / 12)) as int) as is_fraud",
         )
     )
 

@@ -170,8 +170,8 @@ def test_state_report(spark):
          ("e", '{"amount":1,"merchant_id":"m","timestamp":8}', 7)],
         "card_id string, value string, score bigint",
     )
-    issues = [r[0] for r in history.select(quality.history_issue(F.col("value"), F.col("score"))).collect()]
-    assert issues == [None, "Invalid JSON", "Invalid amount", "Missing 'amount' field", "Timestamp mismatch"]
+    issues = [r.issue for r in quality.with_history_issue(history).collect()]
+    assert issues == [None, "text", "amount", "no_amount", "time"]
     stats = spark.createDataFrame(
         [("a", "75.5", "946684800"), ("b", "abc", None), ("c", "-1", None), ("d", None, "1.5x"),
          ("e", None, "946684799"), ("f", None, None)],
