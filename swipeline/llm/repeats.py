@@ -5,7 +5,9 @@ windows have equal anchors at equal distances, so consecutive windows with one a
 segment, and only segments with equal anchors have to meet. Segments travel as hashes: those
 whose anchor occurs once are done, and equal segments are counted, not compared. Of what
 is left - different contexts around one anchor - each partition of anchors orders its
-suffixes by induction (see `induced`), which says where strings of LENGTH bytes repeat.
+suffixes by induction (see `induced`), which says where strings of LENGTH bytes repeat. An
+anchor of very many contexts, such as the edge of a passage that a large part of the texts
+has, is spread instead: its windows are counted by hash, combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from swipeline.llm.words import mix, powers
 from swipeline.session import cut_lineage
 
 LENGTH, ANCHOR = 200, 32
+#: An anchor with more different contexts than this is not ordered in one task: its windows are
+#: hashed and counted one by one.
+HOT_CONTEXTS = 500_000
 SLICE_BYTES = 2 << 20
 HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF)
 SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -106,9 +111,32 @@ def context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count, distance = rows.field("count").to_numpy(), rows.field("distance").to_numpy()
             suffix = [raw[a + d : a + c - 1 + LENGTH].tobytes() for a, c, d in zip(first, count, distance)]
             left = [raw[a : a + d].tobytes() for a, d in zip(first, distance)]
+            names = [rows.field(c) for c in ("anchor", "context", "hot")]
             yield pa.RecordBatch.from_arrays(
-                [rows.field("anchor"), rows.field("context"), pa.array(suffix, pa.binary()), pa.array(left, pa.binary())],
-                ["anchor", "context", "suffix", "left"],
+                [*names, pa.array(suffix, pa.binary()), pa.array(left, pa.binary())],
+                ["anchor", "context", "hot", "suffix", "left"],
+            )
+
+
+def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, context, place, distance, window): the hash of each window of a context; place
+    counts from the context's first window, distance to the anchor."""
+    columns = ("anchor", "context", "suffix", "left")
+    for batch in batches:
+        for anchor, context, suffix, left in zip(*(batch.column(c).to_pylist() for c in columns)):
+            raw = np.frombuffer(left + suffix, np.uint8).astype(np.uint64) + np.uint64(1)
+            up, down = powers(len(raw) + 1)
+            with np.errstate(over="ignore"):
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * up[:-1])])
+                n = len(raw) - LENGTH + 1
+                window = mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n])
+            place = np.arange(n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n, anchor)), pa.array(np.full(n, context)), pa.array(place.astype(np.int16)),
+                    pa.array((len(left) - place).astype(np.int16)), pa.array(window.view(np.int64)),
+                ],
+                ["anchor", "context", "place", "distance", "window"],
             )
 
 
@@ -186,6 +214,20 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def hot_runs(contexts: DataFrame) -> DataFrame:
+    """Repeated windows of contexts, as runs of one: those whose hash another context of the
+    anchor has at the same distance."""
+    windows = cut_lineage(
+        contexts.mapInArrow(
+            window_rows, "anchor bigint, context bigint, place smallint, distance smallint, window bigint"
+        )
+    )
+    by = ["anchor", "distance", "window"]
+    repeated = windows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by)
+    found = windows.join(repeated, by, "left_semi")
+    return found.select("anchor", "context", F.col("place").alias("low"), F.col("place").alias("high"))
+
+
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """(hash, crc, low, high): runs of windows, by their first and last start in the text
     with that key, that also start elsewhere. texts: one row per text, in column __text."""
@@ -199,22 +241,28 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     contexts = cut_lineage(
         meeting.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), *one.values())
     )
-    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    several = several.select("anchor", (F.col("size") > HOT_CONTEXTS).alias("hot"))
     wanted = (
-        contexts.join(several, "anchor", "left_semi")
+        contexts.join(several, "anchor")
         .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("anchor", "context", "first", "count", "distance")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "context", "hot", "first", "count", "distance")).alias("wanted"))
     )
     # Copies of a text have the same contexts: one of them is enough.
     one_of_each = texts.select(*text_key(F.col("__text")), "__text").groupBy(*KEY).agg(F.first("__text").alias("__text"))
     cut = (
         one_of_each.join(wanted, KEY)
         .select("wanted", "__text")
-        .mapInArrow(context_rows, "anchor bigint, context bigint, suffix binary, left binary")
+        .mapInArrow(context_rows, "anchor bigint, context bigint, hot boolean, suffix binary, left binary")
     )
-    runs = cut.repartition("anchor").mapInArrow(
+    hot_anchors = several.where("hot").limit(1).count() > 0
+    if hot_anchors:  # both ways read the contexts
+        cut = cut_lineage(cut)
+    runs = cut.where("not hot").repartition("anchor").mapInArrow(
         repeated_rows, "anchor bigint, context bigint, low smallint, high smallint"
     )
+    if hot_anchors:
+        runs = runs.unionByName(hot_runs(cut.where("hot")))
     runs = cut_lineage(runs)
     lone = contexts.where("n = 1").select(*KEY, "anchor", "context", "first")
     partly = lone.join(runs, ["anchor", "context"]).select(

@@ -68,6 +68,17 @@ def test_against_brute_force(spark, seed):
         assert bytes(got[k]["kept"]) == bytes(cut + raw[k][at:])
 
 
+def test_hot_anchors(spark, monkeypatch):
+    """Anchors of many contexts, counted by window, give the same spans."""
+    monkeypatch.setattr(repeats, "HOT_CONTEXTS", 2)
+    texts = random_texts(3)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    raw = [(t or "").encode() for t in texts]
+    want = brute_force(raw, 200)
+    for r in repeats.remove_repeats(docs).collect():
+        assert [(s["start"], s["behind"]) for s in r["spans"]] == want[r[PACKED]["doc_id"]]
+
+
 def test_queue_spills_and_groups(monkeypatch):
     """The same runs whatever fits in memory."""
     monkeypatch.setattr(induced, "MAPPED_BYTES", 100)
