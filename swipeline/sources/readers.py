@@ -37,11 +37,11 @@ def features(
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 200
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    """New files of a folder; the trigger option bounds a micro-batch, and with it what one
+    card can bring at once."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 

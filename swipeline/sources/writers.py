@@ -116,29 +116,46 @@ class VersionedTable:
 
 
 class PredictionLog:
-    """Append-only Parquet log, one folder per batch; ids enter once."""
+    """Append-only Parquet log, one folder per batch, partitioned by a hash of the id; ids
+    enter once. A batch reads the ids of its own buckets alone, so a small batch costs a small
+    part of the log, whose rows never move."""
+
+    BUCKETS = 256
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def read(self, before: int | None = None) -> DataFrame | None:
+    def _rows(self, before: int | None = None) -> DataFrame | None:
         known = [
             n for n in complete(self.spark, self.path, "v") if before is None or n < before
         ]
         return self.spark.read.parquet(*[f"{self.path}/v={n}" for n in known]) if known else None
 
+    def read(self, before: int | None = None) -> DataFrame | None:
+        rows = self._rows(before)
+        return None if rows is None else rows.drop("bucket")
+
+    def known(self, ids: DataFrame, before: int | None = None) -> DataFrame | None:
+        """Those of the ids (transaction_id, bucket) that the log holds, looked up from the
+        log's side in the partitions they belong to."""
+        rows = self._rows(before)
+        if rows is None:
+            return None
+        touched = [r[0] for r in ids.select("bucket").distinct().collect()]  # at most BUCKETS
+        near = rows.where(F.col("bucket").isin(touched)).select("transaction_id")
+        return near.join(ids.select("transaction_id"), "transaction_id", "left_semi")
+
     def append(self, new: DataFrame, batch: int) -> None:
         """A repeated batch replaces its own folder, so a retry adds nothing twice.
 
-        The batch is written out first: it is used twice, and a streaming batch must
-        not run its state twice. Known ids are looked up from the log's side, so a
-        small batch is broadcast to a scan of one column and the log never moves.
+        The batch is written out first: it is used more than once, and a streaming batch must
+        not run its state twice.
         """
-        fresh = insert_once(None, new)
-        log = self.read(before=batch)
-        if log is not None:
-            fresh = cut_lineage(fresh)
-            ids = fresh.select("transaction_id")
-            known = log.select("transaction_id").join(ids, "transaction_id", "left_semi")
+        bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(self.BUCKETS)).cast("int")
+        fresh = cut_lineage(insert_once(None, new).withColumn("bucket", bucket))
+        known = self.known(fresh.select("transaction_id", "bucket"), before=batch)
+        if known is not None:
             fresh = fresh.join(known, "transaction_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{self.path}/v={batch}")
+        fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{self.path}/v={batch}"
+        )

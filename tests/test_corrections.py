@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from swipeline.functions import cleaning
 from swipeline.operators import clean, hot, monitoring, predictions, store, velocity
 from swipeline.plans import queries, stream_queries
+from swipeline.sources import writers
 from tests.conftest import DAY, NOON, SECOND
 
 
@@ -70,6 +73,20 @@ def test_every_hot_key_is_split_into_as_many_pieces_as_it_needs(spark, make):
     assert pieces.groupBy("card_id", hot.PIECE).count().agg(F.max("count")).first()[0] <= 12
 
 
+def test_log_reads_the_touched_buckets_only(spark, tmp_path):
+    log = writers.PredictionLog(spark, f"{tmp_path}/log")
+    rows = lambda ids: spark.createDataFrame([(str(i), "b") for i in ids], "transaction_id string, created_at string")
+    log.append(rows(range(2000)), 0)
+    log.append(rows([5, 5, 7000]), 1)
+    log.append(rows([5, 5, 7000, 8000]), 1)  # a retry
+    assert sorted(int(r[0]) for r in log.read().select("transaction_id").collect()) == [*range(2000), 7000, 8000]
+    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(log.BUCKETS)).cast("int").alias("bucket")
+    known = log.known(rows([5, 9000]).select("transaction_id", bucket))
+    assert [r[0] for r in known.collect()] == ["5"]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+
+
 def test_late_labels(spark):
     log = spark.createDataFrame([("1", None), ("2", 0), ("3", None)], "transaction_id string, actual_label int")
     late = spark.createDataFrame([("1", 1), ("1", 0), ("2", None)], "transaction_id string, actual_label int")
