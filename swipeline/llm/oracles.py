@@ -35,7 +35,7 @@ SQL = {
         lines AS (
             SELECT doc_id, text, i - 1 AS number, string_split(line, ' ') AS w, line
             FROM (SELECT doc_id, text, unnest(range(1, len(ls) + 1)) AS i,
-                         regexp_replace(trim(ls[i], ' '), '\s+', ' ', 'g') AS line FROM texts)
+                         trim(ls[i], ' ') AS line FROM texts)
             WHERE line <> ''),
         leaves AS (
             SELECT *, len(w) || ' ' || array_to_string(list_transform(

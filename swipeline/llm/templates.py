@@ -26,17 +26,18 @@ def masked(token: Column) -> Column:
 
 
 def text_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, text_key, number, tokens, leaf) of every line with a token."""
+    """(id, text_key, number, line, leaf) of every line with a token. Tokens stand between
+    single blanks, without those at the line's ends."""
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.xxhash64(text).alias("text_key"),
         F.posexplode(F.split(text, "\n")).alias("number", "line"),
     )
-    rows = rows.withColumn("line", F.regexp_replace(F.trim("line"), r"\s+", " ")).where("line <> ''")
-    rows = rows.withColumn("tokens", F.split("line", " "))
-    head = F.transform(F.slice("tokens", 1, DEPTH), masked)
-    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), head)
-    return rows.select(*KEY, "number", "line", leaf.alias("leaf"))
+    rows = rows.select(*KEY, "number", F.trim("line").alias("line")).where("line <> ''")
+    # counted and cut as text: no list of tokens is made for a line
+    size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    head = F.regexp_replace(F.substring_index("line", " ", DEPTH), "[^ ]*[0-9][^ ]*", VARIABLE)
+    return rows.select(*KEY, "number", "line", F.concat_ws(" ", size, head).alias("leaf"))
 
 
 def recurring(rows: DataFrame, *by: str) -> DataFrame:
@@ -70,7 +71,9 @@ def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """(id, text_key, number, template, n_texts): the lines, numbered from 0 in their text,
     whose template recurs."""
     lines = text_lines(docs, id_column, text_column)
-    candidates = cut_lineage(lines.join(recurring(lines, "leaf").select("leaf"), "leaf", "left_semi"))
+    # a table first, so that its size is known: with few leaves the lines stay where they are
+    leaves = cut_lineage(recurring(lines, "leaf").select("leaf"))
+    candidates = cut_lineage(lines.join(leaves, "leaf", "left_semi"))
     placed = cut_lineage(
         candidates.join(line_templates(candidates), ["leaf", "line"]).select(*KEY, "number", "leaf", "template")
     )
