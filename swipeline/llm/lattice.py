@@ -5,12 +5,14 @@ substrings of bounded length are exploded and joined to the table of pieces, whi
 edges of a lattice; the edges of a word are gathered, and Viterbi's best path is a fold over
 them by Spark's `aggregate`. The words' ids then go back to the texts of the block.
 
-Blocks are sets of texts of bounded size, dealt by hash: both sides of the last step are
-shuffled by block, and no dictionary of the whole corpus is ever in one place.
+A block is a run of rows of an input partition, of bounded size. Its texts, compressed, and its
+words are shuffled by block once each; the lattice stays where its words are, and meets the
+texts there. No dictionary of the whole corpus is ever in one place.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -20,14 +22,18 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from swipeline.llm.tables import PACKED, map_rows, packed, slices
+from swipeline.llm.tables import PACKED, map_rows, slices, text_buffers
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The sign that stands for a blank in pieces.
 BLANK = "▁"
-#: Text bytes of a block, about.
-BLOCK_BYTES = 24 << 20
+#: Text bytes of a block.
+BLOCK_BYTES = 4 << 20
+#: Blocks of a task of the lattice, about, and the words whose edges it gathers by hash: beyond
+#: these Spark sorts them, which gives the same result.
+TASK_BLOCKS, TASK_WORDS = 1, 300_000
 #: Longer runs without a blank are cut at every so many characters.
 LONGEST_WORD = 256
 #: Most pieces of a model, which are broadcast.
@@ -36,7 +42,8 @@ MOST_PIECES = 1 << 20
 UNKNOWN_COST = 10.0
 
 WORD = re.compile(r" *[^ \n]+| +|\n")
-PART = "array<struct<score: double, ids: array<int>>>"
+#: An edge as text: its id and length, each raised by its base so that it has a fixed width.
+ID_BASE, LENGTH_BASE, ID_WIDTH, WIDTH = 3_000_000, 10, 7, 9
 
 
 class Pieces(NamedTuple):
@@ -94,38 +101,98 @@ def split(text: str | None) -> list[str]:
     return [w[k : k + LONGEST_WORD] for w in found for k in range(0, len(w), LONGEST_WORD)]
 
 
-def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different words of each block of a batch."""
+def blocks_of(
+    text_column: str, limit: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Blocks of rows with their texts; a block is named after what it holds, so that every
+    run over the partition gives the same names."""
+    for piece in slices(with_text(batches, text_column), "__text", limit):
+        offsets, raw = text_buffers(piece.column("__text"))
+        name = hashlib.blake2b(raw.tobytes() + offsets.tobytes(), digest_size=8).digest()
+        yield int.from_bytes(name, "little", signed=True), piece
+
+
+def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen: dict[int, set[str]] = {}
-        for block, text in zip(batch.column("block").to_pylist(), batch.column("__text").to_pylist()):
-            seen.setdefault(block, set()).update(split(text))
-        for block, found in seen.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(found), pa.int32()), pa.array(list(found), pa.string())], ["block", "word"]
-            )
+        rows = batch.column(PACKED)
+        yield pa.RecordBatch.from_arrays([rows, rows.field(text_column)], [PACKED, "__text"])
+
+
+def word_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, words): the different words of a block in order, one to a line. A line end is a
+    word of its own and is left out."""
+    for block, piece in blocks_of(text_column, limit, batches):
+        found = set(chain.from_iterable(map(split, piece.column("__text").to_pylist()))) - {"\n"}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array(["\n".join(sorted(found))])], ["block", "words"]
+        )
+
 
+def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, rows): a block's rows, compressed."""
+    for block, piece in blocks_of(text_column, limit, batches):
+        sink = pa.BufferOutputStream()
+        rows = piece.select([PACKED])
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(rows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"]
+        )
 
-def best_path(edges: Column) -> Column:
+
+def best_path(edges: Column, size: Column, longest: int) -> Column:
     """Ids on the path of the largest sum of scores; of equal sums, the one with the longest
-    last piece. edges (end, start, score, id) in this order, from place 0 on; each place is the
-    end of an edge. The state has the best path to each place so far."""
+    last piece.
 
-    def step(paths: Column, e: Column) -> Column:
-        before = paths[e["start"]]
-        path = F.struct(
-            (before["score"] + e["score"]).alias("score"), F.concat(before["ids"], F.array(e["id"])).alias("ids")
+    edges (end, start, score, id) are in this order, from place 0 on, and each place up to
+    `size` is the end of an edge. The state has the sums of the last places, as far back as an
+    edge can reach, the best edge to the current place so far, and the edges taken to all places
+    before as text of fixed width: Spark copies the state at each step, so it is kept flat.
+    """
+
+    def step(state: Column, e: Column) -> Column:
+        before = F.when(e["start"] == state["at"], state["score"]).otherwise(
+            F.element_at(state["scores"], e["start"] - state["at"])
+        )
+        total = before + e["score"]
+        taken = F.concat((e["id"] + ID_BASE).cast("string"), (e["end"] - e["start"] + LENGTH_BASE).cast("string"))
+        here = F.array(state["score"])
+        full = F.size(state["scores"]) >= longest
+        scores = F.when(full, F.concat(F.slice(state["scores"], 2, longest - 1), here)).otherwise(
+            F.concat(state["scores"], here)
+        )
+        moved = F.struct(
+            e["end"].alias("at"), total.alias("score"), taken.alias("taken"), scores.alias("scores"),
+            F.concat(state["ways"], state["taken"]).alias("ways"),
         )
-        last = F.element_at(paths, -1)
-        better = before["score"] + e["score"] > last["score"]
-        return (
-            F.when(F.size(paths) == e["end"], F.concat(paths, F.array(path)))
-            .when(better, F.concat(F.slice(paths, F.lit(1), F.size(paths) - 1), F.array(path)))
-            .otherwise(paths)
+        better = F.struct(
+            state["at"].alias("at"), total.alias("score"), taken.alias("taken"), state["scores"].alias("scores"),
+            state["ways"].alias("ways"),
+        )
+        return F.when(e["end"] != state["at"], moved).when(total > state["score"], better).otherwise(state)
+
+    def finish(state: Column) -> Column:
+        start = F.struct(
+            state["at"].alias("at"), F.concat(state["ways"], state["taken"]).alias("ways"),
+            F.array().cast("array<int>").alias("ids"),
         )
 
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
-    return F.aggregate(edges, origin.cast(PART), step, lambda paths: F.element_at(paths, -1)["ids"])
+        def back(s: Column, _: Column) -> Column:
+            here = F.lit(WIDTH) * (s["at"] - 1) + 1
+            number = s["ways"].substr(here, F.lit(ID_WIDTH)).cast("int") - ID_BASE
+            length = s["ways"].substr(here + ID_WIDTH, F.lit(WIDTH - ID_WIDTH)).cast("int") - LENGTH_BASE
+            one = F.struct(
+                (s["at"] - length).alias("at"), s["ways"].alias("ways"), F.concat(F.array(number), s["ids"]).alias("ids")
+            )
+            return F.when(s["at"] > 0, one).otherwise(s)
+
+        return F.aggregate(F.sequence(F.lit(1), size), start, back, lambda s: s["ids"])
+
+    origin = F.struct(
+        F.lit(0).alias("at"), F.lit(0.0).alias("score"), F.lit("").alias("taken"),
+        F.array().cast("array<double>").alias("scores"), F.lit("").alias("ways"),
+    )
+    return F.aggregate(edges, origin, step, finish)
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
@@ -144,28 +211,30 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
         F.coalesce("id", -F.ascii("piece") - 1).alias("id"),
     )
     lattice = edges.select("block", "word", edge.alias("edge")).groupBy("block", "word").agg(
-        F.array_sort(F.collect_list("edge")).alias("edges")
+        F.sort_array(F.collect_list("edge")).alias("edges")
     )
-    return lattice.select("block", "word", best_path(F.col("edges")).alias("ids"))
+    return lattice.select("block", "word", best_path(F.col("edges"), size, longest).alias("ids"))
 
 
-def text_rows(byte_ids: list[int], texts: pa.Table, words: pa.Table) -> pa.Table:
+def text_rows(
+    byte_ids: list[int], text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
+) -> pa.Table:
     """Ids of the texts of a block, from the ids of its words."""
-    known: dict[str, bytes] = {}
+    known = {"\n": np.array([byte_ids[10]], np.int32).tobytes()}
     for batch in words.to_batches():
         for word, ids in zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()):
             if min(ids) < 0:
                 whole = ([k] if k >= 0 else [byte_ids[b] for b in chr(-k - 1).encode()] for k in ids)
                 ids = list(chain.from_iterable(whole))
             known[word] = np.array(ids, np.int32).tobytes()
-    schema = pa.schema([texts.schema.field(PACKED), ("ids", pa.list_(pa.int32()))])
     out = []
-    for piece in slices(texts.to_batches(), "__text", 4 << 20):
-        encoded = [b"".join(map(known.__getitem__, split(t))) for t in piece.column("__text").to_pylist()]
-        offsets = np.zeros(len(encoded) + 1, np.int32)
-        np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
-        out.append(pa.RecordBatch.from_arrays([piece.column(PACKED), ids], schema=schema))
+    for stored in texts.column("rows"):
+        for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
+            encoded = [b"".join(map(known.__getitem__, split(t))) for t in piece.column("__text").to_pylist()]
+            offsets = np.zeros(len(encoded) + 1, np.int32)
+            np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+            out.append(pa.RecordBatch.from_arrays([piece.column(PACKED).cast(schema.field(PACKED).type), ids], schema=schema))
     return pa.Table.from_batches(out, schema)
 
 
@@ -177,21 +246,24 @@ def encode(docs: DataFrame, pieces: Pieces, text_column: str = "text", block_byt
     encoded; an empty table gives no rows; other columns are carried along under any names.
     """
     spark = docs.sparkSession
-    rows = packed(docs, text_column)
-    total = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    block = F.pmod(F.xxhash64(PACKED), F.lit(blocks)).cast("int").alias("block")
-    dealt = rows.select(block, PACKED, "__text").repartition("block")
-    words = dealt.mapInArrow(word_rows, "block int, word string").distinct()
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(TASK_WORDS))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(PACKED))
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_column}`")))).first()[0] or 0
+    tasks = max(2, -(-total // (block_bytes * TASK_BLOCKS)))
+    found = rows.mapInArrow(partial(word_rows, text_column, block_bytes), "block bigint, words string")
+    words = found.repartition(tasks, "block").select("block", F.explode(F.split("words", "\n")).alias("word"))
+    words = words.where("word <> ''").distinct()
     longest = max(len(t.decode(errors="replace")) for t in pieces.texts if t)
     mapping = encode_words(words, pieces.table(spark), longest, min(pieces.scores) - UNKNOWN_COST)
-    kind = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(PACKED)).schema[PACKED].dataType
+    stored = rows.mapInArrow(partial(stored_rows, text_column, block_bytes), "block bigint, rows binary")
+    kind = rows.schema[PACKED].dataType
+    schema = pa.schema([(PACKED, to_arrow_type(kind)), ("ids", pa.list_(pa.int32()))])
     byte_ids = pieces.byte_ids
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        return text_rows(byte_ids, texts, words)
+        return text_rows(byte_ids, text_column, schema, texts, words)
 
-    return dealt.groupBy("block").cogroup(mapping.groupBy("block")).applyInArrow(
+    return stored.repartition(tasks, "block").groupBy("block").cogroup(mapping.groupBy("block")).applyInArrow(
         run, f"{PACKED} {kind.simpleString()}, ids array<int>"
     )
 
