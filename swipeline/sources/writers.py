@@ -129,7 +129,10 @@ class PredictionLog:
         known = [
             n for n in complete(self.spark, self.path, "v") if before is None or n < before
         ]
-        return self.spark.read.parquet(*[f"{self.path}/v={n}" for n in known]) if known else None
+        if not known:
+            return None
+        rows = self.spark.read.option("basePath", self.path)
+        return rows.parquet(*[f"{self.path}/v={n}" for n in known]).drop("v")
 
     def read(self, before: int | None = None) -> DataFrame | None:
         rows = self._rows(before)
