@@ -159,6 +159,8 @@ class PredictionLog:
         known = self.known(fresh.select("transaction_id", "bucket"), before=batch)
         if known is not None:
             fresh = fresh.join(known, "transaction_id", "left_anti")
+        if fresh.isEmpty():  # a folder without files has no columns to read
+            return
         fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
             f"{self.path}/v={batch}"
         )
