@@ -1,18 +1,19 @@
 """Near duplicates by ProbMinHash, banding and verification.
 
-A text is the weighted set of its shingles of five words (weight 1 + ln of the number of
-occurrences). Each shingle's points arrive on a line in a Poisson process of that rate, each
-in a random register; a register keeps its earliest point's shingle. A shingle stops as
-soon as it is behind the latest register, so most shingles cost one or two points. The
-share of equal registers estimates the texts' probability Jaccard similarity.
+A text is the set of its shingles of five words. Each shingle's points arrive on a line in a
+Poisson process of its weight, each in a random register; a register keeps its earliest point's
+shingle. A shingle stops as soon as it is behind the latest register, so most shingles cost
+one or two points. The share of equal registers estimates the texts' probability Jaccard
+similarity, which for equal weights is the Jaccard similarity of the sets: all weigh 1, since
+that one counts, however often a text repeats a shingle.
 
 Equal word sequences are grouped first and only one of them is compared. Bands of registers
 put similar texts in common buckets; candidates within them pass an estimate with a wide
-margin and then a comparison of their shingle sets. Buckets are never paired out: their
+margin (but in the last step) and then a comparison of their shingle sets. Buckets are never paired out: their
 members meet a pivot of the bucket, and links are joined to components. What still shares a
 bucket over different components - texts with a common passage, mostly - meets by its rarest
 shingles: two texts of similarity s share one of their (1 - s) * n + 1 rarest, whatever passage
-they have in common. That last step is exact.
+they have in common. That last step is exact: its pairs pass no estimate.
 """
 
 from __future__ import annotations
@@ -98,8 +99,8 @@ def registers(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int,
 def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches, "__text", BATCH_BYTES):
         rows = piece.num_rows
-        row, value, times, digests = shingles(piece.column("__text"))
-        held = registers(row, value, 1 + np.log(times), rows, REGISTERS)
+        row, value, _, digests = shingles(piece.column("__text"))
+        held = registers(row, value, np.ones(len(row)), rows, REGISTERS)
         buckets = np.zeros((rows, BANDS), np.uint64)
         with np.errstate(over="ignore"):
             for k in range(BAND_SIZE):
@@ -160,18 +161,21 @@ class Comparison:
         self.sketches = sketches  # node, id, digest, bits
         self.done: DataFrame | None = None
 
-    def estimated(self, pairs: DataFrame) -> DataFrame:
-        """The distinct pairs, not compared before, that the registers do not exclude."""
+    def candidates(self, pairs: DataFrame, estimate: bool) -> DataFrame:
+        """The distinct pairs, not compared before; with an estimate, those that the registers do
+        not exclude."""
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if self.done is not None:
             pairs = pairs.join(self.done, ["u", "v"], "left_anti")
+        if not estimate:
+            return cut_lineage(pairs)
         bits = self.sketches.select("node", "bits")
         both = pairs.join(bits.toDF("u", "u_bits"), "u").join(bits.toDF("v", "v_bits"), "v")
         return cut_lineage(both.mapInArrow(compare_bits, "u bigint, v bigint"))
 
-    def links(self, pairs: DataFrame) -> DataFrame | None:
-        """The pairs whose shingle sets have the similarity; None if none passes the estimate."""
-        found = self.estimated(pairs)
+    def links(self, pairs: DataFrame, estimate: bool) -> DataFrame | None:
+        """The pairs whose shingle sets have the similarity; None if there is none to compare."""
+        found = self.candidates(pairs, estimate)
         if found.isEmpty():
             return None
         self.done = found if self.done is None else self.done.unionByName(found)
@@ -257,7 +261,7 @@ def find_links(comparison: Comparison, members: DataFrame) -> DataFrame:
                 pairs = pairs.join(other, "v").where("part <> v_part")
         else:  # what is left: members of one bucket that the pivots did not join
             pairs = comparison.rare_pairs(members)
-        new = comparison.links(pairs.select("u", "v"))
+        new = comparison.links(pairs.select("u", "v"), estimate=turn < PIVOT_ROUNDS)
         if new is not None:
             edges = new if edges is None else edges.unionByName(new)
             parts = components(edges)

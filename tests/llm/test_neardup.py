@@ -84,6 +84,51 @@ def test_against_all_pairs(spark, seed):
     assert kept.columns == docs.columns and kept.count() == len(sizes)
 
 
+def repeated(seed):
+    """Pairs of equal shingle sets, which one text repeats and the other does not."""
+    rng = random.Random(seed)
+    texts = []
+    for k in range(12):
+        some = [f"w{k}x{j}" for j in range(40)]
+        texts.append(" ".join(some + some[:4]))
+        texts.append(" ".join(some + some[: 4 if k % 2 else 20] * (60 if k % 2 else 1)))
+        rest = [f"r{k}x{j}" for j in range(30)]
+        head, loop = rest[:16], rest[16:]
+        texts.append(" ".join(head + loop + loop[:4]))
+        texts.append(" ".join(head + loop * rng.randint(60, 200) + loop[:4]))
+    return texts
+
+
+def test_repetition_does_not_hide_near_duplicates(spark):
+    texts = repeated(4)
+    ids = list(range(len(texts)))
+    want = classes(texts, ids)
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string")
+    got = {r["id"]: r["class_id"] for r in neardup.near_duplicates(docs.repartition(3)).collect()}
+    assert len(set(want)) < len(want) - 11 and got == dict(zip(ids, want))
+
+
+def test_registers_do_not_see_repetition():
+    some = [f"s{k}" for k in range(300)]
+    texts = pa.array([" ".join(some + some[:4]), " ".join(some[:200] + some[200:] * 50 + some[:4])])
+    rows = pa.StructArray.from_arrays([pa.array([0, 1])], ["id"])
+    batch = pa.RecordBatch.from_arrays([rows, texts], [neardup.PACKED, "__text"])
+    (out,) = neardup.sketch_rows(iter([batch]))
+    a, b = (np.frombuffer(x, np.uint8) for x in out.column("bits").to_pylist())
+    sets = [shingle_set(t) for t in texts.to_pylist()]
+    share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    assert share > 0.95 and (a == b).mean() > 0.9
+
+
+def test_rare_pairs_pass_no_estimate(spark, monkeypatch):
+    texts = made(1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(neardup, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(neardup, "compare_bits", None)
+    got = {r["id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(classes(texts, list(range(len(texts))))))
+
+
 def test_query(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     want = dict(zip((r[0] for r in rows), classes([r[1] for r in rows], [r[0] for r in rows])))
