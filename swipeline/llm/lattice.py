@@ -34,7 +34,8 @@ BLOCK_BYTES = 4 << 20
 #: Blocks of a task of the lattice, about, and the words whose edges it gathers by hash: beyond
 #: these Spark sorts them, which gives the same result.
 TASK_BLOCKS, TASK_WORDS = 1, 300_000
-#: Longer runs without a blank are cut at every so many characters.
+#: Characters of a word that goes through the lattice. Longer ones take the same best path in
+#: one pass over their characters, where their texts are put together: they are never cut.
 LONGEST_WORD = 256
 #: Most pieces of a model, which are broadcast.
 MOST_PIECES = 1 << 20
@@ -95,10 +96,7 @@ def split(text: str | None) -> list[str]:
     """Words of a text with a blank put before it; no word of an empty text."""
     if not text:
         return []
-    found = WORD.findall(" " + text)
-    if len(max(found, key=len)) <= LONGEST_WORD:
-        return found
-    return [w[k : k + LONGEST_WORD] for w in found for k in range(0, len(w), LONGEST_WORD)]
+    return WORD.findall(" " + text)
 
 
 def blocks_of(
@@ -120,12 +118,11 @@ def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[p
 
 def word_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, words): the different words of a block in order, one to a line. A line end is a
-    word of its own and is left out."""
+    word of its own and is left out, and so are words beyond LONGEST_WORD."""
     for block, piece in blocks_of(text_column, limit, batches):
         found = set(chain.from_iterable(map(split, piece.column("__text").to_pylist()))) - {"\n"}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block]), pa.array(["\n".join(sorted(found))])], ["block", "words"]
-        )
+        short = sorted(w for w in found if len(w) <= LONGEST_WORD)
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array(["\n".join(short)])], ["block", "words"])
 
 
 def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,17 +213,58 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
     return lattice.select("block", "word", best_path(F.col("edges"), size, longest).alias("ids"))
 
 
+def long_path(word: str, table: dict[str, tuple[float, int]], longest: int, unknown: float) -> list[int]:
+    """What `best_path` gives, for a word of any length: time grows with the length alone."""
+    scores, ways = [0.0], [(0, 0)]
+    for end in range(1, len(word) + 1):
+        most, way = None, (0, 0)
+        for start in range(max(0, end - longest), end):
+            found = table.get(word[start:end])
+            if found is None:
+                if start + 1 < end:
+                    continue
+                found = (unknown, -ord(word[start]) - 1)
+            total = scores[start] + found[0]
+            if most is None or total > most:
+                most, way = total, (start, found[1])
+        scores.append(most)
+        ways.append(way)
+    ids, at = [], len(word)
+    while at:
+        at, number = ways[at]
+        ids.append(number)
+    return ids[::-1]
+
+
+class Known(dict):
+    """Ids of words as bytes; words beyond LONGEST_WORD are encoded when they are asked for."""
+
+    def __init__(self, byte_ids: list[int], path):
+        super().__init__()
+        self.byte_ids, self.path = byte_ids, path
+        self["\n"] = np.array([byte_ids[10]], np.int32).tobytes()
+
+    def put(self, word: str, ids: list[int]) -> bytes:
+        if min(ids) < 0:
+            whole = ([k] if k >= 0 else [self.byte_ids[b] for b in chr(-k - 1).encode()] for k in ids)
+            ids = list(chain.from_iterable(whole))
+        self[word] = np.array(ids, np.int32).tobytes()
+        return self[word]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(word) <= LONGEST_WORD:
+            raise KeyError(word)
+        return self.put(word, self.path(word))
+
+
 def text_rows(
-    byte_ids: list[int], text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
+    byte_ids: list[int], path, text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
 ) -> pa.Table:
-    """Ids of the texts of a block, from the ids of its words."""
-    known = {"\n": np.array([byte_ids[10]], np.int32).tobytes()}
+    """Ids of the texts of a block, from the ids of its words; `path` gives those of long words."""
+    known = Known(byte_ids, path)
     for batch in words.to_batches():
         for word, ids in zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()):
-            if min(ids) < 0:
-                whole = ([k] if k >= 0 else [byte_ids[b] for b in chr(-k - 1).encode()] for k in ids)
-                ids = list(chain.from_iterable(whole))
-            known[word] = np.array(ids, np.int32).tobytes()
+            known.put(word, ids)
     out = []
     for stored in texts.column("rows"):
         for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
@@ -254,14 +292,19 @@ def encode(docs: DataFrame, pieces: Pieces, text_column: str = "text", block_byt
     words = found.repartition(tasks, "block").select("block", F.explode(F.split("words", "\n")).alias("word"))
     words = words.where("word <> ''").distinct()
     longest = max(len(t.decode(errors="replace")) for t in pieces.texts if t)
-    mapping = encode_words(words, pieces.table(spark), longest, min(pieces.scores) - UNKNOWN_COST)
+    unknown = min(pieces.scores) - UNKNOWN_COST
+    table = pieces.table(spark)
+    mapping = encode_words(words, table, longest, unknown)
+    shared = spark.sparkContext.broadcast({r["piece"]: (r["score"], r["id"]) for r in table.collect()})
     stored = rows.mapInArrow(partial(stored_rows, text_column, block_bytes), "block bigint, rows binary")
     kind = rows.schema[PACKED].dataType
     schema = pa.schema([(PACKED, to_arrow_type(kind)), ("ids", pa.list_(pa.int32()))])
     byte_ids = pieces.byte_ids
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        return text_rows(byte_ids, text_column, schema, texts, words)
+        return text_rows(
+            byte_ids, lambda word: long_path(word, shared.value, longest, unknown), text_column, schema, texts, words
+        )
 
     return stored.repartition(tasks, "block").groupBy("block").cogroup(mapping.groupBy("block")).applyInArrow(
         run, f"{PACKED} {kind.simpleString()}, ids array<int>"

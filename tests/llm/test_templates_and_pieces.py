@@ -86,3 +86,27 @@ def test_pieces_of_empty_table(spark, pieces):
 def test_decode_control_and_null(spark, pieces):
     rows = spark.createDataFrame([((1,), None), ((2,), [1, 2])], f"{PACKED} struct<n: int>, ids array<int>")
     assert {r[PACKED]["n"]: r["decoded"] for r in lattice.decode(rows, pieces).collect()} == {1: "", 2: ""}
+def test_long_runs_take_the_best_path(spark, pieces):
+    rng = random.Random(2)
+    letters = "thequickbrownfoxinformation"
+    texts = ["international" * 60, "x" * 700, "".join(rng.choices(letters, k=1_500)), "of " + "theother" * 100 + " the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r[PACKED]["doc_id"]: r for r in lattice.decode(lattice.encode(docs, pieces), pieces).collect()}
+    for k, text in enumerate(texts):
+        assert rows[k]["decoded"] == text
+        got = sum(pieces.scores[i] for i in rows[k]["ids"])
+        assert got == pytest.approx(sum(best(w, pieces) for w in lattice.WORD.findall(" " + text))), k
+
+
+def test_long_path_is_the_best_path(spark, pieces):
+    rng = random.Random(3)
+    words = [" ".join(["", "".join(rng.choices("aeinorst日é😀", k=rng.randint(1, 80)))]) for _ in range(40)]
+    words = sorted(set(words))
+    longest, unknown = max(len(t.decode(errors="replace")) for t in pieces.texts if t), min(pieces.scores) - 10.0
+    table = pieces.table(spark)
+    frame = spark.createDataFrame([(1, w) for w in words], "block bigint, word string")
+    folded = {r["word"]: r["ids"] for r in lattice.encode_words(frame, table, longest, unknown).collect()}
+    known = {r["piece"]: (r["score"], r["id"]) for r in table.collect()}
+    assert folded == {w: lattice.long_path(w, known, longest, unknown) for w in words}
+
+
