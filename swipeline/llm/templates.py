@@ -3,7 +3,8 @@
 A line's tokens lead to a leaf: their number, then the first DEPTH tokens, of which those with
 a digit count as variable. Within a leaf a token that few lines have at its place is a variable
 field, too. A line with its variable fields masked is a template; templates that recur in
-MIN_TEXTS different texts are boilerplate, and their lines are dropped.
+MIN_TEXTS different texts are boilerplate, and their lines are dropped. A line of which most
+tokens are variable is merged with no other and counts as it stands.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from swipeline.session import cut_lineage
 
 DEPTH = 3
 MIN_TEXTS = 5
-#: Share of a template's tokens that are no variable fields, at least.
+#: Share of a template's tokens that are no variable fields, at least, for different lines to
+#: be merged in it.
 SIMILARITY = 0.5
 VARIABLE = "<*>"
 
@@ -47,7 +49,8 @@ def recurring(rows: DataFrame, *by: str) -> DataFrame:
 
 
 def line_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, line, template) of every different line."""
+    """(leaf, line, template, verbatim) of the different lines that can recur; the template of a
+    verbatim one is the line itself."""
     different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
     tokens = cut_lineage(
         different.select("leaf", "line", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
@@ -61,10 +64,14 @@ def line_templates(lines: DataFrame) -> DataFrame:
     fixed = F.col("constant").isNotNull() & (F.col("token") != VARIABLE)
     fields = known.groupBy("leaf", "line").agg(
         F.array_sort(F.collect_list(F.struct("place", F.when(fixed, F.col("token")).otherwise(VARIABLE).alias("token")))).alias("fields"),
-        F.avg(fixed.cast("double")).alias("share"),
+        F.avg(fixed.cast("double")).alias("share"), F.first("n").alias("n"),
+    )
+    verbatim = F.col("share") < SIMILARITY
+    template = F.when(verbatim, F.col("line")).otherwise(F.array_join(F.transform("fields", lambda f: f["token"]), " "))
+    # a line that occurs fewer times is in fewer texts
+    return fields.where(~verbatim | (F.col("n") >= MIN_TEXTS)).select(
+        "leaf", "line", template.alias("template"), verbatim.alias("verbatim")
     )
-    template = F.array_join(F.transform("fields", lambda f: f["token"]), " ")
-    return fields.where(F.col("share") >= SIMILARITY).select("leaf", "line", template.alias("template"))
 
 
 def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -75,9 +82,12 @@ def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     leaves = cut_lineage(recurring(lines, "leaf").select("leaf"))
     candidates = cut_lineage(lines.join(leaves, "leaf", "left_semi"))
     placed = cut_lineage(
-        candidates.join(line_templates(candidates), ["leaf", "line"]).select(*KEY, "number", "leaf", "template")
+        candidates.join(line_templates(candidates), ["leaf", "line"]).select(
+            *KEY, "number", "leaf", "template", "verbatim"
+        )
     )
-    return placed.join(recurring(placed, "leaf", "template"), ["leaf", "template"]).drop("leaf")
+    group = ["leaf", "template", "verbatim"]
+    return placed.join(recurring(placed, *group), group).drop("leaf", "verbatim")
 
 
 def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

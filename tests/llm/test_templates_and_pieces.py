@@ -31,6 +31,15 @@ def test_copies_of_one_text_are_no_template(spark):
     assert {r["n_dropped"] for r in templates.drop_boilerplate(docs).collect()} == {0}
 
 
+def test_verbatim_lines_of_variable_tokens(spark):
+    phone, stamp = "Tel 555 123 4567", "2024-01-01 12:00 100 INFO"
+    texts = [f"{chr(97 + k)} text\n{phone}\n{stamp}\nTel 555 123 {k}" for k in range(6)]
+    texts += [f"{chr(107 + k)} text\n1 2 3 of four" for k in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["row"]["doc_id"]: r["dropped"] for r in templates.drop_boilerplate(docs).collect()}
+    assert got == {k: [1, 2] if k < 6 else [] for k in range(len(texts))}
+
+
 def test_templates_of_empty_table(spark):
     assert templates.drop_boilerplate(spark.createDataFrame([], "doc_id int, text string")).collect() == []
 
