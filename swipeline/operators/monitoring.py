@@ -169,9 +169,11 @@ def psi_features(
     whole = Window.partitionBy("feature")
     share = lambda c: F.greatest(F.col(c) / F.sum(c).over(whole), F.lit(PSI_FLOOR))
     shares = counts.select("feature", share("n_e").alias("pe"), share("n_a").alias("pa"))
-    return shares.groupBy("feature").agg(
+    found = shares.groupBy("feature").agg(
         F.sum((F.col("pa") - F.col("pe")) * F.log(F.col("pa") / F.col("pe"))).alias("psi")
     )
+    names = expected.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(columns)], "feature string")
+    return names.join(found, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 
 def windowed_metrics(

@@ -113,3 +113,10 @@ def test_many_drifts_equal_one(spark):
     b = spark.range(300).select((F.col("id") % 23).alias("x"), F.lit(2).alias("y"))
     many = {r.feature: r.psi for r in monitoring.psi_features(a, b, ["x", "y"]).collect()}
     assert many["x"] == pytest.approx(monitoring.psi(a, b, "x").first().psi) and many["y"] == 0
+
+
+def test_drift_of_a_feature_without_expected_values(spark):
+    a = spark.range(20).select(F.col("id").alias("x"), F.lit(None).cast("double").alias("y"))
+    b = spark.range(30).select(F.col("id").alias("x"), F.lit(2.0).alias("y"))
+    got = {r.feature: r.psi for r in monitoring.psi_features(a, b, ["x", "y"]).collect()}
+    assert set(got) == {"x", "y"} and got["y"] == 0 and got["x"] > 0
