@@ -3,7 +3,8 @@
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Their values are the
 protected entities. A term that shares lines with an entity discloses it as far as it lowers
 the entity's information content: PMI(term; entity) / IC(entity), estimated from how many
-lines of the corpus hold the term, the entity, and both. Terms over a threshold of disclosure
+lines of the corpus hold the term, the entity, and both. What few
+different lines support is estimated by a lower bound instead. Terms over a threshold of disclosure
 are generalised in the entity's lines, and over a second one removed.
 """
 
@@ -36,8 +37,11 @@ HINTS = {
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Lines with different texts that must hold an entity, and entity and term together.
+#: Lines with different texts that hold an entity, and entity and term together, from which the
+#: plain estimate counts; below, a lower bound does.
 SUPPORT = 3
+#: Standard deviations of that bound: two-sided 95 %.
+DEVIATIONS = 1.96
 #: Share of an entity's information content from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.75, 0.95
 #: Elements that are put behind each other at a time when places are summed up.
@@ -177,31 +181,40 @@ def line_counts(docs: DataFrame, text_column: str) -> tuple[DataFrame, int]:
     return counts, total
 
 
+def least_share() -> Column:
+    """Wilson's lower bound of the share of a term's lines that hold the entity; copies of a line
+    are one trial."""
+    p = F.least(F.lit(1.0), F.col("n_both") / F.col("n"))
+    trials = F.col("both_lines") / p
+    square = F.lit(DEVIATIONS**2)
+    spread = F.sqrt(p * (1 - p) / trials + square / (4 * trials * trials))
+    return (p + square / (2 * trials) - F.lit(DEVIATIONS) * spread) / (1 + square / trials)
+
+
 def disclosing(lines: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """(entity, term, share): the terms that disclose entities."""
+    """(entity, term, share): the terms that disclose entities. An entity of all lines has no
+    information content and is disclosed by none."""
     line = F.xxhash64("line").alias("line")
     seen = lines.select(line, F.explode("entities").alias("entity"), "words")
-    entities = (
-        seen.groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("n_entity"), F.countDistinct("line").alias("different"))
-        .where(F.col("different") >= SUPPORT)
-        .drop("different")
+    entities = seen.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_entity"), F.countDistinct("line").alias("entity_lines")
     )
     terms = F.array_distinct(F.transform("words", lambda w: w["term"]))
     pairs = (
-        seen.join(entities.select("entity"), "entity", "left_semi")
-        .select("line", "entity", F.explode(terms).alias("term"))
+        seen.select("line", "entity", F.explode(terms).alias("term"))
         .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_both"), F.countDistinct("line").alias("different"))
-        .where(F.col("different") >= SUPPORT)
-        .drop("different")
+        .agg(F.count(F.lit(1)).alias("n_both"), F.countDistinct("line").alias("both_lines"))
     )
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n") * F.col("n_entity")))
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    all_lines = F.lit(float(total))
+    pmi = F.log2(F.col("n_both") * all_lines / (F.col("n") * F.col("n_entity")))
+    plain = F.try_divide(pmi, F.log2(all_lines / F.col("n_entity")))
+    low = F.log2(least_share() * all_lines / F.col("entity_lines"))
+    bounded = F.try_divide(low, F.log2(all_lines / F.col("entity_lines")))
+    supported = F.least("entity_lines", "both_lines") >= SUPPORT
     return (
         pairs.join(entities, "entity")
         .join(counts, "term")
-        .select("entity", "term", (pmi / content).alias("share"))
+        .select("entity", "term", F.when(supported, plain).otherwise(bounded).alias("share"))
         .where(F.col("share") >= GENERALISE)
     )
 
@@ -213,7 +226,7 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
     A null text is empty. Of overlapping matches of one kind the leftmost counts; different
     kinds may overlap. Terms lie outside of base spans, which always stay. Repeated rows
-    each have their spans; copies of a line are one line for the support. An empty table gives
+    each have their spans; copies of a line are one line for the support and the bound. An empty table gives
     no rows; other columns of docs are not read.
     """
     base = cut_lineage(base_rows(docs, id_column, text_column))

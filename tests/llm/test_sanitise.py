@@ -112,6 +112,25 @@ def test_disclosing_terms(spark):
     assert got == {k: sorted(want[k]) for k in range(len(texts))}
 
 
+def test_terms_of_entities_on_few_lines(spark):
+    lines = [f"the {w} and the report" for w in ("apple", "pear", "fig", "plum")] * 500
+    once = "the report of Zyxwell to once@corp.org"
+    copied = "the report of Qwertz to copied@corp.org"
+    twice = ["the apple of Vbnmer to twice@corp.org", "Vbnmer the pear twice@corp.org"]
+    texts = ["\n".join(lines), once, *[copied] * 30, "\n".join(twice)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["id"]: r for r in sanitise.find(docs).collect()}
+    for k, name in [(1, "Zyxwell"), (2, "Qwertz"), (len(texts) - 1, "Vbnmer")]:
+        found = {texts[k][t["start"] : t["behind"]] for t in got[k]["terms"]}
+        assert name in found and not found & {"the", "report", "apple", "pear"}, (k, found)
+    assert got[0]["terms"] == []
+
+
+def test_entity_of_all_lines(spark):
+    docs = spark.createDataFrame([(1, "Zyxwell me@x.org")], "doc_id int, text string")
+    assert sanitise.find(docs).first()["terms"] == []
+
+
 def test_sanitise(spark):
     texts = corpus()
     docs = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id int, text string, terms int")
