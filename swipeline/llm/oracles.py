@@ -78,4 +78,24 @@ SQL = {
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept,
                sha256(t) AS text_sha256
         FROM texts""",
+    "op12_four_russians": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.v, b.v)::bigint AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::int AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from swipeline.llm import decontaminate, exact, langid, lattice, neardup, quality, repeats, sanitise, shards, templates
+from swipeline.llm import (
+    decontaminate, exact, langid, lattice, neardup, negatives, periodic, quality, repeats, sanitise, shards, templates, tokens,
+)
 from swipeline.llm.tables import PACKED, table
 from swipeline.session import shared_dir
 
@@ -138,3 +140,41 @@ def op10_heavy_hitter_split(spark, sf_dir):
     return groups.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )
+
+
+@query
+def op11_suffix_tree_runs(spark, sf_dir):
+    """Runs of the words of every document; one of ten ids has its words repeated first."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    number = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(number / 10)
+    # only these documents' words are counted here
+    n = F.when(number % 10 == 0, F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))
+    behind = F.when(n > 0, g % n)
+    period = 1 + F.floor((n - behind) / (3 + g % 8))
+    found = periodic.periodic_runs(docs, behind=behind, period=period)
+    order = F.array_sort("runs", lambda a, b: F.coalesce(
+        F.nullif(F.signum(b["length"] - a["length"]), F.lit(0.0)), F.nullif(F.signum(a["start"] - b["start"]), F.lit(0.0)),
+        F.signum(a["period"] - b["period"]),
+    ).cast("int"))
+    longest = F.get(order, F.lit(0))
+    return found.select(
+        F.col(f"{PACKED}.doc_id"), F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"), longest["length"].alias("length"), longest["period"].alias("period"),
+        F.floor(1000 * longest["length"] / longest["period"]).alias("exponent_milli"),
+        "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_four_russians(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_overlap_resync(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = tokens.token_counts(docs, tokens.load(spark))
+    return counted.select(F.col(f"{PACKED}.doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
