@@ -1,6 +1,7 @@
 """Token counts by a public tokenizer, with overlap resynchronisation for huge documents.
 
-A document of at most `chunk` characters is encoded as it stands. A longer one is cut into
+A document of at most `chunk` characters is encoded word by word, words being what stands between
+blanks, and words met before are not encoded again. A longer one is cut into
 chunks that overlap, which are encoded on their own and spread over the tasks. Neighbours are
 spliced at a boundary inside their overlap that both found and that is proven stable: the
 character before it is a blank, which no token, added token or normalisation step of the
@@ -29,9 +30,11 @@ MODEL = "/opt/tokenizers/word_bpe_49k.json"
 CHUNK, OVERLAP, WIDEN = 16_384, 512, 4
 #: Text bytes that are encoded in one call.
 CALL_BYTES = 1 << 20
+#: Bytes of words whose counts a task keeps; when there are more, it starts anew.
+KEPT_BYTES = 16 << 20
 #: Bytes of a tokenizer's file, at most: it is broadcast.
 MOST_BYTES = 64 << 20
-BLANKS = " \t\n\r"
+BLANKS = " \t\n\r\x0b\x0c"
 
 PIECES = "digest string, k int, n_tokens bigint, left_at array<bigint>, left_before array<bigint>, right_at array<bigint>, right_before array<bigint>"
 
@@ -64,10 +67,20 @@ def load(spark, path: str = MODEL) -> Broadcast:
 
 
 def whole_rows(config: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the tokens of their words, which add up to those of the text: the blanks at
+    which bytes are split are stable boundaries."""
     tokenizer = _tokenizer(config.value)
+    known: dict[bytes, int] = {}
+    held = 0
     for batch in slices(batches, "__text", CALL_BYTES):
-        found = tokenizer.encode_batch_fast(batch.column("__text").to_pylist(), add_special_tokens=False)
-        counts = pa.array([len(e) for e in found], pa.int64())
+        texts = [t.split() for t in batch.column("__text").cast(pa.binary()).to_pylist()]
+        new = list(set().union(*texts).difference(known))
+        if held + sum(map(len, new)) > KEPT_BYTES:
+            known, held, new = {}, 0, list(set().union(*texts))
+        found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        known.update(zip(new, map(len, found)))
+        held += sum(map(len, new))
+        counts = pa.array([sum(map(known.__getitem__, words)) for words in texts], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(PACKED), batch.column("n_bytes"), counts], [PACKED, "n_bytes", "n_tokens"]
         )

@@ -26,7 +26,7 @@ def expected(library, text):
 
 def odd_texts() -> list[str | None]:
     rng = random.Random(3)
-    words = ["the", "don't", "été", "ΣΑΣ", "ét́", "́x", "<|endoftext|>", "日本語", "123", "!?", "a" * 30, " ", " ", "\n", "x y"]
+    words = ["the", "don't", "été", "ΣΑΣ", "ét́", "́x", "<|endoftext|>", "日本語", "1\x0b2\x0c3", "a\x1cb\x85c", "!?", "a" * 30, " ", " ", "\n", "x y"]
     out: list[str | None] = [None, "", " ", "\n\n", "abc" * 400, "日" * 900, "<|startoftext|>" * 60]
     out += [rng.choice([" ", "", " \t"]).join(rng.choices(words, k=rng.randint(1, 400))) for _ in range(40)]
     # one stretch without blanks is longer than the first overlaps
