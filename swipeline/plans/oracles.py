@@ -662,6 +662,17 @@ SQL["archive"] = SQL["sink_parquet"]
 put("stream_dedup", TX, "select transaction_id, card_id from tx")
 put("stream_late", f"""{TX}, edge as (select min(ts_us) + (max(ts_us) - min(ts_us)) // 2 e from tx)""",
     """select count(*) filter (ts_us >= e) n_emitted, count(*) filter (ts_us < e) n_dropped from tx, edge""")
+ON_TIME = f"""{CLEAN}, edge as (select min(ts_us) + (max(ts_us) - min(ts_us)) // 2 e from tx),
+single as (select distinct event_id, transaction_id, card_id, merchant_id, amt, secs, reason from clean),
+halves as (select single.*, t.ts_us < e early, event_id % 41 = 0 broken
+  from single join tx t using (event_id), edge),
+kept as (select transaction_id, card_id, merchant_id, amt amount, secs * 1000000 ts_us
+  from halves where not early and not broken and reason is null),
+{lookback('kept')}"""
+put("stream_late_rows", ON_TIME, """select case when not broken then transaction_id end transaction_id,
+  case when broken then 'Transaction must be a dictionary' when reason is not null then reason
+    when early then 'late' end reject_reason, tx_count_24h
+  from halves left join seen using (transaction_id)""")
 EXPIRY = f"{TX}, {lookback('tx')}, {idle('tx')}, {since('tx')}, {ema('tx')}"
 put("stream_expiry", EXPIRY, f"""select prefix || transaction_id transaction_id, tx_count_24h,
   unique_merchants_since_idle, time_since_last_tx, {r('avg0', 4)} ema_before

@@ -18,6 +18,7 @@ frontier are answered from the slots of their own time.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -59,6 +60,7 @@ OUTPUT = T.StructType(
         T.StructField("is_new_merchant", T.LongType()),
         T.StructField("prev_us", T.LongType()),
         T.StructField("ema_before", T.DoubleType()),
+        T.StructField("late", T.BooleanType()),
     ]
 )
 INPUT = ["ts_us", "transaction_id", "merchant_id", "merchant_category", "cents", "lat"]
@@ -80,8 +82,8 @@ SLOT_SCHEMA = "us array<bigint>, ids array<string>, cents array<bigint>, places
 class CardState(StatefulProcessor):
     """State and features of one card, row by row in (time, id) order per batch."""
 
-    def __init__(self, inline_rows: int = INLINE_ROWS):
-        self.inline_rows = inline_rows
+    def __init__(self, inline_rows: int = INLINE_ROWS, keep_late: bool = False):
+        self.inline_rows, self.keep_late = inline_rows, keep_late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -201,6 +203,18 @@ class CardState(StatefulProcessor):
             (row for frame in rows for row in zip(*[frame[c].tolist() for c in INPUT])),
             key=lambda row: row[:2],
         )
+        if self.keep_late:
+            # behind the watermark: the row is handed on as it came, and the state stays
+            watermark = timerValues.getCurrentWatermarkInMs() * 1000
+            behind = bisect_right(batch, watermark, key=lambda row: row[0]) if watermark > 0 else 0
+            if behind:
+                yield _frame([
+                    (row[1], key[0], *row[2:5], row[0], row[5], *[0] * (len(COUNTS) + len(SUMS) + 3), None, 0.0, True)
+                    for row in batch[:behind]
+                ])
+            batch = batch[behind:]
+            if not batch:
+                return
         self._load()
         newest = batch[-1][0]
         out = []
@@ -230,7 +244,7 @@ class CardState(StatefulProcessor):
             ema = DEFAULT_AVG if self.ema is None else self.ema
             out.append(
                 (tx_id, key[0], merchant, category, cents, us, lat, *counts, *sums,
-                 merchants, self.visited, int(new), self.last_us, ema)
+                 merchants, self.visited, int(new), self.last_us, ema, False)
             )
             row = (us, tx_id, cents, merchant)
             self._keep(row)
@@ -240,9 +254,7 @@ class CardState(StatefulProcessor):
             self.last_us = us
             self.ema = ALPHA * cents / 100 + (1 - ALPHA) * ema
         self._store()
-        columns = dict(zip(OUTPUT.names, zip(*out)))
-        columns["prev_us"] = pd.Series(columns["prev_us"], dtype=object)
-        yield pd.DataFrame(columns)
+        yield _frame(out)
 
     def _store(self) -> None:
         oldest = (self.frontier - DAY_US) // SLOT_US
@@ -313,6 +325,12 @@ def _columns(rows: list[tuple], width: int) -> tuple[list, ...]:
     return tuple([r[i] for r in rows] for i in range(width))
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    columns = dict(zip(OUTPUT.names, zip(*rows)))
+    columns["prev_us"] = pd.Series(columns["prev_us"], dtype=object)
+    return pd.DataFrame(columns)
+
+
 class _Queue:
     """Rows waiting to leave a window, in order."""
 
@@ -330,12 +348,14 @@ class _Queue:
 
 
 def card_features(
-    stream: DataFrame, late: str = "1 hour", inline_rows: int = INLINE_ROWS
+    stream: DataFrame, late: str = "1 hour", inline_rows: int = INLINE_ROWS, keep_late: bool = False
 ) -> DataFrame:
     """`velocity.card_history` on a stream of clean transactions.
 
     `stream` has the columns of `clean.to_features_input`. Rows later than the
-    watermark are dropped by the operator and counted in its progress.
+    watermark are dropped by the operator and counted in its progress. With
+    `keep_late` they come out too: a column `late` tells them, and they have no
+    features, since the state no longer knows their time.
     """
     timed = stream.select(
         "card_id",
@@ -347,21 +367,28 @@ def card_features(
         F.col("lat").cast("double").alias("lat"),
         F.timestamp_micros("ts_us").alias("ts"),
     ).withWatermark("ts", late)
+    if keep_late:
+        timed = timed.drop("ts")  # the operator drops late rows by this column alone
     raw = timed.groupBy("card_id").transformWithStateInPandas(
-        statefulProcessor=CardState(inline_rows),
+        statefulProcessor=CardState(inline_rows, keep_late),
         outputStructType=OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
     )
     seconds = F.floor(F.col("ts_us") / US)
     previous = F.floor(F.col("prev_us") / US)
-    return raw.select(
-        "transaction_id", "card_id", "merchant_id", "merchant_category",
-        (F.col("cents") / 100).cast("decimal(18,2)").alias("amount"), "ts_us", "lat",
-        *COUNTS,
-        *[(F.col(c) / 100).alias(f"total_amount_{w}") for c, w in zip(SUMS, WINDOWS_US)],
-        "unique_merchants_24h", "unique_merchants_since_idle", "is_new_merchant",
-        previous.alias("prev_ts"),
-        F.coalesce(seconds - previous, F.lit(0)).alias("time_since_last_tx"),
-        "ema_before",
-    )
+    given = ["transaction_id", "card_id", "merchant_id", "merchant_category", "amount", "ts_us", "lat"]
+    features = {c: F.col(c) for c in COUNTS}
+    features |= {f"total_amount_{w}": F.col(c) / 100 for c, w in zip(SUMS, WINDOWS_US)}
+    features |= {
+        c: F.col(c) for c in ("unique_merchants_24h", "unique_merchants_since_idle", "is_new_merchant")
+    }
+    features |= {
+        "prev_ts": previous,
+        "time_since_last_tx": F.coalesce(seconds - previous, F.lit(0)),
+        "ema_before": F.col("ema_before"),
+    }
+    out = raw.withColumn("amount", (F.col("cents") / 100).cast("decimal(18,2)"))
+    if keep_late:
+        features = {c: F.when(~F.col("late"), v) for c, v in features.items()} | {"late": F.col("late")}
+    return out.select(*given, *[v.alias(c) for c, v in features.items()])

@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from swipeline import config
 from swipeline.operators import clean, predictions, quality
 from swipeline.plans import realtime
-from swipeline.session import tune
+from swipeline.session import cut_lineage, tune
 from swipeline.sources import messages, writers
 from swipeline.streaming.card_state import INLINE_ROWS, card_features
 
+
+#: Reason of dead letters that came behind the watermark, and the columns they keep.
+LATE = "late"
+GIVEN = ["transaction_id", "card_id", "merchant_id", "merchant_category", "amount", "ts_us", "lat"]
+
+
 def start(
     stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
@@ -59,14 +65,34 @@ def feature_stream(
     checkpoint: str,
     late: str = "1 hour",
     inline_rows: int = INLINE_ROWS,
+    keep_late: bool = False,
 ) -> StreamingQuery:
-    """Lookback features of every transaction to a folder."""
+    """Lookback features of every transaction to a folder.
+
+    With `keep_late` the rows behind the watermark are written beside the others, in
+    one pass: `on_time` and `late_rows` read the two halves of a batch.
+    """
     tune(transactions.sparkSession)
-    return start(
-        card_features(transactions, late, inline_rows),
-        lambda batch, number: write_batch(batch, path, number),
-        checkpoint,
-    )
+
+    def each(batch: DataFrame, number: int) -> None:
+        if not keep_late:
+            write_batch(batch, path, number)
+            return
+        folder = batch.write.mode("overwrite").partitionBy("late")
+        folder.parquet(f"{path}/batch={number}")
+
+    return start(card_features(transactions, late, inline_rows, keep_late), each, checkpoint)
+
+
+def on_time(spark: SparkSession, path: str) -> DataFrame:
+    """Feature rows of a folder that `feature_stream` wrote with `keep_late`."""
+    return spark.read.parquet(path).where("late = 'false'").drop("late", "batch")
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The transactions behind the watermark, as dead letters: as they came, with a reason."""
+    rows = spark.read.parquet(path).where("late = 'true'")  # a folder's name is text
+    return rows.select(*GIVEN, F.lit(LATE).alias("reject_reason"))
 
 
 def dedup_stream(transactions: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -102,17 +128,27 @@ def score_stream(
     log_path: str,
     checkpoint: str,
     late: str = "1 hour",
+    dead: str | None = None,
 ) -> StreamingQuery:
-    """Features, rule score and decision of every transaction into the prediction log."""
+    """Features, rule score and decision of every transaction into the prediction log.
+
+    Rows behind the watermark go to the folder `dead`, in the same numbered batch; without
+    one they are dropped and counted.
+    """
     spark = transactions.sparkSession
     tune(spark)
     log = writers.PredictionLog(spark, log_path)
 
     def each(batch: DataFrame, number: int) -> None:
+        if dead is not None:
+            batch = cut_lineage(batch)  # two writes, and the state must run once
+            behind = batch.where("late").select(*GIVEN, F.lit(LATE).alias("reject_reason"))
+            write_batch(behind, dead, number)
+            batch = batch.where("not late").drop("late")
         scored = realtime.score(realtime.vector(batch, merchants))
         rows = predictions.to_predictions(
             scored, ["tx_count_10m", "is_new_card"], F.timestamp_micros("ts_us")
         )
         log.append(rows, number)
 
-    return start(card_features(transactions, late), each, checkpoint)
+    return start(card_features(transactions, late, keep_late=dead is not None), each, checkpoint)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from swipeline.operators import velocity
 from swipeline.session import shared_dir
-from swipeline.sources import readers
+from swipeline.sources import readers, writers
 from swipeline.streaming import jobs
 from tests.conftest import DAY, NOON, SECOND, by_id
 from tests.test_velocity import COLUMNS, brute, collected, random_rows
@@ -129,3 +129,49 @@ def test_long_card_in_small_batches(feed):
     out, _ = feed([rows[i:i + 100] for i in range(0, 400, 100)], inline_rows=50)
     assert collected(out) == brute(rows)
     assert out.agg(F.max("tx_count_24h")).first()[0] > 100
+
+
+@pytest.mark.parametrize("inline_rows", [2000, 0])
+def test_rows_behind_the_watermark_go_to_the_dead_letters(spark, make, inline_rows):
+    """Accepted and late rows make up what was received; a late row leaves no trace in the state."""
+    path = shared_dir(spark)
+    hour = 3600 * SECOND
+    batches = [
+        [("a", "c", "m", 1, NOON), ("a2", None, "m", 1, NOON)],
+        # behind the watermark, at it, just before it, and within it; a card of late rows alone
+        [("old", "c", "m", 7, NOON - 2 * hour), ("edge", "c", "m", 1, NOON - hour), ("b", "c", "m", 1, NOON - hour + 1000),
+         ("alone", "d", "m", 1, NOON - 3 * hour), ("keyless", None, "m", 1, NOON - 3 * hour)],
+        [("c", "c", "m", 1, NOON + SECOND), ("d", "d", "m", 1, NOON + SECOND)],
+    ]
+    for rows in batches:
+        frame = make(rows, lat=1.0)
+        frame.write.mode("append").parquet(f"{path}/in")
+        jobs.feature_stream(
+            readers.parquet_stream(spark, f"{path}/in", frame.schema),
+            f"{path}/out", f"{path}/checkpoint", inline_rows=inline_rows, keep_late=True,
+        ).awaitTermination()
+    on_time, late = jobs.on_time(spark, f"{path}/out"), jobs.late_rows(spark, f"{path}/out")
+    assert by_id(on_time, "tx_count_24h", "total_amount_24h") == {
+        "a": (0, 0.0), "a2": (0, 0.0), "b": (0, 0.0), "c": (2, 2.0), "d": (0, 0.0)
+    }
+    assert by_id(late, "amount", "ts_us", "reject_reason")["old"] == (7, NOON - 2 * hour, "late")
+    assert set(by_id(late, "card_id")) == {"old", "edge", "alone", "keyless"}
+    assert on_time.count() + late.count() == sum(map(len, batches))
+
+
+def test_scoring_keeps_late_rows_too(spark, make):
+    path = shared_dir(spark)
+    merchants = spark.createDataFrame(
+        [("m", 0.1, 0.1, 0)], "merchant_id string, merchant_risk_score double, merchant_fraud_rate double, n int"
+    )
+    for rows in ([("a", "c", "m", 1, NOON)], [("old", "c", "m", 7, NOON - DAY), ("b", "c", "m", 1, NOON + 1)]):
+        frame = make(rows, lat=1.0)
+        frame.write.mode("append").parquet(f"{path}/in")
+        jobs.score_stream(
+            readers.parquet_stream(spark, f"{path}/in", frame.schema), merchants,
+            f"{path}/log", f"{path}/checkpoint", dead=f"{path}/dead",
+        ).awaitTermination()
+    log = writers.PredictionLog(spark, f"{path}/log").read()
+    assert {r["transaction_id"] for r in log.collect()} == {"a", "b"}
+    dead = spark.read.parquet(f"{path}/dead")
+    assert [(r["transaction_id"], r["reject_reason"]) for r in dead.collect()] == [("old", "late")]
