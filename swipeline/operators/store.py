@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -11,83 +12,149 @@ from swipeline.operators.hot import UP, Cuts, Step, per_key, running, with_piece
 from swipeline.schemas import FeatureView
 
 
-def as_of_join(
-    spine: DataFrame,
-    features: DataFrame,
-    key: str,
-    spine_time: str,
-    feature_time: str,
-    columns: Sequence[str],
-    ttl_seconds: int,
-    tie: str,
-    limit: int | None = None,
-) -> DataFrame:
-    """Each spine row with the latest feature row at or before its time.
+class Served(NamedTuple):
+    """A feature table of an as-of join: its time in microseconds, the columns it serves, how
+    long they last, and the column whose largest value wins among rows of one time."""
 
-    Times are epoch microseconds. A feature older than the lifetime gives nulls.
-    Among feature rows of one time the largest `tie` wins. A null key equals no
-    other: such spine rows get nulls, and such features serve nobody. Both sides go
-    through one exchange as one union; no range join, no pairs.
+    features: DataFrame
+    time: str
+    columns: Sequence[str]
+    ttl_seconds: int
+    tie: str
+
+
+def as_of_views(
+    spine: DataFrame, key: str, spine_time: str, tables: Sequence[Served], limit: int | None = None
+) -> DataFrame:
+    """Each spine row with the latest row of every table at or before its time.
+
+    The result is the spine's columns and one struct per table, `_view0`, `_view1`, ..., of
+    `feature_time` and the table's columns; a row that is older than its table's lifetime gives a
+    null. A null key equals no other: such spine rows get nulls, and such features serve nobody.
+    The spine and all tables go through one exchange as one union, in which one scan carries
+    the last row of each table on; no range join, no pairs. The number of tables sets the
+    width of that scan's state and not the number of exchanges or sorts.
     """
     keyless = spine.where(F.col(key).isNull())
-    spine = spine.where(F.col(key).isNotNull())
-    features = features.where(F.col(key).isNotNull())
-    payload = F.struct(F.col(feature_time).alias("_ft"), *columns)
-    left = spine.select(
+    names = [f"_view{i}" for i in range(len(tables))]
+    both = spine.where(F.col(key).isNotNull()).select(
         F.col(key),
         F.col(spine_time).alias("_at"),
         F.lit(1).alias("_side"),
         F.lit("").alias("_tie"),
         F.struct(*spine.columns).alias("_spine"),
     )
-    right = features.select(
-        F.col(key),
-        F.col(feature_time).alias("_at"),
-        F.lit(0).alias("_side"),
-        F.col(tie).cast("string").alias("_tie"),
-        payload.alias("_feature"),
-    )
-    both = left.unionByName(right, allowMissingColumns=True)
+    for name, table in zip(names, tables):
+        payload = F.struct(F.col(table.time).alias("feature_time"), *table.columns)
+        rows = table.features.where(F.col(key).isNotNull()).select(
+            F.col(key),
+            F.col(table.time).alias("_at"),
+            F.lit(0).alias("_side"),
+            F.col(table.tie).cast("string").alias("_tie"),
+            payload.alias(f"{name}_row"),
+        )
+        both = both.unionByName(rows, allowMissingColumns=True)
     order = ["_at", "_side", "_tie"]
 
     def card(df: DataFrame) -> DataFrame:
         upto = Window.partitionBy(key).orderBy(*order).rowsBetween(UP, 0)
-        return df.withColumn("_hit", F.last("_feature", ignorenulls=True).over(upto))
+        return df.withColumns(
+            {n: F.last(f"{n}_row", ignorenulls=True).over(upto) for n in names}
+        )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         scanned = running(
-            with_piece(df, cuts, key, "_at"), key, order, lasts={"_hit": F.col("_feature")}
-        )
-        return scanned.select(*df.columns, "_hit")
-
-    found = per_key(both, [Step(["_hit"], hot, card=card)], key=key, at="_at", limit=limit)
-    fresh = F.col("_at") - F.col("_hit._ft") <= ttl_seconds * config.US
-    hit = F.when(fresh, F.col("_hit"))
-    joined = (
-        found.where(F.col("_side") == 1)
-        .withColumn("_hit", hit)
-        .select(
-            "_spine.*",
-            F.col("_hit._ft").alias("feature_time"),
-            *[F.col(f"_hit.{c}").alias(c) for c in columns],
+            with_piece(df, cuts, key, "_at"), key, order,
+            lasts={n: F.col(f"{n}_row") for n in names},
         )
+        return scanned.select(*df.columns, *names)
+
+    found = per_key(both, [Step(names, hot, card=card)], key=key, at="_at", limit=limit)
+
+    def fresh(name: str, table: Served) -> Column:
+        age = F.col("_at") - F.col(f"{name}.feature_time")
+        return F.when(age <= table.ttl_seconds * config.US, F.col(name)).alias(name)
+
+    joined = found.where(F.col("_side") == 1).select(
+        "_spine.*", *[fresh(n, t) for n, t in zip(names, tables)]
     )
-    kinds = dict(joined.dtypes)
-    nulls = {c: F.lit(None).cast(kinds[c]) for c in ("feature_time", *columns)}
+    kinds = {f.name: f.dataType for f in joined.schema.fields}
+    nulls = {n: F.lit(None).cast(kinds[n]) for n in names}
     return joined.unionByName(keyless.withColumns(nulls).select(*joined.columns))
 
 
+def as_of_join(
+    spine: DataFrame,
+    features: DataFrame,
+    key: str,
+    spine_time: str,
+    feature_time: str,
+    columns: Sequence[str],
+    ttl_seconds: int,
+    tie: str,
+    limit: int | None = None,
+) -> DataFrame:
+    """Each spine row with the latest feature row at or before its time.
+
+    Times are epoch microseconds. A feature older than the lifetime gives nulls.
+    Among feature rows of one time the largest `tie` wins.
+    """
+    table = Served(features, feature_time, columns, ttl_seconds, tie)
+    joined = as_of_views(spine, key, spine_time, [table], limit)
+    return joined.select(
+        *spine.columns, *[F.col(f"_view0.{c}").alias(c) for c in ("feature_time", *columns)]
+    )
+
+
 def historical_features(
     spine: DataFrame, view: FeatureView, table: DataFrame, references: list[str], tie: str
 ) -> DataFrame:
     """`view:field` references joined to the spine as of its `event_timestamp`."""
-    columns = view.select(references)
-    timed = spine.withColumn("_spine_us", F.unix_micros("event_timestamp"))
-    source = table.withColumn("_feature_us", F.unix_micros(view.event_time))
-    out = as_of_join(
-        timed, source, view.key, "_spine_us", "_feature_us", columns, view.ttl_seconds, tie
+    return historical_views(spine, [(view, table, tie)], references)
+
+
+def historical_views(
+    spine: DataFrame,
+    sources: Sequence[tuple[FeatureView, DataFrame, str]],
+    references: Sequence[str],
+    full_names: bool = False,
+    limit: int | None = None,
+) -> DataFrame:
+    """`view:field` references of several views joined to the spine as of `event_timestamp`.
+
+    `sources` are (view, table, tie). Each view has its own lifetime. Views that share a key are
+    served by one scan of the spine; each further key is one more. Columns come in the
+    order of the references, named by their field, or `view__field` with `full_names`; two of one
+    name are an error, as are a view or field that is not known.
+    """
+    views = {view.name: (view, table, tie) for view, table, tie in sources}
+    wanted: dict[str, list[str]] = {}
+    for reference in references:
+        name = reference.partition(":")[0]
+        if name not in views:
+            raise ValueError(f"unknown feature {reference}")
+        wanted.setdefault(name, []).extend(views[name][0].select([reference]))
+    label = lambda r: r.replace(":", "__") if full_names else r.partition(":")[2]
+    labels = [label(r) for r in references]
+    if len({*labels, *spine.columns}) < len(labels) + len(spine.columns):
+        raise ValueError("two columns would have one name: ask for full names")
+    by_key: dict[str, list[str]] = {}
+    for name in wanted:
+        by_key.setdefault(views[name][0].key, []).append(name)
+    out = spine.withColumn("_spine_us", F.unix_micros("event_timestamp"))
+    for key, names in by_key.items():
+        tables = []
+        for name in names:
+            view, table, tie = views[name]
+            source = table.withColumn("_feature_us", F.unix_micros(view.event_time))
+            tables.append(Served(source, "_feature_us", list(dict.fromkeys(wanted[name])), view.ttl_seconds, tie))
+        joined = as_of_views(out, key, "_spine_us", tables, limit)
+        # kept apart until the end: another key's scan goes by the same names
+        out = joined.withColumnsRenamed({f"_view{i}": f"_of_{name}" for i, name in enumerate(names)})
+    return out.select(
+        *spine.columns,
+        *[F.col("_of_" + r.replace(":", ".")).alias(name) for r, name in zip(references, labels)],
     )
-    return out.drop("_spine_us", "feature_time")
 
 
 def materialize(

@@ -417,6 +417,27 @@ put("historical_features", OFFLINE, """select a.transaction_id, b.amount::double
   from off a left join off b on a.card_id = b.card_id and b.ts_us < a.ts_us
   qualify row_number() over (partition by a.transaction_id
     order by b.ts_us desc, b.transaction_id desc) = 1""")
+KEYED = """events as (select * replace (case when event_id % 5 = 0 then null else user_id end as user_id),
+  cast(json_extract_string(props, '$.k') as bigint) code from events)"""
+
+
+def chained(*views: tuple[str, str, int]) -> str:
+    """One ASOF join per view, each on what the one before it gave."""
+    ctes, before = [KEYED, "v as (select event_id, user_id, code, ts from events where event_type = 'purchase')"], "v"
+    for kind, key, seconds in views:
+        fresh = f"epoch_us(s.ts) - epoch_us(f.ts) <= {seconds}000000"
+        ctes.append(f"""v_{kind} as (select s.*, case when {fresh} then f.value end {kind}__value,
+          case when {fresh} then f.event_id end {kind}__row_id from {before} s
+          asof left join (select * from events where event_type = '{kind}') f on s.{key} = f.{key} and s.ts >= f.ts)""")
+        before = f"v_{kind}"
+    return ", ".join(ctes)
+
+
+for name in ("historical_views", "historical_views_hot_keys"):
+    views = chained(("view", "user_id", 86400), ("click", "user_id", 21600), ("signup", "user_id", 2592000),
+                    ("error", "code", 172800))
+    put(name, views, """select event_id, user_id, code, view__value, click__value, signup__row_id, view__row_id,
+      error__value from v_error""")
 MATERIAL = "select card_id, ts_us, transaction_id, merchant_id, amount::double amount, n tx_count_24h"
 HALF = "(select min(ts_us) + (max(ts_us) - min(ts_us)) // 2 from tx)"
 put("materialize", OFFLINE, f"""{MATERIAL} from off where ts_us < {HALF}

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from swipeline import config
 from swipeline.functions import cleaning, scalars
@@ -23,7 +23,7 @@ from swipeline.operators import (
     velocity,
 )
 from swipeline.plans import realtime
-from swipeline.schemas import TRANSACTION_FEATURES as VIEW
+from swipeline.schemas import TRANSACTION_FEATURES as VIEW, FeatureView
 from swipeline.session import cut_lineage, shared_dir, tune
 from swipeline.sources import messages, readers, tables, writers
 
@@ -568,6 +568,43 @@ def historical_features(spark, sf_dir):
     return out.select("transaction_id", "amt", "tx_count_24h")
 
 
+def _event_view(name: str, key: str, days: float) -> FeatureView:
+    fields = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("row_id", T.LongType())])
+    return FeatureView(name, key, "event_timestamp", int(days * config.DAY_S), fields)
+
+
+def _views(spark, sf_dir, limit: int | None = None) -> DataFrame:
+    """Purchases with the latest view, click and signup of the same user and the latest error
+    with the same code, each kind with a lifetime of its own; every fifth event has no user."""
+    user = F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user_id")
+    events = tables.read(spark, sf_dir, "events").select(
+        "event_id", user, F.get_json_object("props", "$.k").cast("bigint").alias("code"),
+        "event_type", "value", F.timestamp_micros(scalars.epoch_us(F.col("ts"))).alias("event_timestamp"),
+    )
+    spine = events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "code", "event_timestamp")
+    sources = [
+        (
+            _event_view(kind, key, days),
+            events.where(F.col("event_type") == kind).select(key, "event_timestamp", "value", F.col("event_id").alias("row_id")),
+            "row_id",
+        )
+        for kind, key, days in (("view", "user_id", 1), ("click", "user_id", 0.25), ("signup", "user_id", 30), ("error", "code", 2))
+    ]
+    references = ["view:value", "click:value", "signup:row_id", "view:row_id", "error:value"]
+    return store.historical_views(spine, sources, references, full_names=True, limit=limit).drop("event_timestamp")
+
+
+@query
+def historical_views(spark, sf_dir):
+    return _views(spark, sf_dir)
+
+
+@query
+def historical_views_hot_keys(spark, sf_dir):
+    """The same with every user and code of more than 20 rows cut into pieces."""
+    return _views(spark, sf_dir, limit=20)
+
+
 def _running(spark, sf_dir) -> DataFrame:
     return _one_step(spark, sf_dir, offline.running_count()).select(
         "card_id", "ts_us", "transaction_id", "merchant_id", money("amount"), "tx_count_24h"

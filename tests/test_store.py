@@ -2,14 +2,15 @@ from __future__ import annotations
 
 import random
 from dataclasses import replace
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from swipeline import config
 from swipeline.operators import offline, store
 from swipeline.plans import realtime
-from swipeline.schemas import TRANSACTION_FEATURES as VIEW
+from swipeline.schemas import TRANSACTION_FEATURES as VIEW, FeatureView
 from swipeline.sources.writers import VersionedTable, write_features
 
 
@@ -183,3 +184,55 @@ def test_view_check(spark, tmp_path):
 
 def test_vector_has_the_22_features():
     assert len(realtime.VECTOR) == len(set(realtime.VECTOR)) == 22
+
+
+def three_views(spark):
+    """Spine and three tables of one key and one of another; a hot key, ties and null keys."""
+    rng = random.Random(8)
+    key = lambda: rng.choice(["a", "a", "a", "b", "c", None])
+    moment = lambda: datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(500))
+    spine = [(i, key(), rng.randrange(3), moment()) for i in range(120)]
+    spine_frame = spark.createDataFrame(spine, "n int, k string, j int, event_timestamp timestamp")
+    sources, rows = [], {}
+    for name, on, ttl in (("one", "k", 20), ("two", "k", 300), ("three", "k", 5000), ("four", "j", 40)):
+        rows[name] = (on, ttl, [((key() if on == "k" else rng.randrange(4)), moment(), f"{i:03d}", i) for i in range(90)])
+        kind = "string" if on == "k" else "int"
+        frame = spark.createDataFrame(rows[name][2], f"{on} {kind}, event_timestamp timestamp, tie string, v int")
+        fields = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("tie", T.StringType())])
+        sources.append((FeatureView(name, on, "event_timestamp", ttl, fields), frame, "tie"))
+    return spine, spine_frame, sources, rows
+
+
+REFERENCES = ["one:v", "three:v", "two:tie", "four:v", "two:v"]
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_several_views_against_brute_force(spark, limit):
+    spine, frame, sources, rows = three_views(spark)
+    out = store.historical_views(frame, sources, REFERENCES, full_names=True, limit=limit)
+    assert out.columns == ["n", "k", "j", "event_timestamp", *[r.replace(":", "__") for r in REFERENCES]]
+    got = {r["n"]: r for r in out.collect()}
+    assert len(got) == len(spine)
+    for n, k, j, at in spine:
+        for name, (on, ttl, known) in rows.items():
+            mine = [f for f in known if f[0] is not None and f[0] == (k if on == "k" else j) and f[1] <= at]
+            best = max(mine, key=lambda f: (f[1], f[2]), default=None)
+            if best is not None and at - best[1] > timedelta(seconds=ttl):
+                best = None
+            assert got[n][f"{name}__v"] == (best and best[3])
+
+
+def test_views_of_one_key_share_the_exchange_and_the_sort(spark):
+    _, frame, sources, _ = three_views(spark)
+    out = store.historical_views(frame, sources, ["one:v", "two:tie", "three:v"], full_names=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert plan.count("Sort [") == 1
+
+
+def test_names_of_views_must_be_known_and_apart(spark):
+    _, frame, sources, _ = three_views(spark)
+    for references in (["one:v", "two:v"], ["one:v", "one:v"], ["five:v"], ["one:x"]):
+        with pytest.raises(ValueError):
+            store.historical_views(frame, sources, references)
+    assert store.historical_views(frame, sources, ["one:v"]).columns[-1] == "v"
