@@ -14,6 +14,7 @@ from swipeline.operators.velocity import (
     lookback_merchants,
     lookback_sums,
 )
+from swipeline.session import cut_lineage
 
 RANK_BLOCK = 1_000_000
 
@@ -231,10 +232,60 @@ def offline_features(rows: DataFrame, limit: int | None = None) -> DataFrame:
     )
 
 
+#: Hex digits of the digest that one round of the selection looks at: 65,536 counts at most.
+DIGITS = 4
+LONG = 32  # of the whole digest
+
+
 def sample_n(df: DataFrame, n: int, key: str = "transaction_id", seed: int = 42) -> DataFrame:
     """Exactly `n` rows, the same in every run: smallest seeded hashes of the key.
 
-    Draw it after the features are computed, so histories stay whole.
+    Draw it after the features are computed, so histories stay whole. The n-th hash is found
+    by counting: rows per leading digits of the hash, then, inside the group where the n-th
+    lies, per further digits, and so on. The counts read the key alone, and the draw itself is
+    a filter: nothing is sorted and no task sees more than its own rows. Rows of one key
+    have one hash; where only some of them fit, those of the first partitions are taken. A
+    null key has the smallest hash.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
-    return df.orderBy(order, key).limit(n)
+    digest = F.coalesce(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key))), F.lit(""))
+    if n <= 0:
+        return df.where(F.lit(False))
+    cut = _nth(df.select(digest.alias("digest")), n)
+    if cut is None:
+        return df
+    head, rest = cut
+    begins = F.substring(digest, 1, max(1, len(head)))
+    if rest is None:
+        return df.where(begins <= head)
+    # copies of one key: their places are settled by writing them
+    same = cut_lineage(df.where(digest == head).withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    last = 0
+    for last, count in sorted(map(tuple, same.groupBy(part).count().collect())):  # one row per partition
+        if rest <= count:
+            break
+        rest -= count
+    first = (part < last) | ((part == last) & (F.col("_place").bitwiseAND((1 << 33) - 1) < rest))
+    return df.where(digest < head).unionByName(same.where(first).drop("_place"))
+
+
+def _nth(digests: DataFrame, n: int) -> tuple[str, int | None] | None:
+    """Where the n smallest digests end: the leading digits of the last of them, and how many
+    rows of this very digest belong to them - None if all that begin so do. None if there
+    are no more than n rows."""
+    width = DIGITS
+    while True:
+        begins = F.substring("digest", 1, width)
+        counts = sorted(map(tuple, digests.groupBy(begins.alias("head")).count().collect()))
+        for group, count in counts:
+            if n <= count:
+                break
+            n -= count
+        else:
+            return None
+        if n == count:
+            return group, None
+        if len(group) < width or width == LONG:  # rows of one digest
+            return group, n
+        digests = cut_lineage(digests.where(begins == group))
+        width = LONG if count <= 16**DIGITS else width + DIGITS

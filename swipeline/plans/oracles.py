@@ -395,6 +395,10 @@ SQL["offline_hot_cards"] = SQL["offline_features"]
 put("sample_n", OFFLINE, """select transaction_id, card_id, n tx_count_24h from off
   order by md5('42:' || transaction_id), transaction_id limit 5000""")
 
+put("sample_half", "", """select "order", count(*) n from (
+  select cast(l_orderkey as varchar) "order" from lineitem
+  order by md5('42:' || l_orderkey) limit (select count(*) // 2 from lineitem)) group by 1""")
+
 # --- feature store -----------------------------------------------------------------------------------------
 
 put("feature_view_check", "", """select count(*) n_rows, 0::bigint null_keys, 0::bigint null_event_times,

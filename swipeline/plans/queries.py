@@ -523,6 +523,17 @@ def sample_n(spark, sf_dir):
 # --- feature store -----------------------------------------------------------------------------------
 
 
+@query
+def sample_half(spark, sf_dir):
+    """Every second order line, exactly half of the table (rounded down): a sample that no single
+    task could sort. Lines of one order share their key, so the cut may fall among them;
+    the query shows what does not depend on which of them it takes."""
+    lines = tables.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("order"), "l_quantity")
+    drawn = offline.sample_n(lines, lines.count() // 2, key="order")
+    per_order = drawn.groupBy("order").agg(F.count(F.lit(1)).alias("n"))
+    return per_order.select("order", "n")
+
+
 @query
 def feature_view_check(spark, sf_dir):
     return VIEW.check(offline_table(spark, sf_dir))
