@@ -3,15 +3,18 @@
 A window partitioned by card runs one card in one task. Cards with more rows
 than a limit are therefore taken out and handled as a prefix scan:
 
-1. quantiles of the event time cut the card into pieces of similar size;
+1. splitters of the order (event time, id), taken from a sample, cut the card into
+   pieces of similar size - also within one moment, however many rows it has;
 2. every piece is scanned on its own, in its own task;
 3. each piece leaves one summary row (sums, last values), and a window over
    these few rows gives what every piece inherits from the earlier ones;
 4. the inheritance is joined back to the rows of the piece.
 
 All other cards take the ordinary windows. Results are the same either way.
-Rows of one key with one timestamp stay in one piece. A scan reads its input
-more than once, so the rows of hot cards are checkpointed between scans.
+Copies of one row (one key, time and id) stay in one piece. A scan whose events
+belong to no row, such as the end of a window, adds them up by moment first: they
+stand at the beginning of their moment and need no splitting. A scan reads its
+input more than once, so the rows of hot cards are checkpointed between scans.
 """
 
 from __future__ import annotations
@@ -27,10 +30,13 @@ from swipeline.session import cut_lineage
 UP = Window.unboundedPreceding
 PIECE = "_piece"
 CUTS = "_cuts"
+TIE = "transaction_id"
+#: Rows drawn per piece to find the splitters.
+SAMPLE = 200
 
 
 class Cuts(NamedTuple):
-    table: DataFrame  # hot key and the cut points of its time axis
+    table: DataFrame  # hot key and the cut points (time, id) of its order
     pieces: int  # of the largest key, a power of two
 
 
@@ -65,42 +71,51 @@ def hot_limit(df: DataFrame) -> int:
     return int(spark.conf.get(config.HOT_ROWS_CONF, str(config.HOT_ROWS)))
 
 
-def split_hot(df: DataFrame, key: str, at: str, limit: int | None = None) -> Split:
-    """Separate the rows of hot keys and find the cut points of their time axis.
+def position(at: str, tie: str) -> Column:
+    """Place in the order that is cut; a row without an id stands first in its moment."""
+    return F.struct(F.col(at).alias("at"), F.coalesce(F.col(tie).cast("string"), F.lit("")).alias("tie"))
+
+
+def split_hot(
+    df: DataFrame, key: str, at: str, limit: int | None = None, tie: str = TIE
+) -> Split:
+    """Separate the rows of hot keys and find the cut points of their order.
 
     Every key above the limit is split, into as many pieces as it holds limits of rows.
-    Keys and cuts are tables in the shared folder, at most 2 * rows / limit numbers in all;
-    the driver sees the rows of the largest key alone, which sets the depth of the search.
+    Without such a key nothing is written. Keys and cuts are tables in the shared folder,
+    at most 2 * rows / limit entries in all; the driver sees the rows of the largest key
+    alone, which sets the depth of the search.
     """
     limit = limit or hot_limit(df)
-    sizes = cut_lineage(
+    counts = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > limit)
     )
-    largest = sizes.agg(F.max("n")).first()[0]
+    largest = counts.agg(F.max("n")).first()[0]
     if largest is None:
         return Split(df, None, None)
-    keys = sizes.select(key)
     pieces = 2
     while pieces < -(-largest // limit):
         pieces *= 2
-    quantiles = [i / pieces for i in range(1, pieces)]
-    # the largest key needs all quantiles, a smaller one every second, fourth, ...
+    # the largest key needs all pieces, a smaller one a half, a quarter, ... of them
     wanted = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / F.lit(limit))))
-    every = (F.lit(pieces) / F.greatest(F.lit(2), F.least(F.lit(pieces), wanted))).cast("int")
-    thinned = F.filter(CUTS, lambda cut, i: (i + 1) % F.col("every") == 0)
-    cuts = cut_lineage(
-        df.join(keys, key, "left_semi")
-        .groupBy(key)
-        .agg(
-            F.percentile_approx(at, quantiles, max(10_000, 20 * pieces)).alias(CUTS),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .withColumn("every", every)
-        .select(key, thinned.alias(CUTS))
+    own = F.greatest(F.lit(2), F.least(F.lit(pieces), wanted)).cast("int")
+    sizes = cut_lineage(counts.withColumn("pieces", own))
+    keys = sizes.select(key)
+    drawn = (
+        df.select(key, position(at, tie).alias("p"))
+        .join(sizes, key)
+        .where(F.rand(42) * F.col("n") < F.lit(SAMPLE) * F.col("pieces"))
+        .groupBy(key, "pieces")
+        .agg(F.sort_array(F.collect_list("p")).alias("p"))
+    )
+    nth = F.transform(
+        F.sequence(F.lit(1), F.col("pieces") - 1),
+        lambda i: F.get("p", F.floor(i * F.size("p") / F.col("pieces")).cast("int") - 1),
     )
+    cuts = cut_lineage(drawn.select(key, F.filter(nth, lambda cut: cut.isNotNull()).alias(CUTS)))
     return Split(
         df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), Cuts(cuts, pieces)
     )
@@ -108,10 +123,10 @@ def split_hot(df: DataFrame, key: str, at: str, limit: int | None = None) -> Spl
 
 def per_key(
     df: DataFrame, steps: Sequence[Step], key: str = "card_id", at: str = "ts_us",
-    limit: int | None = None,
+    limit: int | None = None, tie: str = TIE,
 ) -> DataFrame:
     """Run the steps over every key; ordinary keys need one exchange in all."""
-    split = split_hot(df, key, at, limit)
+    split = split_hot(df, key, at, limit, tie)
     out = split.cold.repartition(key)
     for phase in ("card", "value", "totals", "own"):
         for step in steps:
@@ -126,21 +141,22 @@ def per_key(
     return out.unionByName(hot.select(*out.columns))
 
 
-def with_piece(df: DataFrame, cuts: Cuts, key: str, at: str) -> DataFrame:
-    """Number of cuts before `at`: a binary search spelled out step by step.
+def with_piece(df: DataFrame, cuts: Cuts, key: str, at: str, tie: str = TIE) -> DataFrame:
+    """Number of cuts before the row: a binary search spelled out step by step.
 
     Every step is a projection of its own, so it stays generated code. Probes
     beyond the end of a shorter array are null and count as "not before".
     """
-    out = df.join(cuts.table, key).withColumn(PIECE, F.lit(0))
+    out = df.join(cuts.table, key).withColumns({PIECE: F.lit(0), "_position": position(at, tie)})
     span = cuts.pieces // 2
     while span >= 1:
         probe = F.get(F.col(CUTS), F.col(PIECE) + (span - 1))
+        behind = F.col("_position") > probe
         out = out.withColumn(
-            PIECE, F.col(PIECE) + F.when(F.col(at) > probe, F.lit(span)).otherwise(F.lit(0))
+            PIECE, F.col(PIECE) + F.when(behind, F.lit(span)).otherwise(F.lit(0))
         )
         span //= 2
-    return out.drop(CUTS)
+    return out.drop(CUTS, "_position")
 
 
 def running(

@@ -40,8 +40,8 @@ def as_of_views(
     both = spine.where(F.col(key).isNotNull()).select(
         F.col(key),
         F.col(spine_time).alias("_at"),
-        F.lit(1).alias("_side"),
-        F.lit("").alias("_tie"),
+        # behind the features of its moment, spread over the pieces of a hot one
+        F.concat(F.lit("1"), F.hex(F.xxhash64(*spine.columns))).alias("_tie"),
         F.struct(*spine.columns).alias("_spine"),
     )
     for name, table in zip(names, tables):
@@ -49,12 +49,11 @@ def as_of_views(
         rows = table.features.where(F.col(key).isNotNull()).select(
             F.col(key),
             F.col(table.time).alias("_at"),
-            F.lit(0).alias("_side"),
-            F.col(table.tie).cast("string").alias("_tie"),
+            F.concat(F.lit("0"), F.col(table.tie).cast("string")).alias("_tie"),
             payload.alias(f"{name}_row"),
         )
         both = both.unionByName(rows, allowMissingColumns=True)
-    order = ["_at", "_side", "_tie"]
+    order = ["_at", "_tie"]
 
     def card(df: DataFrame) -> DataFrame:
         upto = Window.partitionBy(key).orderBy(*order).rowsBetween(UP, 0)
@@ -64,18 +63,18 @@ def as_of_views(
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         scanned = running(
-            with_piece(df, cuts, key, "_at"), key, order,
+            with_piece(df, cuts, key, "_at", "_tie"), key, order,
             lasts={n: F.col(f"{n}_row") for n in names},
         )
         return scanned.select(*df.columns, *names)
 
-    found = per_key(both, [Step(names, hot, card=card)], key=key, at="_at", limit=limit)
+    found = per_key(both, [Step(names, hot, card=card)], key=key, at="_at", limit=limit, tie="_tie")
 
     def fresh(name: str, table: Served) -> Column:
         age = F.col("_at") - F.col(f"{name}.feature_time")
         return F.when(age <= table.ttl_seconds * config.US, F.col(name)).alias(name)
 
-    joined = found.where(F.col("_side") == 1).select(
+    joined = found.where(F.col("_spine").isNotNull()).select(
         "_spine.*", *[fresh(n, t) for n, t in zip(names, tables)]
     )
     kinds = {f.name: f.dataType for f in joined.schema.fields}

@@ -70,39 +70,35 @@ def lookback_sums(
         )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        # a row adds itself at its time and takes itself away just after ts + w
+        # a row adds itself at its time and is taken away just after ts + w; what is taken
+        # away at one moment is one event, and so is what is added if all of the moment counts
         ins = df.withColumns({f"_v_{v}": c for v, c in values.items()})
-        kinds = [F.struct(F.lit(1).alias("rank"), F.lit("").alias("w"), F.col("ts_us").alias("us"))]
-        kinds += [
-            F.struct(
-                F.lit(0).alias("rank"),
-                F.lit(w).alias("w"),
-                (F.col("ts_us") + (s * config.US + 1)).alias("us"),
-            )
+        leaving = [
+            F.struct(F.lit(w).alias("w"), (F.col("ts_us") + (s * config.US + 1)).alias("us"))
             for w, s in windows.items()
         ]
+        gone = ins.select(CARD, *[f"_v_{v}" for v in values], F.explode(F.array(*leaving)).alias("_e"))
+        changes = gone.groupBy(CARD, F.col("_e.us").alias("_us")).agg(
+            *[
+                F.sum(F.when(F.col("_e.w") == w, -F.col(f"_v_{v}")).otherwise(F.lit(0))).alias(f"{v}_{w}")
+                for w in windows
+                for v in values
+            ]
+        ).withColumn("_rank", F.lit(0))
+        read = 2 if include_current else 1
+        added = {f"{v}_{w}": F.lit(0) if include_current else F.col(f"_v_{v}") for w in windows for v in values}
+        rows = ins.withColumns(added | {"_us": F.col("ts_us"), "_rank": F.lit(read)})
         if include_current:
-            kinds.append(
-                F.struct(F.lit(2).alias("rank"), F.lit("").alias("w"), F.col("ts_us").alias("us"))
+            arrived = ins.groupBy(CARD, F.col("ts_us").alias("_us")).agg(
+                *[F.sum(f"_v_{v}").alias(f"{v}_{w}") for w in windows for v in values]
             )
-        read = 2 if include_current else 1
-        events = ins.withColumn("_e", F.explode(F.array(*kinds))).withColumns(
-            {"_us": F.col("_e.us"), "_rank": F.col("_e.rank"), "_w": F.col("_e.w")}
-        )
-        # the payload is needed on the reading row alone
-        payload = [c for c in df.columns if c not in (CARD, "transaction_id")]
-        events = events.withColumns(
-            {c: F.when(F.col("_rank") == read, F.col(c)) for c in payload}
-        )
-        sums = {
-            f"{v}_{w}": F.when(F.col("_rank") == 1, F.col(f"_v_{v}"))
-            .when((F.col("_rank") == 0) & (F.col("_w") == w), -F.col(f"_v_{v}"))
-            .otherwise(F.lit(0))
-            for w in windows
-            for v in values
-        }
+            changes = changes.unionByName(arrived.withColumn("_rank", F.lit(1)))
+        changes = changes.withColumn("transaction_id", F.lit(""))
+        events = rows.unionByName(changes, allowMissingColumns=True)
+        events = events.withColumnsRenamed({n: f"_d_{n}" for n in names})
         scanned = running(
-            with_piece(events, cuts, CARD, "_us"), CARD, ["_us", "_rank", "transaction_id"], sums=sums
+            with_piece(events, cuts, CARD, "_us"), CARD, ["_us", "_rank", "transaction_id"],
+            sums={n: F.col(f"_d_{n}") for n in names},
         ).where(F.col("_rank") == read)
         if not include_current:
             scanned = scanned.withColumns(
@@ -168,29 +164,29 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
         )
         starts = ends.where(F.col("_prev").isNull() | (F.col("a.ts_us") - F.col("_prev") > w_us))
         stops = ends.where(F.col("_next").isNull() | (F.col("_next") - F.col("z") > w_us))
-        change = [CARD, "transaction_id", "_us", "_rank", "_d"]
-        enter_rank = 1 if include_current else 2  # after the row has read
-        changes = (
-            inside.selectExpr(
-                CARD, "transaction_id",
-                f"inline(array(struct(ts_us as _us, {enter_rank} as _rank, 1 as _d),"
-                f" struct(_prev + {w_us + 1} as _us, 0 as _rank, -1 as _d)))",
-            )
+        enters = (
+            inside.select(CARD, "transaction_id", F.col("ts_us").alias("_us"))
             .unionByName(
                 starts.select(
-                    CARD, F.col("a.transaction_id").alias("transaction_id"),
-                    F.col("a.ts_us").alias("_us"), F.lit(enter_rank).alias("_rank"),
-                    F.lit(1).alias("_d"),
-                )
-            )
-            .unionByName(
-                stops.select(
-                    CARD, F.lit("").alias("transaction_id"),
-                    (F.col("z") + (w_us + 1)).alias("_us"), F.lit(0).alias("_rank"),
-                    F.lit(-1).alias("_d"),
+                    CARD, F.col("a.transaction_id").alias("transaction_id"), F.col("a.ts_us").alias("_us")
                 )
             )
-            .select(*change)
+            .withColumn("_d", F.lit(1))
+        )
+        leaves = (
+            inside.select(CARD, (F.col("_prev") + (w_us + 1)).alias("_us"))
+            .unionByName(stops.select(CARD, (F.col("z") + (w_us + 1)).alias("_us")))
+            .withColumn("_d", F.lit(-1))
+        )
+
+        def by_moment(changes: DataFrame, rank: int) -> DataFrame:
+            summed = changes.groupBy(CARD, "_us").agg(F.sum("_d").alias("_d"))
+            return summed.withColumns({"transaction_id": F.lit(""), "_rank": F.lit(rank)})
+
+        changes = by_moment(leaves, 0).unionByName(
+            # an entry counts for its whole moment, or from behind its own row on
+            by_moment(enters, 1) if include_current else enters.withColumn("_rank", F.lit(2)),
+            allowMissingColumns=True,
         )
         read_rank = 2 if include_current else 1
         rows = df.withColumns(

@@ -357,6 +357,13 @@ put(
     f"{TX}, {lookback('tx')}, {idle('tx')}, {since('tx')}, {ema('tx')}",
     SQL["velocity_ties"][SQL["velocity_ties"].rindex("select transaction_id, tx_count_10m"):],
 )
+put(
+    "velocity_hot_moment",
+    f"""{TX}, moment as (select * replace (cast(user_id % 4 as varchar) as card_id,
+      ts_us - ts_us % 864000000000 as ts_us) from tx),
+    {lookback('moment')}, {idle('moment')}, {since('moment')}, {ema('moment')}""",
+    SQL["velocity_ties"][SQL["velocity_ties"].rindex("select transaction_id, tx_count_10m"):],
+)
 put("realtime_features", FEATURES, f"""select transaction_id, amount, {r('amount_log')} amount_log,
   merchant_category, has_location, tx_count_10m, tx_count_1h, tx_count_24h,
   total_amount_10m, total_amount_1h, total_amount_24h, unique_merchants_24h, time_since_last_tx,

@@ -410,6 +410,23 @@ def velocity_hot_cards(spark, sf_dir):
     )
 
 
+@query
+def velocity_hot_moment(spark, sf_dir):
+    """The same features with four cards whose rows have one of a few timestamps: every moment of
+    a card is cut into pieces by the id."""
+    ten_days = 10 * 86_400 * config.US
+    moved = tables.transactions(spark, sf_dir).withColumns({
+        "card_id": (F.col("card_id").cast("bigint") % 4).cast("string"),
+        "ts_us": F.col("ts_us") - F.col("ts_us") % ten_days,
+    })
+    out = velocity.card_history(moved, limit=100)
+    return out.select(
+        "transaction_id", "tx_count_10m", "tx_count_24h", money("total_amount_24h"),
+        "unique_merchants_24h", "unique_merchants_since_idle", "time_since_last_tx",
+        rounded_of(F.col("ema_before"), "ema_before", 4),
+    )
+
+
 @query
 def asof_join_hot_keys(spark, sf_dir):
     """The as-of join with every user of more than 20 rows cut into pieces."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from swipeline import config
-from swipeline.operators import hot, offline, velocity
+from swipeline.operators import hot, offline, store, velocity
 from tests.conftest import DAY, NOON, SECOND, by_id
 
 COLUMNS = [
@@ -229,3 +229,53 @@ def test_home_skips_nulls_per_column(spark, limit):
         "1": (1.0, 5.0, None, None), "2": (1.0, 5.0, None, 5.0),
         "3": (1.0, 5.0, 1.0, None), "4": (None, None, None, None),
     }
+
+
+@pytest.fixture
+def largest(monkeypatch):
+    """The largest piece of every scan: what one task works through."""
+    sizes = []
+
+    def spied(df, key, *args, **kwargs):
+        keys = [key] if isinstance(key, str) else list(key)
+        counted = df.groupBy(*keys, hot.PIECE).count().agg(F.max("count")).first()[0]
+        sizes.append(counted)
+        return hot.running(df, key, *args, **kwargs)
+
+    for module in (velocity, offline, store):
+        monkeypatch.setattr(module, "running", spied)
+    return sizes
+
+
+def one_moment(n, others=0):
+    rng = random.Random(6)
+    rows = [(f"{i:04d}", "c", f"m{rng.randrange(9)}", round(rng.uniform(1, 500), 2), NOON) for i in range(n)]
+    return rows + [(f"o{i}", "c", f"m{rng.randrange(9)}", 5, NOON + rng.randrange(2 * DAY)) for i in range(others)]
+
+
+@pytest.mark.parametrize("others", [0, 60])
+def test_one_moment_of_one_card_is_split(make, largest, others):
+    rows = one_moment(400, others)
+    assert collected(velocity.card_history(make(rows), limit=20)) == brute(rows)
+    # rows of other moments bring the ends of their three windows as events of their own
+    assert len(largest) > 5 and max(largest) <= (100 if others else 40)
+
+
+def test_one_moment_counted_whole_is_split(make, largest):
+    """Offline features read all rows of a moment, the later ones as well."""
+    rows = one_moment(400)
+    names = ["avg_amt_7d", "tx_count_24h", "unique_merchants_7d"]
+    split = by_id(offline.time_true(make(rows), limit=20), *names)
+    assert split == by_id(offline.time_true(make(rows)), *names)
+    assert max(largest) <= 40
+
+
+def test_one_moment_of_the_as_of_join_is_split(spark, largest):
+    spine = spark.createDataFrame([("k", NOON, i) for i in range(400)], "k string, t bigint, n int")
+    features = spark.createDataFrame(
+        [("k", NOON, f"{i:03d}", i) for i in range(400)] + [("k", NOON + 1, "999", -1)],
+        "k string, ft bigint, tie string, v int",
+    )
+    out = store.as_of_join(spine, features, "k", "t", "ft", ["v"], 60, "tie", limit=20)
+    assert {(r["n"], r["v"]) for r in out.collect()} == {(i, 399) for i in range(400)}
+    assert max(largest) <= 40
