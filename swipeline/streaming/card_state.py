@@ -8,7 +8,7 @@ What a card keeps, all on event time:
 * per merchant the last visit of the current activity period.
 
 For an ordinary card all of it is one state value, read and written once per
-batch. Beyond INLINE_ROWS rows the slots and visits become entries of their own,
+batch. Beyond INLINE_ROWS rows and visits the slots and visits become entries of their own,
 and a batch loads only the slots that leave one of the windows while it is worked
 through: memory follows the length of the batch (bounded by the source's
 rows-per-trigger option), not the size of the card's history. Rows older than the
@@ -45,22 +45,18 @@ INLINE_ROWS = 2000
 
 COUNTS = [f"tx_count_{w}" for w in WINDOWS_US]
 SUMS = [f"cents_{w}" for w in WINDOWS_US]
+#: Whole numbers of a row, in one array: Spark converts a frame of each card column by column,
+#: so that few columns cost little.
+LONGS = [
+    "cents", "ts_us", *COUNTS, *SUMS, "unique_merchants_24h", "unique_merchants_since_idle",
+    "is_new_merchant", "prev_us", "late",
+]
+TEXTS = ["transaction_id", "card_id", "merchant_id", "merchant_category"]
 OUTPUT = T.StructType(
     [
-        T.StructField("transaction_id", T.StringType()),
-        T.StructField("card_id", T.StringType()),
-        T.StructField("merchant_id", T.StringType()),
-        T.StructField("merchant_category", T.StringType()),
-        T.StructField("cents", T.LongType()),
-        T.StructField("ts_us", T.LongType()),
-        T.StructField("lat", T.DoubleType()),
-        *[T.StructField(c, T.LongType()) for c in [*COUNTS, *SUMS]],
-        T.StructField("unique_merchants_24h", T.LongType()),
-        T.StructField("unique_merchants_since_idle", T.LongType()),
-        T.StructField("is_new_merchant", T.LongType()),
-        T.StructField("prev_us", T.LongType()),
-        T.StructField("ema_before", T.DoubleType()),
-        T.StructField("late", T.BooleanType()),
+        *[T.StructField(c, T.StringType()) for c in TEXTS],
+        T.StructField("longs", T.ArrayType(T.LongType())),
+        T.StructField("reals", T.ArrayType(T.DoubleType())),
     ]
 )
 INPUT = ["ts_us", "transaction_id", "merchant_id", "merchant_category", "cents", "lat"]
@@ -200,7 +196,7 @@ class CardState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = sorted(
-            (row for frame in rows for row in zip(*[frame[c].tolist() for c in INPUT])),
+            (row for frame in rows for row in zip(*[_values(frame[c]) for c in INPUT])),
             key=lambda row: row[:2],
         )
         if self.keep_late:
@@ -208,9 +204,10 @@ class CardState(StatefulProcessor):
             watermark = timerValues.getCurrentWatermarkInMs() * 1000
             behind = bisect_right(batch, watermark, key=lambda row: row[0]) if watermark > 0 else 0
             if behind:
+                no_features = [0] * (len(COUNTS) + len(SUMS) + 3)
                 yield _frame([
-                    (row[1], key[0], *row[2:5], row[0], row[5], *[0] * (len(COUNTS) + len(SUMS) + 3), None, 0.0, True)
-                    for row in batch[:behind]
+                    (tx_id, key[0], merchant, category, [cents, us, *no_features, None, 1], [lat, 0.0])
+                    for us, tx_id, merchant, category, cents, lat in batch[:behind]
                 ])
             batch = batch[behind:]
             if not batch:
@@ -243,8 +240,9 @@ class CardState(StatefulProcessor):
                 merchants, new = len(near), merchant not in near
             ema = DEFAULT_AVG if self.ema is None else self.ema
             out.append(
-                (tx_id, key[0], merchant, category, cents, us, lat, *counts, *sums,
-                 merchants, self.visited, int(new), self.last_us, ema, False)
+                (tx_id, key[0], merchant, category,
+                 [cents, us, *counts, *sums, merchants, self.visited, int(new), self.last_us, 0],
+                 [lat, ema])
             )
             row = (us, tx_id, cents, merchant)
             self._keep(row)
@@ -264,7 +262,9 @@ class CardState(StatefulProcessor):
             self.loaded.pop(number, None)
             if self.spilled and self.slots.containsKey((number,)):
                 self.slots.removeKey((number,))
-        if not self.spilled and sum(map(len, self.loaded.values())) > self.inline_rows:
+        # a card of few rows a day may still have visited many merchants
+        held = sum(map(len, self.loaded.values())) + len(self.seen)
+        if not self.spilled and held > self.inline_rows:
             self.spilled = True
             self.changed = set(self.known)
         if self.spilled:
@@ -321,14 +321,19 @@ class CardState(StatefulProcessor):
         return iter([])
 
 
+def _values(column: pd.Series) -> list:
+    """A column as a list; a missing number is None."""
+    values = column.tolist()
+    return [None if v != v else v for v in values] if column.dtype.kind == "f" else values
+
+
 def _columns(rows: list[tuple], width: int) -> tuple[list, ...]:
     return tuple([r[i] for r in rows] for i in range(width))
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    columns = dict(zip(OUTPUT.names, zip(*rows)))
-    columns["prev_us"] = pd.Series(columns["prev_us"], dtype=object)
-    return pd.DataFrame(columns)
+    columns = zip(OUTPUT.names, zip(*rows))
+    return pd.DataFrame({name: pd.Series(list(values), dtype=object) for name, values in columns})
 
 
 class _Queue:
@@ -375,6 +380,12 @@ def card_features(
         outputMode="Append",
         timeMode="EventTime",
     )
+    raw = raw.select(
+        *TEXTS,
+        *[F.get("longs", F.lit(i)).alias(c) for i, c in enumerate(LONGS)],
+        F.get("reals", F.lit(0)).alias("lat"),
+        F.get("reals", F.lit(1)).alias("ema_before"),
+    ).withColumn("late", F.col("late") == 1)
     seconds = F.floor(F.col("ts_us") / US)
     previous = F.floor(F.col("prev_us") / US)
     given = ["transaction_id", "card_id", "merchant_id", "merchant_category", "amount", "ts_us", "lat"]

@@ -175,3 +175,11 @@ def test_scoring_keeps_late_rows_too(spark, make):
     assert {r["transaction_id"] for r in log.collect()} == {"a", "b"}
     dead = spark.read.parquet(f"{path}/dead")
     assert [(r["transaction_id"], r["reject_reason"]) for r in dead.collect()] == [("old", "late")]
+
+
+def test_many_visits_and_few_rows_spill(feed):
+    """A card that is never idle keeps its merchants, one a day: they leave the single value."""
+    rows = [(f"{i:02d}", "c", f"m{i % 13}", 5, NOON + i * 20 * 3600 * SECOND) for i in range(40)]
+    out, _ = feed([rows[:15], rows[15:30], rows[30:]], inline_rows=5)
+    assert collected(out) == brute(rows)
+    assert out.agg(F.max("unique_merchants_since_idle")).first()[0] == 13
