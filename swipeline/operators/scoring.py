@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from swipeline import config
@@ -38,6 +39,8 @@ RULES_B = {
 # ----------------------------------------------------------------------------------
 
 SCORE = "decimal(5,2)"
+#: Bytes of a model that is sent to every executor, at most.
+MOST_MODEL_BYTES = 256 << 20
 
 
 def model_inputs(rows: DataFrame) -> DataFrame:
@@ -155,11 +158,15 @@ def model_score(
 ) -> DataFrame:
     """Probability from any object with `predict_proba(matrix)`.
 
-    The model goes to each Python worker once; batches arrive through Arrow.
+    The model goes to each Python worker once; batches arrive through Arrow. One that takes
+    more than MOST_MODEL_BYTES is refused: it is broadcast.
     Columns the frame lacks count as 0, and a batch the model refuses falls back
     to the rule score; `{name}_source` says which it is, `model` or `rules`.
     """
     columns = columns or list(getattr(model, "feature_name_", MODEL_COLUMNS))
+    size = len(cloudpickle.dumps(model))
+    if size > MOST_MODEL_BYTES:
+        raise ValueError(f"a model of {size} bytes is too large to broadcast")
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("p double, source string")

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from swipeline.operators import monitoring
 from swipeline.operators.scoring import MODEL_COLUMNS
@@ -61,6 +61,88 @@ def train(
     return model, scored, importance
 
 
+def save(model, path: str, features: list[str] = MODEL_COLUMNS) -> None:
+    """A trained forest below `path`: `model` as Spark ML keeps it, and `nodes`, its trees as one
+    row per node, with the names of the features they read."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    trees = spark.read.parquet(f"{path}/model/treesMetadata").toDF("tree", "about", "weight")
+    kept = spark.read.parquet(f"{path}/model/data").withColumnRenamed("treeID", "tree")
+    if not kept.where(split["numCategories"] > 0).isEmpty():
+        raise ValueError("trees with splits by category are not kept as nodes")
+    names = F.array(*[F.lit(f) for f in features])
+    nodes = kept.join(trees.select("tree", "weight"), "tree").select(
+        "tree", node["id"].alias("node"), "weight", node["prediction"].alias("value"),
+        node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        F.get(names, split["featureIndex"]).alias("feature"),
+        F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+    )
+    nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+
+
+@dataclass
+class Forest:
+    """Trees as flat arrays, with the usual `predict_proba`. A node whose left child is itself is
+    a leaf; a missing value goes to the right."""
+
+    feature_name_: list[str]
+    roots: np.ndarray
+    weights: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    def margin(self, matrix: np.ndarray) -> np.ndarray:
+        rows = np.arange(len(matrix))
+        total = np.zeros(len(matrix))
+        for root, weight in zip(self.roots, self.weights):
+            at = np.full(len(matrix), root)
+            while True:
+                goes_left = matrix[rows, self.feature[at]] <= self.threshold[at]
+                below = np.where(goes_left, self.left[at], self.right[at])
+                if (below == at).all():
+                    break
+                at = below
+            total += weight * self.value[at]
+        return total
+
+    def predict_proba(self, matrix: np.ndarray) -> np.ndarray:
+        p = 1.0 / (1.0 + np.exp(-2.0 * self.margin(matrix)))
+        return np.column_stack([1.0 - p, p])
+
+
+#: Nodes of a stored model, at most: they come to the driver and are broadcast, 40 bytes each.
+MOST_NODES = 1 << 20
+
+
+def load(spark: SparkSession, path: str) -> Forest:
+    """A stored forest as arrays; one that is too large to broadcast is refused."""
+    stored = spark.read.parquet(f"{path}/nodes")
+    size = stored.count()
+    if size > MOST_NODES:
+        raise ValueError(f"{size} nodes are too many to broadcast: score with the stored Spark ML model")
+    nodes = stored.orderBy("tree", "node").toPandas()
+    names = sorted(nodes["feature"].dropna().unique())
+    own = np.arange(size)
+    place = {key: i for i, key in enumerate(zip(nodes["tree"], nodes["node"]))}
+    child = lambda side: np.array(
+        [place.get(key, i) for i, key in enumerate(zip(nodes["tree"], nodes[side]))]
+    )
+    leaf = nodes["feature"].isna().to_numpy()
+    index = {name: i for i, name in enumerate(names)}
+    roots = own[nodes["node"].to_numpy() == 0]
+    return Forest(
+        names or list(MODEL_COLUMNS[:1]), roots, nodes["weight"].to_numpy()[roots],
+        np.array([index.get(f, 0) for f in nodes["feature"]]),
+        np.where(leaf, 0.0, nodes["threshold"].to_numpy(dtype=float)),
+        np.where(leaf, own, child("left")), np.where(leaf, own, child("right")),
+        nodes["value"].to_numpy(dtype=float),
+    )
+
+
 @dataclass
 class LinearScorer:
     """A logistic model as plain numbers, with the usual `predict_proba`."""

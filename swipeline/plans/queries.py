@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from swipeline import config
@@ -1100,3 +1101,21 @@ def train_model(spark, sf_dir):
     _, test, importance = training.train(realtime.score_inputs(point_in_time(spark, sf_dir)))
     top = importance.orderBy(F.desc("importance")).limit(1).select("feature").scalar()
     return monitoring.pr_auc(test).withColumn("top_feature", top)
+
+
+@query
+def model_score_trained(spark, sf_dir):
+    """Boosted trees are trained and stored, read again as arrays, and score every transaction;
+    the scores of the trained model itself differ nowhere."""
+    rows = cut_lineage(realtime.score_inputs(point_in_time(spark, sf_dir)))
+    model, _, _ = training.train(rows, iterations=5)
+    path = shared_dir(spark)
+    training.save(model, path)
+    stored = scoring.model_score(rows, training.load(spark, path))
+    own = model.transform(training.assembled(stored, scoring.MODEL_COLUMNS, "is_fraud"))
+    apart = F.abs(vector_to_array("probability")[1] - F.col("model_probability"))
+    return own.agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(~(apart < 1e-9)).alias("n_different"),
+        F.count_if(F.col("model_probability_source") != "model").alias("n_by_rules"),
+        F.count_if(~F.col("model_probability").between(0, 1)).alias("n_out_of_range"),
+    )

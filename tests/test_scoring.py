@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from swipeline.operators import monitoring, predictions, quality, scoring, training
@@ -265,3 +266,28 @@ def test_training_separates_classes(spark):
     )
     means = {r.is_fraud: r.p for r in out.groupBy("is_fraud").agg(F.avg("model_probability").alias("p")).collect()}
     assert means[1] > 0.8 > 0.2 > means[0]
+
+
+def test_stored_trees_score_like_the_trained_model(spark, tmp_path):
+    names = ["a", "b", "c"]
+    rows = spark.range(900).select(
+        F.col("id").cast("string").alias("transaction_id"), F.col("id").alias("ts_us"),
+        (F.rand(3) + F.rand(1) > 1.1).cast("int").alias("is_fraud"),
+        F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 5).alias("c"),
+    )
+    rows = rows.withColumns({c: F.lit(0.0) for c in scoring.MODEL_COLUMNS})
+    model, _, _ = training.train(rows, features=names, iterations=4)
+    training.save(model, str(tmp_path), names)
+    forest = training.load(spark, str(tmp_path))
+    assert len(forest.roots) == 4 and set(forest.feature_name_) <= set(names)
+    both = model.transform(training.assembled(scoring.model_score(rows, forest), names, "is_fraud"))
+    for r in both.select(vector_to_array("probability")[1].alias("p"), "model_probability", "model_probability_source").collect():
+        assert r["model_probability"] == pytest.approx(r["p"], abs=1e-12)
+        assert r["model_probability_source"] == "model"
+
+
+def test_a_model_too_large_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "MOST_MODEL_BYTES", 10)
+    rows = spark.range(1).withColumns({c: F.lit(0.0) for c in scoring.MODEL_COLUMNS})
+    with pytest.raises(ValueError, match="too large"):
+        scoring.model_score(rows, training.LinearScorer([0.0], 0.0, ["amount"]))
