@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
 from swipeline.operators.scoring import RULES_A, contribution
+from swipeline.session import cut_lineage
 
 # --- fixed values -------------------------------------------------------------
 PSI_BINS = 10
@@ -176,29 +177,53 @@ def psi_features(
     return names.join(found, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 
+def from_the_top(counts: DataFrame, by: list[str]) -> DataFrame:
+    """`tp` and `hits`, the running sums of `pos` and `n` from the largest score down, and
+    `positives`, the sum of all `pos`; each within `by`. counts has a row per score.
+
+    A prefix sum on two levels, exact for any number of scores: the rows are dealt by ranges of
+    the score and summed per range; what lies above a range is a window over these few sums,
+    and the scores of a range are added up in its own task.
+    """
+    dealt = counts.repartitionByRange(*by, "score").withColumn("part", F.spark_partition_id())
+    dealt = cut_lineage(dealt)  # the ranges are settled here
+    sums = dealt.groupBy(*by, "part").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    above = Window.partitionBy(*by).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        *by, "part",
+        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("tp_above"),
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("hits_above"),
+        F.sum("pos").over(Window.partitionBy(*by)).alias("positives"),
+    )
+    # one row per range, and per group and range: their measured size decides how they are joined
+    down = Window.partitionBy(*by, "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.join(carried, [*by, "part"]).select(
+        *by, "score", "pos", "n", "positives",
+        (F.col("tp_above") + F.sum("pos").over(down)).alias("tp"),
+        (F.col("hits_above") + F.sum("n").over(down)).alias("hits"),
+    )
+
+
 def windowed_metrics(
     scored: DataFrame, threshold: float, time: str = "ts_us", label: str = "is_fraud"
 ) -> DataFrame:
     """(metric, window_us, value, alert): the false positive rate of every hour and the
     precision at 95 % recall of every day, each with its alert. Rows are counted per
-    hour, day and score before anything is ordered."""
+    hour, and per day and score, before anything is ordered; scores count as they are."""
     hit, fraud = F.col("fraud_probability") > threshold, F.col(label) == 1
     start = lambda us: F.col(time) - F.pmod(F.col(time), F.lit(us))
-    counts = scored.groupBy(
-        start(HOUR_US).alias("hour"), start(DAY_US).alias("day"),
-        F.round("fraud_probability", 4).alias("score"),
-    ).agg(
-        F.count_if(hit & ~fraud).alias("fp"), F.count_if(~fraud).alias("negatives"),
-        F.count_if(fraud).alias("pos"), F.count(F.lit(1)).alias("n"),
-    )
-    rate = F.coalesce(F.try_divide(F.sum("fp"), F.sum("negatives")), F.lit(0.0))
-    hourly = counts.groupBy(F.col("hour").alias("window_us")).agg(rate.alias("value"))
-    per_day = counts.groupBy("day", "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-    down = Window.partitionBy("day").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = per_day.select(
+    counts = scored.groupBy(start(HOUR_US).alias("hour")).agg(
+        F.count_if(hit & ~fraud).alias("fp"), F.count_if(~fraud).alias("negatives")
+    )
+    rate = F.coalesce(F.try_divide(F.col("fp"), F.col("negatives")), F.lit(0.0))
+    hourly = counts.select(F.col("hour").alias("window_us"), rate.alias("value"))
+    per_day = scored.groupBy(start(DAY_US).alias("day"), F.col("fraud_probability").alias("score")).agg(
+        F.count_if(fraud).alias("pos"), F.count(F.lit(1)).alias("n")
+    )
+    curve = from_the_top(per_day, ["day"]).select(
         "day",
-        (F.sum("pos").over(down) / F.sum("n").over(down)).alias("precision"),
-        F.try_divide(F.sum("pos").over(down), F.sum("pos").over(Window.partitionBy("day"))).alias("recall"),
+        (F.col("tp") / F.col("hits")).alias("precision"),
+        F.try_divide(F.col("tp"), F.col("positives")).alias("recall"),
     )
     daily = curve.groupBy(F.col("day").alias("window_us")).agg(
         F.max(F.when(F.col("recall") >= RECALL_TARGET, F.col("precision"))).alias("value")
@@ -240,22 +265,12 @@ def confusion(scored: DataFrame, threshold: float, label: str = "is_fraud") -> D
 
 
 def pr_curve(scored: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """Precision and recall at every score, scores rounded to 1e-4.
-
-    Rows are counted per score first, so the running sums see at most 10,001 rows.
-    """
-    per_score = scored.groupBy(F.round("fraud_probability", 4).alias("score")).agg(
+    """Precision and recall at every score. Rows are counted per score first; scores are not
+    rounded, so there may be as many as rows."""
+    per_score = scored.groupBy(F.col("fraud_probability").alias("score")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    return per_score.select(
-        "score",
-        F.sum("pos").over(down).alias("tp"),
-        F.sum("n").over(down).alias("hits"),
-        F.sum("pos").over(everything).alias("positives"),
-        "pos",
-    ).select(
+    return from_the_top(per_score, []).select(
         "score",
         (F.col("tp") / F.col("hits")).alias("precision"),
         F.try_divide(F.col("tp"), F.col("positives")).alias("recall"),

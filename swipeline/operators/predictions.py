@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from swipeline import config
 from swipeline.operators.clean import first_per_key
@@ -77,24 +77,19 @@ def recent_predictions(log: DataFrame, n: int = 100, card_id: str | None = None)
 def statistics(log: DataFrame) -> DataFrame:
     """Total, per risk level and per decision, with the mean probability.
 
-    The log is read once, into the few pairs of level and decision; an empty log
-    still has its total.
+    One scan and one exchange: the three groupings are sets of one aggregation. A row that
+    counts nothing is added to the log, so that an empty log still has its total.
     """
-    pairs = log.groupBy("risk_level", "decision").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("fraud_probability").alias("s")
+    rows = log.select("risk_level", "decision", "fraud_probability", F.lit(1).alias("n"))
+    nothing = log.sparkSession.range(1).select(F.lit(0).alias("n"))
+    counted = rows.unionByName(nothing, allowMissingColumns=True).groupingSets(
+        [[], [F.col("risk_level")], [F.col("decision")]], "risk_level", "decision"
+    ).agg(
+        F.grouping_id().alias("g"), F.sum("n").alias("n_predictions"), F.sum("fraud_probability").alias("s")
     )
-
-    def part(kind: str, value: Column, grouped: GroupedData) -> DataFrame:
-        counted = grouped.agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-        return counted.select(
-            F.lit(kind).alias("kind"),
-            value.alias("value"),
-            F.coalesce("n", F.lit(0)).alias("n_predictions"),
-            F.coalesce(F.col("s") / F.col("n"), F.lit(0.0)).alias("avg_probability"),
-        )
-
-    return (
-        part("total", F.lit("all"), pairs.groupBy())
-        .unionByName(part("risk_level", F.col("risk_level"), pairs.groupBy("risk_level")))
-        .unionByName(part("decision", F.col("decision"), pairs.groupBy("decision")))
+    kind = F.when(F.col("g") == 3, "total").when(F.col("g") == 1, "risk_level").otherwise("decision")
+    value = F.when(F.col("g") == 3, "all").when(F.col("g") == 1, F.col("risk_level")).otherwise(F.col("decision"))
+    return counted.where((F.col("g") == 3) | (F.col("n_predictions") > 0)).select(
+        kind.alias("kind"), value.alias("value"), "n_predictions",
+        F.coalesce(F.try_divide(F.col("s"), F.col("n_predictions")), F.lit(0.0)).alias("avg_probability"),
     )

@@ -666,6 +666,10 @@ curve as (select s, pos, (sum(pos) over w)::double / sum(n) over w pr,
   from per window w as (order by s desc)),
 auc as (select sum(st * pr) pr_auc, max(pr) filter (rc >= 0.95) p95 from curve)"""
 put("pr_auc", f"{SCORED}, {PR}", f"select {r('pr_auc')} pr_auc, {r('p95')} precision_at_95_recall from auc")
+for name in ("pr_auc", "windowed_metrics"):
+    # the same on the scores of the model: continuous, not rounded
+    put(f"{name}_model", MODELLED, SQL[name][len("with ") + len(SCORED) + 2:].replace("fraud_probability", "mp").replace("from scored", "from modelled"))
+    SQL[f"{name}_model"] = SQL[f"{name}_model"].replace(f"{MODELLED} ", f"{MODELLED}, ", 1)
 put("business_metrics", f"""{SCORED}, per_card as (
   select card_id, max((is_fraud = 0)::int) legit,
     max((is_fraud = 0 and fraud_probability > 0.15)::int) declined from scored group by 1),

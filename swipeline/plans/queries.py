@@ -1048,6 +1048,22 @@ def pr_auc(spark, sf_dir):
     return out.select(rounded("pr_auc"), rounded("precision_at_95_recall"))
 
 
+@query
+def pr_auc_model(spark, sf_dir):
+    """The same from the scores of a logistic model, which are continuous: no two need be equal."""
+    inputs = realtime.score_inputs(features(spark, sf_dir))
+    out = scoring.model_score(inputs, FIXED_MODEL).withColumn("fraud_probability", F.col("model_probability"))
+    return monitoring.pr_auc(out).select(rounded("pr_auc"), rounded("precision_at_95_recall"))
+
+
+@query
+def windowed_metrics_model(spark, sf_dir):
+    inputs = realtime.score_inputs(features(spark, sf_dir))
+    out = scoring.model_score(inputs, FIXED_MODEL).withColumn("fraud_probability", F.col("model_probability"))
+    out = monitoring.windowed_metrics(out, ALERT_THRESHOLD)
+    return out.select("metric", "window_us", rounded("value"), "alert")
+
+
 @query
 def business_metrics(spark, sf_dir):
     out = monitoring.business_metrics(

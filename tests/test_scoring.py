@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import numpy as np
+import random
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -291,3 +293,65 @@ def test_a_model_too_large_is_refused(spark, monkeypatch):
     rows = spark.range(1).withColumns({c: F.lit(0.0) for c in scoring.MODEL_COLUMNS})
     with pytest.raises(ValueError, match="too large"):
         scoring.model_score(rows, training.LinearScorer([0.0], 0.0, ["amount"]))
+
+
+def brute_curve(rows):
+    """(score, precision, recall) at every different score, from the top."""
+    out, positives = {}, sum(y for _, y in rows)
+    for cut in {s for s, _ in rows}:
+        above = [y for s, y in rows if s >= cut]
+        out[cut] = (sum(above) / len(above), sum(above) / positives if positives else None)
+    return out
+
+
+def test_curve_of_continuous_scores_is_exact(spark):
+    rng = random.Random(4)
+    rows = [(rng.random() if i % 3 else rng.choice([0.25, 0.250001]), int(rng.random() < 0.2)) for i in range(700)]
+    frame = spark.createDataFrame(rows, "fraud_probability double, is_fraud int").repartition(5)
+    want = brute_curve(rows)
+    got = {r["score"]: (r["precision"], r["recall"]) for r in monitoring.pr_curve(frame).collect()}
+    assert got.keys() == want.keys()
+    for score, (precision, recall) in want.items():
+        assert got[score] == (pytest.approx(precision), pytest.approx(recall))
+    none = monitoring.pr_auc(frame.where("is_fraud > 1")).first()
+    assert (none.pr_auc, none.precision_at_95_recall) == (None, None)
+
+
+def test_curve_has_no_window_over_all_scores(spark):
+    """Only the sums of the ranges meet in one task."""
+    frame = spark.range(50_000).select((F.col("id") / 50_000).alias("fraud_probability"), (F.col("id") % 2).alias("is_fraud"))
+    curve = monitoring.pr_curve(frame)
+    plan = curve._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    over_scores = [line for line in plan if "Window" in line and "score#" in line]
+    assert over_scores and all("windowspecdefinition(part#" in line for line in over_scores)
+    assert curve.count() == 50_000
+
+
+def test_daily_curves_of_continuous_scores(spark):
+    rng = random.Random(5)
+    day = monitoring.DAY_US
+    rows = [(rng.random(), int(rng.random() < 0.3), rng.randrange(3) * day + rng.randrange(day)) for _ in range(600)]
+    frame = spark.createDataFrame(rows, "fraud_probability double, is_fraud int, ts_us bigint").repartition(5)
+    out = monitoring.windowed_metrics(frame, 0.5).where("metric = 'precision_at_95_recall'")
+    got = {r["window_us"]: r["value"] for r in out.collect()}
+    for d in range(3):
+        curve = brute_curve([(s, y) for s, y, t in rows if t // day == d])
+        assert got[d * day] == pytest.approx(max(p for p, r in curve.values() if r >= 0.95))
+
+
+def test_statistics_are_one_scan_and_one_exchange(spark):
+    log = spark.createDataFrame(
+        [("HIGH", "BLOCK", 0.9), ("LOW", "APPROVE", 0.1), ("LOW", "REVIEW", 0.2), (None, "APPROVE", 0.4)],
+        "risk_level string, decision string, fraud_probability double",
+    )
+    out = predictions.statistics(log)
+    got = {(r["kind"], r["value"]): (r["n_predictions"], round(r["avg_probability"], 6)) for r in out.collect()}
+    assert got == {
+        ("total", "all"): (4, 0.4), ("risk_level", "HIGH"): (1, 0.9), ("risk_level", "LOW"): (2, 0.15),
+        ("risk_level", None): (1, 0.4), ("decision", "BLOCK"): (1, 0.9), ("decision", "APPROVE"): (2, 0.25),
+        ("decision", "REVIEW"): (1, 0.2),
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.count("Scan ExistingRDD") == 1
+    empty = predictions.statistics(log.limit(0)).collect()
+    assert [tuple(r) for r in empty] == [("total", "all", 0, 0.0)]
