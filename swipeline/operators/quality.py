@@ -163,7 +163,8 @@ def observe_run(cleaned: DataFrame, name: str) -> DataFrame:
     `Observation` of that name, on streams in the progress of every batch."""
     good = F.col("reject_reason").isNull()
     return cleaned.observe(
-        name, F.count_if(good).alias("n_processed"), F.count_if(~good).alias("n_failed")
+        name, F.count_if(good).alias("n_processed"), F.count_if(~good).alias("n_failed"),
+        F.coalesce(F.sum(F.when(good, F.col("amount"))), F.lit(0)).cast("decimal(38,2)").alias("total_amount"),
     )
 
 

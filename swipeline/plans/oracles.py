@@ -723,3 +723,23 @@ SQL["stream_pipeline"] = SQL["pipeline_batch"]
 put("stream_score", SCORED, "select transaction_id, fraud_probability, risk_level, decision from scored")
 put("model_score_trained", "", """select count(*) n_scored, 0::bigint n_different, 0::bigint n_by_rules,
   0::bigint n_out_of_range from events""")
+put("psi_daily", f"""{TX}, sides as (select ts_us < {HALF} e, strftime(make_timestamp(ts_us), '%Y-%m-%d') "day",
+  amount::double amount, lat::double lat, lon::double lon from tx),
+long as (unpivot (select * from sides) on amount, lat, lon into name feature value x),
+edges as (select feature, min(x) lo, max(x) hi from long where e group by 1),
+binned as (select l.feature, e, "day", greatest(0, least(9,
+  case when (hi - lo) / 10 > 0 then floor((x - lo) / ((hi - lo) / 10)) else 0 end)) bin
+  from long l join edges using (feature)),
+expected as (select feature, bin, count(*) ne, sum(count(*)) over (partition by feature) se
+  from binned where e group by 1, 2),
+days as (select feature, "day", count(*) n from binned where not e group by 1, 2),
+actual as (select feature, "day", bin, count(*) na from binned where not e group by 1, 2, 3),
+bins as (select distinct feature, bin from binned),
+shares as (select d.feature, d."day", d.n, greatest(coalesce(ne, 0)::double / (select max(se) from expected x
+    where x.feature = d.feature), 1e-6) pe, greatest(coalesce(na, 0)::double / d.n, 1e-6) pa
+  from days d join bins b using (feature) left join expected using (feature, bin)
+  left join actual a on a.feature = d.feature and a."day" = d."day" and a.bin = b.bin)""",
+    f"""select feature, "day", n, {r('sum((pa - pe) * ln(pa / pe))')} psi from shares group by 1, 2, 3""")
+SQL["stream_run_metrics"] = SQL["run_metrics"].replace("avg_amount from clean", "avg_amount, 3::bigint n_batches from clean")
+put("stream_clip", TX, """select strftime(make_timestamp(ts_us), '%Y-%m-%d') "day", count(*) n_rows, 0::bigint n_wrong
+  from tx group by 1""")

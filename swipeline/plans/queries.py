@@ -14,6 +14,7 @@ from swipeline import config
 from swipeline.functions import cleaning, scalars
 from swipeline.operators import (
     clean,
+    distributions,
     monitoring,
     offline,
     predictions,
@@ -1027,6 +1028,22 @@ def psi_features(spark, sf_dir):
     return out.select("feature", rounded("psi"))
 
 
+DRIFT_COLUMNS = ["amount", "lat", "lon"]
+
+
+@query
+def psi_daily(spark, sf_dir):
+    """Drift of every day of the second half against the first, from stored histograms alone: the
+    first half is read once, when they are made."""
+    path = shared_dir(spark)
+    expected, actual = _halves(spark, sf_dir)
+    fixed = cut_lineage(distributions.edges(expected, DRIFT_COLUMNS))
+    for name, side in (("expected", expected), ("actual", actual)):
+        distributions.histograms(side, fixed, DRIFT_COLUMNS).write.parquet(f"{path}/{name}")
+    out = distributions.drift_by_day(*[spark.read.parquet(f"{path}/{n}") for n in ("expected", "actual")])
+    return out.select("feature", F.date_format("day", "yyyy-MM-dd").alias("day"), "n", rounded("psi"))
+
+
 @query
 def windowed_metrics(spark, sf_dir):
     out = monitoring.windowed_metrics(scored(spark, sf_dir), ALERT_THRESHOLD)

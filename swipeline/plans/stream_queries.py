@@ -11,13 +11,14 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from swipeline import config
 from swipeline.functions import cleaning, scalars
-from swipeline.operators import clean
+from swipeline.operators import clean, distributions
 from swipeline.plans import realtime
 from swipeline.plans.queries import merchants, outcomes, query, received, rounded
 from swipeline.session import cut_lineage, shared_dir
 from swipeline.sources import messages, readers, tables, writers
-from swipeline.streaming import jobs
+from swipeline.streaming import jobs, run_log
 from swipeline.streaming.card_state import card_features
 
 
@@ -276,3 +277,54 @@ def archive(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").groupBy(
         F.col("event_date").cast("string").alias("event_date")
     ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").cast("double").alias("total"))
+
+
+@query
+def stream_run_metrics(spark, sf_dir):
+    """The stored counts of all batches of a validation job that is started three times."""
+    path = shared_dir(spark)
+    log = run_log.RunLog(spark, f"{path}/runs")
+    raw = tables.raw_messages(spark, sf_dir).drop("delivery")
+    encoded = messages.encode(raw).withColumn(
+        "n", F.get_json_object("value", "$.transaction_id").cast("bigint")
+    )
+    spark.streams.addListener(log)
+    try:
+        for part in slices(encoded, "n", 3):
+            part.write.mode("append").parquet(f"{path}/in")
+            log.wait(jobs.clean_stream(
+                readers.parquet_stream(spark, f"{path}/in", part.schema),
+                f"{path}/good", f"{path}/dead", f"{path}/checkpoint",
+            ))
+    finally:
+        spark.streams.removeListener(log)
+    return run_log.run_metrics(log.read()).select(
+        "n_processed", "n_failed", rounded("success_percent"), rounded("avg_amount"), "n_batches"
+    )
+
+
+@query
+def stream_clip(spark, sf_dir):
+    """Amounts clipped on a stream at the stored percentile of the day before; per day, how many
+    are outside what the error bound of the sketch allows."""
+    path = shared_dir(spark)
+    replay(
+        slices(tables.transactions(spark, sf_dir), "ts_us", 3),
+        f"{path}/in",
+        lambda s: jobs.clip_stream(s, f"{path}/out", f"{path}/fitted", f"{path}/checkpoint"),
+    )
+    rows = spark.read.parquet(f"{path}/out").withColumn("day", distributions.day_of())
+    share, off = config.CLIP_PERCENTILE / 100, distributions.RANK_ERROR
+    bounds = rows.groupBy(F.date_add("day", 1).alias("day")).agg(
+        F.percentile("amount", max(0.0, share - off)).alias("low"), F.percentile("amount", min(1.0, share + off)).alias("high"),
+        F.min("amount").alias("least"), F.count(F.lit(1)).alias("n"),
+    )
+    # between two values of the day before, either may be the quantile
+    seen = rows.join(bounds, "day", "left")
+    step = F.col("amount_clipped") < F.col("amount")
+    wrong = F.when(F.col("n").isNull(), step).otherwise(
+        (F.col("amount_clipped") > F.col("high") + 0.01) | (step & (F.col("amount_clipped") < F.col("least")))
+    )
+    return seen.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(wrong).alias("n_wrong")
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from swipeline import config
-from swipeline.operators import clean, predictions, quality
+from swipeline.operators import clean, distributions, predictions, quality
 from swipeline.plans import realtime
 from swipeline.session import cut_lineage, tune
 from swipeline.sources import messages, writers
@@ -95,6 +95,26 @@ def late_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*GIVEN, F.lit(LATE).alias("reject_reason"))
 
 
+def clip_stream(
+    transactions: DataFrame, path: str, fitted: str, checkpoint: str, column: str = "amount"
+) -> StreamingQuery:
+    """Transactions with `{column}_clipped` at the percentile of the day before.
+
+    A batch first adds the sketches of its own days to the folder `fitted`, as a numbered part, and
+    then reads the limits from there: no transaction is read twice for it, and a day's
+    limit knows nothing of the day itself. Days without a day before stay as they are.
+    """
+    spark = transactions.sparkSession
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = cut_lineage(batch)
+        write_batch(distributions.sketches(rows, [column]), fitted, number)
+        known = distributions.limits(spark.read.parquet(fitted))
+        write_batch(distributions.clip_by_day(rows, known, column), path, number)
+
+    return start(transactions, each, checkpoint)
+
+
 def dedup_stream(transactions: DataFrame, late: str = "1 hour") -> DataFrame:
     """Each transaction id once, as long as its copies come within the watermark."""
     timed = transactions.withColumn("ts", F.timestamp_micros("ts_us")).withWatermark("ts", late)
