@@ -24,6 +24,8 @@ COORDINATE = NUMBER_OR_INFINITE + r"|(?i)^\s*[+-]?nan\s*$"
 DATE_TIME = (
     r"^\d{4}(-?)\d{2}\1\d{2}([T ]\d{2}(:?)\d{2}(\3\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 )
+#: The same with all separators, which most texts have: nothing is to be put in.
+EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 BASIC_DATE, BASIC_TIME, BASIC_ZONE = r"^(\d{4})(\d{2})(\d{2})", r"([T ]\d{2})(\d{2})(\d{2})", r"([+-]\d{2})(\d{2})$"
 SHORT_TIME = r"([T ]\d{2})(\d{2})(?=$|Z|[+-])"
 
@@ -48,7 +50,8 @@ def iso(text: Column) -> Column:
     out = F.regexp_replace(matching(text, DATE_TIME), BASIC_DATE, "$1-$2-$3")
     out = F.regexp_replace(F.regexp_replace(out, BASIC_TIME, "$1:$2:$3"), SHORT_TIME, "$1:$2")
     # without a time, the last parts of a date are no zone
-    return F.when(F.length(out) > 10, F.regexp_replace(out, BASIC_ZONE, "$1:$2")).otherwise(out)
+    out = F.when(F.length(out) > 10, F.regexp_replace(out, BASIC_ZONE, "$1:$2")).otherwise(out)
+    return F.when(text.rlike(EXTENDED), text).otherwise(out)
 
 
 def missing_fields(fields: list[str] = config.REQUIRED_FIELDS) -> Column:

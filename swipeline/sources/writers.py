@@ -120,7 +120,7 @@ class PredictionLog:
     enter once. A batch reads the ids of its own buckets alone, so a small batch costs a small
     part of the log, whose rows never move."""
 
-    BUCKETS = 256
+    BUCKETS = 32
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
