@@ -59,12 +59,15 @@ def op3_prob_min_hash(spark, sf_dir):
 
 @query
 def op4_virtual_slots(spark, sf_dir):
-    """Forty shards of nearly equal bytes; the law is `bytes`."""
+    """Forty shards of nearly equal bytes; the law is `bytes`. A second version of the map, for
+    one more shard, is made by rebalancing the first: next_shard."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    placed = shards.shard_documents(docs, shared_dir(spark), 40)
-    return placed.select(
+    path = shared_dir(spark)
+    placed = shards.shard_documents(docs, path, 40)
+    following = shards.grow(spark, path, 41).select("virtual_slot", F.col("shard").alias("next_shard"))
+    return placed.join(F.broadcast(following), "virtual_slot").select(  # one row per virtual slot
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard",
     )
 
 

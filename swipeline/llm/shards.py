@@ -1,7 +1,8 @@
 """Shards by fixed virtual slots.
 
-A record's hash names one of a fixed number of virtual slots. Bytes and rows are summed per
-slot, and a map from slot to shard spreads the slots so that shards hold nearly the same
+A record's hash names one of a fixed number of virtual slots. Equal records are counted and
+numbered, and the number is part of the hash, so that a group of copies is spread like other
+records. Bytes and rows are summed per slot, and a map from slot to shard spreads the slots so that shards hold nearly the same
 bytes. The map is stored by version; rebalancing edits single entries of it, and only the
 records of those slots move.
 """
@@ -21,18 +22,34 @@ OVERHEAD = 16
 MAP_SCHEMA = "version int, virtual_slot int, shard int, bytes bigint, n_rows bigint"
 
 
+#: Copies of one record that one row stands for while they are numbered.
+PIECE = 4096
+
+
 def records(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", slots: int = VIRTUAL_SLOTS
 ) -> DataFrame:
-    """(id, size, text_crc32, virtual_slot) of every row; a null text has no bytes."""
+    """(id, size, text_crc32, virtual_slot) of every row; a null text has no bytes.
+
+    Rows with one id, size and checksum cannot be told apart here. They are counted, combined
+    before the shuffle, and come out again numbered from 0 - in pieces, which are dealt over the
+    tasks, so no task writes a large group alone.
+    """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    crc = F.crc32(text)
-    return docs.select(
+    rows = docs.select(
         F.col(f"`{id_column}`").alias("id"),
         (F.octet_length(text) + F.lit(OVERHEAD)).cast("bigint").alias("size"),
-        crc.alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(f"`{id_column}`"), crc), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.crc32(text).alias("text_crc32"),
     )
+    key = ["id", "size", "text_crc32"]
+    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    once = groups.where("n <= 1").select(*key, F.lit(0).cast("bigint").alias("k"))
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {PIECE}"))
+    many = groups.where("n > 1").select(*key, "n", F.explode(pieces).alias("p")).hint("rebalance")
+    numbers = F.sequence(F.col("p") * PIECE, F.least(F.col("n"), (F.col("p") + 1) * PIECE) - 1)
+    many = many.select(*key, F.explode(numbers).alias("k"))
+    slot = F.pmod(F.xxhash64(*key, "k"), F.lit(slots)).cast("int").alias("virtual_slot")
+    return once.unionByName(many).select(*key, slot)
 
 
 def slot_sizes(rows: DataFrame) -> list[tuple[int, int, int]]:
@@ -57,8 +74,9 @@ def rebalance(
 ) -> dict[int, int]:
     """Edit a map for new slot sizes or another number of shards, moving as little as needed.
 
-    Slots of shards that no longer exist move, then slots of shards above the mean by more
-    than the slack, each to the emptiest shard, as long as that lowers the larger of the two.
+    Slots of shards that no longer exist move, then, while a shard is off the mean by more than
+    the slack, slots of the fullest shard that can give go to the emptiest one, each as long as
+    that lowers the larger of the two.
     """
     bytes_of = {slot: size for slot, size, _ in sizes}
     held: dict[int, set[int]] = defaultdict(set)
@@ -76,11 +94,15 @@ def rebalance(
         load[shard] += bytes_of[slot]
     target = sum(load.values()) / shards
     while True:
-        full = max(load, key=lambda s: (load[s], -s))
         empty = min(load, key=lambda s: (load[s], s))
-        room = load[full] - load[empty]
-        fitting = [s for s in held[full] if 0 < bytes_of[s] < room]
-        if load[full] <= target * (1 + slack) or not fitting:
+        # a full shard may hold a single slot, larger than the mean, and have nothing to give
+        for full in sorted(load, key=lambda s: (-load[s], s)):
+            room = load[full] - load[empty]
+            fitting = [s for s in held[full] if 0 < bytes_of[s] < room]
+            if fitting:
+                break
+        close = load[full] <= target * (1 + slack) and load[empty] >= target * (1 - slack)
+        if close or not fitting:
             break
         slot = min(fitting, key=lambda s: (abs(bytes_of[s] - room / 2), s))
         held[full].remove(slot)
@@ -107,6 +129,16 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return versions.where(F.col("version") == F.lit(version))
 
 
+def grow(spark: SparkSession, path: str, shards: int) -> DataFrame:
+    """Edit the newest version of the map at path for a number of shards and store it as the next
+    one, which is returned. Records are not read: the map holds the bytes of its slots."""
+    rows = read_map(spark, path).collect()  # one per slot
+    sizes = sorted((r["virtual_slot"], r["bytes"], r["n_rows"]) for r in rows)
+    version = max((r["version"] for r in rows), default=-1) + 1
+    store_map(spark, path, version, rebalance({r["virtual_slot"]: r["shard"] for r in rows}, sizes, shards), sizes)
+    return read_map(spark, path, version)
+
+
 def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Records with shard and slot, their place in the shard, from 0 without gaps.
 
@@ -135,7 +167,9 @@ def shard_documents(
     """Put every row of docs into one of `shards` shards of nearly equal bytes.
 
     Stores version 0 of the map below path. Null ids and texts, ties and repeated rows are
-    records like any other; an empty table gives no rows; other columns are not read.
+    records like any other, and a group of equal ones is spread over the slots; a very long text is
+    one record, so shards differ by it at most; an empty table gives no rows; other columns,
+    whatever their names, are not read.
     """
     spark = docs.sparkSession
     rows = cut_lineage(records(docs, id_column, text_column, slots))

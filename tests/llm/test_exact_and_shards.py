@@ -118,3 +118,32 @@ def test_map_versions(spark):
     newest = {r["virtual_slot"]: r["shard"] for r in shards.read_map(spark, path).collect()}
     oldest = {r["virtual_slot"]: r["shard"] for r in shards.read_map(spark, path, 0).collect()}
     assert (newest, oldest) == ({0: 1, 1: 1}, {0: 0, 1: 1})
+
+
+@pytest.mark.parametrize("key", [(None, None), (7, "the same text")])
+def test_a_third_of_equal_rows_keeps_the_law(spark, monkeypatch, key):
+    monkeypatch.setattr(shards, "PIECE", 100)
+    data = [(k, f"text {k % 89}", k, "s") for k in range(4000)] + [(*key, 0, "s")] * 2000
+    # the names of result columns on the rows
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, slot int, shard string").repartition(4)
+    rows = shards.shard_documents(docs, shared_dir(spark), 40).collect()
+    assert Counter((r["id"], r["size"]) for r in rows) == Counter((d, len(t or "") + 16) for d, t, *_ in data)
+    load, places, slots = Counter(), defaultdict(list), Counter()
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+        slots[r["virtual_slot"]] += 1
+    assert len(load) == 40 and max(load.values()) - min(load.values()) <= 16 + 13
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(slots.values()) <= len(data) / 100  # rows of one window
+
+
+def test_next_version_moves_little(spark):
+    rows = queries.REGISTRY["op4_virtual_slots"](spark, SF).collect()
+    load = Counter()
+    for r in rows:
+        load[r["next_shard"]] += r["size"]
+    assert set(load) == set(range(41))
+    moved = sum(r["size"] for r in rows if r["next_shard"] != r["shard"])
+    # five documents a shard: a move is coarse
+    assert load[40] <= moved <= 3 * sum(load.values()) / 41
