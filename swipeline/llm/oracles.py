@@ -53,14 +53,17 @@ SQL = {
         constant AS (
             SELECT leaf, place, token FROM tokens GROUP BY ALL HAVING sum(n) >= 5 AND token <> '<*>'),
         fields AS (
-            SELECT leaf, line, string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY place) AS template
+            SELECT leaf, line, avg((c.token IS NOT NULL)::int) < 0.5 AS verbatim,
+                   CASE WHEN verbatim THEN line
+                   ELSE string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY place) END AS template
             FROM tokens LEFT JOIN constant c USING (leaf, place, token)
-            GROUP BY leaf, line HAVING avg((c.token IS NOT NULL)::int) >= 0.5),
-        placed AS (SELECT doc_id, text, number, leaf, template FROM candidates JOIN fields USING (leaf, line)),
+            GROUP BY leaf, line HAVING NOT verbatim OR any_value(n) >= 5),
+        placed AS (SELECT doc_id, text, number, leaf, template, verbatim FROM candidates JOIN fields USING (leaf, line)),
         boilerplate AS (
             SELECT doc_id, text, number FROM placed
-            WHERE (leaf, template) IN (
-                SELECT (leaf, template) FROM placed GROUP BY leaf, template HAVING count(DISTINCT text) >= 5)),
+            WHERE (leaf, template, verbatim) IN (
+                SELECT (leaf, template, verbatim) FROM placed
+                GROUP BY leaf, template, verbatim HAVING count(DISTINCT text) >= 5)),
         dropped AS (
             SELECT doc_id, count(*) AS n, string_agg(number, ',' ORDER BY number) AS numbers
             FROM boilerplate GROUP BY doc_id),

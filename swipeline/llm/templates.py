@@ -21,15 +21,22 @@ SIMILARITY = 0.5
 VARIABLE = "<*>"
 
 KEY = ["id", "text_key"]
+#: Two hashes stand for a leaf, a line or a template wherever its text is not needed.
+LEAF, LINE, GROUP = ["leaf_a", "leaf_b"], ["line_a", "line_b"], ["group_a", "group_b"]
 
 
 def masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), VARIABLE).otherwise(token)
 
 
+def hashed(names: list[str], *values: Column) -> list[Column]:
+    """128 bits in two columns."""
+    return [F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in enumerate(names)]
+
+
 def text_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, text_key, number, line, leaf) of every line with a token. Tokens stand between
-    single blanks, without those at the line's ends."""
+    """(id, text_key, number, line, hashes of line and leaf) of every line with a token. Tokens
+    stand between single blanks, without those at the line's ends."""
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.xxhash64(text).alias("text_key"),
@@ -39,7 +46,7 @@ def text_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     # counted and cut as text: no list of tokens is made for a line
     size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     head = F.regexp_replace(F.substring_index("line", " ", DEPTH), "[^ ]*[0-9][^ ]*", VARIABLE)
-    return rows.select(*KEY, "number", "line", F.concat_ws(" ", size, head).alias("leaf"))
+    return rows.select(*KEY, "number", "line", *hashed(LINE, F.col("line")), *hashed(LEAF, size, head))
 
 
 def recurring(rows: DataFrame, *by: str) -> DataFrame:
@@ -49,29 +56,47 @@ def recurring(rows: DataFrame, *by: str) -> DataFrame:
 
 
 def line_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, line, template, verbatim) of the different lines that can recur; the template of a
-    verbatim one is the line itself."""
-    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
-    tokens = cut_lineage(
-        different.select("leaf", "line", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    """(line, group, template) of the lines of leaves that hold several, without those that cannot
+    recur; the template of a verbatim line is the line itself.
+
+    A line's text is kept once. Its tokens travel with the hashes of line and leaf, so the work
+    grows with the tokens, however long a line is. The leading tokens are the same in all
+    lines of a leaf, and constant as the leaf recurs; only those behind are counted.
+    """
+    different = cut_lineage(
+        lines.groupBy(*LINE).agg(
+            F.first("line").alias("line"), *[F.first(c).alias(c) for c in LEAF], F.count(F.lit(1)).alias("n")
+        )
     )
-    tokens = tokens.withColumn("token", masked(F.col("token")))
+    tokens = different.select(*LINE, *LEAF, "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    tokens = tokens.where(F.col("place") >= DEPTH).where(~F.col("token").rlike("[0-9]"))
     constant = (
-        tokens.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
-        .select("leaf", "place", "token", F.lit(True).alias("constant"))
+        tokens.groupBy(*LEAF, "place", "token").agg(F.sum("n").alias("times"))
+        .where(F.col("times") >= MIN_TEXTS).drop("times")
     )
-    known = tokens.join(constant, ["leaf", "place", "token"], "left")
-    fixed = F.col("constant").isNotNull() & (F.col("token") != VARIABLE)
-    fields = known.groupBy("leaf", "line").agg(
-        F.array_sort(F.collect_list(F.struct("place", F.when(fixed, F.col("token")).otherwise(VARIABLE).alias("token")))).alias("fields"),
-        F.avg(fixed.cast("double")).alias("share"), F.first("n").alias("n"),
+    fixed = tokens.join(constant, [*LEAF, "place", "token"]).groupBy(*LINE).agg(
+        F.collect_list(F.struct("place", "token")).alias("fixed")
     )
-    verbatim = F.col("share") < SIMILARITY
-    template = F.when(verbatim, F.col("line")).otherwise(F.array_join(F.transform("fields", lambda f: f["token"]), " "))
-    # a line that occurs fewer times is in fewer texts
-    return fields.where(~verbatim | (F.col("n") >= MIN_TEXTS)).select(
-        "leaf", "line", template.alias("template"), verbatim.alias("verbatim")
+    known = different.join(fixed, LINE, "left").withColumns({
+        "size": F.size(F.split("line", " ")),
+        "head": F.transform(F.slice(F.split("line", " "), 1, DEPTH), lambda t, i: F.struct(i.alias("place"), masked(t).alias("token"))),
+        "fixed": F.coalesce("fixed", F.array().cast("array<struct<place:int,token:string>>")),
+    })
+    places = F.when(
+        F.col("size") > DEPTH, F.sequence(F.lit(DEPTH), F.col("size") - 1)
+    ).otherwise(F.array().cast("array<int>"))
+    rest = F.transform(
+        F.array_except(places, F.transform("fixed", lambda f: f["place"])),
+        lambda i: F.struct(i.alias("place"), F.lit(VARIABLE).alias("token")),
     )
+    fields = F.array_sort(F.concat("head", "fixed", rest))
+    n_fixed = F.size("fixed") + F.size(F.filter("head", lambda f: f["token"] != VARIABLE))
+    verbatim = n_fixed / F.col("size") < SIMILARITY
+    template = F.when(verbatim, F.col("line")).otherwise(F.array_join(F.transform(fields, lambda f: f["token"]), " "))
+    # a line that occurs fewer times is in fewer texts
+    found = known.where(~verbatim | (F.col("n") >= MIN_TEXTS))
+    found = found.select(*LINE, *LEAF, template.alias("template"), verbatim.alias("verbatim"))
+    return found.select(*LINE, "template", *hashed(GROUP, *map(F.col, LEAF), F.col("template"), F.col("verbatim")))
 
 
 def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -79,15 +104,23 @@ def boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     whose template recurs."""
     lines = text_lines(docs, id_column, text_column)
     # a table first, so that its size is known: with few leaves the lines stay where they are
-    leaves = cut_lineage(recurring(lines, "leaf").select("leaf"))
-    candidates = cut_lineage(lines.join(leaves, "leaf", "left_semi"))
+    leaves = cut_lineage(recurring(lines, *LEAF))
+    candidates = cut_lineage(lines.join(leaves, LEAF))
+    several = (F.min(LINE[0]) != F.max(LINE[0])) | (F.min(LINE[1]) != F.max(LINE[1]))
+    mixed = cut_lineage(candidates.groupBy(*LEAF).agg(several.alias("mixed")).where("mixed").select(*LEAF))
+    # the one line of a leaf recurs as the leaf does
+    fields = F.transform(F.split("line", " "), masked)
+    constant = F.size(F.filter(fields, lambda t: t != VARIABLE)) / F.size(fields)
+    template = F.when(constant < SIMILARITY, F.col("line")).otherwise(F.array_join(fields, " "))
+    single = candidates.join(mixed, LEAF, "left_anti").select(*KEY, "number", template.alias("template"), "n_texts")
+    among = candidates.join(mixed, LEAF, "left_semi")
     placed = cut_lineage(
-        candidates.join(line_templates(candidates), ["leaf", "line"]).select(
-            *KEY, "number", "leaf", "template", "verbatim"
+        among.select(*KEY, "number", *LINE).join(line_templates(among), LINE).select(
+            *KEY, "number", *GROUP, "template"
         )
     )
-    group = ["leaf", "template", "verbatim"]
-    return placed.join(recurring(placed, *group), group).drop("leaf", "verbatim")
+    shared = placed.join(recurring(placed, *GROUP), GROUP)
+    return single.unionByName(shared.select(*KEY, "number", "template", "n_texts"))
 
 
 def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -96,8 +129,9 @@ def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     A null text has no lines and keeps none (kept is null), an empty one has one empty line.
     Lines without tokens are never dropped. Copies of a text count as one text; repeated rows
-    lose the same lines. An empty table gives no rows; other columns are carried along under
-    any names.
+    lose the same lines, and lines that occur equally often are treated alike: there are no ties.
+    A very long line is handled token by token, in time that grows with its length. An empty
+    table gives no rows; other columns are carried along under any names.
     """
     found = boilerplate(docs, id_column, text_column).dropDuplicates([*KEY, "number"])
     dropped = found.groupBy(*KEY).agg(F.sort_array(F.collect_list("number")).alias("dropped"))
@@ -105,12 +139,13 @@ def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: st
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{id_column}`").alias("__id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("__key"),
-        F.split(text, "\n").alias("lines"),
     )
     same = rows["__id"].eqNullSafe(dropped["id"]) & (rows["__key"] == dropped["text_key"])
-    joined = rows.join(dropped, same, "left").withColumn(
-        "dropped", F.coalesce("dropped", F.array().cast("array<int>"))
-    )
+    # the text travels once, in its row, and is cut into lines behind the join
+    joined = rows.join(dropped, same, "left").withColumns({
+        "dropped": F.coalesce("dropped", F.array().cast("array<int>")),
+        "lines": F.split(F.col(f"row.`{text_column}`"), "\n"),
+    })
     joined = joined.withColumn("n_lines", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
     kept = F.array_join(F.transform(left, lambda k: F.col("lines")[k]), "\n")

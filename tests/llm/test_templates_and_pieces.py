@@ -119,3 +119,60 @@ def test_pieces_of_empty_table(spark, pieces):
 def test_decode_control_and_null(spark, pieces):
     rows = spark.createDataFrame([((1,), None), ((2,), [1, 2])], f"{PACKED} struct<n: int>, ids array<int>")
     assert {r[PACKED]["n"]: r["decoded"] for r in lattice.decode(rows, pieces).collect()} == {1: "", 2: ""}
+
+
+def mixed_texts() -> list[str]:
+    """Notices with fields, lines of variable tokens, phones and stamps, some of them word for word."""
+    rng = random.Random(9)
+    words = ["open", "closed", "red", "blue", "north"]
+    out = []
+    for k in range(60):
+        lines = [f"text {k} {'abcdefgh'[k % 8]} begins"]
+        for _ in range(rng.randint(0, 6)):
+            lines.append(rng.choice([
+                "Tel 555 123 4567", "2024-01-01 12:00 100 INFO", f"Tel 555 123 {rng.randrange(4)}",
+                f"Page {k} of the report was {rng.choice(words)} on {rng.choice(words)}", f"{rng.choice(words)} {rng.choice(words)}",
+                f"a b c {rng.choice(words)} {rng.choice(words)} {k}", "  the  door is open ", "x1 y2 z3 w4", "one",
+            ]))
+        out.append("\n".join(lines))
+    return out + out[:7]
+
+
+def test_operator_equals_its_sql(spark):
+    import duckdb
+
+    from swipeline.llm import oracles
+
+    texts = mixed_texts()
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id bigint, text varchar)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = {r[0]: r[1:] for r in db.execute(
+        f"SELECT doc_id, n_lines, n_dropped, dropped_lines FROM ({oracles.SQL['op7_log_templates']})"
+    ).fetchall()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {
+        r["row"]["doc_id"]: (r["n_lines"], r["n_dropped"], ",".join(map(str, r["dropped"])))
+        for r in templates.drop_boilerplate(docs).collect()
+    }
+    assert got == want
+    assert sum(v[1] for v in want.values()) > 100
+
+
+def test_lines_of_twenty_thousand_words(spark):
+    """Tokens do not carry their line: eight such texts are soon done."""
+    import time
+
+    rng = random.Random(2)
+    common = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(20_000)]
+    texts = []
+    for _ in range(8):
+        words = list(common)
+        for _ in range(5):
+            words[rng.randrange(10, 20_000)] = "changed" + "abcdefgh"[rng.randrange(8)]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    start = time.time()
+    got = templates.drop_boilerplate(docs).collect()
+    assert [r["dropped"] for r in got] == [[]] * 8  # each line has a template of its own
+    assert time.time() - start < 30
