@@ -31,9 +31,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Text bytes of a block.
 BLOCK_BYTES = 4 << 20
-#: Blocks of a task of the lattice, about, and the words whose edges it gathers by hash: beyond
-#: these Spark sorts them, which gives the same result.
-TASK_BLOCKS, TASK_WORDS = 1, 300_000
+#: Blocks of a task of the lattice, about.
+TASK_BLOCKS = 1
 #: Characters of a word that goes through the lattice. Longer ones take the same best path in
 #: one pass over their characters, where their texts are put together: they are never cut.
 LONGEST_WORD = 256
@@ -43,8 +42,6 @@ MOST_PIECES = 1 << 20
 UNKNOWN_COST = 10.0
 
 WORD = re.compile(r" *[^ \n]+| +|\n")
-#: An edge as text: its id and length, each raised by its base so that it has a fixed width.
-ID_BASE, LENGTH_BASE, ID_WIDTH, WIDTH = 3_000_000, 10, 7, 9
 
 
 class Pieces(NamedTuple):
@@ -137,58 +134,35 @@ def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch])
         )
 
 
-def best_path(edges: Column, size: Column, longest: int) -> Column:
+def best_path(edges: Column, size: Column) -> Column:
     """Ids on the path of the largest sum of scores; of equal sums, the one with the longest
     last piece.
 
     edges (end, start, score, id) are in this order, from place 0 on, and each place up to
-    `size` is the end of an edge. The state has the sums of the last places, as far back as an
-    edge can reach, the best edge to the current place so far, and the edges taken to all places
-    before as text of fixed width: Spark copies the state at each step, so it is kept flat.
+    `size` is the end of an edge. The state is the best edge to each place so far, with the sum
+    up to there: an array of rows, of which a step copies the references alone.
     """
 
     def step(state: Column, e: Column) -> Column:
-        before = F.when(e["start"] == state["at"], state["score"]).otherwise(
-            F.element_at(state["scores"], e["start"] - state["at"])
+        total = F.element_at(state, e["start"] + 1)["sum"] + e["score"]
+        taken = F.array(F.struct(total.alias("sum"), e["start"].alias("start"), e["id"].alias("id")))
+        places = F.size(state)
+        return (
+            F.when(e["end"] == places, F.concat(state, taken))
+            .when(total > F.element_at(state, -1)["sum"], F.concat(F.slice(state, 1, places - 1), taken))
+            .otherwise(state)
         )
-        total = before + e["score"]
-        taken = F.concat((e["id"] + ID_BASE).cast("string"), (e["end"] - e["start"] + LENGTH_BASE).cast("string"))
-        here = F.array(state["score"])
-        full = F.size(state["scores"]) >= longest
-        scores = F.when(full, F.concat(F.slice(state["scores"], 2, longest - 1), here)).otherwise(
-            F.concat(state["scores"], here)
-        )
-        moved = F.struct(
-            e["end"].alias("at"), total.alias("score"), taken.alias("taken"), scores.alias("scores"),
-            F.concat(state["ways"], state["taken"]).alias("ways"),
-        )
-        better = F.struct(
-            state["at"].alias("at"), total.alias("score"), taken.alias("taken"), state["scores"].alias("scores"),
-            state["ways"].alias("ways"),
-        )
-        return F.when(e["end"] != state["at"], moved).when(total > state["score"], better).otherwise(state)
 
     def finish(state: Column) -> Column:
-        start = F.struct(
-            state["at"].alias("at"), F.concat(state["ways"], state["taken"]).alias("ways"),
-            F.array().cast("array<int>").alias("ids"),
-        )
-
         def back(s: Column, _: Column) -> Column:
-            here = F.lit(WIDTH) * (s["at"] - 1) + 1
-            number = s["ways"].substr(here, F.lit(ID_WIDTH)).cast("int") - ID_BASE
-            length = s["ways"].substr(here + ID_WIDTH, F.lit(WIDTH - ID_WIDTH)).cast("int") - LENGTH_BASE
-            one = F.struct(
-                (s["at"] - length).alias("at"), s["ways"].alias("ways"), F.concat(F.array(number), s["ids"]).alias("ids")
-            )
+            edge = F.element_at(state, s["at"] + 1)
+            one = F.struct(edge["start"].alias("at"), F.concat(F.array(edge["id"]), s["ids"]).alias("ids"))
             return F.when(s["at"] > 0, one).otherwise(s)
 
+        start = F.struct(size.alias("at"), F.array().cast("array<int>").alias("ids"))
         return F.aggregate(F.sequence(F.lit(1), size), start, back, lambda s: s["ids"])
 
-    origin = F.struct(
-        F.lit(0).alias("at"), F.lit(0.0).alias("score"), F.lit("").alias("taken"),
-        F.array().cast("array<double>").alias("scores"), F.lit("").alias("ways"),
-    )
+    origin = F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("start"), F.lit(0).alias("id")))
     return F.aggregate(edges, origin, step, finish)
 
 
@@ -210,7 +184,7 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
     lattice = edges.select("block", "word", edge.alias("edge")).groupBy("block", "word").agg(
         F.sort_array(F.collect_list("edge")).alias("edges")
     )
-    return lattice.select("block", "word", best_path(F.col("edges"), size, longest).alias("ids"))
+    return lattice.select("block", "word", best_path(F.col("edges"), size).alias("ids"))
 
 
 def long_path(word: str, table: dict[str, tuple[float, int]], longest: int, unknown: float) -> list[int]:
@@ -284,7 +258,6 @@ def encode(docs: DataFrame, pieces: Pieces, text_column: str = "text", block_byt
     encoded; an empty table gives no rows; other columns are carried along under any names.
     """
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(TASK_WORDS))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(PACKED))
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_column}`")))).first()[0] or 0
     tasks = max(2, -(-total // (block_bytes * TASK_BLOCKS)))
