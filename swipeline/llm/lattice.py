@@ -30,7 +30,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The sign that stands for a blank in pieces.
 BLANK = "▁"
 #: Text bytes of a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Blocks of a task of the lattice, about.
 TASK_BLOCKS = 1
 #: Characters of a word that goes through the lattice. Longer ones take the same best path in
