@@ -34,11 +34,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' ids of pieces in place of their texts, and whether they decode to them."""
+    """The documents' ids of pieces in place of their texts, and whether they decode to them.
+
+    A null or empty text has no ids and decodes to an empty one; a very long one is encoded whole;
+    repeated rows are each encoded, an empty table gives no rows. Columns named `ids`, `n_ids` or
+    `round_trip` go on as `ids_before` and so on.
+    """
     pieces = lattice.Pieces.load()
-    decoded = lattice.decode(lattice.encode(docs, pieces), pieces)
+    decoded = lattice.encode(docs, pieces, decode_too=True)
     text = F.coalesce(f"{PACKED}.text", F.lit(""))
-    others = [F.col(f"{PACKED}.`{c}`") for c in docs.columns if c not in ("text", "ids", "n_ids", "round_trip")]
+    added = ("ids", "n_ids", "round_trip")
+    # a column that a result column would hide keeps its values under another name
+    others = [
+        F.col(f"{PACKED}.`{c}`").alias(f"{c}_before" if c in added else c) for c in docs.columns if c != "text"
+    ]
     return decoded.select(
         *others, F.size("ids").cast("bigint").alias("n_ids"), "ids", (F.col("decoded") == text).alias("round_trip")
     )

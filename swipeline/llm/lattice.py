@@ -232,9 +232,10 @@ class Known(dict):
 
 
 def text_rows(
-    byte_ids: list[int], path, text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
+    byte_ids: list[int], path, texts_of, text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
 ) -> pa.Table:
-    """Ids of the texts of a block, from the ids of its words; `path` gives those of long words."""
+    """Ids of the texts of a block, from the ids of its words, and their own texts if `texts_of`
+    gives those of the pieces; `path` gives the ids of long words."""
     known = Known(byte_ids, path)
     for batch in words.to_batches():
         for word, ids in zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()):
@@ -246,12 +247,18 @@ def text_rows(
             offsets = np.zeros(len(encoded) + 1, np.int32)
             np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
-            out.append(pa.RecordBatch.from_arrays([piece.column(PACKED).cast(schema.field(PACKED).type), ids], schema=schema))
+            columns = [piece.column(PACKED).cast(schema.field(PACKED).type), ids]
+            if texts_of is not None:
+                columns.append(decoded(texts_of(), ids))
+            out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
     return pa.Table.from_batches(out, schema)
 
 
-def encode(docs: DataFrame, pieces: Pieces, text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of docs, packed in a struct, with the ids of their texts.
+def encode(
+    docs: DataFrame, pieces: Pieces, text_column: str = "text", block_bytes: int = BLOCK_BYTES, decode_too: bool = False
+) -> DataFrame:
+    """Rows of docs, packed in a struct, with the ids of their texts; with `decode_too` also
+    `decoded`, as `decode` gives it, by the same Python worker.
 
     A blank is put before a text that is not empty; a null or empty text has no ids. A
     character that is no piece becomes the pieces of its bytes. Repeated rows are each
@@ -271,27 +278,35 @@ def encode(docs: DataFrame, pieces: Pieces, text_column: str = "text", block_byt
     shared = spark.sparkContext.broadcast({r["piece"]: (r["score"], r["id"]) for r in table.collect()})
     stored = rows.mapInArrow(partial(stored_rows, text_column, block_bytes), "block bigint, rows binary")
     kind = rows.schema[PACKED].dataType
-    schema = pa.schema([(PACKED, to_arrow_type(kind)), ("ids", pa.list_(pa.int32()))])
+    added = [("ids", pa.list_(pa.int32()))] + [("decoded", pa.string())] * decode_too
+    schema = pa.schema([(PACKED, to_arrow_type(kind)), *added])
+    own = spark.sparkContext.broadcast(pieces.texts) if decode_too else None
     byte_ids = pieces.byte_ids
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         return text_rows(
-            byte_ids, lambda word: long_path(word, shared.value, longest, unknown), text_column, schema, texts, words
+            byte_ids, lambda word: long_path(word, shared.value, longest, unknown),
+            own and (lambda: own.value), text_column, schema, texts, words,
         )
 
     return stored.repartition(tasks, "block").groupBy("block").cogroup(mapping.groupBy("block")).applyInArrow(
-        run, f"{PACKED} {kind.simpleString()}, ids array<int>"
+        run, f"{PACKED} {kind.simpleString()}, ids array<int>" + ", decoded string" * decode_too
     )
 
 
+def decoded(texts: list[bytes | None], ids: pa.Array) -> pa.Array:
+    pieces = np.array([t or b"" for t in texts], dtype=object)
+    offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+    out = [b"".join(pieces[flat[a:b]]) for a, b in zip(offsets[:-1], offsets[1:])]
+    return pa.array([t[1:].decode(errors="replace") for t in out], pa.string())
+
+
 def decode_rows(texts, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pieces = np.array([t or b"" for t in texts.value], dtype=object)
     for batch in batches:
         ids = batch.column("ids")
-        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
-        out = [b"".join(pieces[flat[a:b]]) for a, b in zip(offsets[:-1], offsets[1:])]
-        decoded = pa.array([t[1:].decode(errors="replace") for t in out], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(PACKED), ids, decoded], [PACKED, "ids", "decoded"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(PACKED), ids, decoded(texts.value, ids)], [PACKED, "ids", "decoded"]
+        )
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:

@@ -129,7 +129,7 @@ def op9_lattice(spark, sf_dir):
     """Ids of every text, and whether they decode to it."""
     pieces = lattice.Pieces.load()
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    decoded = lattice.decode(lattice.encode(docs, pieces), pieces)
+    decoded = lattice.encode(docs, pieces, decode_too=True)
     text = F.coalesce(f"{PACKED}.text", F.lit(""))
     return decoded.select(
         F.col(f"{PACKED}.doc_id"), F.size("ids").cast("bigint").alias("n_ids"),

@@ -58,9 +58,11 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["2", "3", "None"]  # null and empty are equal texts
     assert all(r["round_trip"] for r in got)
+    # a column whose name a result takes is kept under another
+    assert {(r["doc_id"], r["ids_before"]) for r in got} == {(2, 2), (3, 3), (None, 4)}
 
 
 def test_registration():
     names = list(entry.queries())
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert [name for name, _ in corpus_pipeline.STAGES][2] == "MinHash near-dedup"

@@ -75,6 +75,10 @@ def test_round_trip_and_best_paths(spark, pieces):
     docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id int, text string, ids string")
     encoded = lattice.encode(docs.repartition(3), pieces, block_bytes=2_000)
     rows = {r[PACKED]["doc_id"]: r for r in lattice.decode(encoded, pieces).collect()}
+    at_once = lattice.encode(docs.repartition(3), pieces, block_bytes=2_000, decode_too=True)
+    assert {r[PACKED]["doc_id"]: (r["ids"], r["decoded"]) for r in at_once.collect()} == {
+        k: (r["ids"], r["decoded"]) for k, r in rows.items()
+    }
     assert len(rows) == len(texts)
     for k, text in enumerate(texts):
         assert rows[k]["decoded"] == (text or ""), k
