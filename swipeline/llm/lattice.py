@@ -1,19 +1,22 @@
 """SentencePiece encoding by a relational lattice, and decoding.
 
-Texts are cut into words, and only the different words of a block of texts are encoded: their
-substrings of bounded length are exploded and joined to the table of pieces, which gives the
-edges of a lattice; the edges of a word are gathered, and Viterbi's best path is a fold over
-them by Spark's `aggregate`. The words' ids then go back to the texts of the block.
-
-A block is a run of rows of an input partition, of bounded size. Its texts, compressed, and its
-words are shuffled by block once each; the lattice stays where its words are, and meets the
-texts there. No dictionary of the whole corpus is ever in one place.
+Texts are cut into words, and each different word of the corpus is encoded once: its substrings
+of bounded length are exploded and joined to the table of pieces, which gives the edges of a
+lattice; the edges of a word are gathered, and Viterbi's best path is a fold over them by
+Spark's `aggregate`. The words' ids then go back to the texts.
+
+A block is a run of rows of an input partition, of bounded size. Its different words are dealt
+to buckets by their hash, as one list for each block and bucket; the words of a bucket are made
+distinct and encoded, and each list returns to its block as a list of ids. Texts are shuffled once,
+compressed, to meet them. No dictionary of the whole corpus is ever in one place, and a word is
+in as many lists as there are blocks that have it: a frequent word is no hot key of the texts.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from functools import partial
 from itertools import chain
@@ -21,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -30,17 +34,19 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The sign that stands for a blank in pieces.
 BLANK = "▁"
 #: Text bytes of a block.
-BLOCK_BYTES = 1 << 20
-#: Blocks of a task of the lattice, about.
-TASK_BLOCKS = 1
-#: Characters of a word that goes through the lattice. Longer ones take the same best path in
-#: one pass over their characters, where their texts are put together: they are never cut.
-LONGEST_WORD = 256
+BLOCK_BYTES = 8 << 20
+#: Buckets are (megabytes of text) ** GROWTH: a vocabulary grows slower than its corpus.
+GROWTH = 0.75
+#: Places of a word that the fold keeps in one array; more are kept as an array of such arrays,
+#: so that its cost stays in proportion to the word.
+STRETCH = 128
 #: Most pieces of a model, which are broadcast.
 MOST_PIECES = 1 << 20
 #: What a character costs that is no piece, below the least score of a piece.
 UNKNOWN_COST = 10.0
 
+LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary())])
+
 WORD = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -99,11 +105,14 @@ def split(text: str | None) -> list[str]:
 def blocks_of(
     text_column: str, limit: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Blocks of rows with their texts; a block is named after what it holds, so that every
-    run over the partition gives the same names."""
-    for piece in slices(with_text(batches, text_column), "__text", limit):
+    """Blocks of rows with their texts; a block is named after its place and what it holds, so
+    that every run over the partition gives the same names, and equal blocks part."""
+    context = TaskContext.get()
+    place = context.partitionId() if context else 0
+    for number, piece in enumerate(slices(with_text(batches, text_column), "__text", limit)):
         offsets, raw = text_buffers(piece.column("__text"))
-        name = hashlib.blake2b(raw.tobytes() + offsets.tobytes(), digest_size=8).digest()
+        held = b"%d,%d," % (place, number) + raw.tobytes() + offsets.tobytes()
+        name = hashlib.blake2b(held, digest_size=8).digest()
         yield int.from_bytes(name, "little", signed=True), piece
 
 
@@ -113,13 +122,26 @@ def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[p
         yield pa.RecordBatch.from_arrays([rows, rows.field(text_column)], [PACKED, "__text"])
 
 
-def word_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, words): the different words of a block in order, one to a line. A line end is a
-    word of its own and is left out, and so are words beyond LONGEST_WORD."""
+def by_bucket(words, buckets: int) -> tuple[list[str], np.ndarray]:
+    """Words other than line ends, by bucket and then by text, and where a bucket's words end."""
+    names = sorted(w for w in words if w != "\n")
+    codes = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
+    order = np.argsort(codes, kind="stable")
+    return [names[k] for k in order.tolist()], np.cumsum(np.bincount(codes, minlength=buckets))
+
+
+def word_rows(
+    text_column: str, limit: int, buckets: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """(bucket, lines): a block's different words of a bucket, one to a line, under a line with the
+    block's name. A line end is a word of its own and is left out."""
     for block, piece in blocks_of(text_column, limit, batches):
-        found = set(chain.from_iterable(map(split, piece.column("__text").to_pylist()))) - {"\n"}
-        short = sorted(w for w in found if len(w) <= LONGEST_WORD)
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array(["\n".join(short)])], ["block", "words"])
+        found = set(chain.from_iterable(map(split, piece.column("__text").to_pylist())))
+        names, ends = by_bucket(found, buckets)
+        starts = np.concatenate([[0], ends[:-1]])
+        used = np.flatnonzero(ends > starts)
+        lines = ["\n".join([str(block), *names[starts[k] : ends[k]]]) for k in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(lines, pa.string())], ["bucket", "lines"])
 
 
 def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,16 +165,6 @@ def best_path(edges: Column, size: Column) -> Column:
     up to there: an array of rows, of which a step copies the references alone.
     """
 
-    def step(state: Column, e: Column) -> Column:
-        total = F.element_at(state, e["start"] + 1)["sum"] + e["score"]
-        taken = F.array(F.struct(total.alias("sum"), e["start"].alias("start"), e["id"].alias("id")))
-        places = F.size(state)
-        return (
-            F.when(e["end"] == places, F.concat(state, taken))
-            .when(total > F.element_at(state, -1)["sum"], F.concat(F.slice(state, 1, places - 1), taken))
-            .otherwise(state)
-        )
-
     def finish(state: Column) -> Column:
         def back(s: Column, _: Column) -> Column:
             edge = F.element_at(state, s["at"] + 1)
@@ -162,17 +174,80 @@ def best_path(edges: Column, size: Column) -> Column:
         start = F.struct(size.alias("at"), F.array().cast("array<int>").alias("ids"))
         return F.aggregate(F.sequence(F.lit(1), size), start, back, lambda s: s["ids"])
 
-    origin = F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("start"), F.lit(0).alias("id")))
-    return F.aggregate(edges, origin, step, finish)
+    return F.aggregate(edges, origin(), lambda state, e: better(state, e, F.lit(0)), finish)
+
+
+def origin() -> Column:
+    """The state at place 0."""
+    return F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("start"), F.lit(0).alias("id")))
+
+
+def better(state: Column, e: Column, behind: Column) -> Column:
+    """The state with edge e, if that is the best to its end; `behind` places are no more in it."""
+    total = F.element_at(state, e["start"] - behind + 1)["sum"] + e["score"]
+    taken = F.array(F.struct(total.alias("sum"), e["start"].alias("start"), e["id"].alias("id")))
+    places = F.size(state)
+    return (
+        F.when(e["end"] - behind == places, F.concat(state, taken))
+        .when(total > F.element_at(state, -1)["sum"], F.concat(F.slice(state, 1, places - 1), taken))
+        .otherwise(state)
+    )
+
+
+def long_path(edges: Column, size: Column, longest: int) -> Column:
+    """What `best_path` gives, for a word of any length: the state keeps the places that an edge
+    can still start from, and hands those behind them on by stretches."""
+    width = STRETCH + longest
+
+    def moved(s: Column) -> Column:
+        full = F.size(s["near"]) > width
+        far = F.when(full, F.concat(s["far"], F.array(F.slice(s["near"], 1, STRETCH)))).otherwise(s["far"])
+        near = F.when(full, F.slice(s["near"], STRETCH + 1, width + 1)).otherwise(s["near"])
+        return F.struct(far.alias("far"), near.alias("near"))
+
+    def fold(s: Column, e: Column) -> Column:
+        taken = better(s["near"], e, F.size(s["far"]) * STRETCH)
+        return moved(F.struct(s["far"].alias("far"), taken.alias("near")))
+
+    def finish(state: Column) -> Column:
+        behind = F.size(state["far"]) * STRETCH
+
+        def edge(at: Column) -> Column:
+            stretch = F.element_at(state["far"], F.floor(at / STRETCH).cast("int") + 1)
+            return F.when(at < behind, F.element_at(stretch, at % STRETCH + 1)).otherwise(
+                F.element_at(state["near"], at - behind + 1)
+            )
+
+        def back(s: Column, _: Column) -> Column:
+            way = edge(s["at"])
+            full = F.size(s["ids"]) >= STRETCH
+            one = F.struct(
+                way["start"].alias("at"),
+                F.when(full, F.array(way["id"])).otherwise(F.concat(s["ids"], F.array(way["id"]))).alias("ids"),
+                F.when(full, F.concat(s["done"], F.array(s["ids"]))).otherwise(s["done"]).alias("done"),
+            )
+            return F.when(s["at"] > 0, one).otherwise(s)
+
+        start = F.struct(
+            size.alias("at"), F.array().cast("array<int>").alias("ids"), F.array().cast("array<array<int>>").alias("done")
+        )
+        return F.aggregate(
+            F.sequence(F.lit(1), size), start, back,
+            lambda s: F.reverse(F.flatten(F.concat(s["done"], F.array(s["ids"])))),
+        )
+
+    rows = "array<array<struct<sum: double, start: int, id: int>>>"
+    start = F.struct(F.array().cast(rows).alias("far"), origin().alias("near"))
+    return F.aggregate(edges, start, fold, finish)
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
-    """(block, word, ids) of different words; the id of a character that is no piece is its
+    """(bucket, word, ids) of different words; the id of a character that is no piece is its
     code point, negative and less by one."""
     size = F.length("word")
-    starts = words.select("block", "word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
+    starts = words.select("bucket", "word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
     ends = F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start") + 1))
-    parts = starts.select("block", "word", "start", F.explode(ends).alias("n")).withColumn(
+    parts = starts.select("bucket", "word", "start", F.explode(ends).alias("n")).withColumn(
         "piece", F.col("word").substr(F.col("start"), F.col("n"))
     )
     edges = parts.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1")
@@ -181,75 +256,96 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
         F.coalesce("score", F.lit(unknown)).alias("score"),
         F.coalesce("id", -F.ascii("piece") - 1).alias("id"),
     )
-    lattice = edges.select("block", "word", edge.alias("edge")).groupBy("block", "word").agg(
+    lattice = edges.select("word", "bucket", edge.alias("edge")).groupBy("word", "bucket").agg(
         F.sort_array(F.collect_list("edge")).alias("edges")
     )
-    return lattice.select("block", "word", best_path(F.col("edges"), size).alias("ids"))
-
-
-def long_path(word: str, table: dict[str, tuple[float, int]], longest: int, unknown: float) -> list[int]:
-    """What `best_path` gives, for a word of any length: time grows with the length alone."""
-    scores, ways = [0.0], [(0, 0)]
-    for end in range(1, len(word) + 1):
-        most, way = None, (0, 0)
-        for start in range(max(0, end - longest), end):
-            found = table.get(word[start:end])
-            if found is None:
-                if start + 1 < end:
-                    continue
-                found = (unknown, -ord(word[start]) - 1)
-            total = scores[start] + found[0]
-            if most is None or total > most:
-                most, way = total, (start, found[1])
-        scores.append(most)
-        ways.append(way)
-    ids, at = [], len(word)
-    while at:
-        at, number = ways[at]
-        ids.append(number)
-    return ids[::-1]
-
-
-class Known(dict):
-    """Ids of words as bytes; words beyond LONGEST_WORD are encoded when they are asked for."""
-
-    def __init__(self, byte_ids: list[int], path):
-        super().__init__()
-        self.byte_ids, self.path = byte_ids, path
-        self["\n"] = np.array([byte_ids[10]], np.int32).tobytes()
-
-    def put(self, word: str, ids: list[int]) -> bytes:
-        if min(ids) < 0:
-            whole = ([k] if k >= 0 else [self.byte_ids[b] for b in chr(-k - 1).encode()] for k in ids)
-            ids = list(chain.from_iterable(whole))
-        self[word] = np.array(ids, np.int32).tobytes()
-        return self[word]
-
-    def __missing__(self, word: str) -> bytes:
-        if len(word) <= LONGEST_WORD:
-            raise KeyError(word)
-        return self.put(word, self.path(word))
+    path = F.when(size <= STRETCH, best_path(F.col("edges"), size)).otherwise(long_path(F.col("edges"), size, longest))
+    return lattice.select("bucket", "word", path.alias("ids"))
+
+
+def packed_ids(sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    head = np.array([len(sizes)], np.int32)
+    return pa.compress(np.concatenate([head, sizes, ids]).astype(np.int32).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked_ids(raw: bytes, n_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.frombuffer(pa.decompress(raw, n_bytes, "zstd", asbytes=True), np.int32)
+    n = int(numbers[0])
+    return numbers[1 : n + 1], numbers[n + 1 :]
+
+
+def gather(rows: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and numbers of the rows asked for; row k is flat[ends[k - 1] : ends[k]]."""
+    starts = np.concatenate([[0], ends])[rows]
+    sizes = ends[rows] - starts
+    first = np.cumsum(sizes) - sizes
+    return sizes, flat[np.arange(int(sizes.sum())) + np.repeat(starts - first, sizes)]
+
+
+def list_rows(byte_ids: list[int], lists: pa.Table, words: pa.Table) -> pa.Table:
+    """(block, bucket, n_bytes, ids): the ids of a block's words of a bucket, packed in the order
+    of its list. Characters that are no piece become the pieces of their bytes."""
+    rows, ends, flat, last = {}, [], [], 0
+    for batch in words.to_batches():
+        column = batch.column("ids")
+        places = column.offsets.to_numpy() - column.offsets[0].as_py()
+        ids = column.flatten().to_numpy()
+        rows.update(zip(batch.column("word").to_pylist(), range(len(rows), len(rows) + batch.num_rows)))
+        if (ids < 0).any():
+            whole = [
+                list(chain.from_iterable([k] if k >= 0 else [byte_ids[b] for b in chr(-k - 1).encode()] for k in one))
+                for one in column.to_pylist()
+            ]
+            ids = np.fromiter(chain.from_iterable(whole), np.int32)
+            places = np.concatenate([[0], np.cumsum([len(one) for one in whole])])
+        ends.append(places[1:] + last)
+        flat.append(ids)
+        last += len(ids)
+    ends, flat = np.concatenate(ends, dtype=np.int64), np.concatenate(flat, dtype=np.int32)
+    out = {"block": [], "bucket": [], "n_bytes": [], "ids": []}
+    for batch in lists.to_batches():
+        for bucket, lines in zip(batch.column("bucket").to_pylist(), batch.column("lines").to_pylist()):
+            block, *asked = lines.split("\n")
+            sizes, ids = gather(np.fromiter(map(rows.__getitem__, asked), np.int64, len(asked)), ends, flat)
+            out["block"].append(int(block))
+            out["bucket"].append(bucket)
+            out["n_bytes"].append(4 * (1 + len(sizes) + len(ids)))
+            out["ids"].append(packed_ids(sizes, ids))
+    return pa.table(out, schema=LISTS)
 
 
 def text_rows(
-    byte_ids: list[int], path, texts_of, text_column: str, schema: pa.Schema, texts: pa.Table, words: pa.Table
+    newline: int, buckets: int, texts_of, text_column: str, schema: pa.Schema, texts: pa.Table, lists: pa.Table
 ) -> pa.Table:
     """Ids of the texts of a block, from the ids of its words, and their own texts if `texts_of`
-    gives those of the pieces; `path` gives the ids of long words."""
-    known = Known(byte_ids, path)
-    for batch in words.to_batches():
-        for word, ids in zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()):
-            known.put(word, ids)
+    gives those of the pieces."""
+    parts = sorted(zip(*[lists.column(c).to_pylist() for c in ("bucket", "n_bytes", "ids")]))
+    parts = [unpacked_ids(raw, n) for _, n, raw in parts]
+    # the line end comes last
+    ends = np.cumsum(np.concatenate([*[sizes for sizes, _ in parts], [1]]))
+    flat = np.concatenate([*[ids for _, ids in parts], [newline]]).astype(np.int32)
     out = []
     for stored in texts.column("rows"):
         for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
-            encoded = [b"".join(map(known.__getitem__, split(t))) for t in piece.column("__text").to_pylist()]
-            offsets = np.zeros(len(encoded) + 1, np.int32)
-            np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
-            columns = [piece.column(PACKED).cast(schema.field(PACKED).type), ids]
+            numbers: dict[str, int] = {}
+            used = [
+                np.array([numbers.setdefault(w, len(numbers)) for w in split(t)], np.int64)
+                for t in piece.column("__text").to_pylist()
+            ]
+            names, _ = by_bucket(numbers, buckets)
+            if len(names) != len(ends) - 1:
+                raise ValueError("a block and its lists of words differ")
+            rows = np.zeros(len(numbers), np.int64)
+            rows[[numbers[w] for w in names]] = np.arange(len(names))
+            if "\n" in numbers:
+                rows[numbers["\n"]] = len(ends) - 1
+            sizes, ids = gather(rows[np.concatenate(used)], ends, flat)
+            last = np.cumsum([0, *map(len, used)])
+            offsets = np.concatenate([[0], np.cumsum(sizes)])[last].astype(np.int32)
+            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            columns = [piece.column(PACKED).cast(schema.field(PACKED).type), column]
             if texts_of is not None:
-                columns.append(decoded(texts_of(), ids))
+                columns.append(decoded(texts_of(), column))
             out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
     return pa.Table.from_batches(out, schema)
 
@@ -267,31 +363,31 @@ def encode(
     spark = docs.sparkSession
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(PACKED))
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_column}`")))).first()[0] or 0
-    tasks = max(2, -(-total // (block_bytes * TASK_BLOCKS)))
-    found = rows.mapInArrow(partial(word_rows, text_column, block_bytes), "block bigint, words string")
-    words = found.repartition(tasks, "block").select("block", F.explode(F.split("words", "\n")).alias("word"))
-    words = words.where("word <> ''").distinct()
+    tasks = max(2, -(-total // block_bytes))
+    buckets = max(2, round((total / (1 << 20)) ** GROWTH))
+    found = rows.mapInArrow(partial(word_rows, text_column, block_bytes, buckets), "bucket int, lines string")
+    lists = found.repartition(buckets, "bucket")
+    listed = F.split("lines", "\n")
+    words = lists.select("bucket", F.explode(F.slice(listed, F.lit(2), F.size(listed))).alias("word")).distinct()
     longest = max(len(t.decode(errors="replace")) for t in pieces.texts if t)
-    unknown = min(pieces.scores) - UNKNOWN_COST
-    table = pieces.table(spark)
-    mapping = encode_words(words, table, longest, unknown)
-    shared = spark.sparkContext.broadcast({r["piece"]: (r["score"], r["id"]) for r in table.collect()})
+    mapping = encode_words(words, pieces.table(spark), longest, min(pieces.scores) - UNKNOWN_COST)
+    byte_ids = pieces.byte_ids
+    mapping = mapping.select(F.col("bucket").alias("of"), "word", "ids")
+    returned = lists.groupBy("bucket").cogroup(mapping.groupBy("of")).applyInArrow(
+        partial(list_rows, byte_ids), "block bigint, bucket int, n_bytes bigint, ids binary"
+    )
     stored = rows.mapInArrow(partial(stored_rows, text_column, block_bytes), "block bigint, rows binary")
     kind = rows.schema[PACKED].dataType
     added = [("ids", pa.list_(pa.int32()))] + [("decoded", pa.string())] * decode_too
     schema = pa.schema([(PACKED, to_arrow_type(kind)), *added])
     own = spark.sparkContext.broadcast(pieces.texts) if decode_too else None
-    byte_ids = pieces.byte_ids
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        return text_rows(
-            byte_ids, lambda word: long_path(word, shared.value, longest, unknown),
-            own and (lambda: own.value), text_column, schema, texts, words,
-        )
+    def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        return text_rows(byte_ids[10], buckets, own and (lambda: own.value), text_column, schema, texts, lists)
 
-    return stored.repartition(tasks, "block").groupBy("block").cogroup(mapping.groupBy("block")).applyInArrow(
-        run, f"{PACKED} {kind.simpleString()}, ids array<int>" + ", decoded string" * decode_too
-    )
+    return stored.repartition(tasks, "block").groupBy("block").cogroup(
+        returned.repartition(tasks, "block").groupBy("block")
+    ).applyInArrow(run, f"{PACKED} {kind.simpleString()}, ids array<int>" + ", decoded string" * decode_too)
 
 
 def decoded(texts: list[bytes | None], ids: pa.Array) -> pa.Array:

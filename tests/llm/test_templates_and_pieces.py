@@ -103,16 +103,46 @@ def test_long_runs_take_the_best_path(spark, pieces):
         assert got == pytest.approx(sum(best(w, pieces) for w in lattice.WORD.findall(" " + text))), k
 
 
-def test_long_path_is_the_best_path(spark, pieces):
+def test_both_folds_take_the_best_path(spark, pieces):
+    from pyspark.sql import functions as F
+
     rng = random.Random(3)
-    words = [" ".join(["", "".join(rng.choices("aeinorst日é😀", k=rng.randint(1, 80)))]) for _ in range(40)]
+    words = [" ".join(["", "".join(rng.choices("aeinorst日é😀", k=rng.choice([1, 20, 80, 127, 128, 150, 600])))]) for _ in range(40)]
     words = sorted(set(words))
     longest, unknown = max(len(t.decode(errors="replace")) for t in pieces.texts if t), min(pieces.scores) - 10.0
-    table = pieces.table(spark)
-    frame = spark.createDataFrame([(1, w) for w in words], "block bigint, word string")
-    folded = {r["word"]: r["ids"] for r in lattice.encode_words(frame, table, longest, unknown).collect()}
-    known = {r["piece"]: (r["score"], r["id"]) for r in table.collect()}
-    assert folded == {w: lattice.long_path(w, known, longest, unknown) for w in words}
+    known = {r["piece"]: (r["score"], r["id"]) for r in pieces.table(spark).collect()}
+    rows = []
+    for word in words:
+        spans = [(e, s, word[s:e]) for e in range(1, len(word) + 1) for s in range(max(0, e - longest), e)]
+        edges = [(e, s, *known.get(t, (unknown, -ord(t[0]) - 1))) for e, s, t in spans if t in known or e == s + 1]
+        rows.append((word, sorted(edges)))
+    frame = spark.createDataFrame(rows, "word string, edges array<struct<end: int, start: int, score: double, id: int>>")
+    size = F.length("word")
+    both = frame.select(
+        "word", lattice.best_path(F.col("edges"), size).alias("a"), lattice.long_path(F.col("edges"), size, longest).alias("b")
+    ).collect()
+    frame = spark.createDataFrame([(1, w) for w in words], "bucket int, word string")
+    folded = {r["word"]: r["ids"] for r in lattice.encode_words(frame, pieces.table(spark), longest, unknown).collect()}
+    edges_of = dict(rows)
+    for row in both:
+        assert row["a"] == row["b"] == folded[row["word"]]
+        sums = [0.0]  # plainly, by places
+        for end in range(1, len(row["word"]) + 1):
+            sums.append(max(sums[s] + score for e, s, score, _ in edges_of[row["word"]] if e == end))
+        scores = {k: v for v, k in known.values()}
+        assert sum(scores.get(k, unknown) for k in row["a"]) == pytest.approx(sums[-1])
+
+
+def test_equal_blocks_and_line_ends(spark, pieces):
+    """Equal blocks do not meet; texts of blanks, of line ends and without words have ids."""
+    texts = ["one two\n", "\n", "\n\n", "   ", "", None, "日本" * 300] + ["the same text\n\nagain"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    rows = lattice.encode(docs, pieces, block_bytes=1, decode_too=True).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert row["decoded"] == (texts[row[PACKED]["doc_id"]] or "")
+        want = [k for w in lattice.split(texts[row[PACKED]["doc_id"]]) if w == "\n" for k in [pieces.byte_ids[10]]]
+        assert [k for k in row["ids"] if k == pieces.byte_ids[10]] == want
 
 
 def test_pieces_of_empty_table(spark, pieces):
