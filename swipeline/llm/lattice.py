@@ -35,6 +35,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Text bytes of a block.
 BLOCK_BYTES = 8 << 20
+#: Text bytes of a block whose ids are put together at once.
+SLICE_BYTES = 1 << 20
 #: Buckets are (megabytes of text) ** GROWTH: a vocabulary grows slower than its corpus.
 GROWTH = 0.75
 #: Places of a word that the fold keeps in one array; more are kept as an array of such arrays,
@@ -45,6 +47,7 @@ MOST_PIECES = 1 << 20
 #: What a character costs that is no piece, below the least score of a piece.
 UNKNOWN_COST = 10.0
 
+CODEC = pa.Codec("zstd", compression_level=3)
 LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary())])
 
 WORD = re.compile(r" *[^ \n]+| +|\n")
@@ -111,9 +114,10 @@ def blocks_of(
     place = context.partitionId() if context else 0
     for number, piece in enumerate(slices(with_text(batches, text_column), "__text", limit)):
         offsets, raw = text_buffers(piece.column("__text"))
-        held = b"%d,%d," % (place, number) + raw.tobytes() + offsets.tobytes()
-        name = hashlib.blake2b(held, digest_size=8).digest()
-        yield int.from_bytes(name, "little", signed=True), piece
+        name = hashlib.blake2b(b"%d,%d" % (place, number), digest_size=8)
+        name.update(offsets)
+        name.update(raw)
+        yield int.from_bytes(name.digest(), "little", signed=True), piece
 
 
 def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[pa.RecordBatch]:
@@ -149,7 +153,7 @@ def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch])
     for block, piece in blocks_of(text_column, limit, batches):
         sink = pa.BufferOutputStream()
         rows = piece.select([PACKED])
-        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=CODEC)) as out:
             out.write_batch(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"]
@@ -265,11 +269,11 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
 
 def packed_ids(sizes: np.ndarray, ids: np.ndarray) -> bytes:
     head = np.array([len(sizes)], np.int32)
-    return pa.compress(np.concatenate([head, sizes, ids]).astype(np.int32).tobytes(), "zstd", asbytes=True)
+    return CODEC.compress(np.concatenate([head, sizes, ids]).astype(np.int32).tobytes(), asbytes=True)
 
 
 def unpacked_ids(raw: bytes, n_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    numbers = np.frombuffer(pa.decompress(raw, n_bytes, "zstd", asbytes=True), np.int32)
+    numbers = np.frombuffer(CODEC.decompress(raw, n_bytes, asbytes=True), np.int32)
     n = int(numbers[0])
     return numbers[1 : n + 1], numbers[n + 1 :]
 
@@ -279,7 +283,7 @@ def gather(rows: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple[np.nda
     starts = np.concatenate([[0], ends])[rows]
     sizes = ends[rows] - starts
     first = np.cumsum(sizes) - sizes
-    return sizes, flat[np.arange(int(sizes.sum())) + np.repeat(starts - first, sizes)]
+    return sizes, flat[np.arange(int(sizes.sum()), dtype=np.int64) + np.repeat(starts - first, sizes)]
 
 
 def list_rows(byte_ids: list[int], lists: pa.Table, words: pa.Table) -> pa.Table:
@@ -329,24 +333,29 @@ def text_rows(
         for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
             numbers: dict[str, int] = {}
             used = [
-                np.array([numbers.setdefault(w, len(numbers)) for w in split(t)], np.int64)
+                np.array([numbers.setdefault(w, len(numbers)) for w in split(t)], np.int32)
                 for t in piece.column("__text").to_pylist()
             ]
             names, _ = by_bucket(numbers, buckets)
             if len(names) != len(ends) - 1:
                 raise ValueError("a block and its lists of words differ")
-            rows = np.zeros(len(numbers), np.int64)
+            rows = np.zeros(len(numbers), np.int32)
             rows[[numbers[w] for w in names]] = np.arange(len(names))
             if "\n" in numbers:
                 rows[numbers["\n"]] = len(ends) - 1
-            sizes, ids = gather(rows[np.concatenate(used)], ends, flat)
-            last = np.cumsum([0, *map(len, used)])
-            offsets = np.concatenate([[0], np.cumsum(sizes)])[last].astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-            columns = [piece.column(PACKED).cast(schema.field(PACKED).type), column]
-            if texts_of is not None:
-                columns.append(decoded(texts_of(), column))
-            out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+            del numbers, names
+            at = 0
+            for part in slices([piece], "__text", SLICE_BYTES):
+                words = used[at : at + part.num_rows]
+                sizes, ids = gather(rows[np.concatenate(words)], ends, flat)
+                last = np.cumsum([0, *map(len, words)])
+                offsets = np.concatenate([[0], np.cumsum(sizes)])[last].astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                columns = [part.column(PACKED).cast(schema.field(PACKED).type), column]
+                if texts_of is not None:
+                    columns.append(decoded(texts_of(), column))
+                out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+                at += part.num_rows
     return pa.Table.from_batches(out, schema)
 
 
