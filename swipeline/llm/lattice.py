@@ -47,10 +47,13 @@ MOST_PIECES = 1 << 20
 #: What a character costs that is no piece, below the least score of a piece.
 UNKNOWN_COST = 10.0
 
+#: Characters of a piece by which the longest piece at a place is bounded.
+HEAD = 4
+
 CODEC = pa.Codec("zstd", compression_level=3)
 LISTS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary())])
 
-WORD = re.compile(r" *[^ \n]+| +|\n")
+WORD = re.compile(r"\n[^ \n]*| *[^ \n]+| +")
 
 
 class Pieces(NamedTuple):
@@ -99,10 +102,26 @@ class Pieces(NamedTuple):
 
 
 def split(text: str | None) -> list[str]:
-    """Words of a text with a blank put before it; no word of an empty text."""
+    """Words of a text with a blank put before it; no word of an empty text. A word is given
+    without its first blank; one that starts a line, which has no blank, behind a line end."""
     if not text:
         return []
-    return WORD.findall(" " + text)
+    if text[0] in " \n" or text[-1] == " " or "  " in text or " \n" in text:
+        return [w.removeprefix(" ") for w in WORD.findall(" " + text)]
+    return text.replace("\n", " \n").split(" ")
+
+
+def written(word: str) -> str:
+    """A word of `split` as it stands in the text, without a line end."""
+    return word[1:] if word.startswith("\n") else " " + word
+
+
+class Numbers(dict):
+    """Numbers of different words, as they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 def blocks_of(
@@ -127,8 +146,8 @@ def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[p
 
 
 def by_bucket(words, buckets: int) -> tuple[list[str], np.ndarray]:
-    """Words other than line ends, by bucket and then by text, and where a bucket's words end."""
-    names = sorted(w for w in words if w != "\n")
+    """Words as they are written, by bucket and then by text, and where a bucket's words end."""
+    names = sorted(set(map(written, words)) - {""})
     codes = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
     order = np.argsort(codes, kind="stable")
     return [names[k] for k in order.tolist()], np.cumsum(np.bincount(codes, minlength=buckets))
@@ -138,9 +157,11 @@ def word_rows(
     text_column: str, limit: int, buckets: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     """(bucket, lines): a block's different words of a bucket, one to a line, under a line with the
-    block's name. A line end is a word of its own and is left out."""
+    block's name. Line ends are left out."""
     for block, piece in blocks_of(text_column, limit, batches):
-        found = set(chain.from_iterable(map(split, piece.column("__text").to_pylist())))
+        found: set[str] = set()
+        for text in piece.column("__text").to_pylist():
+            found.update(split(text))
         names, ends = by_bucket(found, buckets)
         starts = np.concatenate([[0], ends[:-1]])
         used = np.flatnonzero(ends > starts)
@@ -250,7 +271,14 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
     code point, negative and less by one."""
     size = F.length("word")
     starts = words.select("bucket", "word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
-    ends = F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start") + 1))
+    # a piece of HEAD characters or more starts with a head; where none does, substrings stay shorter
+    heads = pieces.where(F.length("piece") >= HEAD).groupBy(F.substring("piece", 1, HEAD).alias("head")).agg(
+        F.max(F.length("piece")).alias("most")
+    )
+    starts = starts.withColumn("head", F.col("word").substr(F.col("start"), F.lit(HEAD)))
+    starts = starts.join(F.broadcast(heads), "head", "left")
+    most = F.coalesce("most", F.lit(HEAD - 1))
+    ends = F.sequence(F.lit(1), F.least(most, size - F.col("start") + 1))
     parts = starts.select("bucket", "word", "start", F.explode(ends).alias("n")).withColumn(
         "piece", F.col("word").substr(F.col("start"), F.col("n"))
     )
@@ -318,6 +346,26 @@ def list_rows(byte_ids: list[int], lists: pa.Table, words: pa.Table) -> pa.Table
     return pa.table(out, schema=LISTS)
 
 
+def with_line_ends(
+    numbers: Numbers, names: list[str], ends: np.ndarray, ids: np.ndarray, newline: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row of each number, and the rows (their ends and ids): those of the names, then one for
+    each word behind a line end."""
+    place = dict(zip(names, range(len(names))))
+    rows, more, sizes = np.zeros(len(numbers), np.int32), [], []
+    for word, number in numbers.items():
+        if word.startswith("\n"):
+            k = place.get(word[1:])
+            own = ids[ends[k - 1] if k else 0 : ends[k]] if k is not None else ids[:0]
+            rows[number] = len(names) + len(sizes)
+            more += [[newline], own]
+            sizes.append(1 + len(own))
+        else:
+            rows[number] = place[" " + word]
+    last = ends[-1] if len(ends) else 0
+    return rows, np.concatenate([ends, last + np.cumsum(sizes, dtype=np.int64)]), np.concatenate([ids, *more]).astype(np.int32)
+
+
 def text_rows(
     newline: int, buckets: int, texts_of, text_column: str, schema: pa.Schema, texts: pa.Table, lists: pa.Table
 ) -> pa.Table:
@@ -325,29 +373,25 @@ def text_rows(
     gives those of the pieces."""
     parts = sorted(zip(*[lists.column(c).to_pylist() for c in ("bucket", "n_bytes", "ids")]))
     parts = [unpacked_ids(raw, n) for _, n, raw in parts]
-    # the line end comes last
-    ends = np.cumsum(np.concatenate([*[sizes for sizes, _ in parts], [1]]))
-    flat = np.concatenate([*[ids for _, ids in parts], [newline]]).astype(np.int32)
+    ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *[sizes for sizes, _ in parts]]))
+    flat = np.concatenate([np.zeros(0, np.int32), *[ids for _, ids in parts]])
     out = []
     for stored in texts.column("rows"):
         for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
-            numbers: dict[str, int] = {}
-            used = [
-                np.array([numbers.setdefault(w, len(numbers)) for w in split(t)], np.int32)
-                for t in piece.column("__text").to_pylist()
-            ]
+            numbers = Numbers()
+            used = []
+            for text in piece.column("__text").to_pylist():
+                words = split(text)
+                used.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             names, _ = by_bucket(numbers, buckets)
-            if len(names) != len(ends) - 1:
+            if len(names) != len(ends):
                 raise ValueError("a block and its lists of words differ")
-            rows = np.zeros(len(numbers), np.int32)
-            rows[[numbers[w] for w in names]] = np.arange(len(names))
-            if "\n" in numbers:
-                rows[numbers["\n"]] = len(ends) - 1
+            rows, all_ends, all_ids = with_line_ends(numbers, names, ends, flat, newline)
             del numbers, names
             at = 0
             for part in slices([piece], "__text", SLICE_BYTES):
                 words = used[at : at + part.num_rows]
-                sizes, ids = gather(rows[np.concatenate(words)], ends, flat)
+                sizes, ids = gather(rows[np.concatenate(words)], all_ends, all_ids)
                 last = np.cumsum([0, *map(len, words)])
                 offsets = np.concatenate([[0], np.cumsum(sizes)])[last].astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))

@@ -69,6 +69,23 @@ ODD = [
 ]
 
 
+def as_written(text):
+    """Words with their blanks and line ends, plainly."""
+    import re
+
+    return re.findall(r" *[^ \n]+| +|\n", " " + text) if text else []
+
+
+def test_words_of_a_text():
+    rng = random.Random(4)
+    for _ in range(3_000):
+        text = "".join(rng.choices(["a", "b", "é", " ", " ", "\n"], k=rng.randint(0, 12)))
+        got = []
+        for word in lattice.split(text):
+            got += ["\n"] * word.startswith("\n") + [lattice.written(word)]
+        assert [w for w in got if w] == as_written(text), repr(text)
+
+
 def test_round_trip_and_best_paths(spark, pieces):
     rng = random.Random(1)
     texts = ODD + ["".join(rng.choices("abcdeé ,.\n▁😀", k=rng.randint(1, 60))) for _ in range(30)]
@@ -88,7 +105,7 @@ def test_round_trip_and_best_paths(spark, pieces):
     for k, text in enumerate(texts):
         if text and len(text) < 100 and not fallback & set(rows[k]["ids"]):
             got = sum(pieces.scores[i] for i in rows[k]["ids"])
-            assert got == pytest.approx(sum(best(w, pieces) for w in lattice.split(text))), k
+            assert got == pytest.approx(sum(best(w, pieces) for w in as_written(text))), k
 
 
 def test_long_runs_take_the_best_path(spark, pieces):
@@ -100,7 +117,7 @@ def test_long_runs_take_the_best_path(spark, pieces):
     for k, text in enumerate(texts):
         assert rows[k]["decoded"] == text
         got = sum(pieces.scores[i] for i in rows[k]["ids"])
-        assert got == pytest.approx(sum(best(w, pieces) for w in lattice.WORD.findall(" " + text))), k
+        assert got == pytest.approx(sum(best(w, pieces) for w in as_written(text))), k
 
 
 def test_both_folds_take_the_best_path(spark, pieces):
@@ -141,7 +158,7 @@ def test_equal_blocks_and_line_ends(spark, pieces):
     assert len(rows) == len(texts)
     for row in rows:
         assert row["decoded"] == (texts[row[PACKED]["doc_id"]] or "")
-        want = [k for w in lattice.split(texts[row[PACKED]["doc_id"]]) if w == "\n" for k in [pieces.byte_ids[10]]]
+        want = [pieces.byte_ids[10]] * (texts[row[PACKED]["doc_id"]] or "").count("\n")
         assert [k for k in row["ids"] if k == pieces.byte_ids[10]] == want
 
 
