@@ -41,7 +41,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     `round_trip` go on as `ids_before` and so on.
     """
     pieces = lattice.Pieces.load()
-    decoded = lattice.encode(docs, pieces, decode_too=True)
+    # the stages before leave less memory to this one: smaller blocks, more disk
+    decoded = lattice.encode(docs, pieces, block_bytes=2 << 20, decode_too=True)
     text = F.coalesce(f"{PACKED}.text", F.lit(""))
     added = ("ids", "n_ids", "round_trip")
     # a column that a result column would hide keeps its values under another name
