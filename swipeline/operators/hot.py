@@ -15,6 +15,11 @@ Copies of one row (one key, time and id) stay in one piece. A scan whose events
 belong to no row, such as the end of a window, adds them up by moment first: they
 stand at the beginning of their moment and need no splitting. A scan reads its
 input more than once, so the rows of hot cards are checkpointed between scans.
+
+A key of many pieces is cut in levels: its pieces of the first level, FAN at most, are cut
+again into FAN pieces each, and so on. No array of cuts, sample or group is larger than
+that, however many pieces a key has. The rows of hot keys know their own piece from the
+start (`PIECE`); only events at other times look theirs up.
 """
 
 from __future__ import annotations
@@ -33,11 +38,14 @@ CUTS = "_cuts"
 TIE = "transaction_id"
 #: Rows drawn per piece to find the splitters.
 SAMPLE = 200
+#: Pieces that one array of cut points tells apart, a power of two.
+FAN = 256
 
 
 class Cuts(NamedTuple):
     table: DataFrame  # hot key and the cut points (time, id) of its order
     pieces: int  # of the largest key, a power of two
+    finer: tuple[DataFrame, ...] = ()  # cut points inside the pieces of the level before
 
 
 class Split(NamedTuple):
@@ -105,20 +113,60 @@ def split_hot(
     sizes = cut_lineage(counts.withColumn("pieces", own))
     keys = sizes.select(key)
     drawn = (
-        df.select(key, position(at, tie).alias("p"))
+        df.select(key, position(at, tie).alias("_position"))
         .join(sizes, key)
         .where(F.rand(42) * F.col("n") < F.lit(SAMPLE) * F.col("pieces"))
-        .groupBy(key, "pieces")
-        .agg(F.sort_array(F.collect_list("p")).alias("p"))
-    )
-    nth = F.transform(
-        F.sequence(F.lit(1), F.col("pieces") - 1),
-        lambda i: F.get("p", F.floor(i * F.size("p") / F.col("pieces")).cast("int") - 1),
+        .select(key, "pieces", "_position")
     )
-    cuts = cut_lineage(drawn.select(key, F.filter(nth, lambda cut: cut.isNotNull()).alias(CUTS)))
+    if pieces > FAN:
+        drawn = cut_lineage(drawn)
+    fan = min(pieces, FAN)
+    # of a key with more pieces only the share of one level is looked at first
+    coarse = drawn.where(F.rand(43) * F.col("pieces") < F.lit(fan))
+    cuts = Cuts(cut_lineage(_cut_points(coarse, [key], fan)), pieces)
+    while fan**(1 + len(cuts.finer)) < pieces:
+        inside = _descend(drawn, cuts, key).withColumn(
+            "pieces", F.col("pieces") / F.lit(FAN ** (1 + len(cuts.finer)))
+        ).where("pieces > 1")
+        thin = inside.where(F.rand(44 + len(cuts.finer)) * F.col("pieces") < F.lit(FAN))
+        finer = cut_lineage(_cut_points(thin, [key, PIECE], FAN))
+        cuts = cuts._replace(finer=(*cuts.finer, finer))
     return Split(
-        df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), Cuts(cuts, pieces)
+        df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), cuts
+    )
+
+
+def _cut_points(drawn: DataFrame, by: list[str], fan: int) -> DataFrame:
+    """Evenly spaced rows of every group of a sample, at most `fan - 1`."""
+    drawn = drawn.withColumn("_fan", F.least(F.lit(fan), F.col("pieces")).cast("int"))
+    groups = drawn.groupBy(*by, "_fan").agg(F.sort_array(F.collect_list("_position")).alias("p"))
+    nth = F.transform(
+        F.sequence(F.lit(1), F.col("_fan") - 1),
+        lambda i: F.get("p", F.floor(i * F.size("p") / F.col("_fan")).cast("int") - 1),
     )
+    return groups.select(*by, F.filter(nth, lambda cut: cut.isNotNull()).alias(CUTS))
+
+
+def _descend(df: DataFrame, cuts: Cuts, key: str) -> DataFrame:
+    """Adds the piece of every `_position`, level by level.
+
+    A binary search spelled out step by step. Every step is a projection of its own, so it
+    stays generated code. Probes beyond the end of a shorter array are null and count as
+    "not before", as does a piece without finer cuts.
+    """
+    out = df.withColumn(PIECE, F.lit(0).cast("bigint"))
+    for level, table in enumerate((cuts.table, *cuts.finer)):
+        out = out.join(table, [key, PIECE] if level else key, "left").withColumn("_before", F.lit(0))
+        span = min(cuts.pieces, FAN) // 2
+        while span >= 1:
+            probe = F.get(F.col(CUTS), F.col("_before") + (span - 1))
+            behind = F.col("_position") > probe
+            out = out.withColumn(
+                "_before", F.col("_before") + F.when(behind, F.lit(span)).otherwise(F.lit(0))
+            )
+            span //= 2
+        out = out.withColumn(PIECE, F.col(PIECE) * FAN + F.col("_before")).drop(CUTS, "_before")
+    return out
 
 
 def per_key(
@@ -135,28 +183,15 @@ def per_key(
     out = out.select(*df.columns, *[c for step in steps for c in step.columns])
     if split.hot is None:
         return out
-    hot = cut_lineage(split.hot)
-    for step in steps:
+    hot = cut_lineage(with_piece(split.hot, split.cuts, key, at, tie))
+    for step in steps[:-1]:
         hot = cut_lineage(step.hot(hot, split.cuts))
-    return out.unionByName(hot.select(*out.columns))
+    return out.unionByName(steps[-1].hot(hot, split.cuts).select(*out.columns))
 
 
 def with_piece(df: DataFrame, cuts: Cuts, key: str, at: str, tie: str = TIE) -> DataFrame:
-    """Number of cuts before the row: a binary search spelled out step by step.
-
-    Every step is a projection of its own, so it stays generated code. Probes
-    beyond the end of a shorter array are null and count as "not before".
-    """
-    out = df.join(cuts.table, key).withColumns({PIECE: F.lit(0), "_position": position(at, tie)})
-    span = cuts.pieces // 2
-    while span >= 1:
-        probe = F.get(F.col(CUTS), F.col(PIECE) + (span - 1))
-        behind = F.col("_position") > probe
-        out = out.withColumn(
-            PIECE, F.col(PIECE) + F.when(behind, F.lit(span)).otherwise(F.lit(0))
-        )
-        span //= 2
-    return out.drop(CUTS, "_position")
+    """Adds the piece of every row: its number grows along the order of a key."""
+    return _descend(df.withColumn("_position", position(at, tie)), cuts, key).drop("_position")
 
 
 def running(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
 from swipeline.functions import scalars
-from swipeline.operators.hot import PIECE, UP, Cuts, Step, per_key, running, with_piece
+from swipeline.operators.hot import PIECE, UP, Cuts, Step, per_key, running
 from swipeline.operators.velocity import (
     CARD,
     ORDER,
@@ -31,7 +31,7 @@ def running_count(name: str = "tx_count_24h") -> Step:
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         out = running(
-            with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
+            df, CARD, ORDER,
             sums={name: F.lit(1).cast("bigint")},
         )
         return out.select(*df.columns, name)
@@ -51,7 +51,7 @@ def average_of_last(rows: int = 7, name: str = "avg_amt_7d") -> Step:
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         # blocks of consecutive rows; the tail of a block is context for the next one
         ranked = running(
-            with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
+            df, CARD, ORDER,
             sums={"_n": F.lit(1).cast("bigint")},
         )
         block = F.floor((F.col("_n") - 1) / RANK_BLOCK)
@@ -81,15 +81,15 @@ def running_distinct(column: str = "merchant_id", name: str = "unique_merchants_
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         firsts = (
             df.groupBy(CARD, column)
-            .agg(F.min(F.struct(*ORDER)).alias("a"))
-            .select(CARD, "a.ts_us", "a.transaction_id", F.lit(1).cast("bigint").alias("_d"))
+            .agg(F.min(F.struct(*ORDER, PIECE)).alias("a"))
+            .select(CARD, f"a.{PIECE}", "a.ts_us", "a.transaction_id", F.lit(1).cast("bigint").alias("_d"))
         )
         events = df.withColumns(
             {"_d": F.lit(0).cast("bigint"), "_row": F.lit(True)}
         ).unionByName(firsts, allowMissingColumns=True)
         # the first visit counts for its own row
         scanned = running(
-            with_piece(events, cuts, CARD, "ts_us").withColumn("_late", 1 - F.col("_d")),
+            events.withColumn("_late", 1 - F.col("_d")),
             CARD, [*ORDER, "_late"], sums={name: F.col("_d")},
         )
         return scanned.where("_row").select(*df.columns, name)
@@ -133,7 +133,7 @@ def previous_location() -> Step:
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         out = running(
-            with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER,
+            df, CARD, ORDER,
             lasts={"_prev": F.struct("lat", "lon")},
         )
         return out.select(

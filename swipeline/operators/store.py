@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
-from swipeline.operators.hot import UP, Cuts, Step, per_key, running, with_piece
+from swipeline.operators.hot import UP, Cuts, Step, per_key, running
 from swipeline.schemas import FeatureView
 
 
@@ -62,10 +62,7 @@ def as_of_views(
         )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        scanned = running(
-            with_piece(df, cuts, key, "_at", "_tie"), key, order,
-            lasts={n: F.col(f"{n}_row") for n in names},
-        )
+        scanned = running(df, key, order, lasts={n: F.col(f"{n}_row") for n in names})
         return scanned.select(*df.columns, *names)
 
     found = per_key(both, [Step(names, hot, card=card)], key=key, at="_at", limit=limit, tie="_tie")

@@ -93,11 +93,11 @@ def lookback_sums(
                 *[F.sum(f"_v_{v}").alias(f"{v}_{w}") for w in windows for v in values]
             )
             changes = changes.unionByName(arrived.withColumn("_rank", F.lit(1)))
-        changes = changes.withColumn("transaction_id", F.lit(""))
+        changes = with_piece(changes.withColumn("transaction_id", F.lit("")), cuts, CARD, "_us")
         events = rows.unionByName(changes, allowMissingColumns=True)
         events = events.withColumnsRenamed({n: f"_d_{n}" for n in names})
         scanned = running(
-            with_piece(events, cuts, CARD, "_us"), CARD, ["_us", "_rank", "transaction_id"],
+            events, CARD, ["_us", "_rank", "transaction_id"],
             sums={n: F.col(f"_d_{n}") for n in names},
         ).where(F.col("_rank") == read)
         if not include_current:
@@ -144,17 +144,16 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
         )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        pieces = with_piece(df, cuts, CARD, "ts_us")
         visits = Window.partitionBy(CARD, PIECE, "merchant_id").orderBy(*ORDER)
         prev = F.lag("ts_us").over(visits)
         # silences inside a piece
         inside = (
-            pieces.withColumn("_prev", prev)
+            df.withColumn("_prev", prev)
             .where(F.col("ts_us") - F.col("_prev") > w_us)
             .select(CARD, "transaction_id", "ts_us", "_prev")
         )
         # silences between pieces, and the first and last visit of all
-        ends = pieces.groupBy(CARD, "merchant_id", PIECE).agg(
+        ends = df.groupBy(CARD, "merchant_id", PIECE).agg(
             F.min(F.struct(*ORDER)).alias("a"),
             F.max("ts_us").alias("z"),
         )
@@ -192,7 +191,7 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
         rows = df.withColumns(
             {"_us": F.col("ts_us"), "_rank": F.lit(read_rank), "_d": F.lit(0), "_row": F.lit(True)}
         )
-        events = rows.unionByName(changes, allowMissingColumns=True)
+        events = rows.unionByName(with_piece(changes, cuts, CARD, "_us"), allowMissingColumns=True)
         # departures come first at their time; then rows and entries in id order
         order = (
             ["_us", "_rank", "transaction_id"]
@@ -200,9 +199,7 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
             else ["_us", "_late", "transaction_id", "_rank"]
         )
         events = cut_lineage(events.withColumn("_late", (F.col("_rank") > 0).cast("int")))
-        scanned = running(
-            with_piece(events, cuts, CARD, "_us"), CARD, order, sums={name: F.col("_d")}
-        )
+        scanned = running(events, CARD, order, sums={name: F.col("_d")})
         return scanned.where("_row").select(*df.columns, name)
 
     return Step([name], hot, value=value, totals=totals)
@@ -243,32 +240,29 @@ def merchants_since_idle(name: str = "unique_merchants_since_idle") -> Step:
         ).withColumn(name, F.col("_firsts") - _zero(F.col("_base")))
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        ins = cut_lineage(hot_epochs(df, cuts, gap_us))
+        ins = cut_lineage(hot_epochs(df, gap_us))
         firsts = (
             ins.groupBy(CARD, "_epoch", "merchant_id")
-            .agg(F.min(F.struct(*ORDER)).alias("a"))
+            .agg(F.min(F.struct(*ORDER, PIECE)).alias("a"))
             .select(
-                CARD, "_epoch", "a.ts_us", "a.transaction_id", F.lit(1).alias("_d")
+                CARD, "_epoch", f"a.{PIECE}", "a.ts_us", "a.transaction_id", F.lit(1).alias("_d")
             )
         )
-        events = (
-            ins.drop(PIECE)
-            .withColumns({"_d": F.lit(0), "_row": F.lit(True)})
-            .unionByName(firsts, allowMissingColumns=True)
+        events = ins.withColumns({"_d": F.lit(0), "_row": F.lit(True)}).unionByName(
+            firsts, allowMissingColumns=True
         )
         # a row reads before its own first visit counts
         scanned = running(
-            with_piece(events, cuts, CARD, "ts_us"), [CARD, "_epoch"], [*ORDER, "_d"],
-            sums={name: F.col("_d")},
+            events, [CARD, "_epoch"], [*ORDER, "_d"], sums={name: F.col("_d")}
         )
         return scanned.where("_row").select(*df.columns, name)
 
     return Step([name], hot, card=card, value=value, totals=totals)
 
 
-def hot_epochs(df: DataFrame, cuts: DataFrame, gap_us: int) -> DataFrame:
+def hot_epochs(df: DataFrame, gap_us: int) -> DataFrame:
     """`_epoch`: how many silences longer than the gap came before (hot cards)."""
-    ins = running(with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER, lasts={"_prev": F.col("ts_us")})
+    ins = running(df, CARD, ORDER, lasts={"_prev": F.col("ts_us")})
     return running(
         ins, CARD, ORDER,
         sums={"_epoch": _zero((F.col("ts_us") - F.col("_prev") > gap_us).cast("int"))},
@@ -295,7 +289,7 @@ def previous_time() -> Step:
         return finish(df.withColumn("_prev", F.lag("ts_us").over(_ordered(CARD))))
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        ins = running(with_piece(df, cuts, CARD, "ts_us"), CARD, ORDER, lasts={"_prev": F.col("ts_us")})
+        ins = running(df, CARD, ORDER, lasts={"_prev": F.col("ts_us")})
         return finish(ins).select(*df.columns, *names)
 
     return Step(names, hot, card=card)
@@ -363,22 +357,26 @@ def moving_average(name: str = "ema_before") -> Step:
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         by = [CARD, "_epoch", PIECE]
-        numbered = cut_lineage(hot_epochs(df, cuts, gap_us)).withColumn(
+        numbered = cut_lineage(hot_epochs(df, gap_us)).withColumn(
             "_n", F.row_number().over(_ordered(*by)) - 1
         )
         ins = from_zero(numbered, by)
         last = F.lit(KEEP) * F.col("_ema0") + F.lit(config.EMA_ALPHA) * F.col("amount").cast("double")
         pieces = ins.groupBy(*by).agg(
-            F.pow(F.lit(KEEP), F.count(F.lit(1))).alias("f"),
-            F.max_by(last, "_n").alias("b"),
-        )
-        earlier = Window.partitionBy(CARD, "_epoch").orderBy(PIECE).rowsBetween(UP, -1)
-        inherited = F.aggregate(
-            F.collect_list(F.struct("f", "b")).over(earlier),
+            F.count(F.lit(1)).alias("n"), F.max_by(last, "_n").alias("b")
+        )
+        # the average behind a piece needs the pieces that end in the EMA_BLOCK rows before its
+        # end: together they hold more rows than that, or reach back to the first
+        in_order = Window.partitionBy(CARD, "_epoch").orderBy(PIECE)
+        near = Window.partitionBy(CARD, "_epoch").orderBy("_upto").rangeBetween(-EMA_BLOCK, 0)
+        behind = F.aggregate(
+            F.collect_list(F.struct(F.pow(F.lit(KEEP), F.col("n")).alias("f"), "b")).over(near),
             F.lit(config.DEFAULT_AVG_AMOUNT),
             lambda acc, p: p["f"] * acc + p["b"],
         )
-        carry = pieces.select(*by, inherited.alias("_in"))
+        ends = pieces.withColumn("_upto", F.sum("n").over(in_order.rowsBetween(UP, 0)))
+        inherited = F.coalesce(F.lag("_behind").over(in_order), F.lit(config.DEFAULT_AVG_AMOUNT))
+        carry = ends.withColumn("_behind", behind).select(*by, inherited.alias("_in"))
         out = ins.join(carry, by).withColumn(
             name, F.pow(F.lit(KEEP), F.col("_n")) * F.col("_in") + F.col("_ema0")
         )

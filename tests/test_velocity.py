@@ -279,3 +279,20 @@ def test_one_moment_of_the_as_of_join_is_split(spark, largest):
     out = store.as_of_join(spine, features, "k", "t", "ft", ["v"], 60, "tie", limit=20)
     assert {(r["n"], r["v"]) for r in out.collect()} == {(i, 399) for i in range(400)}
     assert max(largest) <= 40
+
+
+@pytest.mark.parametrize("fan", [16])
+def test_many_pieces_are_cut_in_levels(make, monkeypatch, fan):
+    """No array of cuts grows with the rows of a card; features are those of the plain windows."""
+    monkeypatch.setattr(hot, "FAN", fan, raising=False)
+    rows = random_rows(11, n=1500, cards=1)
+    split = hot.split_hot(make(rows), "card_id", "ts_us", limit=2)
+    tables = [split.cuts.table, *getattr(split.cuts, "finer", [])]
+    assert split.cuts.pieces == 512
+    assert max(t.agg(F.max(F.size(hot.CUTS))).first()[0] for t in tables) < fan
+    pieces = hot.with_piece(split.hot, split.cuts, "card_id", "ts_us")
+    assert pieces.groupBy("card_id", hot.PIECE).count().agg(F.max("count")).first()[0] <= 20
+    # pieces follow the order of the card
+    found = sorted((r.card_id, r.ts_us, r.transaction_id, r[hot.PIECE]) for r in pieces.collect())
+    assert all(a[3] <= b[3] for a, b in zip(found, found[1:]) if a[0] == b[0])
+    assert collected(velocity.card_history(make(rows), limit=2)) == brute(rows)
