@@ -40,6 +40,8 @@ TIE = "transaction_id"
 SAMPLE = 200
 #: Pieces that one array of cut points tells apart, a power of two.
 FAN = 256
+#: Rows of ordinary keys that a task sorts on average, at most.
+TASK_ROWS = 100_000
 
 
 class Cuts(NamedTuple):
@@ -52,6 +54,7 @@ class Split(NamedTuple):
     cold: DataFrame            # rows of ordinary keys
     hot: DataFrame | None      # rows of hot keys, None if there are none
     cuts: Cuts | None
+    rows: int                  # of all keys together
 
 
 Phase = Callable[[DataFrame], DataFrame]
@@ -99,11 +102,11 @@ def split_hot(
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > limit)
     )
-    largest = counts.agg(F.max("n")).first()[0]
-    if largest is None:
-        return Split(df, None, None)
+    largest, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    if largest is None or largest <= limit:
+        return Split(df, None, None, rows or 0)
+    counts = counts.where(F.col("n") > limit)
     pieces = 2
     while pieces < -(-largest // limit):
         pieces *= 2
@@ -132,10 +135,19 @@ def split_hot(
         finer = cut_lineage(_cut_points(thin, [key, PIECE], FAN))
         cuts = cuts._replace(finer=(*cuts.finer, finer))
     return Split(
-        df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), cuts
+        df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), cuts, rows
     )
 
 
+def spread(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """One exchange by the key, with as many partitions as keep a task's sorts small; the rows
+    of a few tasks go by the session's own number, which may be coalesced."""
+    parts = -(-rows // TASK_ROWS)
+    if parts <= 8:
+        return df.repartition(key)
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def _cut_points(drawn: DataFrame, by: list[str], fan: int) -> DataFrame:
     """Evenly spaced rows of every group of a sample, at most `fan - 1`."""
     drawn = drawn.withColumn("_fan", F.least(F.lit(fan), F.col("pieces")).cast("int"))
@@ -175,7 +187,7 @@ def per_key(
 ) -> DataFrame:
     """Run the steps over every key; ordinary keys need one exchange in all."""
     split = split_hot(df, key, at, limit, tie)
-    out = split.cold.repartition(key)
+    out = spread(split.cold, key, split.rows)
     for phase in ("card", "value", "totals", "own"):
         for step in steps:
             run = getattr(step, phase)

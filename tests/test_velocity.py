@@ -296,3 +296,12 @@ def test_many_pieces_are_cut_in_levels(make, monkeypatch, fan):
     found = sorted((r.card_id, r.ts_us, r.transaction_id, r[hot.PIECE]) for r in pieces.collect())
     assert all(a[3] <= b[3] for a, b in zip(found, found[1:]) if a[0] == b[0])
     assert collected(velocity.card_history(make(rows), limit=2)) == brute(rows)
+
+
+def test_partitions_grow_with_the_rows(make, monkeypatch):
+    """What a task sorts does not grow with the table, and one exchange still serves all windows."""
+    monkeypatch.setattr(hot, "TASK_ROWS", 50, raising=False)
+    rows = random_rows(12, n=600, cards=40)
+    plan = velocity.card_history(make(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(card_id" in plan and ", 12)" in plan and plan.count("Exchange") == 1
+    assert collected(velocity.card_history(make(rows))) == brute(rows)
