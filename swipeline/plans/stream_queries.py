@@ -22,9 +22,20 @@ from swipeline.streaming import jobs, run_log
 from swipeline.streaming.card_state import card_features
 
 
+#: Files of a stored table that is cut into slices, at most.
+MOST_FILES = 96
+
+
 def slices(rows: DataFrame, time: str, n: int = 2) -> Iterator[DataFrame]:
     """The rows cut into `n` consecutive spans of the time column; rows without a time
-    come in the first."""
+    come in the first.
+
+    The rows are made once and stored, dealt evenly over the tasks: a span of rows that come in
+    order would otherwise lie in few files, whose tasks a batch waits for. The number of
+    files stays far below what a batch takes, so a span is one batch.
+    """
+    tasks = min(MOST_FILES, 2 * rows.sparkSession.sparkContext.defaultParallelism)
+    rows = cut_lineage(rows.repartition(tasks))
     low, high = rows.agg(F.min(time), F.max(time)).first()
     if low is None:
         yield rows

@@ -120,3 +120,12 @@ def test_drift_of_a_feature_without_expected_values(spark):
     b = spark.range(30).select(F.col("id").alias("x"), F.lit(2.0).alias("y"))
     got = {r.feature: r.psi for r in monitoring.psi_features(a, b, ["x", "y"]).collect()}
     assert set(got) == {"x", "y"} and got["y"] == 0 and got["x"] > 0
+
+
+def test_slices_are_dealt_evenly(spark):
+    """Rows that come in order of time: every slice is spread over all files."""
+    rows = spark.range(0, 4000, 1, 4).withColumnRenamed("id", "n")
+    files = 2 * spark.sparkContext.defaultParallelism
+    for part in stream_queries.slices(rows, "n"):
+        sizes = [r["count"] for r in part.groupBy(F.input_file_name()).count().collect()]
+        assert sum(sizes) in (1999, 2001) and len(sizes) == files and max(sizes) < 2 * 2000 / files
