@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from swipeline.llm.tables import PACKED, map_rows, slices, text_buffers
+from swipeline.llm.tables import PACKED, give_back, map_rows, slices, text_buffers
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The sign that stands for a blank in pieces.
@@ -129,6 +129,7 @@ def blocks_of(
 ) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Blocks of rows with their texts; a block is named after its place and what it holds, so
     that every run over the partition gives the same names, and equal blocks part."""
+    give_back()
     context = TaskContext.get()
     place = context.partitionId() if context else 0
     for number, piece in enumerate(slices(with_text(batches, text_column), "__text", limit)):
@@ -137,6 +138,7 @@ def blocks_of(
         name.update(offsets)
         name.update(raw)
         yield int.from_bytes(name.digest(), "little", signed=True), piece
+    give_back()
 
 
 def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[pa.RecordBatch]:
@@ -268,9 +270,14 @@ def long_path(edges: Column, size: Column, longest: int) -> Column:
 
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
     """(bucket, word, ids) of different words; the id of a character that is no piece is its
-    code point, negative and less by one."""
+    code point, negative and less by one.
+
+    Edges find together by a number of their word, which is sorted faster than its text and in
+    less memory; words dealt by bucket are numbered and gathered by the same task.
+    """
     size = F.length("word")
-    starts = words.select("bucket", "word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
+    words = words.select("bucket", "word", F.monotonically_increasing_id().alias("number"))
+    starts = words.select("bucket", "number", "word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
     # a piece of HEAD characters or more starts with a head; where none does, substrings stay shorter
     heads = pieces.where(F.length("piece") >= HEAD).groupBy(F.substring("piece", 1, HEAD).alias("head")).agg(
         F.max(F.length("piece")).alias("most")
@@ -279,7 +286,7 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
     starts = starts.join(F.broadcast(heads), "head", "left")
     most = F.coalesce("most", F.lit(HEAD - 1))
     ends = F.sequence(F.lit(1), F.least(most, size - F.col("start") + 1))
-    parts = starts.select("bucket", "word", "start", F.explode(ends).alias("n")).withColumn(
+    parts = starts.select("bucket", "number", "word", "start", F.explode(ends).alias("n")).withColumn(
         "piece", F.col("word").substr(F.col("start"), F.col("n"))
     )
     edges = parts.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1")
@@ -288,8 +295,10 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
         F.coalesce("score", F.lit(unknown)).alias("score"),
         F.coalesce("id", -F.ascii("piece") - 1).alias("id"),
     )
-    lattice = edges.select("word", "bucket", edge.alias("edge")).groupBy("word", "bucket").agg(
-        F.sort_array(F.collect_list("edge")).alias("edges")
+    # the text travels with one edge alone: each word has that of its first character
+    once = F.when((F.col("start") == 1) & (F.col("n") == 1), F.col("word"))
+    lattice = edges.select("number", "bucket", once.alias("word"), edge.alias("edge")).groupBy("number", "bucket").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"), F.max("word").alias("word")
     )
     path = F.when(size <= STRETCH, best_path(F.col("edges"), size)).otherwise(long_path(F.col("edges"), size, longest))
     return lattice.select("bucket", "word", path.alias("ids"))
@@ -317,6 +326,7 @@ def gather(rows: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple[np.nda
 def list_rows(byte_ids: list[int], lists: pa.Table, words: pa.Table) -> pa.Table:
     """(block, bucket, n_bytes, ids): the ids of a block's words of a bucket, packed in the order
     of its list. Characters that are no piece become the pieces of their bytes."""
+    give_back()
     rows, ends, flat, last = {}, [], [], 0
     for batch in words.to_batches():
         column = batch.column("ids")
@@ -371,6 +381,7 @@ def text_rows(
 ) -> pa.Table:
     """Ids of the texts of a block, from the ids of its words, and their own texts if `texts_of`
     gives those of the pieces."""
+    give_back()
     parts = sorted(zip(*[lists.column(c).to_pylist() for c in ("bucket", "n_bytes", "ids")]))
     parts = [unpacked_ids(raw, n) for _, n, raw in parts]
     ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *[sizes for sizes, _ in parts]]))

@@ -7,7 +7,7 @@ import random
 import pytest
 
 from swipeline.llm import lattice, templates
-from swipeline.llm.tables import PACKED
+from swipeline.llm.tables import PACKED, give_back
 
 
 def test_templates(spark):
@@ -150,6 +150,30 @@ def test_both_folds_take_the_best_path(spark, pieces):
         assert sum(scores.get(k, unknown) for k in row["a"]) == pytest.approx(sums[-1])
 
 
+def test_edges_meet_by_number(spark, pieces, capsys):
+    """Edges are gathered by a number of their word, not by its text, where the word already is."""
+    frame = spark.createDataFrame([(k % 2, f"w{k}") for k in range(9)], "bucket int, word string").repartition(2, "bucket")
+    lattice.encode_words(frame, pieces.table(spark), 20, -1e9).explain()
+    plan = capsys.readouterr().out
+    gathered = [line for line in plan.splitlines() if "ObjectHashAggregate" in line]
+    assert gathered and all("keys=[number#" in line and "keys=[word#" not in line for line in gathered)
+    assert plan.count("Exchange hashpartitioning(bucket") == 1 and "Exchange hashpartitioning(number" not in plan
+
+
+def test_freed_memory_goes_back():
+    """What a worker has freed below something it keeps does not stay with it."""
+    import numpy as np
+    import psutil
+
+    held = [np.ones(100) for _ in range(200_000)]  # 160 MB of small pieces
+    last = held[-1]
+    del held
+    before = psutil.Process().memory_info().rss
+    give_back()
+    assert before - psutil.Process().memory_info().rss > 80 << 20
+    assert last.sum() == 100
+
+
 def test_equal_blocks_and_line_ends(spark, pieces):
     """Equal blocks do not meet; texts of blanks, of line ends and without words have ids."""
     texts = ["one two\n", "\n", "\n\n", "   ", "", None, "日本" * 300] + ["the same text\n\nagain"] * 40
