@@ -21,6 +21,7 @@ import sys
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -332,8 +333,13 @@ def _columns(rows: list[tuple], width: int) -> tuple[list, ...]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    columns = zip(OUTPUT.names, zip(*rows))
-    return pd.DataFrame({name: pd.Series(list(values), dtype=object) for name, values in columns})
+    """Rows as a frame of objects. Arrays have no index that pandas would align, which takes
+    most of the time where each card has few rows."""
+    columns = {name: np.empty(len(rows), dtype=object) for name in OUTPUT.names}
+    for name, values in zip(OUTPUT.names, zip(*rows)):
+        for i, value in enumerate(values):
+            columns[name][i] = value
+    return pd.DataFrame(columns, copy=False)
 
 
 class _Queue:

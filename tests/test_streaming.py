@@ -183,3 +183,21 @@ def test_many_visits_and_few_rows_spill(feed):
     out, _ = feed([rows[:15], rows[15:30], rows[30:]], inline_rows=5)
     assert collected(out) == brute(rows)
     assert out.agg(F.max("unique_merchants_since_idle")).first()[0] == 13
+
+
+def test_frames_of_few_rows_are_not_aligned(monkeypatch):
+    """A frame has the values as they are and is made without series, also with equal long lists."""
+    import pandas as pd
+
+    from swipeline.streaming import card_state
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("a series is made per column")
+
+    monkeypatch.setattr(card_state.pd, "Series", refuse)
+    rows = [("t1", "c", "m", None, [1, None], [0.5, 75.0]), ("t2", "c", "m", "food", [2, 3], [None, 75.0])]
+    frame = card_state._frame(rows)
+    monkeypatch.undo()
+    assert list(frame.columns) == card_state.OUTPUT.names
+    assert list(frame.itertuples(index=False, name=None)) == rows
+    assert (frame.dtypes == object).all() and isinstance(frame, pd.DataFrame)
