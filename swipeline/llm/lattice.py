@@ -1,34 +1,37 @@
-"""SentencePiece encoding by a relational lattice, and decoding.
+"""SentencePiece encoding by a lattice, and decoding.
 
-Texts are cut into words, and each different word of the corpus is encoded once: its substrings
-of bounded length are exploded and joined to the table of pieces, which gives the edges of a
-lattice; the edges of a word are gathered, and Viterbi's best path is a fold over them by
-Spark's `aggregate`. The words' ids then go back to the texts.
+Texts are cut into words, and each different word of the corpus is encoded once: the pieces
+that stand at its places are the edges of a lattice, and Viterbi's best path is a fold over
+them (`paths`). The words' ids then go back to the texts.
 
 A block is a run of rows of an input partition, of bounded size. Its different words are dealt
 to buckets by their hash, as one list for each block and bucket; the words of a bucket are made
 distinct and encoded, and each list returns to its block as a list of ids. Texts are shuffled once,
 compressed, to meet them. No dictionary of the whole corpus is ever in one place, and a word is
 in as many lists as there are blocks that have it: a frequent word is no hot key of the texts.
+
+`encode_words` is the same lattice as joins and a fold by Spark's `aggregate`, for a table of
+words; the tests compare the two.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from swipeline.llm.paths import Trie, best_paths
 from swipeline.llm.tables import PACKED, give_back, map_rows, slices, text_buffers
+from swipeline.llm.words import mix, powers
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The sign that stands for a blank in pieces.
@@ -39,6 +42,8 @@ BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
 #: Buckets are (megabytes of text) ** GROWTH: a vocabulary grows slower than its corpus.
 GROWTH = 0.75
+#: Bytes of a word after which the weights of its hash begin again.
+SPAN = 1 << 12
 #: Places of a word that the fold keeps in one array; more are kept as an array of such arrays,
 #: so that its cost stays in proportion to the word.
 STRETCH = 128
@@ -90,15 +95,20 @@ class Pieces(NamedTuple):
             raise ValueError("the model has no byte fallback")
         return Pieces(texts, [model.get_score(k) for k in range(size)], byte_ids)
 
-    def table(self, spark: SparkSession) -> DataFrame:
+    def rows(self) -> list[tuple[str, float, int]]:
         """(piece, score, id) of the pieces that are text."""
         fallback = set(self.byte_ids)
-        rows = [
+        return [
             (t.decode(), float(s), k)
             for k, (t, s) in enumerate(zip(self.texts, self.scores))
             if t is not None and k not in fallback
         ]
-        return spark.createDataFrame(rows, "piece string, score double, id int")
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), "piece string, score double, id int")
+
+    def trie(self) -> Trie:
+        return Trie.of(self.rows(), min(self.scores) - UNKNOWN_COST)
 
 
 def split(text: str | None) -> list[str]:
@@ -116,12 +126,32 @@ def written(word: str) -> str:
     return word[1:] if word.startswith("\n") else " " + word
 
 
-class Numbers(dict):
-    """Numbers of different words, as they come."""
+class Found(NamedTuple):
+    """Words of a block's texts; equal texts in equal order give equal numbers."""
+
+    words: pa.Array  # the different ones, by number
+    numbers: np.ndarray  # of all words, text by text
+    ends: np.ndarray  # by text: where its numbers end
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
+
+def find_words(texts: pa.Array) -> Found:
+    """What `split` gives for each text. Texts in which each blank and line end parts two words are
+    cut by Arrow."""
+    texts = texts.fill_null("")
+    odd = pc.equal(texts, "")
+    for near in (pc.starts_with(texts, " "), pc.starts_with(texts, "\n"), pc.ends_with(texts, " ")):
+        odd = pc.or_(odd, near)
+    for within in ("  ", " \n"):
+        odd = pc.or_(odd, pc.match_substring(texts, within))
+    cut = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ")
+    rest = pa.array(map(split, texts.filter(odd).to_pylist()), pa.list_(pa.string()))
+    coded = pa.concat_arrays([cut.flatten().cast(pa.string()), rest.flatten()]).dictionary_encode()
+    order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
+    sizes = np.concatenate([np.diff(cut.offsets.to_numpy()), np.diff(rest.offsets.to_numpy())])
+    row = np.empty(len(order), np.int64)  # of each text among those that were cut
+    row[order] = np.arange(len(order))
+    sizes, numbers = gather(row, np.cumsum(sizes, dtype=np.int64), coded.indices.to_numpy())
+    return Found(coded.dictionary, numbers, np.cumsum(sizes))
 
 
 def blocks_of(
@@ -147,28 +177,37 @@ def with_text(batches: Iterator[pa.RecordBatch], text_column: str) -> Iterator[p
         yield pa.RecordBatch.from_arrays([rows, rows.field(text_column)], [PACKED, "__text"])
 
 
-def by_bucket(words, buckets: int) -> tuple[list[str], np.ndarray]:
-    """Words as they are written, by bucket and then by text, and where a bucket's words end."""
-    names = sorted(set(map(written, words)) - {""})
-    codes = np.fromiter((zlib.crc32(w.encode()) % buckets for w in names), np.int64, len(names))
-    order = np.argsort(codes, kind="stable")
-    return [names[k] for k in order.tolist()], np.cumsum(np.bincount(codes, minlength=buckets))
+def by_bucket(words: pa.Array, buckets: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words as they are `written`, by bucket, the number of each, and where a bucket's words end. A
+    line end by itself is left out."""
+    names = pc.replace_substring(pc.binary_join_element_wise(" ", words, ""), " \n", "")
+    places, raw = text_buffers(words)
+    weights, _ = powers(SPAN)
+    inside = np.arange(len(raw)) - np.repeat(places[:-1], np.diff(places))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * weights[inside % SPAN])])
+        hashes = mix(sums[places[1:]] - sums[places[:-1]])
+    codes = (hashes % np.uint64(buckets)).astype(np.int64)
+    codes[pc.equal(names, "").to_numpy(zero_copy_only=False)] = buckets
+    order, ends = np.argsort(codes, kind="stable"), np.cumsum(np.bincount(codes, minlength=buckets)[:buckets])
+    order = order[: ends[-1]]
+    return names.take(pa.array(order)), order, ends
 
 
 def word_rows(
     text_column: str, limit: int, buckets: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
-    """(bucket, lines): a block's different words of a bucket, one to a line, under a line with the
-    block's name. Line ends are left out."""
+    """(block, bucket, lines): a block's different words of a bucket, one to a line, as they are
+    written."""
     for block, piece in blocks_of(text_column, limit, batches):
-        found: set[str] = set()
-        for text in piece.column("__text").to_pylist():
-            found.update(split(text))
-        names, ends = by_bucket(found, buckets)
-        starts = np.concatenate([[0], ends[:-1]])
-        used = np.flatnonzero(ends > starts)
-        lines = ["\n".join([str(block), *names[starts[k] : ends[k]]]) for k in used]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(lines, pa.string())], ["bucket", "lines"])
+        names, _, ends = by_bucket(find_words(piece.column("__text")).words, buckets)
+        used = np.flatnonzero(np.diff(ends, prepend=0))
+        offsets = np.concatenate([[0], ends[used]]).astype(np.int32)
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), names), "\n")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block] * len(used), pa.int64()), pa.array(used, pa.int32()), lines],
+            ["block", "bucket", "lines"],
+        )
 
 
 def stored_rows(text_column: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,57 +362,35 @@ def gather(rows: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple[np.nda
     return sizes, flat[np.arange(int(sizes.sum()), dtype=np.int64) + np.repeat(starts - first, sizes)]
 
 
-def list_rows(byte_ids: list[int], lists: pa.Table, words: pa.Table) -> pa.Table:
-    """(block, bucket, n_bytes, ids): the ids of a block's words of a bucket, packed in the order
-    of its list. Characters that are no piece become the pieces of their bytes."""
+def list_rows(byte_ids: list[int], trie: Trie, lists: pa.Table) -> pa.Table:
+    """(block, bucket, n_bytes, ids): the ids of the words of each list of a bucket, packed in its
+    order. Each different word of the bucket is encoded once."""
     give_back()
-    rows, ends, flat, last = {}, [], [], 0
-    for batch in words.to_batches():
-        column = batch.column("ids")
-        places = column.offsets.to_numpy() - column.offsets[0].as_py()
-        ids = column.flatten().to_numpy()
-        rows.update(zip(batch.column("word").to_pylist(), range(len(rows), len(rows) + batch.num_rows)))
-        if (ids < 0).any():
-            whole = [
-                list(chain.from_iterable([k] if k >= 0 else [byte_ids[b] for b in chr(-k - 1).encode()] for k in one))
-                for one in column.to_pylist()
-            ]
-            ids = np.fromiter(chain.from_iterable(whole), np.int32)
-            places = np.concatenate([[0], np.cumsum([len(one) for one in whole])])
-        ends.append(places[1:] + last)
-        flat.append(ids)
-        last += len(ids)
-    ends, flat = np.concatenate(ends, dtype=np.int64), np.concatenate(flat, dtype=np.int32)
-    out = {"block": [], "bucket": [], "n_bytes": [], "ids": []}
-    for batch in lists.to_batches():
-        for bucket, lines in zip(batch.column("bucket").to_pylist(), batch.column("lines").to_pylist()):
-            block, *asked = lines.split("\n")
-            sizes, ids = gather(np.fromiter(map(rows.__getitem__, asked), np.int64, len(asked)), ends, flat)
-            out["block"].append(int(block))
-            out["bucket"].append(bucket)
-            out["n_bytes"].append(4 * (1 + len(sizes) + len(ids)))
-            out["ids"].append(packed_ids(sizes, ids))
+    cut = pc.split_pattern(lists.column("lines").combine_chunks(), "\n")
+    coded = cut.flatten().dictionary_encode()
+    ends, flat = best_paths(trie, byte_ids, coded.dictionary)
+    rows, places = coded.indices.to_numpy(), cut.offsets.to_numpy()
+    out = {"block": lists.column("block").to_pylist(), "bucket": lists.column("bucket").to_pylist(), "n_bytes": [], "ids": []}
+    for a, b in zip(places[:-1] - places[0], places[1:] - places[0]):
+        sizes, ids = gather(rows[a:b], ends, flat)
+        out["n_bytes"].append(4 * (1 + len(sizes) + len(ids)))
+        out["ids"].append(packed_ids(sizes, ids))
     return pa.table(out, schema=LISTS)
 
 
 def with_line_ends(
-    numbers: Numbers, names: list[str], ends: np.ndarray, ids: np.ndarray, newline: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The row of each number, and the rows (their ends and ids): those of the names, then one for
-    each word behind a line end."""
-    place = dict(zip(names, range(len(names))))
-    rows, more, sizes = np.zeros(len(numbers), np.int32), [], []
-    for word, number in numbers.items():
-        if word.startswith("\n"):
-            k = place.get(word[1:])
-            own = ids[ends[k - 1] if k else 0 : ends[k]] if k is not None else ids[:0]
-            rows[number] = len(names) + len(sizes)
-            more += [[newline], own]
-            sizes.append(1 + len(own))
-        else:
-            rows[number] = place[" " + word]
-    last = ends[-1] if len(ends) else 0
-    return rows, np.concatenate([ends, last + np.cumsum(sizes, dtype=np.int64)]), np.concatenate([ids, *more]).astype(np.int32)
+    words: pa.Array, order: np.ndarray, sizes: np.ndarray, ids: np.ndarray, newline: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, ids) by number of a word, a line end before those that have one; sizes and ids are of
+    the words `order`."""
+    line = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)
+    own = np.zeros(len(words), np.int64)
+    own[order] = sizes
+    ends = np.cumsum(own + line)
+    out = np.full(int(ends[-1]) if len(ends) else 0, newline, np.int32)
+    begin = (ends - own)[order]  # behind the line end
+    out[np.arange(len(ids)) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)] = ids
+    return ends, out
 
 
 def text_rows(
@@ -384,28 +401,25 @@ def text_rows(
     give_back()
     parts = sorted(zip(*[lists.column(c).to_pylist() for c in ("bucket", "n_bytes", "ids")]))
     parts = [unpacked_ids(raw, n) for _, n, raw in parts]
-    ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *[sizes for sizes, _ in parts]]))
-    flat = np.concatenate([np.zeros(0, np.int32), *[ids for _, ids in parts]])
+    own_sizes = np.concatenate([np.zeros(0, np.int64), *[sizes for sizes, _ in parts]])
+    own_ids = np.concatenate([np.zeros(0, np.int32), *[ids for _, ids in parts]])
+    del parts
     out = []
     for stored in texts.column("rows"):
         for piece in with_text(pa.ipc.open_stream(stored.as_buffer()), text_column):
-            numbers = Numbers()
-            used = []
-            for text in piece.column("__text").to_pylist():
-                words = split(text)
-                used.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            names, _ = by_bucket(numbers, buckets)
-            if len(names) != len(ends):
+            found = find_words(piece.column("__text"))
+            names, order, _ = by_bucket(found.words, buckets)
+            if len(names) != len(own_sizes):
                 raise ValueError("a block and its lists of words differ")
-            rows, all_ends, all_ids = with_line_ends(numbers, names, ends, flat, newline)
-            del numbers, names
+            del names
+            ends, ids = with_line_ends(found.words, order, own_sizes, own_ids, newline)
             at = 0
             for part in slices([piece], "__text", SLICE_BYTES):
-                words = used[at : at + part.num_rows]
-                sizes, ids = gather(rows[np.concatenate(words)], all_ends, all_ids)
-                last = np.cumsum([0, *map(len, words)])
-                offsets = np.concatenate([[0], np.cumsum(sizes)])[last].astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                last = found.ends[at : at + part.num_rows]
+                low = int(found.ends[at - 1]) if at else 0
+                sizes, flat = gather(found.numbers[low : last[-1]], ends, ids)
+                offsets = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], last - low])]
+                column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
                 columns = [part.column(PACKED).cast(schema.field(PACKED).type), column]
                 if texts_of is not None:
                     columns.append(decoded(texts_of(), column))
@@ -429,17 +443,15 @@ def encode(
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_column}`")))).first()[0] or 0
     tasks = max(2, -(-total // block_bytes))
     buckets = max(2, round((total / (1 << 20)) ** GROWTH))
-    found = rows.mapInArrow(partial(word_rows, text_column, block_bytes, buckets), "bucket int, lines string")
-    lists = found.repartition(buckets, "bucket")
-    listed = F.split("lines", "\n")
-    words = lists.select("bucket", F.explode(F.slice(listed, F.lit(2), F.size(listed))).alias("word")).distinct()
-    longest = max(len(t.decode(errors="replace")) for t in pieces.texts if t)
-    mapping = encode_words(words, pieces.table(spark), longest, min(pieces.scores) - UNKNOWN_COST)
-    byte_ids = pieces.byte_ids
-    mapping = mapping.select(F.col("bucket").alias("of"), "word", "ids")
-    returned = lists.groupBy("bucket").cogroup(mapping.groupBy("of")).applyInArrow(
-        partial(list_rows, byte_ids), "block bigint, bucket int, n_bytes bigint, ids binary"
-    )
+    lists = rows.mapInArrow(
+        partial(word_rows, text_column, block_bytes, buckets), "block bigint, bucket int, lines string"
+    ).repartition(buckets, "bucket")
+    byte_ids, trie = pieces.byte_ids, spark.sparkContext.broadcast(pieces.trie())
+
+    def encoded(lists: pa.Table) -> pa.Table:
+        return list_rows(byte_ids, trie.value, lists)
+
+    returned = lists.groupBy("bucket").applyInArrow(encoded, "block bigint, bucket int, n_bytes bigint, ids binary")
     stored = rows.mapInArrow(partial(stored_rows, text_column, block_bytes), "block bigint, rows binary")
     kind = rows.schema[PACKED].dataType
     added = [("ids", pa.list_(pa.int32()))] + [("decoded", pa.string())] * decode_too
@@ -455,10 +467,10 @@ def encode(
 
 
 def decoded(texts: list[bytes | None], ids: pa.Array) -> pa.Array:
-    pieces = np.array([t or b"" for t in texts], dtype=object)
-    offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
-    out = [b"".join(pieces[flat[a:b]]) for a, b in zip(offsets[:-1], offsets[1:])]
-    return pa.array([t[1:].decode(errors="replace") for t in out], pa.string())
+    flat = ids.values.slice(ids.offsets[0].as_py(), ids.offsets[-1].as_py() - ids.offsets[0].as_py())
+    places, raw = text_buffers(pa.array([t or b"" for t in texts], pa.binary()).take(flat))
+    raw, ends = raw.tobytes(), places[ids.offsets.to_numpy() - ids.offsets[0].as_py()].tolist()
+    return pa.array([raw[a + 1 : b].decode(errors="replace") for a, b in zip(ends[:-1], ends[1:])], pa.string())
 
 
 def decode_rows(texts, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

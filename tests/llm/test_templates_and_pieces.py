@@ -160,6 +160,55 @@ def test_edges_meet_by_number(spark, pieces, capsys):
     assert plan.count("Exchange hashpartitioning(bucket") == 1 and "Exchange hashpartitioning(number" not in plan
 
 
+def test_array_paths_are_those_of_the_relational_lattice(spark, pieces, monkeypatch):
+    """Same ids for each word, whole, in chunks and in windows, at a fraction of the time."""
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from swipeline.llm import paths
+
+    rng = random.Random(4)
+    words = {"".join(rng.choices("aeinorst日é😀▁ ", k=rng.choice([1, 2, 5, 9, 40, 300]))) for _ in range(300)}
+    words |= {" information", "x" * 700, "ab" * 500, "\x00", "\t"}
+    words = sorted(words)
+    frame = spark.createDataFrame([(1, w) for w in words], "bucket int, word string")
+    longest, unknown = max(len(t.decode(errors="replace")) for t in pieces.texts if t), min(pieces.scores) - lattice.UNKNOWN_COST
+    want = {r["word"]: r["ids"] for r in lattice.encode_words(frame, pieces.table(spark), longest, unknown).collect()}
+    trie = pieces.trie()
+    for chunk in (1 << 17, 64, 7):
+        monkeypatch.setattr(paths, "CHUNK", chunk)
+        ends, ids = paths.best_paths(trie, pieces.byte_ids, pa.array(words))
+        for word, a, b in zip(words, [0, *ends[:-1]], ends):
+            spelt = [k if k >= 0 else [pieces.byte_ids[c] for c in chr(-k - 1).encode()] for k in want[word]]
+            spelt = [k for one in spelt for k in (one if isinstance(one, list) else [one])]
+            assert ids[a:b].tolist() == spelt, word
+    monkeypatch.undo()
+    many = pa.array([" " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 15))) for _ in range(100_000)])
+    start = time.process_time()
+    ends, ids = paths.best_paths(trie, pieces.byte_ids, many)
+    assert len(ends) == 100_000 and (np.diff(ends, prepend=0) > 0).all()
+    assert time.process_time() - start < 4  # the relational form takes some 10 s of a core
+
+
+def test_words_are_cut_as_split_does():
+    """Texts that Arrow cuts and those that it does not, mixed, with their words dealt to buckets."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = ODD[:] + ["".join(rng.choices("ab  \n日", k=rng.randint(0, 12))) for _ in range(300)] + ["one two\n\nthree"]
+    rng.shuffle(texts)
+    found = lattice.find_words(pa.array(texts, pa.string()))
+    words = found.words.to_pylist()
+    for text, a, b in zip(texts, [0, *found.ends[:-1]], found.ends):
+        assert [words[k] for k in found.numbers[a:b]] == lattice.split(text)
+    names, order, ends = lattice.by_bucket(found.words, 5)
+    assert names.to_pylist() == [lattice.written(words[k]) for k in order]
+    assert ends[-1] == len(names) == len({lattice.written(w) for w in words} - {""})
+    assert len(lattice.find_words(pa.array([None, ""], pa.string())).numbers) == 0
+
+
 def test_freed_memory_goes_back():
     """What a worker has freed below something it keeps does not stay with it."""
     import numpy as np
