@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from swipeline.llm.tables import PACKED, map_rows, packed, slices, text_buffers
-from swipeline.llm.words import BATCH_BYTES, combine, words
+from swipeline.llm.tables import PACKED, give_back, map_rows, packed, slices, text_buffers
+from swipeline.llm.words import combine, words
 
 #: Labelled rows to learn from, at most: those with the smallest hashes of their id.
 TRAIN_ROWS = 8192
@@ -25,6 +25,9 @@ PAIRS_PER_STEP, STEPS, RIDGE = 2048, 400, 1e-3
 #: Where the threshold lies on the scale of scores.
 CUT = 0.7
 
+#: Text bytes whose features are made at once; they take some 100 times as much for a while.
+SLICE_BYTES = 1 << 19
+
 KINDS = 8  # lower case, upper case, digit, blank, line end, sentence mark, other mark, beyond ASCII
 N_FEATURES = KINDS**3 + KINDS + 7
 
@@ -146,12 +149,14 @@ def fit(x: np.ndarray, label: np.ndarray, seed: int = 0) -> Model:
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches, "__text", BATCH_BYTES):
+    give_back()
+    for piece in slices(batches, "__text", SLICE_BYTES):
         rows = features(piece.column("__text"))
         flat = pa.ListArray.from_arrays(
             pa.array(np.arange(len(rows) + 1, dtype=np.int32) * N_FEATURES), pa.array(rows.ravel())
         )
         yield pa.RecordBatch.from_arrays([piece.column(PACKED), flat], [PACKED, "features"])
+    give_back()
 
 
 def train(
@@ -180,9 +185,11 @@ def train(
 
 
 def score_rows(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches, "__text", BATCH_BYTES):
+    give_back()
+    for piece in slices(batches, "__text", SLICE_BYTES):
         score = shared.value.score(features(piece.column("__text")))
         yield pa.RecordBatch.from_arrays([piece.column(PACKED), pa.array(score)], [PACKED, "score"])
+    give_back()
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

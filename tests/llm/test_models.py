@@ -103,6 +103,22 @@ def test_features_do_not_depend_on_the_batch():
         assert np.array_equal(whole[k], quality.features(pa.array([t], pa.string()))[0])
 
 
+def test_scoring_takes_little_memory():
+    """A batch of long texts is scored by slices: a worker holds the arrays of one of them alone."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    flat = quality.Model(np.zeros(quality.N_FEATURES), np.zeros(quality.N_FEATURES), 0.0, 0.0)
+    texts = pa.array(["a few words of a longer text, line by line.\n" * 400] * 450)  # 8 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(450)), texts], [PACKED, "__text"])
+    for function in (lambda rows: quality.score_rows(SimpleNamespace(value=flat), rows), quality.feature_rows):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in function(iter([batch])))
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert rows == 450 and most < 120 << 20
+
+
 def test_best_cut():
     threshold, quantile = quality.best_cut(np.array([0.0, 1, 2, 9, 10, 11]), np.array([0, 0, 0, 1, 1, 1]))
     assert threshold == pytest.approx(5.5) and quantile == pytest.approx(0.5)
