@@ -34,6 +34,8 @@ from swipeline.session import cut_lineage
 
 UP = Window.unboundedPreceding
 PIECE = "_piece"
+#: Time of the cut that ends a row's piece, null for the last piece.
+UNTIL = "_until"
 CUTS = "_cuts"
 TIE = "transaction_id"
 #: Rows drawn per piece to find the splitters.
@@ -75,6 +77,7 @@ class Step(NamedTuple):
     value: Phase | None = None
     totals: Phase | None = None
     own: Phase | None = None
+    scans: bool = True  # the hot path ends in a scan, which the next step must not repeat
 
 
 def hot_limit(df: DataFrame) -> int:
@@ -159,14 +162,16 @@ def _cut_points(drawn: DataFrame, by: list[str], fan: int) -> DataFrame:
     return groups.select(*by, F.filter(nth, lambda cut: cut.isNotNull()).alias(CUTS))
 
 
-def _descend(df: DataFrame, cuts: Cuts, key: str) -> DataFrame:
-    """Adds the piece of every `_position`, level by level.
+def _descend(df: DataFrame, cuts: Cuts, key: str, until: bool = False) -> DataFrame:
+    """Adds the piece of every `_position`, level by level, and on wish the time of its end.
 
     A binary search spelled out step by step. Every step is a projection of its own, so it
     stays generated code. Probes beyond the end of a shorter array are null and count as
     "not before", as does a piece without finer cuts.
     """
     out = df.withColumn(PIECE, F.lit(0).cast("bigint"))
+    if until:
+        out = out.withColumn(UNTIL, F.lit(None).cast("bigint"))
     for level, table in enumerate((cuts.table, *cuts.finer)):
         out = out.join(table, [key, PIECE] if level else key, "left").withColumn("_before", F.lit(0))
         span = min(cuts.pieces, FAN) // 2
@@ -177,6 +182,9 @@ def _descend(df: DataFrame, cuts: Cuts, key: str) -> DataFrame:
                 "_before", F.col("_before") + F.when(behind, F.lit(span)).otherwise(F.lit(0))
             )
             span //= 2
+        if until:  # behind the last cut inside a piece, its own end stays
+            ends = F.get(F.col(CUTS), F.col("_before"))["at"]
+            out = out.withColumn(UNTIL, F.coalesce(ends, F.col(UNTIL)))
         out = out.withColumn(PIECE, F.col(PIECE) * FAN + F.col("_before")).drop(CUTS, "_before")
     return out
 
@@ -195,15 +203,20 @@ def per_key(
     out = out.select(*df.columns, *[c for step in steps for c in step.columns])
     if split.hot is None:
         return out
-    hot = cut_lineage(with_piece(split.hot, split.cuts, key, at, tie))
+    hot = cut_lineage(with_piece(split.hot, split.cuts, key, at, tie, until=True))
     for step in steps[:-1]:
-        hot = cut_lineage(step.hot(hot, split.cuts))
+        # what a step keeps for the steps after it comes along
+        hot = step.hot(hot, split.cuts)
+        hot = cut_lineage(hot) if step.scans else hot
     return out.unionByName(steps[-1].hot(hot, split.cuts).select(*out.columns))
 
 
-def with_piece(df: DataFrame, cuts: Cuts, key: str, at: str, tie: str = TIE) -> DataFrame:
-    """Adds the piece of every row: its number grows along the order of a key."""
-    return _descend(df.withColumn("_position", position(at, tie)), cuts, key).drop("_position")
+def with_piece(
+    df: DataFrame, cuts: Cuts, key: str, at: str, tie: str = TIE, until: bool = False
+) -> DataFrame:
+    """Adds the piece of every row: its number grows along the order of a key. With `until`
+    also the time at which the piece ends."""
+    return _descend(df.withColumn("_position", position(at, tie)), cuts, key, until).drop("_position")
 
 
 def running(
@@ -212,17 +225,21 @@ def running(
     order: Sequence[str],
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
+    tops: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Running values over the pieces of a key, each piece in its own task.
 
     `sums` include the current row. `lasts` hold the last non-null value of the
-    rows before the current one.
+    rows before the current one, `tops` the greatest one: of values that grow along the order
+    both are the same, but the summary of a greatest value needs no sort.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    sums, lasts = sums or {}, lasts or {}
+    sums, lasts, tops = sums or {}, lasts or {}, tops or {}
     by = [*keys, PIECE]
     ins = df.withColumns(
-        {f"_s_{n}": c for n, c in sums.items()} | {f"_l_{n}": c for n, c in lasts.items()}
+        {f"_s_{n}": c for n, c in sums.items()}
+        | {f"_l_{n}": c for n, c in lasts.items()}
+        | {f"_t_{n}": c for n, c in tops.items()}
     )
     position = F.struct(*order)
     summary = ins.groupBy(*by).agg(
@@ -231,12 +248,14 @@ def running(
             F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), position)).alias(f"_l_{n}")
             for n in lasts
         ],
+        *[F.max(f"_t_{n}").alias(f"_t_{n}") for n in tops],
     )
     earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(UP, -1)
     carry = summary.select(
         *by,
         *[F.sum(f"_s_{n}").over(earlier).alias(f"_cs_{n}") for n in sums],
         *[F.last(f"_l_{n}", ignorenulls=True).over(earlier).alias(f"_cl_{n}") for n in lasts],
+        *[F.max(f"_t_{n}").over(earlier).alias(f"_ct_{n}") for n in tops],
     )
     local = Window.partitionBy(*by).orderBy(*order)
     scanned = ins.withColumns(
@@ -245,9 +264,11 @@ def running(
             f"_wl_{n}": F.last(f"_l_{n}", ignorenulls=True).over(local.rowsBetween(UP, -1))
             for n in lasts
         }
+        | {f"_wt_{n}": F.max(f"_t_{n}").over(local.rowsBetween(UP, -1)) for n in tops}
     )
     joined = scanned.join(carry, by, "left").withColumns(
         {n: F.coalesce(F.col(f"_cs_{n}"), F.lit(0)) + F.col(f"_ws_{n}") for n in sums}
         | {n: F.coalesce(F.col(f"_wl_{n}"), F.col(f"_cl_{n}")) for n in lasts}
+        | {n: F.greatest(F.col(f"_wt_{n}"), F.col(f"_ct_{n}")) for n in tops}
     )
-    return joined.select(*df.columns, *sums, *lasts)
+    return joined.select(*df.columns, *sums, *lasts, *tops)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swipeline import config
 from swipeline.functions.scalars import deviation, half_up, ratio
-from swipeline.operators.hot import PIECE, UP, Cuts, Step, per_key, running, with_piece
+from swipeline.operators.hot import PIECE, UNTIL, UP, Cuts, Step, per_key, running, with_piece
 from swipeline.session import cut_lineage
 
 CARD = "card_id"
@@ -20,6 +20,9 @@ ORDER = ["ts_us", "transaction_id"]
 DAY_US = config.DAY_S * config.US
 EMA_BLOCK = 1000  # 0.9 ** 1000 is far below double precision
 KEEP = 1.0 - config.EMA_ALPHA
+#: Kept from step to step on hot cards: the row before, and the visits to the same merchant
+#: before and after.
+PREVIOUS, VISITED, VISITS = "_prev", "_visited_us", "_visits_us"
 
 
 def _ordered(*by: str):
@@ -70,43 +73,80 @@ def lookback_sums(
         )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        # a row adds itself at its time and is taken away just after ts + w; what is taken
-        # away at one moment is one event, and so is what is added if all of the moment counts
         ins = df.withColumns({f"_v_{v}": c for v, c in values.items()})
-        leaving = [
-            F.struct(F.lit(w).alias("w"), (F.col("ts_us") + (s * config.US + 1)).alias("us"))
-            for w, s in windows.items()
+        values_of = {(v, w): (f"_v_{v}", f"_v_{v}") for w in windows for v in values}
+        found = hot_lookback(ins, cuts, windows, values_of, include_current)
+        return found.select(*df.columns, *names)
+
+    return Step(names, hot, totals=totals)
+
+
+def hot_lookback(
+    df: DataFrame, cuts: Cuts, windows: dict[str, int],
+    values: dict[tuple[str, str], tuple[str, str]], include_current: bool,
+) -> DataFrame:
+    """`{value}_{window}` of hot cards, from {(value, window): (column that a row brings,
+    column that goes just after its time + window)}.
+
+    A row reads what came so far, less what went. What goes within the piece of its row is taken
+    away by a window over the piece, and for later pieces by one event at the piece's end. Only
+    what goes in a later piece is an event there; all of one moment are one event, and
+    so is what came at one moment if all of the moment counts.
+    """
+    names = [f"{v}_{w}" for v, w in values]
+    ends = {w: F.col("ts_us") + (s * config.US + 1) for w, s in windows.items()}
+    stays = {w: F.coalesce(us <= F.col(UNTIL), F.lit(True)) for w, us in ends.items()}
+    # at the end of a piece, behind its rows: no row of the piece reads it
+    closing = df.groupBy(CARD, PIECE).agg(
+        *[
+            F.sum(F.when(stays[w], -F.col(goes))).alias(f"_d_{v}_{w}")
+            for (v, w), (_, goes) in values.items()
         ]
-        gone = ins.select(CARD, *[f"_v_{v}" for v in values], F.explode(F.array(*leaving)).alias("_e"))
-        changes = gone.groupBy(CARD, F.col("_e.us").alias("_us")).agg(
+    ).withColumns({"_us": F.lit(2**63 - 1), "_rank": F.lit(9)})
+    leaving = [F.when(~stays[w], F.struct(F.lit(w).alias("w"), us.alias("us"))) for w, us in ends.items()]
+    moves = F.filter(F.array(*leaving), lambda e: e.isNotNull())
+    changes = (
+        df.select(CARD, *{goes for _, goes in values.values()}, F.explode(moves).alias("_e"))
+        .groupBy(CARD, F.col("_e.us").alias("_us"))
+        .agg(
             *[
-                F.sum(F.when(F.col("_e.w") == w, -F.col(f"_v_{v}")).otherwise(F.lit(0))).alias(f"{v}_{w}")
-                for w in windows
-                for v in values
+                F.sum(F.when(F.col("_e.w") == w, -F.col(goes))).alias(f"_d_{v}_{w}")
+                for (v, w), (_, goes) in values.items()
             ]
-        ).withColumn("_rank", F.lit(0))
-        read = 2 if include_current else 1
-        added = {f"{v}_{w}": F.lit(0) if include_current else F.col(f"_v_{v}") for w in windows for v in values}
-        rows = ins.withColumns(added | {"_us": F.col("ts_us"), "_rank": F.lit(read)})
-        if include_current:
-            arrived = ins.groupBy(CARD, F.col("ts_us").alias("_us")).agg(
-                *[F.sum(f"_v_{v}").alias(f"{v}_{w}") for w in windows for v in values]
-            )
-            changes = changes.unionByName(arrived.withColumn("_rank", F.lit(1)))
-        changes = with_piece(changes.withColumn("transaction_id", F.lit("")), cuts, CARD, "_us")
-        events = rows.unionByName(changes, allowMissingColumns=True)
-        events = events.withColumnsRenamed({n: f"_d_{n}" for n in names})
-        scanned = running(
-            events, CARD, ["_us", "_rank", "transaction_id"],
-            sums={n: F.col(f"_d_{n}") for n in names},
-        ).where(F.col("_rank") == read)
-        if not include_current:
-            scanned = scanned.withColumns(
-                {f"{v}_{w}": F.col(f"{v}_{w}") - F.col(f"_v_{v}") for w in windows for v in values}
-            )
-        return scanned.select(*df.columns, *names)
-
-    return Step(names, hot, totals=totals)
+        )
+        .withColumn("_rank", F.lit(0))
+    )
+    read = 2 if include_current else 1
+    if include_current:
+        came = df.groupBy(CARD, F.col("ts_us").alias("_us")).agg(
+            *[F.sum(comes).alias(f"_d_{v}_{w}") for (v, w), (comes, _) in values.items()]
+        )
+        changes = changes.unionByName(came.withColumn("_rank", F.lit(1)))
+    changes = with_piece(changes.withColumn("transaction_id", F.lit("")), cuts, CARD, "_us")
+    rows = df.withColumns(
+        {
+            f"_d_{v}_{w}": F.lit(0) if include_current else F.col(comes)
+            for (v, w), (comes, _) in values.items()
+        }
+        | {"_us": F.col("ts_us"), "_rank": F.lit(read)}
+    )
+    events = rows.unionByName(changes, allowMissingColumns=True).unionByName(
+        closing, allowMissingColumns=True
+    )
+    scanned = running(
+        events, CARD, ["_us", "_rank", "transaction_id"],
+        sums={n: _zero(F.col(f"_d_{n}")) for n in names},
+    ).where(F.col("_rank") == read)
+    # the rows of the piece that went before: the events of other pieces bring nothing here
+    past = Window.partitionBy(CARD, PIECE).orderBy("_us")
+    gone = {
+        f"_g_{v}_{w}": _zero(F.sum(goes).over(past.rangeBetween(UP, -(windows[w] * config.US + 1))))
+        for (v, w), (_, goes) in values.items()
+    }
+    own = {n: F.lit(0) if include_current else _zero(F.col(f"_d_{n}")) for n in names}
+    return scanned.withColumns(gone).withColumns(
+        {n: F.col(n) - own[n] - F.col(f"_g_{n}") for n in names}
+    )
 
 
 # --- V3: distinct merchants in a rolling window --------------------------------
@@ -144,65 +184,42 @@ def lookback_merchants(name: str, seconds: int, include_current: bool = False) -
         )
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        visits = Window.partitionBy(CARD, PIECE, "merchant_id").orderBy(*ORDER)
-        prev = F.lag("ts_us").over(visits)
-        # silences inside a piece
-        inside = (
-            df.withColumn("_prev", prev)
-            .where(F.col("ts_us") - F.col("_prev") > w_us)
-            .select(CARD, "transaction_id", "ts_us", "_prev")
-        )
-        # silences between pieces, and the first and last visit of all
-        ends = df.groupBy(CARD, "merchant_id", PIECE).agg(
-            F.min(F.struct(*ORDER)).alias("a"),
-            F.max("ts_us").alias("z"),
-        )
-        over = Window.partitionBy(CARD, "merchant_id").orderBy(PIECE)
-        ends = ends.withColumns(
-            {"_prev": F.lag("z").over(over), "_next": F.lead("a.ts_us").over(over)}
-        )
-        starts = ends.where(F.col("_prev").isNull() | (F.col("a.ts_us") - F.col("_prev") > w_us))
-        stops = ends.where(F.col("_next").isNull() | (F.col("_next") - F.col("z") > w_us))
-        enters = (
-            inside.select(CARD, "transaction_id", F.col("ts_us").alias("_us"))
-            .unionByName(
-                starts.select(
-                    CARD, F.col("a.transaction_id").alias("transaction_id"), F.col("a.ts_us").alias("_us")
-                )
-            )
-            .withColumn("_d", F.lit(1))
-        )
-        leaves = (
-            inside.select(CARD, (F.col("_prev") + (w_us + 1)).alias("_us"))
-            .unionByName(stops.select(CARD, (F.col("z") + (w_us + 1)).alias("_us")))
-            .withColumn("_d", F.lit(-1))
-        )
+        ins = hot_visits(df)
+        first = F.col(VISITED).isNull() | (F.col("ts_us") - F.col(VISITED) > w_us)
+        last = F.col(VISITS).isNull() | (F.col(VISITS) - F.col("ts_us") > w_us)
+        kept = ins.columns
+        ins = ins.withColumns({"_enters": first.cast("int"), "_leaves": last.cast("int")})
+        flags = {("_n", "w"): ("_enters", "_leaves")}
+        found = hot_lookback(ins, cuts, {"w": seconds}, flags, include_current)
+        return found.select(*kept, F.col("_n_w").alias(name))
 
-        def by_moment(changes: DataFrame, rank: int) -> DataFrame:
-            summed = changes.groupBy(CARD, "_us").agg(F.sum("_d").alias("_d"))
-            return summed.withColumns({"transaction_id": F.lit(""), "_rank": F.lit(rank)})
+    return Step([name], hot, value=value, totals=totals)
 
-        changes = by_moment(leaves, 0).unionByName(
-            # an entry counts for its whole moment, or from behind its own row on
-            by_moment(enters, 1) if include_current else enters.withColumn("_rank", F.lit(2)),
-            allowMissingColumns=True,
-        )
-        read_rank = 2 if include_current else 1
-        rows = df.withColumns(
-            {"_us": F.col("ts_us"), "_rank": F.lit(read_rank), "_d": F.lit(0), "_row": F.lit(True)}
-        )
-        events = rows.unionByName(with_piece(changes, cuts, CARD, "_us"), allowMissingColumns=True)
-        # departures come first at their time; then rows and entries in id order
-        order = (
-            ["_us", "_rank", "transaction_id"]
-            if include_current
-            else ["_us", "_late", "transaction_id", "_rank"]
-        )
-        events = cut_lineage(events.withColumn("_late", (F.col("_rank") > 0).cast("int")))
-        scanned = running(events, CARD, order, sums={name: F.col("_d")})
-        return scanned.where("_row").select(*df.columns, name)
 
-    return Step([name], hot, value=value, totals=totals)
+def hot_visits(df: DataFrame) -> DataFrame:
+    """The times of the card's visit to the same merchant before and after each row (hot cards):
+    inside a piece from its rows, beyond it from the first and last visit of other pieces."""
+    if VISITED in df.columns:
+        return df
+    place = [CARD, "merchant_id", PIECE]
+    ends = df.groupBy(*place).agg(F.min("ts_us").alias("_a"), F.max("ts_us").alias("_z"))
+    over = Window.partitionBy(CARD, "merchant_id").orderBy(PIECE)
+    ends = ends.select(
+        *[F.col(c).alias(f"_k_{c}") for c in place],
+        F.lag("_z").over(over).alias("_za"), F.lead("_a").over(over).alias("_az"),
+    ).where(F.col("_za").isNotNull() | F.col("_az").isNotNull())
+    inside = _ordered(*place)
+    rows = df.withColumns(
+        {VISITED: F.lag("ts_us").over(inside), VISITS: F.lead("ts_us").over(inside)}
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in place]
+    joined = rows.join(ends, same, "left").withColumns(
+        {
+            VISITED: F.coalesce(F.col(VISITED), F.col("_za")),
+            VISITS: F.coalesce(F.col(VISITS), F.col("_az")),
+        }
+    )
+    return cut_lineage(joined.select(*rows.columns))
 
 
 # --- V4: distinct merchants since the last idle day ------------------------------
@@ -240,33 +257,31 @@ def merchants_since_idle(name: str = "unique_merchants_since_idle") -> Step:
         ).withColumn(name, F.col("_firsts") - _zero(F.col("_base")))
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        ins = cut_lineage(hot_epochs(df, gap_us))
-        firsts = (
-            ins.groupBy(CARD, "_epoch", "merchant_id")
-            .agg(F.min(F.struct(*ORDER, PIECE)).alias("a"))
-            .select(
-                CARD, "_epoch", f"a.{PIECE}", "a.ts_us", "a.transaction_id", F.lit(1).alias("_d")
-            )
-        )
-        events = ins.withColumns({"_d": F.lit(0), "_row": F.lit(True)}).unionByName(
-            firsts, allowMissingColumns=True
-        )
-        # a row reads before its own first visit counts
-        scanned = running(
-            events, [CARD, "_epoch"], [*ORDER, "_d"], sums={name: F.col("_d")}
-        )
-        return scanned.where("_row").select(*df.columns, name)
+        ins = hot_previous(hot_visits(df))
+        kept = ins.columns
+        ins = hot_epochs(ins, gap_us)
+        # no visit since the period began; a row reads before its own visit counts
+        new = F.col(VISITED).isNull() | (F.col(VISITED) < F.col("_epoch"))
+        ins = cut_lineage(ins.withColumn("_first", new.cast("int")))
+        scanned = running(ins, [CARD, "_epoch"], ORDER, sums={name: F.col("_first")})
+        return scanned.withColumn(name, F.col(name) - F.col("_first")).select(*kept, name)
 
     return Step([name], hot, card=card, value=value, totals=totals)
 
 
+def hot_previous(df: DataFrame) -> DataFrame:
+    """`_prev`: the time of the row before (hot cards); once for all steps."""
+    if PREVIOUS in df.columns:
+        return df
+    return cut_lineage(running(df, CARD, ORDER, tops={PREVIOUS: F.col("ts_us")}))
+
+
 def hot_epochs(df: DataFrame, gap_us: int) -> DataFrame:
-    """`_epoch`: how many silences longer than the gap came before (hot cards)."""
-    ins = running(df, CARD, ORDER, lasts={"_prev": F.col("ts_us")})
-    return running(
-        ins, CARD, ORDER,
-        sums={"_epoch": _zero((F.col("ts_us") - F.col("_prev") > gap_us).cast("int"))},
-    ).drop("_prev")
+    """`_epoch`: the time of the row behind the last silence longer than the gap, the least number
+    before the first one (hot cards). `df` has been through `hot_previous`."""
+    begins = F.when(F.col("ts_us") - F.col(PREVIOUS) > gap_us, F.col("ts_us"))
+    found = running(df, CARD, ORDER, tops={"_epoch": begins})
+    return found.withColumn("_epoch", F.coalesce(begins, F.col("_epoch"), F.lit(-(2**63))))
 
 
 # --- V5: gap since the previous transaction -------------------------------------
@@ -289,10 +304,10 @@ def previous_time() -> Step:
         return finish(df.withColumn("_prev", F.lag("ts_us").over(_ordered(CARD))))
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
-        ins = running(df, CARD, ORDER, lasts={"_prev": F.col("ts_us")})
-        return finish(ins).select(*df.columns, *names)
+        ins = hot_previous(df)
+        return finish(ins).select(*ins.columns, *names)
 
-    return Step(names, hot, card=card)
+    return Step(names, hot, card=card, scans=False)
 
 
 # --- V6: exponential moving average -----------------------------------------------
@@ -357,7 +372,9 @@ def moving_average(name: str = "ema_before") -> Step:
 
     def hot(df: DataFrame, cuts: Cuts) -> DataFrame:
         by = [CARD, "_epoch", PIECE]
-        numbered = cut_lineage(hot_epochs(df, gap_us)).withColumn(
+        ins = hot_previous(df)
+        kept = ins.columns
+        numbered = cut_lineage(hot_epochs(ins, gap_us)).withColumn(
             "_n", F.row_number().over(_ordered(*by)) - 1
         )
         ins = from_zero(numbered, by)
@@ -380,7 +397,7 @@ def moving_average(name: str = "ema_before") -> Step:
         out = ins.join(carry, by).withColumn(
             name, F.pow(F.lit(KEEP), F.col("_n")) * F.col("_in") + F.col("_ema0")
         )
-        return out.select(*df.columns, name)
+        return out.select(*kept, name)
 
     return Step([name], hot, card=card, own=own)
 

@@ -305,3 +305,24 @@ def test_partitions_grow_with_the_rows(make, monkeypatch):
     plan = velocity.card_history(make(rows))._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(card_id" in plan and ", 12)" in plan and plan.count("Exchange") == 1
     assert collected(velocity.card_history(make(rows))) == brute(rows)
+
+
+def test_scans_of_hot_cards_carry_few_events(make, monkeypatch):
+    """A row whose windows end within its own piece is no event of another one, and the row
+    before is looked for once."""
+    counts = []
+
+    def spied(df, *args, **kwargs):
+        counts.append(df.count())
+        return hot.running(df, *args, **kwargs)
+
+    monkeypatch.setattr(velocity, "running", spied)
+    rng = random.Random(13)
+    rows = [(f"{i:04d}", "c", f"m{rng.randrange(9)}", 5, NOON + i * DAY // 4) for i in range(400)]
+    assert collected(velocity.card_history(make(rows), limit=100)) == brute(rows)
+    assert max(counts) <= 500 and len(counts) <= 6
+
+
+def test_missing_merchant_of_a_hot_card_is_one_merchant(make):
+    rows = [(r[0], r[1], None if r[2] == "m3" else r[2], *r[3:]) for r in random_rows(14)]
+    assert collected(velocity.card_history(make(rows), limit=20)) == brute(rows)
