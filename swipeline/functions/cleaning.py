@@ -31,8 +31,9 @@ SHORT_TIME = r"([T ]\d{2})(\d{2})(?=$|Z|[+-])"
 
 
 def matching(text: Column, pattern: str) -> Column:
-    """The text where it has the pattern, '' otherwise; refers to the text once."""
-    return F.regexp_extract(text, pattern, 0)
+    """The text where it has the pattern, null otherwise; refers to the text once. Casting '' to a
+    number would raise and catch an error in every such row."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lit(0))
 
 
 def number(text: Column) -> Column:
@@ -46,7 +47,7 @@ def coordinate(text: Column) -> Column:
 
 
 def iso(text: Column) -> Column:
-    """ISO text with its separators put in; '' if it is none."""
+    """ISO text with its separators put in; null if it is none."""
     out = F.regexp_replace(matching(text, DATE_TIME), BASIC_DATE, "$1-$2-$3")
     out = F.regexp_replace(F.regexp_replace(out, BASIC_TIME, "$1:$2:$3"), SHORT_TIME, "$1:$2")
     # without a time, the last parts of a date are no zone

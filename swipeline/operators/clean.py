@@ -32,20 +32,19 @@ def clean(messages: DataFrame) -> DataFrame:
     Columns outside the contract pass through.
     """
     corrupt = F.col(CORRUPT) if CORRUPT in messages.columns else None
-    # Parsed once, next to the text: the reason needs both. Going through inline()
-    # keeps the optimizer from copying the parsing into the reject filter.
-    parsed = messages.select(
+    # Parsed once, next to the text: the reason needs both. The parsing is a projection of its own,
+    # which is compiled; passing its columns through inline() keeps the optimizer from copying
+    # it into the reject filter.
+    values = {
+        "_lat": cleaning.coordinate(F.col("location_lat")),
+        "_lon": cleaning.coordinate(F.col("location_lon")),
+        "_value": cleaning.amount(F.col("amount")),
+        "_seconds": cleaning.epoch_seconds(F.col("timestamp")),
+    }
+    read = messages.select(*messages.columns, *[c.alias(f"_read{n}") for n, c in values.items()])
+    parsed = read.select(
         *messages.columns,
-        F.inline(
-            F.array(
-                F.struct(
-                    cleaning.coordinate(F.col("location_lat")).alias("_lat"),
-                    cleaning.coordinate(F.col("location_lon")).alias("_lon"),
-                    cleaning.amount(F.col("amount")).alias("_value"),
-                    cleaning.epoch_seconds(F.col("timestamp")).alias("_seconds"),
-                )
-            )
-        ),
+        F.inline(F.array(F.struct(*[F.col(f"_read{n}").alias(n) for n in values]))),
     )
     flagged = parsed.withColumn(
         "reject_reason",

@@ -180,3 +180,15 @@ def test_percentile_clip_is_exact(spark, percent):
     ordered = sorted(round(v, 2) for v in values)
     rank = max(1, -(-len(ordered) * percent // 100))
     assert float(got) == ordered[int(rank) - 1]
+
+
+def test_parsing_is_compiled_and_done_once(spark):
+    """The parsing is no part of a generator, which Spark interprets, nor of the reject filter; text
+    that does not match is null, as a cast of '' raises an error inside Spark."""
+    frame = spark.createDataFrame([tuple(VALID.get(f) for f in MESSAGE_FIELDS)], ", ".join(f"{f} string" for f in MESSAGE_FIELDS))
+    plan = clean.accepted(frame)._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [line for line in plan.splitlines() if "regexp_" in line]
+    assert len(parsing) == 1 and "Generate" not in parsing[0] and "Filter" not in parsing[0]
+    texts = spark.createDataFrame([("x",), ("",), (" 1.5",), (None,)], "t string")
+    found = texts.select(cleaning.matching(F.col("t"), cleaning.NUMBER).alias("m")).collect()
+    assert [r.m for r in found] == [None, None, " 1.5", None]
